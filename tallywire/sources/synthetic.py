@@ -1,0 +1,107 @@
+"""Seeded telemetry of any size, every row computed from its own number."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallywire.functions.clock import millis_to_iso
+from tallywire.functions.numbers import round_half_up
+from tallywire.operators.records import event_id, rack_id, sensor_id
+
+MASK = 0xFFFFFFFF
+
+# The step of the mulberry32 generator, its shifts and its odd mixers.
+STEP = 0x6D2B79F5
+FIRST_SHIFT, FIRST_ODD = 15, 1
+SECOND_SHIFT, SECOND_ODD = 7, 61
+LAST_SHIFT = 14
+
+# Warm-up of three readings from 18 degrees by 1.5 each, then 21.5; the last three readings spike.
+WARM_UP, SPIKES = 3, 3
+
+
+def synthetic_readings(
+    spark: SparkSession,
+    sensors: int,
+    readings: int,
+    seed: int = 1,
+    start_ms: int = 0,
+    interval_ms: int = 1_000,
+    run_id: str = "run",
+    spike_sensor: int = 0,
+    numbers: DataFrame | None = None,
+) -> DataFrame:
+    """`sensors` x `readings` rows in publish order, numbered by `number`.
+
+    `numbers` is a table with the column `number`, to make only those rows; by default all of them. The generator
+    moves its state by a constant per draw, so the state of any draw follows from its count and the rows need no
+    order, no shuffle and no shared state.
+    """
+    if numbers is None:
+        numbers = spark.range(sensors * readings).withColumnRenamed("id", "number")
+    # Each step is its own projection: written as one expression, the text would double at every use.
+    df = numbers.select(
+        "number", (F.col("number") % sensors).alias("_sensor"), F.expr(f"number div {int(sensors)}").alias("_index")
+    )
+    # A reading takes three draws, and four when it spikes; count the spikes before this row.
+    first_spike = max(0, readings - SPIKES)
+    spikes = 0 <= spike_sensor < sensors
+    earlier = F.greatest(F.lit(0), F.col("_index") - first_spike) if spikes else F.lit(0)
+    passed = F.when((F.col("_index") >= first_spike) & (F.col("_sensor") > spike_sensor), 1).otherwise(0)
+    spiking = (F.col("_sensor") == spike_sensor) & (F.col("_index") >= first_spike) if spikes else F.lit(False)
+    df = df.select(
+        "*", spiking.alias("_spiking"), (3 * F.col("number") + earlier + (passed if spikes else 0)).alias("_drawn")
+    )
+    # Draw 0 is the noise, which a spike draws and drops.
+    draw = [F.col("_drawn") + 1 + k for k in range(4)]
+    spike_or = lambda a, b: F.when(F.col("_spiking"), a).otherwise(b)
+    df = _random(df, {"_r0": draw[0], "_r1": draw[1], "_r2": draw[2], "_r3": spike_or(draw[3], draw[2])}, seed)
+    base = F.when(F.col("_index") < WARM_UP, 18 + F.col("_index") * 1.5).otherwise(21.5)
+    temperature = spike_or(84 + F.col("_r1") * 9, base + (F.col("_r0") - 0.5) * 2)
+    humidity = 45 + spike_or(F.col("_r2"), F.col("_r1")) * 10
+    vibration = spike_or(6 + F.col("_r3") * 2, 0.05 + F.col("_r3") * 0.4)
+    sensor = sensor_id(F.col("_sensor"))
+    sequence = (F.col("_index") + 1).cast("double")
+    return df.select(
+        "number",
+        F.lit(1.0).alias("schema_version"),
+        event_id(F.lit(run_id), sensor, sequence).alias("event_id"),
+        sensor.alias("sensor_id"),
+        rack_id(F.col("_sensor")).alias("rack_id"),
+        sequence.alias("sequence"),
+        millis_to_iso(start_ms + F.col("_index") * interval_ms).alias("ts"),
+        round_half_up(temperature, 2).alias("temperature_c"),
+        round_half_up(humidity, 2).alias("humidity_pct"),
+        round_half_up(vibration, 3).alias("vibration_mm_s"),
+    )
+
+
+def _random(df: DataFrame, draws: dict[str, Column], seed: int) -> DataFrame:
+    """Add each named draw, numbered from 1, as a double in [0, 1)."""
+    kept = df.columns
+    names = list(draws)
+
+    def step(make) -> DataFrame:
+        return df.select(*kept, *[make(n).alias(n) for n in names])
+
+    # Both factors are below 2**32, their product below 2**63.
+    df = step(lambda n: (seed % (MASK + 1) + draws[n].bitwiseAND(F.lit(MASK)) * F.lit(STEP) % F.lit(MASK + 1)) % F.lit(MASK + 1))
+    df = step(lambda n: _times(_mixed(F.col(n), FIRST_SHIFT), F.col(n).bitwiseOR(F.lit(FIRST_ODD))))
+    df = step(lambda n: _wrap(F.col(n) + _times(_mixed(F.col(n), SECOND_SHIFT), F.col(n).bitwiseOR(F.lit(SECOND_ODD)))).bitwiseXOR(F.col(n)))
+    return step(lambda n: _mixed(F.col(n), LAST_SHIFT) / F.lit(float(MASK + 1)))
+
+
+def _wrap(x: Column) -> Column:
+    return x.bitwiseAND(F.lit(MASK))
+
+
+def _mixed(x: Column, shift: int) -> Column:
+    return x.bitwiseXOR(F.shiftrightunsigned(x, shift))
+
+
+def _times(a: Column, b: Column) -> Column:
+    """Product of two 32-bit numbers, modulo 2**32, without leaving the range of a long."""
+    high = _wrap(F.shiftrightunsigned(a, 16) * b).bitwiseAND(F.lit(0xFFFF))
+    low = a.bitwiseAND(F.lit(0xFFFF)) * b
+    return _wrap(F.shiftleft(high, 16) + low)
