@@ -258,12 +258,12 @@ TOTALS_BODY = _object(
 
 def _pad(x: str, width: int) -> str:
     text = _number(x)
-    return f"lpad({text}, greatest({width}, length({text})), ' ')"
+    return f"lpad({text}, CAST(greatest({width}, length({text})) AS INTEGER), ' ')"
 
 
 HEAD = "sensor      readings  avgT(C)  minT(C)  maxT(C)  maxVib  gaps  anomalies"
 
-LINE = f"""concat_ws(' ', rpad(sensor_id, greatest(11, length(sensor_id)), ' '), {_pad('readings', 8)},
+LINE = f"""concat_ws(' ', rpad(sensor_id, CAST(greatest(11, length(sensor_id)) AS INTEGER), ' '), {_pad('readings', 8)},
     {_pad('avg_temperature_c', 7)}, {_pad('min_temperature_c', 8)}, {_pad('max_temperature_c', 8)},
     {_pad('max_vibration_mm_s', 7)}, {_pad('sequence_gaps', 5)}, {_pad('anomalies', 10)})"""
 
@@ -308,10 +308,10 @@ measured AS (
       ELSE CASE WHEN idx < 3 THEN 18 + idx * 1.5 ELSE 21.5 END + (d0 - 0.5) * 2 END AS temperature,
     45 + CASE WHEN spiking THEN d2 ELSE d1 END * 10 AS humidity,
     CASE WHEN spiking THEN 6 + d3 * 2 ELSE CAST(0.05 AS DOUBLE) + d2 * CAST(0.4 AS DOUBLE) END AS vibration,
-    'sensor-' || lpad(CAST(sensor + 1 AS VARCHAR), greatest(2, length(CAST(sensor + 1 AS VARCHAR))), '0') AS sensor_id
+    'sensor-' || lpad(CAST(sensor + 1 AS VARCHAR), CAST(greatest(2, length(CAST(sensor + 1 AS VARCHAR))) AS INTEGER), '0') AS sensor_id
   FROM drawn)
 SELECT number, CAST(1 AS DOUBLE) AS schema_version,
-  'run-' || sensor_id || '-' || lpad(CAST(idx + 1 AS VARCHAR), greatest(6, length(CAST(idx + 1 AS VARCHAR))), '0') AS event_id,
+  'run-' || sensor_id || '-' || lpad(CAST(idx + 1 AS VARCHAR), CAST(greatest(6, length(CAST(idx + 1 AS VARCHAR))) AS INTEGER), '0') AS event_id,
   sensor_id, 'rack-' || chr(CAST(65 + sensor AS INTEGER)) AS rack_id, CAST(idx + 1 AS DOUBLE) AS sequence,
   strftime(make_timestamp_ms(1790000000000 + idx * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts,
   {_round('temperature', 2)} AS temperature_c, {_round('humidity', 2)} AS humidity_pct,
@@ -351,11 +351,11 @@ def _kinds() -> str:
       concat('[', {full}, '}}]'))"""
 
 
-PADDED = "'sensor-' || lpad(CAST(user_id + 1 AS VARCHAR), greatest(2, length(CAST(user_id + 1 AS VARCHAR))), '0')"
+PADDED = "'sensor-' || lpad(CAST(user_id + 1 AS VARCHAR), CAST(greatest(2, length(CAST(user_id + 1 AS VARCHAR))) AS INTEGER), '0')"
 
 
 def _padded_number(x: str) -> str:
-    return f"lpad(CAST({x} AS VARCHAR), greatest(6, length(CAST({x} AS VARCHAR))), '0')"
+    return f"lpad(CAST({x} AS VARCHAR), CAST(greatest(6, length(CAST({x} AS VARCHAR))) AS INTEGER), '0')"
 
 
 ORACLE: dict[str, str] = {

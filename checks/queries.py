@@ -153,12 +153,12 @@ def totals_tracked(spark, sf_dir):
 
 
 def stats(spark, sf_dir):
-    return run_stats(audit(spark, sf_dir, keep_event=False))
+    return run_stats(audit(spark, sf_dir, keep_payload=False))
 
 
 def outcomes(spark, sf_dir):
     batch = F.floor(F.col("offset") / BATCH_OFFSETS).alias("batch_id")
-    return batch_outcomes(audit(spark, sf_dir, keep_event=False).select("*", batch))
+    return batch_outcomes(audit(spark, sf_dir, keep_payload=False).select("*", batch))
 
 
 def ranges(spark, sf_dir):

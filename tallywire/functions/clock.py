@@ -14,12 +14,11 @@ def iso_timestamp(text: Column) -> Column:
 
     A day beyond the end of its month runs on into the next one, so 2026-02-30 is the second of March.
     """
-    zoned = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    colonless = text.rlike(r":.*[+-]\d{4}$")
-    normal = F.when(colonless, zoned).otherwise(text)
+    # Spark wants a colon in the zone; only text it did not take gets one, and its day checked apart.
+    normal = F.regexp_replace(text, r"(:.*[+-]\d{2})(\d{2})$", "$1:$2")
     first_day = F.regexp_replace(normal, r"^(\d{4}-\d{2})-\d{2}", "$1-01").try_cast("timestamp")
     days = F.make_interval(days=F.substring(text, 9, 2).try_cast("int") - 1)
-    return F.when(text.rlike(ISO_PATTERN), F.coalesce(normal.try_cast("timestamp"), first_day + days))
+    return F.when(text.rlike(ISO_PATTERN), F.coalesce(text.try_cast("timestamp"), first_day + days))
 
 
 def iso_text(instant: Column) -> Column:

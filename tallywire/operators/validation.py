@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallywire.functions.clock import iso_timestamp
 from tallywire.functions.numbers import is_finite
 from tallywire.functions.strict_json import field, is_object, json_type, parse_strict
 from tallywire.functions.text import utf8_text, utf16_length
-from tallywire.schema import INVALID_JSON, OPTIONAL_FIELDS, REQUIRED_FIELDS, SCHEMA_INVALID
+from tallywire.schema import FIELDS, INVALID_JSON, REQUIRED_FIELDS, SCHEMA_INVALID
 
 MAX_ID_UNITS = 200
 
@@ -37,35 +40,29 @@ def validate(df: DataFrame) -> DataFrame:
 
     A record is judged by its own JSON types, field by field, and all problems are listed: the fields in order, then
     the length of the id, then the timestamp. Optional fields of another type count as missing.
+
+    Flat objects without any problem, which most records are, are read by one typed parse. Everything else - nested,
+    escaped, ill-typed or broken - goes through VARIANT, where the type of each field can be asked for.
     """
-    if "event" not in df.columns:
-        df = parse_payload(df)
+    if "payload" not in df.columns:
+        df = decode_payload(df)
     columns = df.columns
-    fields = {**REQUIRED_FIELDS, **OPTIONAL_FIELDS}
-
-    # One projection per step, each using the one before several times: look up, type, value, instant.
-    df = df.select(*columns, *[field(F.col("event"), name).alias(f"_v_{name}") for name in fields])
-    df = df.select("*", *[F.schema_of_variant(f"_v_{name}").alias(f"_s_{name}") for name in fields])
-    df = df.select("*", *[json_type(F.col(f"_s_{name}")).alias(f"_t_{name}") for name in fields])
-    df = df.select("*", *[_value(name, wanted).alias(column) for name, (column, wanted) in fields.items()])
-    df = df.select("*", iso_timestamp(F.col("ts")).alias("event_time"))
-
-    problems = [_field_problem(name, *spec) for name, spec in REQUIRED_FIELDS.items()]
-    problems.append(F.when(utf16_length(F.col("event_id")) > MAX_ID_UNITS, LONG_ID))
-    problems.append(F.when(F.col("ts").isNotNull() & F.col("event_time").isNull(), BAD_TS))
-    errors = (
-        F.when(F.col("event").isNull(), F.array(F.lit(NOT_JSON)))
-        .when(~is_object(F.col("payload")), F.array(F.lit(NOT_OBJECT)))
-        .when(_is_good(), F.array().cast("array<string>"))
-        .otherwise(F.array_compact(F.array(*problems)))
-    )
-    reason = F.when(F.col("event").isNull(), INVALID_JSON).when(F.size("errors") > 0, SCHEMA_INVALID)
-    readings = [column for column, _ in fields.values()]
-    df = df.select(*columns, *readings, "event_time", errors.alias("errors"))
+    df = df.select("*", _typed_parse().alias("_typed"))
+    df = df.select("*", iso_timestamp(F.col("_typed.ts")).alias("_time"))
+    df = df.select("*", _is_good().alias("_good"))
+    df = df.select("*", F.when(~F.col("_good"), _examined(F.col("payload"))).alias("_slow"))
+
+    good = F.col("_good")
+    readings = [
+        F.when(good, F.col(f"_typed.{name}")).otherwise(F.col(f"_slow.{column}")).alias(column)
+        for name, (column, _) in FIELDS.items()
+    ]
+    time = F.when(good, F.col("_time")).otherwise(F.col("_slow.event_time")).alias("event_time")
+    errors = F.when(good, F.array().cast("array<string>")).otherwise(F.col("_slow.errors"))
     # One row in, one row out. A filter on generated columns stays above the generator; through plain projections it
     # would be pushed to the scan, with all of the parsing and checking written into it a second time.
-    verdict = F.inline(F.array(F.struct(reason.alias("reason"), "errors")))
-    return df.select(*columns, *readings, "event_time", verdict)
+    verdict = F.inline(F.array(F.struct(F.col("_slow.reason").alias("reason"), errors.alias("errors"))))
+    return df.select(*columns, *readings, time, verdict)
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -77,27 +74,112 @@ def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return checked.where(F.col("reason").isNull()), checked.where(F.col("reason").isNotNull())
 
 
-def _value(name: str, wanted: str) -> Column:
-    """The field in its wanted type, null when it has another one."""
-    target = "double" if wanted == "number" else "string"
-    return F.when(F.col(f"_t_{name}") == wanted, F.try_variant_get(F.col(f"_v_{name}"), "$", target))
+_CORRUPT = "_corrupt"
+
+# Spark's JSON reader is more lenient than JSON by default.
+_STRICT = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
+
+
+def _is_flat(text: Column) -> Column:
+    """Whether text can only be one JSON object of numbers, texts without escapes, booleans and nulls."""
+    body = F.btrim(text, F.lit(" \t\r\n"))
+    one_pair = (F.locate("{", body, 2) == 0) & (F.instr(body, "}") == F.length(body))
+    nested = F.contains(text, F.lit("[")) | F.contains(text, F.lit("\\"))
+    return body.startswith("{") & one_pair & ~nested
+
+
+def _typed_parse() -> Column:
+    fields = [
+        T.StructField(name, T.DoubleType() if kind == "number" else T.StringType())
+        for name, (_, kind) in FIELDS.items()
+    ]
+    schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+    payload = F.col("payload")
+    return F.from_json(F.when(_is_flat(payload), payload), schema, _STRICT)
+
+
+def _is_good() -> Column:
+    """Whether the typed parse read everything there is to read and nothing is wrong with it.
+
+    That parse takes numbers and booleans for texts, so a text that could be one of those is left to the slow way.
+    The timestamp never could.
+    """
+    good = F.col("_time").isNotNull() & F.col(f"_typed.{_CORRUPT}").isNull()
+    for name, (_, kind) in FIELDS.items():
+        value = F.col(f"_typed.{name}")
+        fine = is_finite(value) if kind == "number" else ~value.rlike(r"^(-?[0-9][0-9.eE+-]*|true|false)$")
+        good &= fine if name in REQUIRED_FIELDS else value.isNull() | fine
+    return F.coalesce(good & ~_too_long(F.col("_typed.eventId")), F.lit(False))
+
+
+def _examined(payload: Column) -> Column:
+    """What VARIANT tells of a payload: its fields, its errors and the reason to reject it.
+
+    One nested expression with names for its intermediate values, so that it runs as a whole or not at all.
+    """
+    return _let(parse_strict(payload), lambda event: _let(_shapes(event), lambda kinds: _judged(payload, event, kinds)))
+
+
+def _shapes(event: Column) -> Column:
+    """The JSON type of every field, in order."""
+    return F.transform(F.array(*[F.schema_of_variant(field(event, name)) for name in FIELDS]), json_type)
+
+
+def _judged(payload: Column, event: Column, kinds: Column) -> Column:
+    values = []
+    for i, (name, (column, wanted)) in enumerate(FIELDS.items()):
+        target = "double" if wanted == "number" else "string"
+        values.append(F.when(kinds[i] == wanted, field(event, name, target)).alias(column))
+    return _let(
+        F.struct(*values),
+        lambda reading: _let(
+            iso_timestamp(reading["ts"]),
+            lambda time: _let(
+                _errors(payload, event, kinds, reading, time),
+                lambda errors: F.struct(
+                    *[reading[column].alias(column) for column, _ in FIELDS.values()],
+                    time.alias("event_time"),
+                    F.when(event.isNull(), INVALID_JSON).when(F.size(errors) > 0, SCHEMA_INVALID).alias("reason"),
+                    errors.alias("errors"),
+                ),
+            ),
+        ),
+    )
+
+
+def _errors(payload: Column, event: Column, kinds: Column, reading: Column, time: Column) -> Column:
+    problems = [
+        _field_problem(name, wanted, kinds[i], reading[column])
+        for i, (name, (column, wanted)) in enumerate(REQUIRED_FIELDS.items())
+    ]
+    problems.append(F.when(_too_long(reading["event_id"]), LONG_ID))
+    problems.append(F.when(reading["ts"].isNotNull() & time.isNull(), BAD_TS))
+    return (
+        F.when(event.isNull(), F.array(F.lit(NOT_JSON)))
+        .when(~is_object(payload), F.array(F.lit(NOT_OBJECT)))
+        .otherwise(F.array_compact(F.array(*problems)))
+    )
 
 
-def _field_problem(name: str, column: str, wanted: str) -> Column:
-    kind = F.col(f"_t_{name}")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _field_problem(name: str, wanted: str, kind: Column, value: Column) -> Column:
     problem = F.when(kind.isNull(), f"{name} is required").when(
         kind != wanted, F.concat(F.lit(f"{name} must be a {wanted}, received "), kind)
     )
     if wanted == "number":
-        problem = problem.when(~is_finite(F.col(column)), f"{name} must be a finite number")
+        problem = problem.when(~is_finite(value), f"{name} must be a finite number")
     return problem
 
 
-def _is_good() -> Column:
-    """Whether nothing at all is wrong with an object, without building any text."""
-    good = (utf16_length(F.col("event_id")) <= MAX_ID_UNITS) & F.col("event_time").isNotNull()
-    for column, wanted in REQUIRED_FIELDS.values():
-        good &= F.col(column).isNotNull()
-        if wanted == "number":
-            good &= is_finite(F.col(column))
-    return F.coalesce(good, F.lit(False))
+def _too_long(text: Column) -> Column:
+    """A text of half as many characters is never too long, so the units are seldom counted."""
+    return (F.length(text) > MAX_ID_UNITS // 2) & (utf16_length(text) > MAX_ID_UNITS)

@@ -14,10 +14,10 @@ from tallywire.operators.dedup import mark_duplicates
 from tallywire.operators.records import RAW_LIMIT
 from tallywire.operators.skew import HotKey, hot_keys
 from tallywire.operators.validation import validate
-from tallywire.schema import LOG_ORDER, REQUIRED_FIELDS, OPTIONAL_FIELDS
+from tallywire.schema import FIELD_COLUMNS, LOG_ORDER
 from tallywire.session import stage
 
-READING_COLUMNS = [column for column, _ in {**REQUIRED_FIELDS, **OPTIONAL_FIELDS}.values()]
+READING_COLUMNS = list(FIELD_COLUMNS.values())
 
 
 def label_log(
@@ -43,21 +43,21 @@ def label_log(
     return flag_anomalies(placed, limits)
 
 
-def check_log(raw: DataFrame, keep_event: bool = True) -> DataFrame:
-    """Raw records parsed and validated, slim enough to be stored: the payload only of records that failed."""
+def check_log(raw: DataFrame, keep_payload: bool = True) -> DataFrame:
+    """Raw records parsed and validated, without key and headers. `raw` is the cut payload of those that failed; the
+    whole payload is kept for the audit log of good ones, or dropped."""
     checked = validate(raw)
-    kept = [c for c in raw.columns if c not in ("key", "value", "headers")]
-    readings = [c for c in checked.columns if c in READING_COLUMNS]
+    kept = [c for c in raw.columns if c not in ("key", "value", "headers", "payload")]
     raw_text = F.when(F.col("reason").isNotNull(), utf16_prefix(F.col("payload"), RAW_LIMIT))
-    event = [F.when(F.col("reason").isNull(), F.col("event")).alias("event")] if keep_event else []
-    return checked.select(*kept, *readings, "reason", "errors", raw_text.alias("raw"), *event)
+    payload = [F.when(F.col("reason").isNull(), F.col("payload")).alias("payload")] if keep_payload else []
+    return checked.select(*kept, *READING_COLUMNS, "event_time", "reason", "errors", raw_text.alias("raw"), *payload)
 
 
 def process_log(
     raw: DataFrame,
     order_by: Sequence[str] = LOG_ORDER,
     limits: Thresholds = DEFAULT_THRESHOLDS,
-    keep_event: bool = True,
+    keep_payload: bool = True,
     **label_options,
 ) -> DataFrame:
     """The audit table of a raw log: one row per record, with its status, whatever became of it.
@@ -65,7 +65,7 @@ def process_log(
     The parsed records are staged first. Parsing is the expensive step and then happens once; looking for hot keys,
     labelling and quarantining each read just their columns of the staged table.
     """
-    return label_checked(stage(check_log(raw, keep_event), "checked"), order_by, limits, **label_options)
+    return label_checked(stage(check_log(raw, keep_payload), "checked"), order_by, limits, **label_options)
 
 
 def label_checked(

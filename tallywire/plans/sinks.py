@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.functions.clock import iso_text
-from tallywire.functions.numbers import json_number
-from tallywire.operators.records import source_struct
+from tallywire.operators.records import reading_json, source_struct
 from tallywire.operators.summary import report_lines
-from tallywire.schema import FIELD_COLUMNS
 
 
 def audit_log(audit: DataFrame) -> DataFrame:
@@ -20,7 +16,8 @@ def audit_log(audit: DataFrame) -> DataFrame:
     One set of columns serves both kinds of record; `write_audit` leaves out those that are null.
     """
     failed = F.col("reason").isNotNull()
-    event = F.col("event") if "event" in audit.columns else _event_struct()
+    # The payload whole, with fields nobody knows, when it was kept; else what was read from it.
+    event = F.try_parse_json("payload") if "payload" in audit.columns else F.try_parse_json(reading_json())
     return audit.select(
         F.when(failed, "dead-letter").otherwise("reading").alias("type"),
         F.when(~failed, F.col("topic")).alias("topic"),
@@ -67,13 +64,3 @@ def write_kafka(records: DataFrame, topic: str, servers: str, options: dict[str,
 def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
     """The same records as a table."""
     records.write.mode(mode).parquet(path)
-
-
-def _event_struct() -> Column:
-    numbers: Sequence[str] = ("schemaVersion", "sequence", "temperatureC", "humidityPct", "vibrationMmS")
-    return F.struct(
-        *[
-            (json_number(F.col(column)) if name in numbers else F.col(column)).alias(name)
-            for name, column in FIELD_COLUMNS.items()
-        ]
-    )

@@ -35,7 +35,9 @@ OPTIONAL_FIELDS = {
     "vibrationMmS": ("vibration_mm_s", "number"),
 }
 
-FIELD_COLUMNS = {name: column for name, (column, _) in {**REQUIRED_FIELDS, **OPTIONAL_FIELDS}.items()}
+FIELDS = {**REQUIRED_FIELDS, **OPTIONAL_FIELDS}
+
+FIELD_COLUMNS = {name: column for name, (column, _) in FIELDS.items()}
 
 # Arrival order of a log whose records carry their sensor as key.
 LOG_ORDER = ("partition", "offset")
