@@ -466,4 +466,14 @@ UNION ALL SELECT 'sensors', sensor_id, NULL, {SENSOR_BODY} FROM sensors
 UNION ALL SELECT 'anomalies', sensor_id, arrival, concat('{{', {_anomaly_body(ISO)}, '}}') FROM labelled
   WHERE applied AND reason <> ''""",
     "synthetic_readings": SYNTHETIC,
+    "stream_summary": f"""WITH {CHECKED}, log AS (SELECT *, "offset" AS arrival FROM checked WHERE reason IS NULL),
+{MARKED}, labelled AS (SELECT * EXCLUDE (reason), {_reason()} AS reason, status <> 'duplicate' AS applied FROM {_placed()}),
+{SENSORS} SELECT * FROM sensors""",
+    "stream_audit": f"""WITH {CHECKED}, log AS (SELECT *, "offset" AS arrival FROM checked WHERE reason IS NULL), {MARKED}
+SELECT "partition", "offset", event_id, status, CAST(missing AS DOUBLE) AS missing, nullif({_reason()}, '') AS anomaly
+FROM {_placed()}
+UNION ALL SELECT "partition", "offset", event_id, reason, NULL, NULL FROM checked WHERE reason IS NOT NULL""",
+    "stream_dedup": f"WITH {LOG} SELECT DISTINCT event_id FROM log",
 }
+# The same counters, from as many batches as the stream is cut into.
+ORACLE["stream_stats"] = ORACLE["run_stats"].replace("CAST(1 AS BIGINT) AS batches", "CAST(3 AS BIGINT) AS batches")

@@ -37,10 +37,12 @@ from tallywire.operators.summary import (
 from tallywire.operators.validation import decode_payload, parse_payload, split_valid, validate
 from tallywire.plans.process import label_log, process_log
 from tallywire.plans.sinks import audit_log
-from tallywire.session import prepare
+from tallywire.session import prepare, stage, work_dir
 from tallywire.sources.event_log import ARRIVAL, raw_records, record_log
-from tallywire.sources.log import log_from_table
+from tallywire.sources.log import log_from_table, read_log_files
 from tallywire.sources.synthetic import synthetic_readings
+from tallywire.streaming.drop import drop_duplicates_stream
+from tallywire.streaming.microbatch import LogStream
 
 BATCH_OFFSETS = 10_000
 SEED = 20260930
@@ -351,6 +353,47 @@ def synthetic(spark, sf_dir):
     )
 
 
+def _streamed(spark: SparkSession, sf_dir: str, slices: int = 3) -> LogStream:
+    """The raw log worked off as a stream: written slice by slice in the shared folder, each slice a micro-batch.
+
+    Every slice is a run of its own, so each but the first continues from the checkpoint and the state on disk.
+    """
+    log = stage(raw(spark, sf_dir), "log")
+    low, high = log.agg(F.min("offset"), F.max("offset")).first()
+    root = work_dir(spark, "stream")
+    stream = LogStream(spark, f"{root}/out")
+    number = F.least(F.lit(slices - 1), F.floor((F.col("offset") - low) * slices / (high - low + 1)))
+    for i in range(slices):
+        # Headers are part of a log; these records have none.
+        log_from_table(log.where(number == i)).write.mode("append").parquet(f"{root}/log")
+        stream.start(read_log_files(spark, f"{root}/log")).awaitTermination()
+    return stream
+
+
+def stream_summary(spark, sf_dir):
+    return _streamed(spark, sf_dir).summary()
+
+
+def stream_audit(spark, sf_dir):
+    return _streamed(spark, sf_dir).audit().select("partition", "offset", "event_id", "status", "missing", "anomaly")
+
+
+def stream_stats(spark, sf_dir):
+    return run_stats(_streamed(spark, sf_dir).audit())
+
+
+def stream_dedup(spark, sf_dir):
+    """Ids that come through a stream that drops re-deliveries."""
+    root = work_dir(spark, "dedup")
+    readings = log(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("timestamp"))
+    readings.write.parquet(f"{root}/readings")
+    stream = spark.readStream.schema(readings.schema).parquet(f"{root}/readings")
+    kept = drop_duplicates_stream(stream, "3650 days").select("event_id")
+    writer = kept.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+    writer.format("parquet").start(f"{root}/kept").awaitTermination()
+    return spark.read.schema("event_id string").parquet(f"{root}/kept")
+
+
 def _header(name: str, alias: str):
     value = F.filter("headers", lambda h: h["key"] == name)[0]["value"]
     return value.cast("string").alias(alias)
@@ -391,4 +434,8 @@ QUERIES: dict[str, Query] = {
     "summary_report": report,
     "summary_document": sections,
     "synthetic_readings": synthetic,
+    "stream_summary": stream_summary,
+    "stream_audit": stream_audit,
+    "stream_stats": stream_stats,
+    "stream_dedup": stream_dedup,
 }
