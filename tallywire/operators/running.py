@@ -30,7 +30,7 @@ def running(
 
     Cold keys are one window partition each. Rows of a hot key are cut into slices along the order: each slice runs by
     itself and starts from what the slices before it add up to. Both aggregates are associative, so the answer is the
-    same for any choice of slices. `start` is an optional table `(key, _start)` of values from before this table.
+    same for any choice of `slices`, arrays of whole numbers that never decrease along the order. `start` is an optional table `(key, _start)` of values from before this table.
     """
     if hot is None:
         hot = hot_keys(df, key)[key]
@@ -51,8 +51,11 @@ def running(
         # At most as many rows as there are hot keys, so it stays small enough to broadcast.
         table = table.join(start.select(key, F.col("_start").alias("_hot_start")), key, "left")
     df = df.join(F.broadcast(table), key, "left")
-    for name, level in zip(names, levels):
-        df = df.withColumn(name, F.when(F.col("_rows").isNotNull(), level).otherwise(nowhere))
+    # Coarsest first, each prefixed to the next finer: a slice then lies within one coarser slice, whatever was passed.
+    within = nowhere
+    for name, level in reversed(list(zip(names, levels))):
+        within = F.concat(within, level)
+        df = df.withColumn(name, F.when(F.col("_rows").isNotNull(), within).otherwise(nowhere))
 
     df = _sliced(df, out, how, key, order_by, names)
     if start is not None:

@@ -364,5 +364,8 @@ def _cell(column: str, width: int) -> Column:
 
 
 def _sorted_list(order: Column, item: Column) -> Column:
-    pairs = F.array_sort(F.collect_list(F.struct(order.alias("order"), item.alias("item"))))
+    def before(a: Column, b: Column) -> Column:
+        return F.when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0)
+
+    pairs = F.array_sort(F.collect_list(F.struct(order.alias("order"), item.alias("item"))), before)
     return F.transform(pairs, lambda pair: pair["item"])

@@ -39,6 +39,28 @@ FIELDS = {**REQUIRED_FIELDS, **OPTIONAL_FIELDS}
 
 FIELD_COLUMNS = {name: column for name, (column, _) in FIELDS.items()}
 
+# The audit table: a record's place in the log, its reading, and what became of it.
+AUDIT = T.StructType(
+    [
+        *[f for f in ENVELOPE.fields if f.name not in ("key", "value", "headers")],
+        *[
+            T.StructField(column, T.DoubleType() if kind == "number" else T.StringType())
+            for column, kind in FIELDS.values()
+        ],
+        T.StructField("event_time", T.TimestampType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("errors", T.ArrayType(T.StringType())),
+        T.StructField("raw", T.StringType()),
+        T.StructField("payload", T.StringType()),
+        T.StructField("is_duplicate", T.BooleanType()),
+        T.StructField("previous_sequence", T.DoubleType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("missing", T.DoubleType()),
+        T.StructField("is_anomaly", T.BooleanType()),
+        T.StructField("anomaly", T.StringType()),
+    ]
+)
+
 # Arrival order of a log whose records carry their sensor as key.
 LOG_ORDER = ("partition", "offset")
 

@@ -14,6 +14,15 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+# Settings a session can only be created with. Without the last one, PySpark sends the call site of every column
+# function to the JVM, which is most of the time it takes to build a plan.
+STARTUP_CONF = {
+    "spark.ui.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -29,13 +38,7 @@ def build_session(master: str | None = None, app_name: str = "tallywire", **conf
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.ui.enabled": "false",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        **conf,
-    }
-    for name, value in settings.items():
+    for name, value in {**STARTUP_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(name, value)
     return prepare(builder.getOrCreate())
 

@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywire.operators.anomaly import ANOMALY_COLUMNS, DEFAULT_THRESHOLDS, Thresholds
@@ -14,9 +13,9 @@ from tallywire.operators.records import anomaly_records, dead_letter_records, de
 from tallywire.operators.summary import sensor_state, state_totals, summarize
 from tallywire.plans.process import check_log, label_checked
 from tallywire.plans.sinks import write_audit
-from tallywire.schema import DUPLICATE, ENVELOPE, LOG_ORDER
+from tallywire.schema import AUDIT, DUPLICATE, ENVELOPE, LOG_ORDER
 from tallywire.session import prepare
-from tallywire.streaming.state import LogState
+from tallywire.streaming.state import LogState, read_batches
 
 # A publisher gets `(key, value, headers)` records and the kind of record: "anomalies" or "dead_letters".
 Publisher = Callable[[DataFrame, str], None]
@@ -58,8 +57,7 @@ class LogStream:
         self.keep_payload = keep_payload or audit_json
         self.audit_json = audit_json
         self.summary_every = summary_every
-        self.audit_schema = self._plan(spark.createDataFrame([], ENVELOPE)).schema
-        good = self._with_batch(spark.createDataFrame([], self.audit_schema), 0)
+        good = spark.createDataFrame([], AUDIT).withColumn("batch_id", F.lit(0).cast("long"))
         state_schema = sensor_state(good, ("batch_id", *self.order_by)).schema
         self.state = LogState(spark, f"{self.root}/state", state_schema, compact_every, remember_batches)
 
@@ -70,17 +68,15 @@ class LogStream:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch, complete and repeatable."""
-        checked = check_log(batch, self.keep_payload).persist()
+        checked = check_log(batch.select(*ENVELOPE.fieldNames()), self.keep_payload).persist()
+        path = f"{self.root}/audit/batch_id={batch_id}"
         try:
-            audit = self._label_checked(checked, batch_id)
-            audit.write.mode("overwrite").parquet(f"{self.root}/audit/batch_id={batch_id}")
+            self._labelled(checked, batch_id).write.mode("overwrite").parquet(path)
         finally:
             checked.unpersist()
 
         # From here on everything reads its columns of what was just written.
-        stored = self._with_batch(
-            self.spark.read.schema(self.audit_schema).parquet(f"{self.root}/audit/batch_id={batch_id}"), batch_id
-        )
+        stored = self.spark.read.schema(AUDIT).parquet(path).withColumn("batch_id", F.lit(batch_id).cast("long"))
         failed = dead_letter_records(dead_letters(stored.where(F.col("reason").isNotNull())))
         self._emit("dead_letters", failed, batch_id)
         found = stored.where((F.col("status") != DUPLICATE) & F.col("is_anomaly"))
@@ -94,8 +90,7 @@ class LogStream:
 
     def audit(self) -> DataFrame:
         """The audit table so far, with `batch_id`."""
-        schema = T.StructType([*self.audit_schema.fields, T.StructField("batch_id", T.LongType())])
-        return self.spark.read.schema(schema).parquet(f"{self.root}/audit")
+        return read_batches(self.spark, f"{self.root}/audit", AUDIT)
 
     def summary(self, through: int | None = None) -> DataFrame:
         """Per-sensor summary of all batches, or of those through the given one."""
@@ -109,19 +104,11 @@ class LogStream:
             through = self.audit().agg(F.max("batch_id")).first()[0]
         return self.state.sensors_before(-1 if through is None else through + 1)
 
-    def _label_checked(self, checked: DataFrame, batch_id: int) -> DataFrame:
+    def _labelled(self, checked: DataFrame, batch_id: int) -> DataFrame:
         seen = self.state.ids_before(batch_id)
         last = self.state.sensors_before(batch_id).select("sensor_id", "last_sequence")
         return label_checked(checked, self.order_by, self.limits, seen=seen, last=last)
 
-    def _plan(self, batch: DataFrame) -> DataFrame:
-        """The plan of a batch, for its schema alone."""
-        cold = {"event_id": [], "sensor_id": []}
-        return label_checked(check_log(batch, self.keep_payload), self.order_by, self.limits, hot=cold)
-
-    def _with_batch(self, df: DataFrame, batch_id: int) -> DataFrame:
-        return df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-
     def _emit(self, kind: str, records: DataFrame, batch_id: int) -> None:
         path = f"{self.root}/{kind}/batch_id={batch_id}"
         records.write.mode("overwrite").parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,11 +37,6 @@ class LogState:
         self.state_schema = state_schema
         self.compact_every = compact_every
         self.remember_batches = remember_batches
-        for name, schema in (("ids", IDS_SCHEMA), ("sensors", state_schema)):
-            for kind in (name, f"{name}_merged"):
-                # An empty first table, so that there always is something to read.
-                empty = spark.createDataFrame([], schema)
-                empty.coalesce(1).write.mode("ignore").parquet(f"{path}/{kind}/batch_id=-1")
 
     def ids_before(self, batch_id: int) -> DataFrame:
         """Every id seen before the batch, or in the last `remember_batches` before it."""
@@ -81,9 +77,19 @@ class LogState:
     def _read(self, kind: str, after: int, before: int) -> DataFrame:
         """Folders of batches strictly between the two."""
         schema = IDS_SCHEMA if kind.startswith("ids") else self.state_schema
-        typed = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-        table = self.spark.read.schema(typed).parquet(f"{self.path}/{kind}")
+        table = read_batches(self.spark, f"{self.path}/{kind}", schema)
         return table.where((F.col("batch_id") > after) & (F.col("batch_id") < before))
 
     def _write(self, kind: str, batch_id: int, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch_id={batch_id}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table with a folder per batch, empty when no batch has written yet."""
+    typed = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    try:
+        return spark.read.schema(typed).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], typed)
