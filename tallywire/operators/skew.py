@@ -28,14 +28,15 @@ def hot_keys(
     """The hot values of each column, found in one pass over those columns alone.
 
     The frequent-items sketch merges per partition, so nothing is shuffled by key. What is found here decides only how
-    rows are spread over tasks, never what is computed from them.
+    rows are spread over tasks, never what is computed from them. A table too small for any key to be hot is counted
+    and not looked into.
     """
+    rows = df.count()
+    if rows < min_rows:
+        return {c: [] for c in columns}
     most = min(int(1 / share), 10_000)
-    found = df.agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.expr(f"approx_top_k(`{c}`, {most}, {TRACKED_KEYS})").alias(c) for c in columns],
-    ).first()
-    floor = max(share * found["_rows"], min_rows)
+    found = df.agg(*[F.expr(f"approx_top_k(`{c}`, {most}, {TRACKED_KEYS})").alias(c) for c in columns]).first()
+    floor = max(share * rows, min_rows)
     return {
         c: [HotKey(t["item"], t["count"]) for t in found[c] or [] if t["item"] is not None and t["count"] >= floor]
         for c in columns

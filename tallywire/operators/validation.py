@@ -41,8 +41,8 @@ def validate(df: DataFrame) -> DataFrame:
     A record is judged by its own JSON types, field by field, and all problems are listed: the fields in order, then
     the length of the id, then the timestamp. Optional fields of another type count as missing.
 
-    Flat objects without any problem, which most records are, are read by one typed parse. Everything else - nested,
-    escaped, ill-typed or broken - goes through VARIANT, where the type of each field can be asked for.
+    Objects without nesting and without any problem, which most records are, are read by one typed parse. Everything
+    else - nested, ill-typed or broken - goes through VARIANT, where the type of each field can be asked for.
     """
     if "payload" not in df.columns:
         df = decode_payload(df)
@@ -85,12 +85,10 @@ _STRICT = {
 }
 
 
-def _is_flat(text: Column) -> Column:
-    """Whether text can only be one JSON object of numbers, texts without escapes, booleans and nulls."""
-    body = F.btrim(text, F.lit(" \t\r\n"))
-    one_pair = (F.locate("{", body, 2) == 0) & (F.instr(body, "}") == F.length(body))
-    nested = F.contains(text, F.lit("[")) | F.contains(text, F.lit("\\"))
-    return body.startswith("{") & one_pair & ~nested
+def _ends_once(text: Column) -> Column:
+    """Whether text starts with a brace and its only closing one comes last: an object there has nothing after it."""
+    before = F.octet_length(F.substring_index(text, "}", 1))
+    return text.startswith("{") & (before + 1 == F.octet_length(text))
 
 
 def _typed_parse() -> Column:
@@ -100,23 +98,31 @@ def _typed_parse() -> Column:
     ]
     schema = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
     payload = F.col("payload")
-    return F.from_json(F.when(_is_flat(payload), payload), schema, _STRICT)
+    return F.from_json(F.when(_ends_once(payload), payload), schema, _STRICT)
 
 
 def _is_good() -> Column:
     """Whether the typed parse read everything there is to read and nothing is wrong with it.
 
-    That parse takes numbers and booleans for texts, so a text that could be one of those is left to the slow way.
-    The timestamp never could.
+    That parse takes any value for a text, so a text that could be something else is left to the slow way.
     """
     good = F.col("_time").isNotNull() & F.col(f"_typed.{_CORRUPT}").isNull()
     for name, (_, kind) in FIELDS.items():
         value = F.col(f"_typed.{name}")
-        fine = is_finite(value) if kind == "number" else ~value.rlike(r"^(-?[0-9][0-9.eE+-]*|true|false)$")
+        fine = is_finite(value) if kind == "number" else _only_text(value)
         good &= fine if name in REQUIRED_FIELDS else value.isNull() | fine
     return F.coalesce(good & ~_too_long(F.col("_typed.eventId")), F.lit(False))
 
 
+def _only_text(value: Column) -> Column:
+    """Whether a field read as text can only have been a text: it looks like no number, boolean, object or array."""
+    first = F.ascii(value)
+    digit_or_sign = first.between(ord("0"), ord("9")) | (first == ord("-"))
+    # A pattern is only tried on the few texts that start like a number.
+    number = F.when(digit_or_sign, value.rlike(r"^-?[0-9][0-9.eE+-]*$")).otherwise(F.lit(False))
+    return ~value.isin("true", "false") & ~first.isin(ord("["), ord("{")) & ~number
+
+
 def _examined(payload: Column) -> Column:
     """What VARIANT tells of a payload: its fields, its errors and the reason to reject it.
 

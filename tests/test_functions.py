@@ -73,7 +73,7 @@ def test_iso_timestamp(spark):
     }
     column = iso_text(iso_timestamp(F.col("x")))
     assert values(spark, list(good), "string", column) == list(good.values())
-    bad = ["yesterday", "T10:00", "", "2026-13-01", "2026-09-32", "2026-09-00", "2026-09-30T25:00", "2026", "30.9.2026"]
+    bad = ["2026-09-40T10:00:00Z", "2026-09-3xT10:00:00Z", "2026-09-30T10:00:00.5abZ", "yesterday", "T10:00", "", "2026-13-01", "2026-09-32", "2026-09-00", "2026-09-30T25:00", "2026", "30.9.2026"]
     assert values(spark, [*bad, None], "string", column) == [None] * (len(bad) + 1)
 
 
