@@ -379,7 +379,7 @@ UNION ALL {_ordering('time', 'ts, arrival')}""",
 SELECT sensor_id, count(DISTINCT number % 3) AS partitions FROM raw GROUP BY sensor_id
 HAVING count(DISTINCT number % 3) > 1""",
     "anomalies": f"""WITH {LOG}, {MARKED}, flagged AS (SELECT *, {_reason()} AS reason FROM marked WHERE NOT is_duplicate)
-SELECT event_id, sensor_id, rack_id, ts, sequence, temperature_c, vibration_mm_s, reason
+SELECT event_id, sensor_id, rack_id, {ISO} AS ts, sequence, temperature_c, vibration_mm_s, reason
 FROM flagged WHERE reason <> ''""",
     "anomalies_standalone": f"""WITH lines AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber) AS event_id, CAST(l_suppkey AS VARCHAR) AS sensor_id,
@@ -391,7 +391,8 @@ SELECT * FROM flagged WHERE reason <> ''""",
     "anomaly_records": f"""WITH {LOG}, {MARKED}, flagged AS (SELECT *, {_reason()} AS reason FROM marked WHERE NOT is_duplicate)
 SELECT sensor_id AS key, concat('{{"type":"anomaly",', {_anomaly_body(ISO)}, ',"runId":', {_json_string('event_id')}, '}}') AS value,
   'sensor.anomaly' AS event_type FROM flagged WHERE reason <> ''""",
-    "sensor_summary": f"WITH {LOG}, {MARKED}, {LABELLED}, {SENSORS} SELECT * FROM sensors",
+    "sensor_summary": f"""WITH {LOG}, {MARKED}, {LABELLED}, {SENSORS}
+SELECT * REPLACE ({ISO.replace('ts,', 'last_event_ts,')} AS last_event_ts) FROM sensors""",
     "log_totals": f"WITH {LOG}, {MARKED}, {LABELLED}, {TOTALS} SELECT * FROM totals",
     "log_totals_tracked": f"WITH {LOG}, {TRACKED}, {LABELLED}, {TOTALS} SELECT * FROM totals",
     "run_stats": f"""WITH {AUDIT}

@@ -64,7 +64,7 @@ def raw(spark: SparkSession, sf_dir: str, spread: str = "user_id") -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return label_log(log(spark, sf_dir), ARRIVAL)
+    return label_log(log(spark, sf_dir).withColumn("ts", iso_text(F.col("ts"))), ARRIVAL)
 
 
 def audit(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -119,7 +119,7 @@ def sensor_spread(spark, sf_dir):
 
 
 def anomalies(spark, sf_dir):
-    return detect_anomalies(mark_duplicates(log(spark, sf_dir), ARRIVAL))
+    return detect_anomalies(mark_duplicates(log(spark, sf_dir), ARRIVAL)).withColumn("ts", iso_text(F.col("ts")))
 
 
 def anomalies_standalone(spark, sf_dir):
@@ -137,8 +137,7 @@ def anomalies_standalone(spark, sf_dir):
 
 
 def anomaly_messages(spark, sf_dir):
-    found = detect_anomalies(mark_duplicates(log(spark, sf_dir), ARRIVAL)).withColumn("ts", iso_text(F.col("ts")))
-    records = anomaly_records(found)
+    records = anomaly_records(anomalies(spark, sf_dir))
     return records.select("key", "value", _header("event-type", "event_type"))
 
 
@@ -330,13 +329,13 @@ def readings_rounded(spark, sf_dir):
 
 
 def report(spark, sf_dir):
-    # Lines and totals come from one state per sensor.
-    states = sensor_state(labelled(spark, sf_dir), ARRIVAL)
+    # Lines and totals come from one state per sensor, worked out once.
+    states = stage(sensor_state(labelled(spark, sf_dir), ARRIVAL), "states")
     return format_summary(summarize(states), state_totals(states))
 
 
 def sections(spark, sf_dir):
-    marked = labelled(spark, sf_dir).withColumn("ts", iso_text(F.col("ts")))
+    marked = stage(labelled(spark, sf_dir), "labelled")
     return summary_sections(marked, order_by=ARRIVAL).select(
         "section", "sensor_id", F.element_at("arrival", 1).alias("arrival"), "body"
     )

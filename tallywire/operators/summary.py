@@ -13,6 +13,7 @@ from tallywire.functions.text import pad_left, pad_right
 from tallywire.operators.anomaly import ANOMALY_COLUMNS, DEFAULT_THRESHOLDS, Thresholds
 from tallywire.operators.skew import as_long
 from tallywire.schema import ACCEPTED, DUPLICATE, GAP, LOG_ORDER, OUT_OF_ORDER
+from tallywire.session import stage
 
 WITH_NULLS = {"ignoreNullFields": "false"}
 
@@ -196,30 +197,29 @@ def summary_sections(
     """The summary document cut into rows `(section, sensor_id, arrival, body)`, whole at any size.
 
     Sections are totals, thresholds, consumer (when `stats` is given), one `sensors` row per sensor and one
-    `anomalies` row per anomaly. `body` is the JSON of that part.
+    `anomalies` row per anomaly. `body` is the JSON of that part. `labelled` is read twice: pass a stored table.
     """
-    states = sensor_state(labelled, order_by)
+    # One row per sensor, read by two sections: written once rather than worked out twice.
+    states = stage(sensor_state(labelled, order_by), "states")
     nobody = F.lit(None).cast("string").alias("sensor_id")
     nowhen = F.lit(None).cast("array<bigint>").alias("arrival")
 
-    def section(name: str, source: DataFrame, body: Column, sensor: Column = nobody, when: Column = nowhen) -> DataFrame:
-        return source.select(F.lit(name).alias("section"), sensor, when, F.to_json(body, WITH_NULLS).alias("body"))
+    def body(content: Column) -> Column:
+        return F.to_json(content, WITH_NULLS).alias("body")
 
-    totals = state_totals(states)
-    arrival = F.array(*[as_long(labelled, c) for c in order_by]).alias("arrival")
-    anomalies = _with_arrival(labelled, order_by)
-    parts = [
-        section("totals", totals, totals_struct()),
-        section("thresholds", totals, thresholds_struct(limits)),
-        section("sensors", summarize(states), sensor_struct(), F.col("sensor_id")),
-        section("anomalies", anomalies, anomaly_struct(), F.col("sensor_id"), arrival),
-    ]
+    def section(name: str, content: Column) -> Column:
+        return F.struct(F.lit(name).alias("section"), nobody, nowhen, body(content))
+
+    single = [section("totals", totals_struct()), section("thresholds", thresholds_struct(limits))]
+    document = state_totals(states).select(F.inline(F.array(*single)))
     if stats is not None:
-        parts.append(section("consumer", stats, stats_struct()))
-    document = parts[0]
-    for part in parts[1:]:
-        document = document.unionByName(part)
-    return document
+        document = document.unionByName(stats.select(F.inline(F.array(section("consumer", stats_struct())))))
+    sensors = summarize(states).select(F.lit("sensors").alias("section"), "sensor_id", nowhen, body(sensor_struct()))
+    arrival = F.array(*[as_long(labelled, c) for c in order_by]).alias("arrival")
+    anomalies = _with_arrival(labelled, order_by).select(
+        F.lit("anomalies").alias("section"), "sensor_id", arrival, body(anomaly_struct())
+    )
+    return document.unionByName(sensors).unionByName(anomalies)
 
 
 def summary_document(
@@ -231,7 +231,7 @@ def summary_document(
 ) -> DataFrame:
     """The summary as one nested row. Refuses a log with more than `max_items` sensors or anomalies rather than
     cutting them; `summary_sections` holds the same at any size."""
-    states = sensor_state(labelled, order_by)
+    states = stage(sensor_state(labelled, order_by), "states")
     size = state_totals(states).first()
     if max(size["sensors"], size["anomalies"]) > max_items:
         raise ValueError(
