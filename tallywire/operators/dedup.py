@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tallywire.operators.skew import SLICE_ROWS, HotKey, hot_keys, hot_table
 from tallywire.schema import LOG_ORDER
 
+# The followed ids are sorted to the front and broadcast.
+MAX_TRACKED = 1_000_000
+
 
 def arrival(order_by: Sequence[str]) -> Column:
     """Arrival as one comparable value."""
@@ -26,12 +29,15 @@ def mark_duplicates(
 ) -> DataFrame:
     """Add `is_duplicate`: true for every record whose id arrived before.
 
-    `tracked_limit` follows only the first so many distinct ids; records with any other id are never duplicates.
+    `tracked_limit` follows only the first so many distinct ids, a million at most; records with any other id are
+    never duplicates.
     `seen` is an optional table of ids from before this log; all their records are duplicates.
     """
     if tracked_limit is not None:
         if seen is not None:
             raise ValueError("tracked_limit covers a whole log; it cannot follow ids seen before")
+        if tracked_limit > MAX_TRACKED:
+            raise ValueError(f"tracked_limit bounds memory; beyond {MAX_TRACKED:,} ids use exact de-duplication")
         return _mark_tracked(df, order_by, id_col, tracked_limit)
     if hot is None:
         hot = hot_keys(df, id_col)[id_col]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,18 +40,18 @@ class LogState:
 
     def ids_before(self, batch_id: int) -> DataFrame:
         """Every id seen before the batch, or in the last `remember_batches` before it."""
+        oldest = 0 if self.remember_batches is None else batch_id - self.remember_batches
         merged = self._last_merge(batch_id)
-        ids = self._read("ids_merged", -1, batch_id).unionByName(self._read("ids", merged, batch_id))
-        if self.remember_batches is not None:
-            # A merged folder is named after its last batch, so it is kept as long as any of its batches counts.
-            ids = ids.where(F.col("batch_id") >= batch_id - self.remember_batches)
-        return ids.drop("batch_id")
+        # A merged folder is named after its last batch, so it is kept as long as any of its batches counts.
+        folders = [i for i in range(self.compact_every, merged + 1, self.compact_every) if i >= oldest]
+        recent = [i for i in range(merged + 1, batch_id) if i >= oldest]
+        return self._read("ids_merged", folders).unionByName(self._read("ids", recent))
 
     def sensors_before(self, batch_id: int) -> DataFrame:
         """One state per sensor, of everything before the batch."""
         merged = self._last_merge(batch_id)
-        whole = self._read("sensors_merged", merged - 1, merged + 1)
-        return merge_states(whole.unionByName(self._read("sensors", merged, batch_id)).drop("batch_id"))
+        whole = self._read("sensors_merged", [merged] if merged > 0 else [])
+        return merge_states(whole.unionByName(self._read("sensors", range(merged + 1, batch_id))))
 
     def write(self, batch_id: int, audit: DataFrame, order_by: Sequence[str]) -> None:
         """Store what the audit rows of a batch add. `batch_id` leads the order in which readings arrived."""
@@ -61,24 +61,23 @@ class LogState:
         self._write("sensors", batch_id, sensor_state(good, ("batch_id", *order_by)))
         if batch_id and batch_id % self.compact_every == 0:
             before = self._last_merge(batch_id)
-            self._write("ids_merged", batch_id, self._read("ids", before, batch_id + 1).drop("batch_id"))
-            self._write("sensors_merged", batch_id, self._sensors_through(batch_id))
-
-    def _sensors_through(self, batch_id: int) -> DataFrame:
-        before = self._last_merge(batch_id)
-        whole = self._read("sensors_merged", before - 1, before + 1)
-        return merge_states(whole.unionByName(self._read("sensors", before, batch_id + 1)).drop("batch_id"))
+            fresh = range(before + 1, batch_id + 1)
+            self._write("ids_merged", batch_id, self._read("ids", fresh))
+            whole = self._read("sensors_merged", [before] if before > 0 else [])
+            self._write("sensors_merged", batch_id, merge_states(whole.unionByName(self._read("sensors", fresh))))
 
     def _last_merge(self, batch_id: int) -> int:
         """The last batch before this one that merged, -1 when none did."""
         last = (batch_id - 1) // self.compact_every * self.compact_every
         return last if last > 0 else -1
 
-    def _read(self, kind: str, after: int, before: int) -> DataFrame:
-        """Folders of batches strictly between the two."""
+    def _read(self, kind: str, batches: Iterable[int]) -> DataFrame:
+        """The folders of these batches and no others: nothing is listed that is not read, and none may be missing."""
         schema = IDS_SCHEMA if kind.startswith("ids") else self.state_schema
-        table = read_batches(self.spark, f"{self.path}/{kind}", schema)
-        return table.where((F.col("batch_id") > after) & (F.col("batch_id") < before))
+        paths = [f"{self.path}/{kind}/batch_id={i}" for i in batches]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def _write(self, kind: str, batch_id: int, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{kind}/batch_id={batch_id}")

@@ -93,6 +93,8 @@ def test_tracked_ids_and_seen_ids_exclude_each_other(spark):
     log = typed_log(spark, [reading()])
     with pytest.raises(ValueError):
         mark_duplicates(log, tracked_limit=1, seen=log)
+    with pytest.raises(ValueError):
+        mark_duplicates(log, tracked_limit=2_000_000)
 
 
 @pytest.mark.parametrize("how", ["max", "sum"])

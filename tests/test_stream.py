@@ -98,6 +98,7 @@ def test_empty_batch_and_memory_of_ids(spark, tmp_path):
     stream.process(one.where("false"), 1)
     stream.process(one, 2)
     stream.process(one, 3)
+    stream.process(one.where("false"), 4)
     stream.process(one, 5)
     by_batch = {r.batch_id: r.status for r in stream.audit().collect()}
     # Batch 5 no longer remembers batch 0, and nothing in between was new.
