@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS (default 8) the threads. Every query runs
-once to warm up and once for the clock, and its whole result is produced.
+once to warm up (but for the stream, which is warm by then) and once for the clock, and its whole result is produced.
 """
 
 from __future__ import annotations
@@ -58,7 +58,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
     for name in names:
-        clock(spark, name, sf_dir)
+        if not name.startswith("stream"):
+            clock(spark, name, sf_dir)
         seconds[name] = round(clock(spark, name, sf_dir), 3)
     records = QUERIES["dedup_exact"](spark, sf_dir).count()
     print(

@@ -29,16 +29,21 @@ def label_log(
     slices: Sequence[Column] | None = None,
     seen: DataFrame | None = None,
     last: DataFrame | None = None,
+    stage_marks: bool = True,
 ) -> DataFrame:
     """Valid readings with `is_duplicate`, `previous_sequence`, `status`, `missing`, `is_anomaly`
     and `anomaly`.
 
     Two shuffles: by event id for the duplicates, by sensor for continuity. The summary of the result groups by the
-    same sensor and needs no third one. `seen` and `last` carry what earlier batches left behind.
+    same sensor and needs no third one. With hot sensors the marked readings are written in between,
+    unless `stage_marks` is off. `seen` and `last` carry what earlier batches left behind.
     """
     if hot is None:
         hot = hot_keys(readings, "event_id", "sensor_id")
     marked = mark_duplicates(readings, order_by, "event_id", tracked_limit, hot["event_id"], seen)
+    if hot["sensor_id"] and stage_marks:
+        # Slices of hot sensors are read twice, for where each begins and for its rows; the marks are made once.
+        marked = stage(marked, "marked")
     placed = classify_continuity(marked, order_by, hot=hot["sensor_id"], slices=slices, last=last)
     return flag_anomalies(placed, limits)
 
