@@ -30,7 +30,8 @@ def running(
 
     Cold keys are one window partition each. Rows of a hot key are cut into slices along the order: each slice runs by
     itself and starts from what the slices before it add up to. Both aggregates are associative, so the answer is the
-    same for any choice of `slices`, arrays of whole numbers that never decrease along the order. `start` is an optional table `(key, _start)` of values from before this table.
+    same for any choice of `slices`, arrays of whole numbers that never decrease along the order. `start` is an
+    optional table `(key, _start)` of values from before this table.
     """
     if hot is None:
         hot = hot_keys(df, key)[key]

@@ -86,9 +86,10 @@ def _random(df: DataFrame, draws: dict[str, Column], seed: int) -> DataFrame:
         return df.select(*kept, *[make(n).alias(n) for n in names])
 
     # Both factors are below 2**32, their product below 2**63.
-    df = step(lambda n: (seed % (MASK + 1) + draws[n].bitwiseAND(F.lit(MASK)) * F.lit(STEP) % F.lit(MASK + 1)) % F.lit(MASK + 1))
+    df = step(lambda n: _wrap(seed % (MASK + 1) + _wrap(_wrap(draws[n]) * F.lit(STEP))))
     df = step(lambda n: _times(_mixed(F.col(n), FIRST_SHIFT), F.col(n).bitwiseOR(F.lit(FIRST_ODD))))
-    df = step(lambda n: _wrap(F.col(n) + _times(_mixed(F.col(n), SECOND_SHIFT), F.col(n).bitwiseOR(F.lit(SECOND_ODD)))).bitwiseXOR(F.col(n)))
+    second = lambda x: _times(_mixed(x, SECOND_SHIFT), x.bitwiseOR(F.lit(SECOND_ODD)))
+    df = step(lambda n: _wrap(F.col(n) + second(F.col(n))).bitwiseXOR(F.col(n)))
     return step(lambda n: _mixed(F.col(n), LAST_SHIFT) / F.lit(float(MASK + 1)))
 
 
