@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import exact
+from tallywire.llm import exact, minhash
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact.exact_duplicates(table(spark, sf_dir, "documents"))
     digest = F.lower(F.hex("digest")).alias("text_sha256")
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", digest)
+
+
+@query()
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and the smallest document of its component."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    kept = F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    return found.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "component_id", kept)
