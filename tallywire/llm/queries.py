@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import exact, minhash
+from tallywire.llm import exact, minhash, substring
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,21 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     kept = F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     return found.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), "component_id", kept)
+
+
+@query(r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words),
+windows AS (SELECT doc_id, p, list_slice(w, p, p + 12) AS s FROM places),
+judged AS (SELECT doc_id, p, doc_id > min(doc_id) OVER (PARTITION BY s) AS again FROM windows),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS p FROM judged WHERE again),
+lost AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' '), '')) AS kept_sha256
+FROM words LEFT JOIN lost USING (doc_id)
+""")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its number of words, of words that repeat an earlier document, and the digest of the rest."""
+    found = substring.repeated_words(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
