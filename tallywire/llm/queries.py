@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import exact, minhash, substring
+from tallywire.llm import exact, minhash, substring, warc
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,18 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its number of words, of words that repeat an earlier document, and the digest of the rest."""
     found = substring.repeated_words(table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query("""
+WITH bodies AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+digests AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM bodies),
+judged AS (
+  SELECT *, CASE WHEN n >= 100 THEN min(page_id) FILTER (WHERE n >= 100) OVER (PARTITION BY d) ELSE page_id END AS f FROM digests)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN f < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f < page_id THEN f END AS refers_to
+FROM judged
+""")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives it was written to."""
+    found = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
