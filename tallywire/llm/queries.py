@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import exact, minhash, substring, warc
+from tallywire.llm import exact, minhash, secrets, substring, warc
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,64 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as read back from the archives it was written to."""
     found = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_SECRET_SPANS = """{kind}_spans AS (
+  SELECT row_, source, doc_id, unnest(list_transform(range(1, len(m) + 1), lambda i: {{
+    'kind': {rank}, 'value': v[i],
+    'start': list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0),
+    'stop': list_sum(list_transform(g[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x)))}})) AS s
+  FROM (SELECT row_, source, doc_id, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}', 0) AS m,
+    regexp_extract_all(t, '{pattern}', {group}) AS v FROM docs))"""
+
+
+def _secret_sql() -> str:
+    patterns = (secrets.ASSIGN, secrets.ACCESS, secrets.HEX, secrets.TOKEN)
+    parts = [
+        _SECRET_SPANS.format(kind=kind, rank=rank, pattern=pattern.replace("'", "''"), group=2 if rank == 0 else 0)
+        for rank, (kind, pattern) in enumerate(zip(secrets.KINDS, patterns))
+    ]
+    name = "CASE kind WHEN 0 THEN 'assign' WHEN 1 THEN 'access' WHEN 2 THEN 'hex' ELSE 'token' END"
+    text = f"string_agg({name} || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
+    return f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS row_, source, coalesce(text, '') AS t FROM documents),
+{", ".join(parts)},
+base AS (SELECT row_, source, doc_id, unnest(s) FROM assign_spans WHERE length(s.value) >= 12
+  UNION ALL SELECT row_, source, doc_id, unnest(s) FROM access_spans WHERE length(s.value) >= 18
+  UNION ALL SELECT row_, source, doc_id, unnest(s) FROM hex_spans),
+tokens AS (SELECT row_, source, doc_id, unnest(s) FROM token_spans
+  WHERE regexp_matches(s.value, '[A-Z]') AND regexp_matches(s.value, '[a-z]') AND regexp_matches(s.value, '[0-9]')),
+free AS (SELECT * FROM tokens t WHERE NOT EXISTS
+  (SELECT 1 FROM base b WHERE b.row_ = t.row_ AND b.start < t.stop AND t.start < b.stop)),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM free),
+owners AS (SELECT value, count(DISTINCT source) AS n FROM spans GROUP BY value),
+judged AS (SELECT s.*, n < {secrets.EXAMPLE_OWNERS} AS live FROM spans s JOIN owners USING (value) WHERE kind < 3 OR n < {secrets.EXAMPLE_OWNERS}),
+listed AS (SELECT row_, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+  count(*) FILTER (WHERE kind = 2) AS n_hex, {text} FILTER (WHERE kind < 3) AS base, {text} AS spans,
+  count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_example FROM judged GROUP BY row_)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+  coalesce(n_example, 0) AS n_example
+FROM docs LEFT JOIN listed USING (row_)"""
+
+
+@query(_secret_sql())
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its base spans counted and digested, all spans, and how many look live or like examples."""
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+    def count(test):
+        return F.size(F.filter("spans", test)).cast("long")
+
+    def of_kind(kind):
+        return count(lambda s: s["kind"] == kind).alias(f"n_{secrets.KINDS[kind]}")
+
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[of_kind(kind) for kind in range(3)],
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        count(lambda s: s["live"]).alias("n_live"),
+        count(lambda s: ~s["live"]).alias("n_example"),
+    )
