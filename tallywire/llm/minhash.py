@@ -103,8 +103,37 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _band(i: int):
-    return F.xxhash64(F.lit(i), F.expr(f"substring(signature, {1 + 4 * ROWS * i}, {4 * ROWS})"))
+def _band_keys(signatures: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band of each signature (rows of `HASHES` minima)."""
+    parts = signatures.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) << np.uint64(40), parts.shape[:2]).copy()
+    for k in range(ROWS):
+        keys = _mixed(keys, parts[:, :, k])
+    return keys
+
+
+def _mixed(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        keys = (keys ^ (keys >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + more
+        keys = (keys ^ (keys >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return keys ^ (keys >> np.uint64(32))
+
+
+def _members(classes: DataFrame, bands: int) -> DataFrame:
+    """node, size, key of every bucket that a class is in: those of single bands, or of each two bands."""
+    left, right = np.array(list(combinations(range(BANDS), 2))).T
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                keys = _band_keys(np.frombuffer(b"".join(part["signature"].to_pylist()), "<u4").reshape(-1, HASHES))
+                if bands == 2:
+                    keys = _mixed(keys[:, left], keys[:, right])
+                own = [np.repeat(part[c].to_numpy(), keys.shape[1]) for c in ("node", "size")]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, own), pa.array(keys.ravel().view(np.int64))], ["node", "size", "key"])
+
+    return classes.select("node", "size", "signature").mapInArrow(step, "node long, size long, key long")
 
 
 def _hub_pairs(members: DataFrame) -> DataFrame:
@@ -145,6 +174,11 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(kept.where("lo < hi").select("key", "n"), "key")
 
 
+def _tied(roots: DataFrame) -> DataFrame:
+    """Components as edges a, b."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, size, component_id for every row of `docs`."""
     texts = docs.select(id_column(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -154,22 +188,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     classes = stage(classes, "classes")
 
-    members = classes.select("node", "size", F.explode(F.array(*[_band(i) for i in range(BANDS)])).alias("key"))
+    members = _members(classes, 1)
     links = _verified(_hub_pairs(members), classes, texts)
-    roots = components(links)
+    roots = stage(components(links), "roots")
 
     left = stage(_open(members, roots), "open-buckets")
     if not left.isEmpty():
-        links = links.unionByName(_verified(_cross_pairs(left.where(f"n <= {SMALL}")), classes, texts))
+        more = _verified(_cross_pairs(left.where(f"n <= {SMALL}")), classes, texts)
         wide = stage(left.where(f"n > {SMALL}").select("node").distinct(), "wide-nodes")
         if not wide.isEmpty():
-            both = [F.xxhash64(_band(i), _band(j)) for i, j in combinations(range(BANDS), 2)]
-            members = classes.join(wide, "node", "left_semi").select("node", "size", F.explode(F.array(*both)).alias("key"))
-            links = links.unionByName(_verified(_hub_pairs(members), classes, texts))
-            roots = components(links)
-            links = links.unionByName(_verified(_cross_pairs(_open(members, roots)), classes, texts))
-        roots = components(links)
-    roots = stage(roots, "roots")
+            members = stage(_members(classes.join(wide, "node", "left_semi"), 2), "pair-buckets")
+            more = more.unionByName(_verified(_hub_pairs(members), classes, texts))
+            roots = components(_tied(roots).unionByName(more))
+            more = _verified(_cross_pairs(_open(members, roots)), classes, texts)
+        roots = components(_tied(roots).unionByName(more))
+        roots = stage(roots, "roots")
 
     linked = classes.select("node", "id").join(roots, "node")
     first = linked.groupBy("root").agg(F.min("id").alias("component_id"))
