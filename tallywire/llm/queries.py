@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import exact, minhash, secrets, substring, warc
+from tallywire.llm import decontaminate, exact, licences, minhash, secrets, substring, warc
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,22 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(lambda s: s["live"]).alias("n_live"),
         count(lambda s: ~s["live"]).alias("n_example"),
     )
+
+
+@query()
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licences its sentences state, and where."""
+    found = licences.licence_scan(table(spark, sf_dir, "documents"))
+    place = F.transform("licences", lambda m: F.concat_ws(":", m["licence"], m["start"].cast("string"), m["end"].cast("string")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("licences").cast("long").alias("n_licences"),
+        F.array_join(place, ",").alias("licences"),
+        F.array_join("identifiers", ",").alias("identifiers"),
+    )
+
+
+@query()
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that leaks into it, with the edit distance."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
