@@ -11,8 +11,9 @@ steps on both stand on cover positions at once. So of two equal windows of 13 wo
 same 7 words at a cover position, and hashing 7 words at three of seven positions finds every shared window. Anchors
 that two documents have are extended: the whole windows around them are hashed, and the smallest document of each
 window is found. Both searches pack (hash, document) into arrays, one for each bucket of hashes and batch of documents;
-what a batch already knows of its own documents it keeps to itself, so a hash adds at most one entry a batch to its
-bucket, however common it is. Texts move once, and again only where an anchor was found in another document.
+what a batch already knows of its own documents goes to them directly, so a hash adds at most one entry a batch to its
+bucket, however common it is. Texts move once, and again only where an anchor was found in another document. A document
+whose whole word sequence is that of an earlier one is known by its digest and takes no part in the second search.
 """
 
 from __future__ import annotations
@@ -32,8 +33,51 @@ PERIOD = 7
 COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 
+# Bytes of a hash that are kept beside its bucket. For anchors five do: a chance hit only costs a look at more windows,
+# and a bucket holds about the same number of them at any size of the corpus. Windows keep all that 64 bits tell.
+ANCHOR_BYTES, WINDOW_BYTES = 5, 7
+
 _PACKED = "bucket int, hashes binary, ids binary, known boolean"
-_HITS = "id long, hashes binary"
+
+
+def squeeze(values: np.ndarray, width: int = 8) -> bytes:
+    """The low `width` bytes of each value, all lowest bytes first, so that bytes alike stand together."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def expand(data: bytes, width: int = 8) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def _pack_rows(bucket: np.ndarray, ids: np.ndarray, hashes: np.ndarray, width: int, known: bool) -> Iterator[tuple]:
+    """One packed row for each bucket; ids ascend and are kept as differences."""
+    order = np.lexsort((ids, bucket))
+    bucket, ids, hashes = bucket[order], ids[order].view(np.uint64), hashes[order]
+    begins = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+    for a, b in zip(begins, [*begins[1:], len(bucket)]):
+        yield int(bucket[a]), squeeze(hashes[a:b], width), squeeze(np.diff(ids[a:b], prepend=np.uint64(0))), known
+
+
+def _unpack(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    ids = [np.cumsum(expand(x)) for x in rows["ids"].to_pylist()]
+    hashes = [expand(x, width) for x in rows["hashes"].to_pylist()]
+    if not ids:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(ids).view(np.int64), np.concatenate(hashes)
+
+
+def _table(rows: Iterator[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[], [], [], []]
+    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "hashes", "ids", "known"])
+
+
+def _by_document(ids: np.ndarray, into: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(into)
 
 
 def cover_positions(n: int) -> np.ndarray:
@@ -41,6 +85,11 @@ def cover_positions(n: int) -> np.ndarray:
     return at[np.isin(at % PERIOD, COVER)]
 
 
+def low(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The part of a hash that is kept beside its bucket."""
+    return hashes & np.uint64((1 << 8 * width) - 1)
+
+
 def anchors(hashes: np.ndarray) -> np.ndarray:
     """Hashes of the anchors of a text, given those of its words."""
     found = sequence_hashes(hashes, ANCHOR)
@@ -52,59 +101,34 @@ def open_windows(hashes: np.ndarray, shared: np.ndarray) -> np.ndarray:
     n = len(hashes) - WINDOW + 1
     found = sequence_hashes(hashes, ANCHOR)
     at = cover_positions(len(found))
-    at = at[np.isin(found[at], shared)]
+    at = at[np.isin(low(found[at], ANCHOR_BYTES), shared)]
     starts = np.unique((at[:, None] - np.arange(PERIOD)[None, :]).ravel())
     return starts[(starts >= 0) & (starts < n)]
 
 
-def _arrays(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64)
-
-
-def _hits(ids: np.ndarray, hashes: np.ndarray, into: int) -> Iterator[tuple]:
-    """Found hashes as packed rows, dealt by document so that a common hash does not gather them in one bucket."""
-    target = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(into)
-    order = np.argsort(target, kind="stable")
-    target, ids, hashes = target[order], ids[order], hashes[order]
-    edges = np.flatnonzero(np.diff(target)) + 1
-    for part in np.split(np.arange(len(target)), edges):
-        if len(part):
-            yield int(target[part[0]]), hashes[part].tobytes(), ids[part].tobytes(), True
+def _packed(ids: np.ndarray, hashes: np.ndarray, into: int, width: int, smallest_stays: bool) -> Iterator[tuple]:
+    """A batch's distinct (document, hash) pairs: those already known as found, and one entry for each hash.
 
-
-def _packed(ids: np.ndarray, hashes: np.ndarray, into: int, smallest_stays: bool) -> Iterator[tuple]:
-    """A batch's distinct (document, hash) pairs: those already known as found, and one entry for each hash."""
+    What is known is dealt by document, so that a common hash does not gather its documents in one bucket.
+    """
     order = np.lexsort((ids, hashes))
     ids, hashes = ids[order], hashes[order]
     if not len(ids):
         return
-    new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])
+    new = np.r_[True, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])]
     ids, hashes = ids[new], hashes[new]
-    first = np.ones(len(ids), bool)
-    first[1:] = hashes[1:] != hashes[:-1]
+    first = np.r_[True, hashes[1:] != hashes[:-1]]
     known = ~first
     if not smallest_stays:
         known[:-1] |= known[1:] & first[:-1]
-    with np.errstate(over="ignore"):
-        yield from _hits(ids[known], hashes[known], into)
-    # An entry that is known here still has to be seen by other batches; the reducer finds it again, harmlessly.
+    yield from _pack_rows(_by_document(ids[known], into), ids[known], hashes[known], width, True)
+    # Other batches have to see the smallest document of each hash, whatever is known of it here.
     ids, hashes = ids[first], hashes[first]
-    bucket = hashes % np.uint64(into)
-    order = np.argsort(bucket, kind="stable")
-    bucket, ids, hashes = bucket[order], ids[order], hashes[order]
-    for part in np.split(np.arange(len(ids)), np.flatnonzero(np.diff(bucket)) + 1):
-        yield int(bucket[part[0]]), hashes[part].tobytes(), ids[part].tobytes(), False
-
+    yield from _pack_rows((hashes >> np.uint64(40)) % np.uint64(into), ids, hashes, width, False)
 
-def _pack(hashes_of: Callable, into: int, smallest_stays: bool, most_words: int = 1_500_000) -> Callable:
-    """A step for mapInArrow: batches with id and text to packed rows."""
 
-    def flush(ids: list[np.ndarray], hashes: list[np.ndarray]) -> pa.RecordBatch:
-        rows = list(_packed(np.concatenate(ids), np.concatenate(hashes), into, smallest_stays))
-        columns = list(zip(*rows)) or [[], [], [], []]
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "hashes", "ids", "known"])
+def _pack(hashes_of: Callable, into: int, width: int, smallest_stays: bool, most: int = 2_000_000) -> Callable:
+    """A step for mapInArrow: batches with id and text to packed rows, `most` hashes at a time."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, hashes, held = [], [], 0
@@ -114,60 +138,69 @@ def _pack(hashes_of: Callable, into: int, smallest_stays: bool, most_words: int
                 ids.append(np.full(len(found), row["id"], np.int64))
                 hashes.append(found)
                 held += len(found)
-                if held > most_words:
-                    yield flush(ids, hashes)
+                if held > most:
+                    yield _table(_packed(np.concatenate(ids), np.concatenate(hashes), into, width, smallest_stays))
                     ids, hashes, held = [], [], 0
         if ids:
-            yield flush(ids, hashes)
+            yield _table(_packed(np.concatenate(ids), np.concatenate(hashes), into, width, smallest_stays))
 
     return step
 
 
-def _meet(smallest_stays: bool) -> Callable:
-    """A step for applyInArrow: the packed rows of one bucket to the hashes that each document shares."""
+def _meet(into: int, width: int, smallest_stays: bool) -> Callable:
+    """A step for applyInArrow: the packed rows of one bucket to packed rows of what is found, dealt by document."""
 
     def step(rows: pa.Table) -> pa.Table:
-        known = rows["known"].to_numpy()
-        ids, hashes = [], []
-        told = rows.filter(pa.array(known))
-        ids.append(_arrays(told["ids"]).view(np.int64))
-        hashes.append(_arrays(told["hashes"]))
-        open_rows = rows.filter(pa.array(~known))
-        i, h = _arrays(open_rows["ids"]).view(np.int64), _arrays(open_rows["hashes"])
+        known = rows["known"]
+        told = rows.filter(known)
+        i, h = _unpack(rows.filter(pa.compute.invert(known)), width)
         order = np.lexsort((i, h))
         i, h = i[order], h[order]
         if len(h):
-            begins = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-            group = np.cumsum(np.r_[True, h[1:] != h[:-1]]) - 1
-            least, most = i[begins][group], i[np.r_[begins[1:] - 1, len(i) - 1]][group]
+            new = np.r_[True, h[1:] != h[:-1]]
+            begins, group = np.flatnonzero(new), np.cumsum(new) - 1
+            least, most = i[begins][group], i[np.r_[begins[1:], len(i)] - 1][group]
             found = i > least if smallest_stays else most > least
-            ids.append(i[found])
-            hashes.append(h[found])
-        i, h = np.concatenate(ids), np.concatenate(hashes)
-        order = np.argsort(i, kind="stable")
+            i, h = i[found], h[found]
+        met = _table(_pack_rows(_by_document(i, into), i, h, width, True))
+        return pa.concat_tables([told.select(met.schema.names).cast(met.schema), pa.Table.from_batches([met])])
+
+    return step
+
+
+def _gather(width: int) -> Callable:
+    """A step for applyInArrow: the packed rows of one bucket of documents to a row for each document."""
+
+    def step(rows: pa.Table) -> pa.Table:
+        i, h = _unpack(rows, width)
+        order = np.lexsort((h, i))
         i, h = i[order], h[order]
-        begins = np.flatnonzero(np.r_[len(i) > 0, i[1:] != i[:-1]]) if len(i) else np.zeros(0, int)
-        ends = np.r_[begins[1:], len(i)]
-        return pa.table(
-            {
-                "id": pa.array(i[begins], pa.int64()),
-                "hashes": pa.array([h[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()),
-            }
-        )
+        begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, int)
+        packed = [squeeze(h[a:b], width) for a, b in zip(begins, np.r_[begins[1:], len(i)])]
+        return pa.table({"id": pa.array(i[begins], pa.int64()), "hashes": pa.array(packed, pa.binary())})
 
     return step
 
 
-def _shared(texts: DataFrame, hashes_of: Callable, smallest_stays: bool) -> DataFrame:
+def _shared(texts: DataFrame, hashes_of: Callable, width: int, smallest_stays: bool) -> DataFrame:
     """id, hashes: for each document the packed hashes it shares with another, or with one that has a smaller id."""
     into = buckets(texts.sparkSession)
-    packed = texts.mapInArrow(_pack(hashes_of, into, smallest_stays), _PACKED)
-    found = packed.repartition(into, "bucket").groupBy("bucket").applyInArrow(_meet(smallest_stays), _HITS)
-    return found.groupBy("id").agg(F.array_join(F.collect_list(F.hex("hashes")), "").alias("hashes"))
+    packed = texts.mapInArrow(_pack(hashes_of, into, width, smallest_stays), _PACKED)
+    met = packed.repartition(into, "bucket").groupBy("bucket").applyInArrow(_meet(into, width, smallest_stays), _PACKED)
+    return met.repartition(into, "bucket").groupBy("bucket").applyInArrow(_gather(width), "id long, hashes binary")
 
 
-def _hash_set(packed: str | None) -> np.ndarray:
-    return np.unique(np.frombuffer(bytes.fromhex(packed or ""), np.uint64))
+def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        found = [hashlib.sha256(b" ".join(words(t))).digest() for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(found, pa.binary())], ["id", "digest"])
+
+
+def _later_copies(texts: DataFrame) -> DataFrame:
+    """id of the documents whose words are, all and in order, those of a document with a smaller id."""
+    digests = stage(texts.mapInArrow(_copies, "id long, digest binary"), "word-digests")
+    first = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    return digests.join(first, "digest").where("id > first").select("id").distinct()
 
 
 def _anchor_hashes(row: dict) -> np.ndarray:
@@ -176,26 +209,36 @@ def _anchor_hashes(row: dict) -> np.ndarray:
 
 def _window_hashes(row: dict) -> np.ndarray:
     hashes = word_hashes(words(row["text"]))
-    return sequence_hashes(hashes, WINDOW)[open_windows(hashes, _hash_set(row["hashes"]))]
+    return sequence_hashes(hashes, WINDOW)[open_windows(hashes, expand(row["hashes"], ANCHOR_BYTES))]
+
 
+def removed_words(text: str | None, repeated: bytes | None, copy: bool | None = None) -> tuple[list[bytes], np.ndarray]:
+    """The words of a text and whether each goes, given its packed hashes of repeated windows.
 
-def removed_words(text: str | None, repeated: str | None) -> tuple[list[bytes], np.ndarray]:
-    """The words of a text and whether each goes, given its packed hashes of repeated windows."""
+    All words of a copy of an earlier document go, if they make a window at all.
+    """
     found = words(text)
+    if copy:
+        return found, np.full(len(found), len(found) >= WINDOW)
     gone = np.zeros(len(found) + 1, np.int64)
     if repeated:
-        starts = np.flatnonzero(np.isin(sequence_hashes(word_hashes(found), WINDOW), _hash_set(repeated)))
+        own = low(sequence_hashes(word_hashes(found), WINDOW), WINDOW_BYTES)
+        starts = np.flatnonzero(np.isin(own, expand(repeated, WINDOW_BYTES)))
         np.add.at(gone, starts, 1)
         np.add.at(gone, starts + WINDOW, -1)
     return found, np.cumsum(gone)[:-1] > 0
 
 
+def _judged(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    for row in batch.to_pylist():
+        yield removed_words(row["text"], row["hashes"], row["copy"])
+
+
 def _reports(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         total, lost, digests = [], [], []
-        for text, repeated in zip(batch["text"].to_pylist(), batch["hashes"].to_pylist()):
-            found, gone = removed_words(text, repeated)
-            kept = [w for w, g in zip(found, gone) if not g] if repeated else found
+        for found, gone in _judged(batch):
+            kept = [w for w, g in zip(found, gone) if not g] if gone.any() else found
             total.append(len(found))
             lost.append(len(found) - len(kept))
             digests.append(hashlib.sha256(b" ".join(kept)).hexdigest())
@@ -205,11 +248,9 @@ def _reports(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        kept = []
-        for text, repeated in zip(batch["text"].to_pylist(), batch["hashes"].to_pylist()):
-            found, gone = removed_words(text, repeated)
-            kept.append(b" ".join(w for w, g in zip(found, gone) if not g).decode("utf-8", "surrogatepass"))
-        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(kept, pa.string())], ["id", "text"])
+        kept = [b" ".join(w for w, g in zip(found, gone) if not g) for found, gone in _judged(batch)]
+        texts = pa.array([k.decode("utf-8", "surrogatepass") for k in kept], pa.string())
+        yield pa.RecordBatch.from_arrays([batch["id"], texts], ["id", "text"])
 
 
 def repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,28 +265,30 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _finish(docs: DataFrame, id_col: str, text_col: str, step: Callable, schema: str) -> DataFrame:
     texts = docs.select(id_column(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    met = stage(_shared(texts, _anchor_hashes, smallest_stays=False), "anchors")
-    # The one join that moves every text; what shares nothing is finished at once and its text left behind.
-    placed = texts.join(met, "id", "left")
-    names = [c.split()[0] for c in schema.split(", ")]
+    told = stage(_shared(texts, _anchor_hashes, ANCHOR_BYTES, smallest_stays=False), "anchors")
+    told = told.join(_later_copies(texts).withColumn("copy", F.lit(True)), "id", "full")
+    # A later copy is judged by its being one, so its anchors need not come along.
+    told = told.select("id", F.expr("CASE WHEN copy IS NULL THEN hashes END").alias("hashes"), "copy")
+    # The one join that moves every text; what shares nothing, or all, is finished at once and its text left behind.
+    placed = texts.join(told, "id", "left")
+    columns = [c.split() for c in schema.split(", ")]
+    names = [name for name, _ in columns]
+    kinds = {"long": pa.int64(), "string": pa.string()}
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shares = pa.compute.is_valid(batch["hashes"])
             alone, rest = batch.filter(pa.compute.invert(shares)), batch.filter(shares)
             for done in step(iter([alone])):
-                extra = [pa.nulls(done.num_rows, pa.string())] * 2
+                extra = [pa.nulls(done.num_rows, pa.string()), pa.nulls(done.num_rows, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*done.columns, *extra], [*names, "open_text", "hashes"])
             if rest.num_rows:
-                blank = [pa.nulls(rest.num_rows, f.type) for f in fields[1:]]
-                columns = [rest["id"], *blank, rest["text"], rest["hashes"]]
-                yield pa.RecordBatch.from_arrays(columns, [*names, "open_text", "hashes"])
+                blank = [pa.nulls(rest.num_rows, kinds[kind]) for _, kind in columns[1:]]
+                yield pa.RecordBatch.from_arrays([rest["id"], *blank, rest["text"], rest["hashes"]], [*names, "open_text", "hashes"])
 
-    kinds = {"long": pa.int64(), "string": pa.string()}
-    fields = [pa.field(n, kinds[c.split()[1]]) for n, c in zip(names, schema.split(", "))]
-    parts = stage(placed.mapInArrow(split, f"{schema}, open_text string, hashes string"), "parts")
+    parts = stage(placed.mapInArrow(split, f"{schema}, open_text string, hashes binary"), "parts")
     done = parts.where("hashes IS NULL").select(*names)
     rest = parts.where("hashes IS NOT NULL").select("id", F.col("open_text").alias("text"), "hashes")
-    repeated = _shared(rest, _window_hashes, smallest_stays=True)
-    judged = rest.drop("hashes").join(repeated, "id", "left").mapInArrow(step, schema)
+    repeated = _shared(rest, _window_hashes, WINDOW_BYTES, smallest_stays=True)
+    judged = rest.drop("hashes").join(repeated, "id", "left").withColumn("copy", F.lit(False)).mapInArrow(step, schema)
     return done.unionByName(judged).withColumn("id", F.nullif("id", F.lit(NO_ID)))
