@@ -19,8 +19,9 @@ import re
 from collections.abc import Callable, Iterator
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywire.llm.common import slices
 
@@ -155,7 +156,21 @@ def leaks(
     return found.groupBy("doc_id", "item_id").agg(first).select("doc_id", "item_id", "m.distance", "m.match_end")
 
 
-def drop_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` into which no item leaks, with all their columns; rows without an id are judged together."""
-    gone = leaks(docs, items, id_col, text_col).select(F.col("doc_id").alias("__leak_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__leak_id")), "left_anti")
+def _is_leak(items: list[tuple[int | None, str]], rate: float) -> Callable[[Column], Column]:
+    def step(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = _finder(items, rate)
+        for part in parts:
+            yield part.map(lambda t: bool(find(normalised(t)))).astype(bool)
+
+    step.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(step, "boolean")
+
+
+def drop_leaks(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
+    error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The rows of `docs` into which no item leaks, with all their columns. Each row is judged where it is."""
+    for block in _blocks(items, item_id_col, item_text_col, block_chars):
+        docs = docs.where(~_is_leak(block, error_rate)(F.col(text_col).cast("string")))
+    return docs

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallywire.llm.common import slices
 
-# Known sentences, normalised, by identifier. `#` stands for one word, such as a year or a name.
+# Known sentences, normalised, with their identifiers.
 SENTENCES = {
     "licensed under the apache license version 2 0": "apache-2.0-grant",
     "you may not use this file except in compliance with the license": "apache-compliance",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import decontaminate, exact, licences, minhash, secrets, substring, warc
+from tallywire.llm import decontaminate, exact, licences, minhash, quality, secrets, substring, warc
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,13 @@ def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that leaks into it, with the edit distance."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score, and whether it was kept out of training."""
+    docs = table(spark, sf_dir, "documents")
+    out = quality.held_out(F.col("doc_id"))
+    model = quality.train(docs, table(spark, sf_dir, "labels"), allowed=~out)
+    scored = docs.select("doc_id", out.alias("held_out"), quality.score_column(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
