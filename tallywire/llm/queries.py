@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import decontaminate, exact, licences, minhash, quality, secrets, substring, warc
+from tallywire.llm import decontaminate, exact, licences, minhash, quality, secrets, substring, subwords, warc
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +165,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"), allowed=~out)
     scored = docs.select("doc_id", out.alias("held_out"), quality.score_column(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
+@query()
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the number and digest of its pieces, and whether they decode to the text."""
+    found = subwords.encode(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "round_trip"
+    )
