@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import decontaminate, exact, licences, minhash, quality, secrets, substring, subwords, warc
+from tallywire.llm import decontaminate, exact, licences, minhash, quality, secrets, substring, subwords, warc, wrappers
 from tallywire.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "round_trip"
     )
+
+
+@query()
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with its main text."""
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
