@@ -33,8 +33,8 @@ def id_column(name: str) -> Column:
 
 
 def buckets(spark: SparkSession) -> int:
-    """Into how many groups packed rows are dealt: a few for each shuffle partition, so that it follows the data."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Into how many groups packed rows are dealt: as many as shuffle partitions, so that it follows the data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def words(text: str | None, lower: bool = False) -> list[bytes]:

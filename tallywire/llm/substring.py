@@ -124,7 +124,7 @@ def _packed(ids: np.ndarray, hashes: np.ndarray, into: int, width: int, smallest
     yield from _pack_rows(_by_document(ids[known], into), ids[known], hashes[known], width, True)
     # Other batches have to see the smallest document of each hash, whatever is known of it here.
     ids, hashes = ids[first], hashes[first]
-    yield from _pack_rows((hashes >> np.uint64(40)) % np.uint64(into), ids, hashes, width, False)
+    yield from _pack_rows((hashes >> np.uint64(40)) % np.uint64(2 * into), ids, hashes, width, False)
 
 
 def _pack(hashes_of: Callable, into: int, width: int, smallest_stays: bool, most: int = 2_000_000) -> Callable:
@@ -186,7 +186,7 @@ def _shared(texts: DataFrame, hashes_of: Callable, width: int, smallest_stays: b
     """id, hashes: for each document the packed hashes it shares with another, or with one that has a smaller id."""
     into = buckets(texts.sparkSession)
     packed = texts.mapInArrow(_pack(hashes_of, into, width, smallest_stays), _PACKED)
-    met = packed.repartition(into, "bucket").groupBy("bucket").applyInArrow(_meet(into, width, smallest_stays), _PACKED)
+    met = packed.repartition(2 * into, "bucket").groupBy("bucket").applyInArrow(_meet(into, width, smallest_stays), _PACKED)
     return met.repartition(into, "bucket").groupBy("bucket").applyInArrow(_gather(width), "id long, hashes binary")
 
 
@@ -200,6 +200,8 @@ def _later_copies(texts: DataFrame) -> DataFrame:
     """id of the documents whose words are, all and in order, those of a document with a smaller id."""
     digests = stage(texts.mapInArrow(_copies, "id long, digest binary"), "word-digests")
     first = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    # Stored, so that both sides of the join are shuffled and a digest that very many documents have can be split.
+    first = stage(first, "first-copies")
     return digests.join(first, "digest").where("id > first").select("id").distinct()
 
 
