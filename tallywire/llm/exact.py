@@ -68,10 +68,11 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts = _texts(docs, id_col, text_col)
     outlines = stage(texts.mapInArrow(_outlines, "id long, size long, head long"), "outlines")
     lengths = outlines.groupBy("size").agg(F.count("*").alias("rows")).where("rows > 1").select("size")
-    # Stored, so that the next grouping deals its rows anew, after counting them where they are: a common length would
-    # otherwise leave them all in one task.
+    lengths = stage(lengths, "lengths")
+    # Stored groups let Spark split the join where a length is common; stored rows are counted where they are next.
     same_length = stage(outlines.join(lengths, "size", "left_semi"), "same-length")
     heads = same_length.groupBy("size", "head").agg(F.count("*").alias("rows")).where("rows > 1").select("size", "head")
+    heads = stage(heads, "heads")
     open_ids = same_length.join(heads, ["size", "head"], "left_semi").select("id").distinct()
     full = texts.join(open_ids, "id", "left_semi").mapInArrow(_digests, "id long, digest binary")
     groups = full.groupBy("digest").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
