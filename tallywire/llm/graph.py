@@ -18,7 +18,7 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star hangs every larger neighbour of a node on the smallest node it sees, small-star does so with the
     smaller neighbours; rounds end when the edges stay the same, which takes about the logarithm of the longest path.
     Smallest neighbours come from partial aggregates, and a node with very many neighbours only makes its side of a
-    join hot, which Spark splits. Loops, repeated edges and nulls in `edges` change nothing; no edges give no rows.
+    join hot, which Spark splits, as the smallest neighbours are stored first. Loops, repeated edges and nulls in `edges` change nothing; no edges give no rows.
     """
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a <> b").distinct()
     edges = stage(edges, "edges")
@@ -26,9 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        smallest = stage(smallest, "smallest")
         large = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "large-star")
-        smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        smallest = stage(large.groupBy("u").agg(F.min("v").alias("m")), "smallest")
         moved = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(moved.unionByName(smallest.withColumnRenamed("m", "v")).distinct(), "small-star")
         after = _fingerprint(edges)

@@ -137,8 +137,12 @@ def _members(classes: DataFrame, bands: int) -> DataFrame:
 
 
 def _hub_pairs(members: DataFrame) -> DataFrame:
-    """a, b: the hub of each bucket (column key) with every other member; a hub has the smallest node."""
+    """a, b: the hub of each bucket (column key) with every other member; a hub has the smallest node.
+
+    Hubs are stored first: a join can split a hot bucket only if both its sides come from a shuffle of their own.
+    """
     hubs = members.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
+    hubs = stage(hubs, "hubs")
     return members.join(hubs, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
 
@@ -171,7 +175,7 @@ def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Members of buckets that hold several components, with their root and the size of the bucket as `n`."""
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    return rooted.join(kept.where("lo < hi").select("key", "n"), "key")
+    return rooted.join(stage(kept.where("lo < hi").select("key", "n"), "mixed-buckets"), "key")
 
 
 def _tied(roots: DataFrame) -> DataFrame:
@@ -205,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = stage(roots, "roots")
 
     linked = classes.select("node", "id").join(roots, "node")
-    first = linked.groupBy("root").agg(F.min("id").alias("component_id"))
+    first = stage(linked.groupBy("root").agg(F.min("id").alias("component_id")), "component-ids")
     found = linked.join(first, "root").select("node", "component_id")
     # A class without links still unites the rows that share its set.
     alone = classes.join(roots, "node", "left_anti").select("node", F.col("id").alias("component_id"))
