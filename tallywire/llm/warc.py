@@ -45,6 +45,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     digest = F.sha2(F.encode("body", "UTF-8"), 256)
     large = rows.where(F.octet_length("body") >= LEAST_BYTES).select("id", digest.alias("digest"))
     first = large.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    first = stage(first, "first-pages")
     # What refers to another page is told by id, so that bodies are not moved while this stays small.
     repeats = large.join(first, "digest").where("id > first").select("id", "digest", "first").distinct()
     repeats = stage(repeats, "repeats")
