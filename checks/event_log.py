@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.operators.running import running
-from tallywire.operators.skew import HotKey, hot_keys
 
 TOPIC = "sensor-readings"
 ARRIVAL = ("arrival",)
 
 
-def numbered_events(events: DataFrame, hot: Sequence[HotKey] | None = None) -> DataFrame:
+def numbered_events(events: DataFrame) -> DataFrame:
     """Events with `sequence`, their number within the user by time."""
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
-    numbered = running(events.select(*columns), "_before", "sum", F.lit(1), "user_id", ("ts", "event_id"), hot)
+    numbered = running(events.select(*columns), "_before", "sum", F.lit(1), "user_id", ("ts", "event_id"))
     return numbered.select(*columns, (F.coalesce("_before", F.lit(0)) + 1).cast("double").alias("sequence"))
 
 
-def record_log(events: DataFrame, hot: Sequence[HotKey] | None = None) -> DataFrame:
-    """Typed readings in the order of `arrival`, which is unique."""
-    return _readings(_deliveries(numbered_events(events, hot)))
+def record_log(events: DataFrame, lossless: bool = False) -> DataFrame:
+    """Typed readings in the order of `arrival`, which is unique; some are lost on the way, unless `lossless`."""
+    return _readings(_deliveries(numbered_events(events), lossless))
 
 
-def raw_records(events: DataFrame, hot: Sequence[HotKey] | None = None, spread: str = "user_id") -> DataFrame:
+def raw_records(events: DataFrame, spread: str = "user_id") -> DataFrame:
     """The same log as raw records with JSON payloads, plus broken, incomplete and non-object payloads."""
-    numbered = numbered_events(events, hot)
+    numbered = numbered_events(events)
     good = _deliveries(numbered).withColumn("_kind", F.lit("good"))
     kinds = F.array(
         *[
@@ -59,12 +56,12 @@ def raw_records(events: DataFrame, hot: Sequence[HotKey] | None = None, spread:
     )
 
 
-def _deliveries(numbered: DataFrame) -> DataFrame:
+def _deliveries(numbered: DataFrame, lossless: bool = False) -> DataFrame:
     """Every reading that was not lost, on time or late, and again when it is re-delivered."""
     number = F.col("event_id")
     on_time = number * 10 + F.when(number % 31 == 0, 4001).otherwise(0)
     again = F.when(number % 37 == 0, number * 10 + 5005)
-    kept = numbered.where(number % 29 != 0)
+    kept = numbered if lossless else numbered.where(number % 29 != 0)
     return kept.select("*", F.explode(F.array_compact(F.array(on_time, again))).alias("arrival"))
 
 
@@ -102,7 +99,3 @@ def _json(sequence: Column, temperature: Column) -> Column:
         optional("vibrationMmS", F.col("vibration_mm_s").cast("string")),
         F.lit("}"),
     )
-
-
-def hot_users(events: DataFrame) -> list[HotKey]:
-    return hot_keys(events, "user_id")["user_id"]

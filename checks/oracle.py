@@ -32,12 +32,8 @@ MARKED = """
 marked AS (
   SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival) > 1 AS is_duplicate FROM log)"""
 
-TRACKED = """
-tracked AS (
-  SELECT event_id, min(arrival) AS first_arrival FROM log GROUP BY event_id ORDER BY first_arrival LIMIT 5000),
-marked AS (
-  SELECT log.*, coalesce(log.arrival > tracked.first_arrival, false) AS is_duplicate
-  FROM log LEFT JOIN tracked USING (event_id))"""
+# All events, none lost.
+WHOLE = LOG.replace("FROM numbered WHERE event_id % 29 <> 0\n", "FROM numbered\n").replace("event_id % 29 <> 0 AND ", "")
 
 
 def _number(x: str) -> str:
@@ -154,6 +150,10 @@ OPTIONAL = {
 def _checked(source: str) -> str:
     """Every record of `source` with its reason, its errors and its fields, worked out from the payload text."""
     types, values, errors = [], [], []
+
+    def infinite(name: str, column: str, wanted: str) -> str:
+        return f"WHEN isinf({column}) THEN '{name} must be a finite number'" if wanted == "number" else ""
+
     for name, (column, wanted) in {**FIELDS, **OPTIONAL}.items():
         types.append(
             f"""CASE json_type(doc, '$.{name}') WHEN 'NULL' THEN NULL WHEN 'VARCHAR' THEN 'string'
@@ -166,7 +166,7 @@ def _checked(source: str) -> str:
     for name, (column, wanted) in FIELDS.items():
         errors.append(
             f"""CASE WHEN t_{column} IS NULL THEN '{name} is required' WHEN t_{column} <> '{wanted}'
-              THEN concat('{name} must be a {wanted}, received ', t_{column}) END"""
+              THEN concat('{name} must be a {wanted}, received ', t_{column}) {infinite(name, column, wanted)} END"""
         )
     errors.append("CASE WHEN length(event_id) > 200 THEN 'eventId must be <= 200 characters' END")
     pattern = r"\d{4}-\d{2}-(0[1-9]|[12]\d|3[01])([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?"
@@ -196,11 +196,17 @@ audit AS (
     (temperature_c > 80 OR temperature_c < -10 OR coalesce(vibration_mm_s, 0) > 5) AS anomalous,
     NULL AS reason, NULL AS errors, NULL AS raw FROM {_placed()}
   UNION ALL
-  SELECT "partition", "offset", NULL, NULL, reason, false, reason, array_to_string(errors, '; '), left(payload, 500)
+  SELECT "partition", "offset", NULL, NULL, reason, false, reason, array_to_string(errors, '; '), payload
   FROM checked WHERE reason IS NOT NULL)"""
 
 FAILED = "status IN ('invalid-json', 'schema-invalid')"
 
+COUNTED = f"""SELECT count(*) AS consumed, count(*) FILTER (WHERE NOT {FAILED}) AS processed,
+  count(*) FILTER (WHERE status = 'duplicate') AS duplicates,
+  count(*) FILTER (WHERE status = 'out_of_order') AS out_of_order, count(*) FILTER (WHERE status = 'gap') AS gaps,
+  count(*) FILTER (WHERE {FAILED}) AS dead_lettered, count(*) FILTER (WHERE anomalous) AS anomalies_published,
+  CAST(1 AS BIGINT) AS batches FROM audit"""
+
 
 def _json_value(x: str) -> str:
     return f"coalesce({_number(x)}, 'null')"
@@ -261,6 +267,7 @@ def _pad(x: str, width: int) -> str:
     return f"lpad({text}, CAST(greatest({width}, length({text})) AS INTEGER), ' ')"
 
 
+# The column heads and the words of the last line.
 HEAD = "sensor      readings  avgT(C)  minT(C)  maxT(C)  maxVib  gaps  anomalies"
 
 LINE = f"""concat_ws(' ', rpad(sensor_id, CAST(greatest(11, length(sensor_id)) AS INTEGER), ' '), {_pad('readings', 8)},
@@ -277,48 +284,6 @@ def _ordering(name: str, order: str) -> str:
     CAST(sum(missing) AS DOUBLE) AS missing FROM {_placed('spread', order=order)}"""
 
 
-# The generator in 32-bit arithmetic: products of two 32-bit numbers fit an unsigned long.
-def _mul(a: str, b: str) -> str:
-    return f"((CAST({a} AS UBIGINT) * CAST({b} AS UBIGINT)) & 4294967295)"
-
-
-def _draws() -> str:
-    """Steps of the generator for the four draws d0..d3 of every reading."""
-    def each(form: str) -> str:
-        return ", ".join(form.format(i=i) for i in range(4))
-
-    state = each("CAST((20260930 + CAST(drawn + {i} + 1 AS HUGEINT) * 1831565813) % 4294967296 AS UBIGINT) AS s{i}")
-    first = each(_mul("xor(s{i}, s{i} >> 15)", "s{i} | 1") + " AS a{i}")
-    second = each("xor(a{i}, (a{i} + " + _mul("xor(a{i}, a{i} >> 7)", "a{i} | 61") + ") & 4294967295) AS b{i}")
-    last = each("CAST(xor(b{i}, b{i} >> 14) AS DOUBLE) / 4294967296.0 AS d{i}")
-    return f"""SELECT *, {last} FROM (SELECT *, {second} FROM (SELECT *, {first} FROM (SELECT *, {state} FROM placed)))"""
-
-
-SYNTHETIC = f"""WITH size AS (
-  SELECT count(DISTINCT user_id) AS sensors, CAST(ceil(count(*) / count(DISTINCT user_id)) AS BIGINT) AS readings FROM events),
-numbers AS (
-  SELECT event_id AS number, event_id % sensors AS sensor, event_id // sensors AS idx, greatest(0, readings - 3) AS late
-  FROM events, size),
-placed AS (
-  SELECT *, sensor = 1 AND idx >= late AS spiking,
-    3 * number + greatest(0, idx - late) + CASE WHEN idx >= late AND sensor > 1 THEN 1 ELSE 0 END AS drawn FROM numbers),
-drawn AS ({_draws()}),
-measured AS (
-  SELECT *, CASE WHEN spiking THEN 84 + d1 * 9
-      ELSE CASE WHEN idx < 3 THEN 18 + idx * 1.5 ELSE 21.5 END + (d0 - 0.5) * 2 END AS temperature,
-    45 + CASE WHEN spiking THEN d2 ELSE d1 END * 10 AS humidity,
-    CASE WHEN spiking THEN 6 + d3 * 2 ELSE CAST(0.05 AS DOUBLE) + d2 * CAST(0.4 AS DOUBLE) END AS vibration,
-    'sensor-' || lpad(CAST(sensor + 1 AS VARCHAR), CAST(greatest(2, length(CAST(sensor + 1 AS VARCHAR))) AS INTEGER), '0') AS sensor_id
-  FROM drawn)
-SELECT number, CAST(1 AS DOUBLE) AS schema_version,
-  'run-' || sensor_id || '-' || lpad(CAST(idx + 1 AS VARCHAR), CAST(greatest(6, length(CAST(idx + 1 AS VARCHAR))) AS INTEGER), '0') AS event_id,
-  sensor_id, 'rack-' || chr(CAST(65 + sensor AS INTEGER)) AS rack_id, CAST(idx + 1 AS DOUBLE) AS sequence,
-  strftime(make_timestamp_ms(1790000000000 + idx * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS ts,
-  {_round('temperature', 2)} AS temperature_c, {_round('humidity', 2)} AS humidity_pct,
-  {_round('vibration', 3)} AS vibration_mm_s
-FROM measured"""
-
-
 def _kinds() -> str:
     body = """concat('"eventId":"e', event_id, '","sensorId":"s', user_id, '","sequence":', event_id,
       ',"ts":"2026-09-30T10:00:00Z"')"""
@@ -348,7 +313,8 @@ def _kinds() -> str:
       CAST(event_id AS VARCHAR),
       'null',
       '',
-      concat('[', {full}, '}}]'))"""
+      concat('[', {full}, '}}]'),
+      concat('{{"schemaVersion":1,', {body}, ',"temperatureC":1e999}}'))"""
 
 
 PADDED = "'sensor-' || lpad(CAST(user_id + 1 AS VARCHAR), CAST(greatest(2, length(CAST(user_id + 1 AS VARCHAR))) AS INTEGER), '0')"
@@ -359,8 +325,7 @@ def _padded_number(x: str) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "dedup_exact": f"WITH {LOG}, {MARKED} SELECT event_id, arrival, is_duplicate FROM marked",
-    "dedup_tracked": f"WITH {LOG}, {TRACKED} SELECT event_id, arrival, is_duplicate FROM marked",
+    "dedup_exact": f"WITH {WHOLE}, {MARKED} SELECT event_id, arrival, is_duplicate FROM marked",
     "previous_sequence": f"""WITH {LOG}, {MARKED}
 SELECT sensor_id, arrival, sequence, previous_sequence FROM {_placed()} WHERE NOT is_duplicate""",
     "continuity_status": f"""WITH {LOG}, {MARKED}
@@ -368,9 +333,18 @@ SELECT event_id, sensor_id, arrival, status, CAST(missing AS DOUBLE) AS missing
     "missing_by_sensor": f"""WITH {LOG}, {MARKED}
 SELECT sensor_id, CAST(sum(missing) AS DOUBLE) AS missing, count(*) FILTER (WHERE status = 'gap') AS gaps,
   count(*) FILTER (WHERE status = 'out_of_order') AS out_of_order FROM {_placed()} GROUP BY sensor_id""",
-    "continuity_by_rack": f"""WITH {LOG}, racked AS (SELECT * FROM log WHERE rack_id IS NOT NULL)
+    "continuity_by_rack": f"""WITH {LOG}
 SELECT rack_id, status, count(*) AS records, CAST(sum(missing) AS DOUBLE) AS missing
-FROM {_placed('racked', 'rack_id', duplicates=False)} GROUP BY rack_id, status""",
+FROM {_placed('log', 'rack_id', duplicates=False)} GROUP BY rack_id, status""",
+    "continuity_by_sensor_and_type": f"""WITH {LOG}, {MARKED}
+SELECT event_id, sensor_id, rack_id, arrival, previous_sequence, status, CAST(missing AS DOUBLE) AS missing
+FROM {_placed(key='sensor_id, rack_id')}""",
+    "continuity_skewed": f"""WITH log AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS sensor_id, event_id AS arrival,
+    CASE WHEN event_id % 9 = 0 THEN 'again' ELSE concat('e', event_id - event_id % 5) END AS event_id,
+    CAST(event_id + (event_id * 7) % 11 AS DOUBLE) AS sequence FROM events),
+{MARKED}
+SELECT arrival, sensor_id, is_duplicate, previous_sequence, status, CAST(missing AS DOUBLE) AS missing FROM {_placed()}""",
     "ordering_report": f"""WITH {LOG}, {MARKED},
 spread AS (SELECT *, CAST(substr(event_id, 5) AS BIGINT) % 3 AS "partition" FROM marked)
 {_ordering('arrival', 'arrival')} UNION ALL {_ordering('partition', '"partition", arrival')}
@@ -378,7 +352,7 @@ UNION ALL {_ordering('time', 'ts, arrival')}""",
     "partition_spread": f"""WITH {RAW}
 SELECT sensor_id, count(DISTINCT number % 3) AS partitions FROM raw GROUP BY sensor_id
 HAVING count(DISTINCT number % 3) > 1""",
-    "anomalies": f"""WITH {LOG}, {MARKED}, flagged AS (SELECT *, {_reason()} AS reason FROM marked WHERE NOT is_duplicate)
+    "anomalies": f"""WITH {WHOLE}, {MARKED}, flagged AS (SELECT *, {_reason()} AS reason FROM marked WHERE NOT is_duplicate)
 SELECT event_id, sensor_id, rack_id, {ISO} AS ts, sequence, temperature_c, vibration_mm_s, reason
 FROM flagged WHERE reason <> ''""",
     "anomalies_standalone": f"""WITH lines AS (
@@ -388,19 +362,13 @@ FROM flagged WHERE reason <> ''""",
     CASE WHEN l_discount > 0.03 THEN CAST(l_discount AS DOUBLE) END AS vibration_mm_s FROM lineitem),
 flagged AS (SELECT *, {_reason('48', '2', '0.095')} AS reason FROM lines)
 SELECT * FROM flagged WHERE reason <> ''""",
-    "anomaly_records": f"""WITH {LOG}, {MARKED}, flagged AS (SELECT *, {_reason()} AS reason FROM marked WHERE NOT is_duplicate)
+    "anomaly_records": f"""WITH {WHOLE}, {MARKED}, flagged AS (SELECT *, {_reason()} AS reason FROM marked WHERE NOT is_duplicate)
 SELECT sensor_id AS key, concat('{{"type":"anomaly",', {_anomaly_body(ISO)}, ',"runId":', {_json_string('event_id')}, '}}') AS value,
   'sensor.anomaly' AS event_type FROM flagged WHERE reason <> ''""",
     "sensor_summary": f"""WITH {LOG}, {MARKED}, {LABELLED}, {SENSORS}
 SELECT * REPLACE ({ISO.replace('ts,', 'last_event_ts,')} AS last_event_ts) FROM sensors""",
     "log_totals": f"WITH {LOG}, {MARKED}, {LABELLED}, {TOTALS} SELECT * FROM totals",
-    "log_totals_tracked": f"WITH {LOG}, {TRACKED}, {LABELLED}, {TOTALS} SELECT * FROM totals",
-    "run_stats": f"""WITH {AUDIT}
-SELECT count(*) AS consumed, count(*) FILTER (WHERE NOT {FAILED}) AS processed,
-  count(*) FILTER (WHERE status = 'duplicate') AS duplicates,
-  count(*) FILTER (WHERE status = 'out_of_order') AS out_of_order, count(*) FILTER (WHERE status = 'gap') AS gaps,
-  count(*) FILTER (WHERE {FAILED}) AS dead_lettered, count(*) FILTER (WHERE anomalous) AS anomalies_published,
-  CAST(1 AS BIGINT) AS batches FROM audit""",
+    "run_stats": f"WITH {AUDIT} {COUNTED}",
     "batch_outcomes": f"""WITH {AUDIT}
 SELECT CAST(floor("offset" / 10000) AS BIGINT) AS batch_id, count(*) FILTER (WHERE NOT {FAILED}) AS processed,
   count(*) FILTER (WHERE {FAILED}) AS dead_lettered, count(*) FILTER (WHERE anomalous) AS anomalies,
@@ -416,7 +384,7 @@ SELECT "partition", "offset", json_valid(payload) AS parsed, CAST(length(payload
     "validation_errors": f"""WITH {CHECKED}
 SELECT "partition", "offset", reason, array_to_string(errors, '; ') AS errors FROM checked""",
     "validation_kinds": f"""WITH raw AS (
-  SELECT event_id AS number, NULL AS sensor_id, list_extract({_kinds()}, event_id % 18 + 1) AS payload FROM events),
+  SELECT event_id AS number, NULL AS sensor_id, list_extract({_kinds()}, event_id % 19 + 1) AS payload FROM events),
 checked AS (SELECT * FROM {_checked('raw')})
 SELECT number, reason, array_to_string(errors, '; ') AS errors, sensor_id, sequence, temperature_c, rack_id FROM checked""",
     "readings_parsed": f"""WITH {CHECKED}
@@ -424,15 +392,15 @@ SELECT "partition", "offset", schema_version, event_id, sensor_id, rack_id, sequ
   vibration_mm_s FROM checked WHERE reason IS NULL""",
     "dead_letters": f"""WITH {CHECKED}
 SELECT 'dead-letter' AS type, reason, array_to_string(errors, '; ') AS errors, topic, "partition", "offset",
-  left(payload, 500) AS raw FROM checked WHERE reason IS NOT NULL""",
+  payload AS raw FROM checked WHERE reason IS NOT NULL""",
     "dead_letter_records": f"""WITH {CHECKED}
 SELECT concat('p', "partition") AS key,
   concat('{{"type":"dead-letter","reason":"', reason, '","errors":["', array_to_string(errors, '","'),
     '"],"deadLetteredAt":"2026-09-30T10:00:00.000Z","source":{{"topic":"', topic, '","partition":', "partition",
-    ',"offset":"', "offset", '"}},"raw":', to_json(left(payload, 500)), '}}') AS value,
+    ',"offset":"', "offset", '"}},"raw":', to_json(payload), '}}') AS value,
   'sensor.reading.dlt' AS event_type, reason FROM checked WHERE reason IS NOT NULL""",
     "dead_letter_raw": """SELECT CASE WHEN json_valid(text) THEN 'schema-invalid' ELSE 'invalid-json' END AS reason,
-  md5(left(text, 500)) AS digest, CAST(length(left(text, 500)) AS INTEGER) AS length FROM documents""",
+  md5(text) AS digest, CAST(length(text) AS INTEGER) AS length FROM documents""",
     "audit_log": f"""WITH {AUDIT}
 SELECT CASE WHEN {FAILED} THEN 'dead-letter' ELSE 'reading' END AS type,
   CASE WHEN NOT {FAILED} THEN 'sensor-readings' END AS topic,
@@ -441,9 +409,11 @@ SELECT CASE WHEN {FAILED} THEN 'dead-letter' ELSE 'reading' END AS type,
   CASE WHEN NOT {FAILED} THEN status END AS status, event_id, temperature_c, reason, errors,
   CASE WHEN {FAILED} THEN "partition" END AS source_partition,
   CASE WHEN {FAILED} THEN CAST("offset" AS VARCHAR) END AS source_offset, raw FROM audit""",
-    "message_keys": f"""WITH {LOG}
+    "message_keys": f"""WITH {WHOLE}
 SELECT 'sensor' AS mode, arrival, sensor_id AS key FROM log UNION ALL SELECT 'roundrobin', arrival, NULL FROM log""",
-    "reading_records": f"""WITH {LOG}
+    "message_keys_random": f"""WITH {WHOLE}
+SELECT event_id, sensor_id, arrival, substr(md5('20260930-' || event_id), 1, 12) AS key FROM log""",
+    "reading_records": f"""WITH {WHOLE}
 SELECT sensor_id AS key, concat('{{"schemaVersion":1,"eventId":"', event_id, '","sensorId":"', sensor_id, '"',
     {_text('rackId', 'rack_id', '"')}, ',"sequence":', {_number('sequence')}, ',"ts":"', {ISO},
     '","temperatureC":', {_number('temperature_c')}, {_text('humidityPct', _number('humidity_pct'))},
@@ -466,7 +436,6 @@ UNION ALL SELECT 'thresholds', NULL, NULL, '{{"anomalyHighC":80,"anomalyLowC":-1
 UNION ALL SELECT 'sensors', sensor_id, NULL, {SENSOR_BODY} FROM sensors
 UNION ALL SELECT 'anomalies', sensor_id, arrival, concat('{{', {_anomaly_body(ISO)}, '}}') FROM labelled
   WHERE applied AND reason <> ''""",
-    "synthetic_readings": SYNTHETIC,
     "stream_summary": f"""WITH {CHECKED}, log AS (SELECT *, "offset" AS arrival FROM checked WHERE reason IS NULL),
 {MARKED}, labelled AS (SELECT * EXCLUDE (reason), {_reason()} AS reason, status <> 'duplicate' AS applied FROM {_placed()}),
 {SENSORS} SELECT * FROM sensors""",
@@ -478,3 +447,27 @@ UNION ALL SELECT "partition", "offset", event_id, reason, NULL, NULL FROM checke
 }
 # The same counters, from as many batches as the stream is cut into.
 ORACLE["stream_stats"] = ORACLE["run_stats"].replace("CAST(1 AS BIGINT) AS batches", "CAST(3 AS BIGINT) AS batches")
+
+_COUNTERS = _object(
+    {
+        "consumed": "consumed",
+        "processed": "processed",
+        "duplicates": "duplicates",
+        "outOfOrder": "out_of_order",
+        "gaps": "gaps",
+        "deadLettered": "dead_lettered",
+        "anomaliesPublished": "anomalies_published",
+        "batches": "batches",
+    }
+)
+# The sections that the end of a stream leaves behind: times as the payloads have them, and the counters of the run.
+ORACLE["stream_sections"] = f"""WITH {AUDIT},
+labelled AS (SELECT * EXCLUDE (reason), {_reason()} AS reason, status <> 'duplicate' AS applied FROM {_placed()}),
+{SENSORS}, {TOTALS},
+stats AS ({COUNTED.replace("CAST(1 AS BIGINT) AS batches", "CAST(3 AS BIGINT) AS batches")})
+SELECT 'totals' AS section, NULL AS sensor_id, NULL AS arrival, {TOTALS_BODY} AS body FROM totals
+UNION ALL SELECT 'thresholds', NULL, NULL, '{{"anomalyHighC":80,"anomalyLowC":-10,"vibrationThresholdMmS":5}}'
+UNION ALL SELECT 'consumer', NULL, NULL, {_COUNTERS} FROM stats
+UNION ALL SELECT 'sensors', sensor_id, NULL, {SENSOR_BODY.replace(ISO.replace("ts,", "last_event_ts,"), "last_event_ts")} FROM sensors
+UNION ALL SELECT 'anomalies', sensor_id, arrival, concat('{{', {_anomaly_body("ts")}, '}}') FROM labelled
+  WHERE applied AND reason <> ''"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.event_log import ARRIVAL, raw_records, record_log
 from tallywire.functions.clock import iso_text, run_id
 from tallywire.operators.anomaly import Thresholds, detect_anomalies
 from tallywire.operators.continuity import classify_continuity, ordering_report, partition_spread, with_previous_sequence
@@ -37,16 +38,13 @@ from tallywire.operators.summary import (
 from tallywire.operators.validation import decode_payload, parse_payload, split_valid, validate
 from tallywire.plans.process import label_log, process_log
 from tallywire.plans.sinks import audit_log
+from tallywire.schema import DUPLICATE
 from tallywire.session import prepare, stage, work_dir
-from tallywire.sources.event_log import ARRIVAL, raw_records, record_log
 from tallywire.sources.log import log_from_table, read_log_files
-from tallywire.sources.synthetic import synthetic_readings
-from tallywire.streaming.drop import drop_duplicates_stream
 from tallywire.streaming.microbatch import LogStream
 
 BATCH_OFFSETS = 10_000
 SEED = 20260930
-START_MS = 1_790_000_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +57,11 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_log(table(spark, sf_dir, "events"))
 
 
+def whole_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of all events, none lost, with its re-deliveries."""
+    return record_log(table(spark, sf_dir, "events"), lossless=True)
+
+
 def raw(spark: SparkSession, sf_dir: str, spread: str = "user_id") -> DataFrame:
     return raw_records(table(spark, sf_dir, "events"), spread=spread)
 
@@ -72,12 +75,7 @@ def audit(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
 
 
 def dedup_exact(spark, sf_dir):
-    return mark_duplicates(log(spark, sf_dir), ARRIVAL).select("event_id", "arrival", "is_duplicate")
-
-
-def dedup_tracked(spark, sf_dir):
-    marked = mark_duplicates(log(spark, sf_dir), ARRIVAL, tracked_limit=5_000)
-    return marked.select("event_id", "arrival", "is_duplicate")
+    return mark_duplicates(whole_log(spark, sf_dir), ARRIVAL).select("event_id", "arrival", "is_duplicate")
 
 
 def previous_sequence(spark, sf_dir):
@@ -100,15 +98,36 @@ def missing_by_sensor(spark, sf_dir):
 
 
 def continuity_by_rack(spark, sf_dir):
-    """Continuity with another key and without de-duplication."""
-    placed = classify_continuity(log(spark, sf_dir).where("rack_id IS NOT NULL"), ARRIVAL, key="rack_id")
+    """Continuity with another key and without de-duplication; records without a rack are a key like any other."""
+    placed = classify_continuity(log(spark, sf_dir), ARRIVAL, key="rack_id")
     return placed.groupBy("rack_id", "status").agg(F.count(F.lit(1)).alias("records"), F.sum("missing").alias("missing"))
 
 
+def continuity_by_sensor_and_type(spark, sf_dir):
+    """Continuity with a key of two columns: each sensor counts by itself on each rack."""
+    marked = stage(mark_duplicates(log(spark, sf_dir), ARRIVAL), "marked")
+    placed = classify_continuity(marked, ARRIVAL, key=("sensor_id", "rack_id"))
+    return placed.select("event_id", "sensor_id", "rack_id", "arrival", "previous_sequence", "status", "missing")
+
+
+def continuity_skewed(spark, sf_dir):
+    """A log in which one sensor holds a third of all rows and one id a ninth, cut into short slices."""
+    number = F.col("event_id")
+    readings = table(spark, sf_dir, "events").select(
+        F.when(number % 3 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string")).alias("sensor_id"),
+        F.when(number % 9 == 0, F.lit("again")).otherwise(F.concat(F.lit("e"), (number - number % 5).cast("string"))).alias("id"),
+        (number + (number * 7) % 11).cast("double").alias("sequence"),
+        number.alias("arrival"),
+    )
+    marked = stage(mark_duplicates(readings, ARRIVAL, "id"), "marked")
+    placed = classify_continuity(marked, ARRIVAL, slices=[F.array(F.expr("arrival div 500")), F.array(F.expr("arrival div 5000"))])
+    return placed.select("arrival", "sensor_id", "is_duplicate", "previous_sequence", "status", "missing")
+
+
 def ordering(spark, sf_dir):
     # Ordered by partition, a sensor whose records are spread over partitions is read one partition after the other.
     spread = log(spark, sf_dir).withColumn("partition", F.substring("event_id", 5, 20).cast("long") % 3)
-    kept = mark_duplicates(spread, ARRIVAL)
+    kept = stage(mark_duplicates(spread, ARRIVAL), "marked")
     return ordering_report(kept, {"arrival": ARRIVAL, "partition": ("partition", "arrival"), "time": ("ts", "arrival")})
 
 
@@ -119,7 +138,7 @@ def sensor_spread(spark, sf_dir):
 
 
 def anomalies(spark, sf_dir):
-    return detect_anomalies(mark_duplicates(log(spark, sf_dir), ARRIVAL)).withColumn("ts", iso_text(F.col("ts")))
+    return detect_anomalies(mark_duplicates(whole_log(spark, sf_dir), ARRIVAL)).withColumn("ts", iso_text(F.col("ts")))
 
 
 def anomalies_standalone(spark, sf_dir):
@@ -149,10 +168,6 @@ def totals(spark, sf_dir):
     return log_totals(labelled(spark, sf_dir), ARRIVAL)
 
 
-def totals_tracked(spark, sf_dir):
-    return log_totals(label_log(log(spark, sf_dir), ARRIVAL, tracked_limit=5_000), ARRIVAL)
-
-
 def stats(spark, sf_dir):
     return run_stats(audit(spark, sf_dir, keep_payload=False))
 
@@ -219,6 +234,7 @@ def validation_kinds(spark, sf_dir):
         F.lit("null"),
         F.lit(""),
         F.concat(F.lit("["), full, F.lit("}]")),
+        F.concat(F.lit('{"schemaVersion":1,'), body, F.lit(',"temperatureC":1e999}')),
     ]
     # The kind is picked by position, so every event gives one record.
     payload = F.element_at(F.array(*kinds), (number % len(kinds) + 1).cast("int"))
@@ -253,7 +269,7 @@ def dead_letter_messages(spark, sf_dir):
 
 
 def raw_prefix(spark, sf_dir):
-    """Dead letters of long payloads: whole documents are no JSON, and are kept up to the limit."""
+    """Dead letters of long payloads: whole documents are no JSON, and are kept whole."""
     documents = table(spark, sf_dir, "documents")
     records = documents.select("doc_id", F.col("text").cast("binary").alias("value"), F.lit(0).alias("partition"), F.lit(0).alias("offset"))
     _, bad = split_valid(validate(log_from_table(records, "documents")))
@@ -280,18 +296,18 @@ def audit_table(spark, sf_dir):
 
 
 def message_keys(spark, sf_dir):
-    readings = log(spark, sf_dir).select("event_id", "sensor_id", "arrival")
+    readings = whole_log(spark, sf_dir).select("event_id", "sensor_id", "arrival")
     by_sensor = with_message_key(readings, "sensor").withColumn("mode", F.lit("sensor"))
     keyless = with_message_key(readings, "roundrobin").withColumn("mode", F.lit("roundrobin"))
     return by_sensor.unionByName(keyless).select("mode", "arrival", "key")
 
 
 def random_keys(spark, sf_dir):
-    return with_message_key(log(spark, sf_dir).select("event_id", "sensor_id", "arrival"), "random", SEED)
+    return with_message_key(whole_log(spark, sf_dir).select("event_id", "sensor_id", "arrival"), "random", SEED)
 
 
 def reading_messages(spark, sf_dir):
-    readings = log(spark, sf_dir).withColumns({"schema_version": F.lit(1.0), "ts": iso_text(F.col("ts"))})
+    readings = whole_log(spark, sf_dir).withColumns({"schema_version": F.lit(1.0), "ts": iso_text(F.col("ts"))})
     records = to_log_records(readings, "sensor", "telemetry")
     return records.select(
         "key",
@@ -341,17 +357,6 @@ def sections(spark, sf_dir):
     )
 
 
-def synthetic(spark, sf_dir):
-    """One generated reading per event: as many sensors as there are users, as many readings as fit."""
-    events = table(spark, sf_dir, "events")
-    size = events.agg(F.count_distinct("user_id").alias("sensors"), F.count(F.lit(1)).alias("rows")).first()
-    per_sensor = -(-size["rows"] // size["sensors"])
-    numbers = events.select(F.col("event_id").alias("number"))
-    return synthetic_readings(
-        spark, size["sensors"], per_sensor, SEED, START_MS, 1_000, "run", spike_sensor=1, numbers=numbers
-    )
-
-
 def _streamed(spark: SparkSession, sf_dir: str, slices: int = 3) -> LogStream:
     """The raw log worked off as a stream: written slice by slice in the shared folder, each slice a micro-batch.
 
@@ -382,15 +387,15 @@ def stream_stats(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    """Ids that come through a stream that drops re-deliveries."""
-    root = work_dir(spark, "dedup")
-    readings = log(spark, sf_dir).select("event_id", F.col("ts").cast("timestamp").alias("timestamp"))
-    readings.write.parquet(f"{root}/readings")
-    stream = spark.readStream.schema(readings.schema).parquet(f"{root}/readings")
-    kept = drop_duplicates_stream(stream, "3650 days").select("event_id")
-    writer = kept.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-    writer.format("parquet").start(f"{root}/kept").awaitTermination()
-    return spark.read.schema("event_id string").parquet(f"{root}/kept")
+    """Ids that come through the stream, each once."""
+    audit = _streamed(spark, sf_dir).audit()
+    return audit.where(F.col("reason").isNull() & (F.col("status") != DUPLICATE)).select("event_id")
+
+
+def stream_sections(spark, sf_dir):
+    """The summary that the end of a run leaves behind, all sections of it."""
+    written = _streamed(spark, sf_dir).sections()
+    return written.select("section", "sensor_id", F.element_at("arrival", 2).alias("arrival"), "body")
 
 
 def _header(name: str, alias: str):
@@ -400,11 +405,12 @@ def _header(name: str, alias: str):
 
 QUERIES: dict[str, Query] = {
     "dedup_exact": dedup_exact,
-    "dedup_tracked": dedup_tracked,
     "previous_sequence": previous_sequence,
     "continuity_status": continuity_status,
     "missing_by_sensor": missing_by_sensor,
     "continuity_by_rack": continuity_by_rack,
+    "continuity_by_sensor_and_type": continuity_by_sensor_and_type,
+    "continuity_skewed": continuity_skewed,
     "ordering_report": ordering,
     "partition_spread": sensor_spread,
     "anomalies": anomalies,
@@ -412,7 +418,6 @@ QUERIES: dict[str, Query] = {
     "anomaly_records": anomaly_messages,
     "sensor_summary": sensors,
     "log_totals": totals,
-    "log_totals_tracked": totals_tracked,
     "run_stats": stats,
     "batch_outcomes": outcomes,
     "offset_ranges": ranges,
@@ -432,9 +437,9 @@ QUERIES: dict[str, Query] = {
     "readings_rounded": readings_rounded,
     "summary_report": report,
     "summary_document": sections,
-    "synthetic_readings": synthetic,
     "stream_summary": stream_summary,
     "stream_audit": stream_audit,
     "stream_stats": stream_stats,
     "stream_dedup": stream_dedup,
+    "stream_sections": stream_sections,
 }

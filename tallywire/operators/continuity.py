@@ -7,30 +7,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywire.operators.running import running
-from tallywire.operators.skew import HotKey
+from tallywire.operators.running import key_columns, running
 from tallywire.schema import ACCEPTED, DUPLICATE, GAP, LOG_ORDER, OUT_OF_ORDER
 
 
 def with_previous_sequence(
     df: DataFrame,
     order_by: Sequence[str] = LOG_ORDER,
-    key: str = "sensor_id",
+    key: str | Sequence[str] = "sensor_id",
     sequence: str = "sequence",
-    hot: Sequence[HotKey] | None = None,
     slices: Sequence[Column] | None = None,
     last: DataFrame | None = None,
 ) -> DataFrame:
     """Add `previous_sequence`: the highest sequence of the sensor that arrived earlier, 0 when there is none.
 
-    Duplicates (`is_duplicate`, when present) do not count. `last` is an optional table `(key, last_sequence)` of what
+    Duplicates (`is_duplicate`, when present) do not count. `key` may be several columns. `last` is an optional table `(key, last_sequence)` of what
     arrived before this log.
     """
     counted = F.col(sequence)
     if "is_duplicate" in df.columns:
         counted = F.when(~F.col("is_duplicate"), counted)
-    start = None if last is None else last.select(key, F.col("last_sequence").alias("_start"))
-    df = running(df, "_before", "max", counted, key, order_by, hot, slices, start)
+    start = None if last is None else last.select(*key_columns(key), F.col("last_sequence").alias("_start"))
+    df = running(df, "_before", "max", counted, key, order_by, slices, start)
     previous = F.greatest(F.lit(0.0), F.coalesce("_before", F.lit(0.0)))
     return df.withColumn("previous_sequence", previous).drop("_before")
 
@@ -38,14 +36,13 @@ def with_previous_sequence(
 def classify_continuity(
     df: DataFrame,
     order_by: Sequence[str] = LOG_ORDER,
-    key: str = "sensor_id",
+    key: str | Sequence[str] = "sensor_id",
     sequence: str = "sequence",
-    hot: Sequence[HotKey] | None = None,
     slices: Sequence[Column] | None = None,
     last: DataFrame | None = None,
 ) -> DataFrame:
     """Add `previous_sequence`, `status` and `missing` (readings skipped by a gap, else 0)."""
-    df = with_previous_sequence(df, order_by, key, sequence, hot, slices, last)
+    df = with_previous_sequence(df, order_by, key, sequence, slices, last)
     seq, previous = F.col(sequence), F.col("previous_sequence")
     status = (
         F.when((previous != 0) & (seq < previous), OUT_OF_ORDER)
@@ -58,10 +55,11 @@ def classify_continuity(
     return df.withColumn("missing", F.when(F.col("status") == GAP, seq - previous - 1).otherwise(0.0))
 
 
-def ordering_report(df: DataFrame, orders: Mapping[str, Sequence[str]], key: str = "sensor_id") -> DataFrame:
+def ordering_report(df: DataFrame, orders: Mapping[str, Sequence[str]], key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """Continuity of one log under several arrival orders, one row per order.
 
-    Shows what a record key that does not keep a sensor in one partition costs.
+    Shows what a record key that does not keep a sensor in one partition costs. Hand in a stored log with its marks, so
+    that de-duplication is not repeated for each order.
     """
     report = None
     for name, order_by in orders.items():

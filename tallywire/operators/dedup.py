@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywire.operators.skew import SLICE_ROWS, HotKey, hot_keys, hot_table
 from tallywire.schema import LOG_ORDER
-
-# The followed ids are sorted to the front and broadcast.
-MAX_TRACKED = 1_000_000
+from tallywire.session import stage
 
 
 def arrival(order_by: Sequence[str]) -> Column:
@@ -23,67 +20,28 @@ def mark_duplicates(
     df: DataFrame,
     order_by: Sequence[str] = LOG_ORDER,
     id_col: str = "event_id",
-    tracked_limit: int | None = None,
-    hot: Sequence[HotKey] | None = None,
     seen: DataFrame | None = None,
+    store: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
-    """Add `is_duplicate`: true for every record whose id arrived before.
+    """Add `is_duplicate`: true for every record whose id arrived before. A record without an id is never one.
 
-    `tracked_limit` follows only the first so many distinct ids, a million at most; records with any other id are
-    never duplicates.
     `seen` is an optional table of ids from before this log; all their records are duplicates.
+
+    Ids that arrived more than once are found by partial minima of arrival, however many records one of them has, and
+    are stored; few as they are, the records then meet them in a join whose hot keys Spark splits. `df` is read twice:
+    hand in a stored table if it is expensive. `store` writes a table and reads it back.
     """
-    if tracked_limit is not None:
-        if seen is not None:
-            raise ValueError("tracked_limit covers a whole log; it cannot follow ids seen before")
-        if tracked_limit > MAX_TRACKED:
-            raise ValueError(f"tracked_limit bounds memory; beyond {MAX_TRACKED:,} ids use exact de-duplication")
-        return _mark_tracked(df, order_by, id_col, tracked_limit)
-    if hot is None:
-        hot = hot_keys(df, id_col)[id_col]
     columns = df.columns
-    if seen is not None:
-        seen = seen.select(id_col, F.lit(True).alias("_seen"))
-
-    if not hot:
-        later = F.row_number().over(Window.partitionBy(id_col).orderBy(*order_by)) > 1
-        df = df.withColumn("is_duplicate", later)
-        if seen is not None:
-            df = df.join(seen, id_col, "left").withColumn("is_duplicate", F.col("is_duplicate") | _true("_seen"))
-        return df.select(*columns, "is_duplicate")
-
-    # First arrivals of the hot ids: one row per hot id, after a partial minimum in every task.
-    firsts = (
-        df.join(F.broadcast(hot_table(df, id_col, hot)), id_col)
-        .groupBy(id_col, "_rows")
-        .agg(F.min(arrival(order_by)).alias("_first"))
-    )
-    if seen is not None:
-        firsts = firsts.join(seen.withColumnRenamed("_seen", "_hot_seen"), id_col, "left")
-    is_hot = F.col("_rows").isNotNull()
-    spread = F.pmod(F.xxhash64(*order_by), F.ceil(F.col("_rows") / SLICE_ROWS).cast("long"))
-    df = df.join(F.broadcast(firsts), id_col, "left").withColumn("_part", F.when(is_hot, spread).otherwise(F.lit(-1)))
-    rank = F.row_number().over(Window.partitionBy(id_col, "_part").orderBy(*order_by))
-    df = df.withColumn(
-        "is_duplicate", F.when(is_hot, arrival(order_by) > F.col("_first")).otherwise(rank > 1)
-    )
-    if seen is not None:
-        # Cold ids meet their earlier delivery in the partition they already are in; hot ids met it above.
-        cold = seen.withColumn("_part", F.lit(-1).cast("long"))
-        df = df.join(cold, [id_col, "_part"], "left").withColumn(
-            "is_duplicate", F.col("is_duplicate") | _true("_seen") | _true("_hot_seen")
-        )
-    return df.select(*columns, "is_duplicate")
-
-
-def _mark_tracked(df: DataFrame, order_by: Sequence[str], id_col: str, limit: int) -> DataFrame:
-    first = (
-        df.groupBy(id_col).agg(F.min(arrival(order_by)).alias("_first")).orderBy("_first").limit(limit)
-    )  # at most `limit` rows, so it is safe to broadcast
-    later = arrival(order_by) > F.col("_first")
-    marked = df.join(F.broadcast(first), id_col, "left").withColumn("is_duplicate", F.coalesce(later, F.lit(False)))
-    return marked.select(*df.columns, "is_duplicate")
-
-
-def _true(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(False))
+    first = F.min(arrival(order_by)).alias("_first")
+    again = df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(first, F.count(F.lit(1)).alias("_count"))
+    if seen is None:
+        again = again.where("_count > 1").select(id_col, "_first")
+        later = arrival(order_by) > F.col("_first")
+    else:
+        # Only ids of this log are looked for: what is moved of the ids seen before is what matches.
+        again = store(again, "ids")
+        known = seen.select(id_col).join(again.select(id_col), id_col, "left_semi").distinct()
+        again = again.join(known.withColumn("_seen", F.lit(True)), id_col, "left").where("_count > 1 OR _seen").select(id_col, "_first", "_seen")
+        later = F.col("_seen") | (arrival(order_by) > F.col("_first"))
+    marked = df.join(store(again, "repeated-ids"), id_col, "left")
+    return marked.withColumn("is_duplicate", F.coalesce(later, F.lit(False))).select(*columns, "is_duplicate")

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from tallywire.functions.clock import iso_text
 from tallywire.functions.numbers import json_number, number_text, round_half_up
-from tallywire.functions.text import pad_left, utf16_char, utf16_prefix
+from tallywire.functions.text import pad_left, utf16_char
 from tallywire.schema import FIELD_COLUMNS
 
-RAW_LIMIT = 500
 KEY_MODES = ("sensor", "roundrobin", "random")
 WITH_NULLS = {"ignoreNullFields": "false"}
 
@@ -58,8 +57,8 @@ def with_message_key(readings: DataFrame, mode: str = "sensor", seed: int = 0) -
     elif mode == "roundrobin":
         key = F.lit(None).cast("string")
     else:
-        mixed = F.hex(F.xxhash64(F.lit(seed).cast("long"), F.col("event_id")))
-        key = F.substring(F.lower(F.conv(mixed, 16, 36)), 1, 8)
+        mixed = F.md5(F.concat_ws("-", F.lit(seed).cast("string"), F.col("event_id")).cast("binary"))
+        key = F.substring(mixed, 1, 12)
     return readings.withColumn("key", key)
 
 
@@ -112,13 +111,17 @@ def anomaly_records(anomalies: DataFrame) -> DataFrame:
 
 
 def dead_letters(quarantine: DataFrame) -> DataFrame:
-    """Quarantined records in the dead-letter layout; the payload is kept up to 500 UTF-16 units."""
-    raw = F.col("raw") if "raw" in quarantine.columns else utf16_prefix(F.col("payload"), RAW_LIMIT)
+    """Quarantined records in the dead-letter layout, with their whole payload.
+
+    The time is that of the check when the records carry one, so that all copies of a failure agree.
+    """
+    raw = F.col("raw") if "raw" in quarantine.columns else F.col("payload")
+    time = F.col("dead_lettered_at") if "dead_lettered_at" in quarantine.columns else F.current_timestamp()
     return quarantine.select(
         F.lit("dead-letter").alias("type"),
         "reason",
         "errors",
-        F.current_timestamp().alias("dead_lettered_at"),
+        time.alias("dead_lettered_at"),
         "topic",
         "partition",
         "offset",

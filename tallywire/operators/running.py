@@ -7,81 +7,75 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywire.operators.skew import HotKey, default_slices, hot_keys, hot_table
+from tallywire.operators.skew import default_slices
 
 _COMBINE: dict[str, tuple[Callable[[str], Column], Callable[[Column, Column], Column]]] = {
     "max": (F.max, lambda a, b: F.greatest(a, b)),
-    "sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))),
+    "sum": (F.sum, lambda a, b: F.coalesce(a, b) + F.when(a.isNull(), F.lit(0)).otherwise(F.coalesce(b, F.lit(0)))),
 }
 
+# The key as one value that is never null, so that rows without a key are a key like any other.
+_KEY = "_key"
+
+
+def key_columns(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
 
 def running(
     df: DataFrame,
     out: str,
     how: str,
     value: Column,
-    key: str,
+    key: str | Sequence[str],
     order_by: Sequence[str],
-    hot: Sequence[HotKey] | None = None,
     slices: Sequence[Column] | None = None,
     start: DataFrame | None = None,
 ) -> DataFrame:
     """Add `out`: the `how` ("max" or "sum") of `value` over the rows of `key` that come earlier in `order_by`.
 
-    Cold keys are one window partition each. Rows of a hot key are cut into slices along the order: each slice runs by
-    itself and starts from what the slices before it add up to. Both aggregates are associative, so the answer is the
-    same for any choice of `slices`, arrays of whole numbers that never decrease along the order. `start` is an
-    optional table `(key, _start)` of values from before this table.
+    The rows of every key are cut into slices along the order: each slice runs by itself, in one window partition, and
+    starts from what the slices before it add up to, which a partial aggregate of one row per slice tells. Both
+    aggregates are associative, so the answer is the same for any choice of `slices`, arrays of whole numbers that
+    never decrease along the order, finest first. `start` is an optional table (key columns, `_start`) of values from
+    before this table. `df` is read twice: hand in a stored table if it is expensive.
     """
-    if hot is None:
-        hot = hot_keys(df, key)[key]
+    keys = key_columns(key)
     columns = df.columns
-    df = df.withColumn("_value", value)
-
-    if not hot:
-        df = _within(df, out, how, [key], order_by)
-        if start is not None:
-            df = _add(df.join(start.select(key, "_start"), key, "left"), out, how, "_start")
-        return df.select(*columns, out)
-
-    levels = slices if slices is not None else default_slices(df, order_by)
-    names = [f"_slice{i}" for i in range(len(levels))]
-    nowhere = F.array().cast("array<bigint>")
-    table = hot_table(df, key, hot)
-    if start is not None:
-        # At most as many rows as there are hot keys, so it stays small enough to broadcast.
-        table = table.join(start.select(key, F.col("_start").alias("_hot_start")), key, "left")
-    df = df.join(F.broadcast(table), key, "left")
+    levels = list(default_slices(df, order_by) if slices is None else slices)
+    names = [f"_slice{i}" for i in range(len(levels))] or ["_slice0"]
+    df = df.withColumn("_value", value).withColumn(_KEY, F.struct(*keys))
     # Coarsest first, each prefixed to the next finer: a slice then lies within one coarser slice, whatever was passed.
-    within = nowhere
+    within = F.array().cast("array<bigint>")
+    if not levels:
+        df = df.withColumn(names[0], within)
     for name, level in reversed(list(zip(names, levels))):
         within = F.concat(within, level)
-        df = df.withColumn(name, F.when(F.col("_rows").isNotNull(), within).otherwise(nowhere))
+        df = df.withColumn(name, within)
 
-    df = _sliced(df, out, how, key, order_by, names)
+    finest, *coarser = names
+    whole, combine = _COMBINE[how]
+    tops = df.groupBy(_KEY, *names).agg(whole("_value").alias("_value"))
+    begins = _begins(tops, how, finest, coarser).select(_KEY, finest, "_begin")
     if start is not None:
-        cold = start.select(key, nowhere.alias(names[0]), "_start")
-        df = df.join(cold, [key, names[0]], "left").withColumn("_start", F.coalesce("_hot_start", "_start"))
-        df = _add(df, out, how, "_start")
-    return df.select(*columns, out)
+        before = start.select(F.struct(*keys).alias(_KEY), "_start")
+        begins = begins.join(before, _KEY, "left").select(_KEY, finest, combine(F.col("_begin"), F.col("_start")).alias("_begin"))
+    placed = _within(df, out, how, [_KEY, finest], order_by).join(begins, [_KEY, finest], "left")
+    return placed.withColumn(out, combine(F.col(out), F.col("_begin"))).select(*columns, out)
 
 
-def _sliced(df: DataFrame, out: str, how: str, key: str, order_by: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Run inside (key, finest slice), then add where each slice starts."""
-    if not names:
-        return _within(df, out, how, [key], order_by)
-    finest, *coarser = names
-    whole = _COMBINE[how][0]
-    tops = df.where(F.size(finest) > 0).groupBy(key, *names).agg(whole("_value").alias("_value"))
-    begin = f"_begin{len(coarser)}"
-    begins = _sliced(tops, begin, how, key, [finest], coarser).select(key, finest, begin)
-    return _add(_within(df, out, how, [key, finest], order_by).join(begins, [key, finest], "left"), out, how, begin)
+def _begins(tops: DataFrame, how: str, finest: str, coarser: Sequence[str]) -> DataFrame:
+    """Add `_begin` to one row per slice: the aggregate of all slices of the key before it."""
+    if not coarser:
+        return _within(tops, "_begin", how, [_KEY], [finest])
+    whole, combine = _COMBINE[how]
+    above, *further = coarser
+    higher = _begins(tops.groupBy(_KEY, *coarser).agg(whole("_value").alias("_value")), how, above, further)
+    higher = higher.select(_KEY, above, F.col("_begin").alias("_higher"))
+    placed = _within(tops, "_begin", how, [_KEY, above], [finest]).join(higher, [_KEY, above], "left")
+    return placed.withColumn("_begin", combine(F.col("_begin"), F.col("_higher")))
 
 
 def _within(df: DataFrame, out: str, how: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     earlier = Window.partitionBy(*keys).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn(out, _COMBINE[how][0]("_value").over(earlier))
-
-
-def _add(df: DataFrame, out: str, how: str, begin: str) -> DataFrame:
-    return df.withColumn(out, _COMBINE[how][1](F.col(out), F.col(begin))).drop(begin)

@@ -1,62 +1,23 @@
-"""Finding hot keys and cutting their rows into slices of bounded size."""
+"""Cutting the rows of a key into slices of bounded size."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds this share of all rows, and at least as many rows as one slice. At most 1/HOT_SHARE keys
-# can be hot, which bounds everything that is broadcast per hot key.
-HOT_SHARE = 1e-4
 SLICE_ROWS = 1_000_000
 
-# Keys the sketch follows. It misses no key above 3.5 / TRACKED_KEYS of the rows, well below HOT_SHARE.
-TRACKED_KEYS = 100_000
 
-
-class HotKey(NamedTuple):
-    value: object
-    rows: int
-
-
-def hot_keys(
-    df: DataFrame, *columns: str, share: float = HOT_SHARE, min_rows: int = SLICE_ROWS
-) -> dict[str, list[HotKey]]:
-    """The hot values of each column, found in one pass over those columns alone.
-
-    The frequent-items sketch merges per partition, so nothing is shuffled by key. What is found here decides only how
-    rows are spread over tasks, never what is computed from them. A table too small for any key to be hot is counted
-    and not looked into.
-    """
-    rows = df.count()
-    if rows < min_rows:
-        return {c: [] for c in columns}
-    most = min(int(1 / share), 10_000)
-    found = df.agg(*[F.expr(f"approx_top_k(`{c}`, {most}, {TRACKED_KEYS})").alias(c) for c in columns]).first()
-    floor = max(share * rows, min_rows)
-    return {
-        c: [HotKey(t["item"], t["count"]) for t in found[c] or [] if t["item"] is not None and t["count"] >= floor]
-        for c in columns
-    }
-
-
-def hot_table(df: DataFrame, column: str, hot: Sequence[HotKey]) -> DataFrame:
-    """Hot keys as a small table `(column, _rows)`, typed like the key of `df`."""
-    key_type = df.schema[column].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(h.value, h.rows) for h in hot], f"`{column}` {key_type}, _rows bigint")
-
-
-def as_long(df: DataFrame, column: str) -> Column:
-    """An order column as a whole number that grows with it."""
+def as_long(df: DataFrame, column: str) -> Column | None:
+    """An order column as a whole number that grows with it; none for other kinds of columns."""
     kind = df.schema[column].dataType.typeName()
     if kind in ("timestamp", "timestamp_ntz"):
         return F.unix_micros(F.col(column).cast("timestamp"))
     if kind in ("byte", "short", "integer", "long"):
         return F.col(column).cast("long")
-    raise ValueError(f"cannot slice by {column} ({kind}); pass `slices`")
+    return None
 
 
 def default_slices(df: DataFrame, order_by: Sequence[str], rows: int = SLICE_ROWS) -> list[Column]:
@@ -64,12 +25,21 @@ def default_slices(df: DataFrame, order_by: Sequence[str], rows: int = SLICE_ROW
 
     The finest slice spans `rows` values of the last column, which is unique after the columns before it, so it holds
     at most `rows` records. When time leads the order there can be as many of those as records; they are then grouped
-    by second and by hour, each level small enough for the next.
+    by second and by hour, each level small enough for the next. An order that starts with text is not cut, and one
+    with text further back only by the columns before it: such a key stays whole where those are equal.
     """
-    *lead, last = [as_long(df, c) for c in order_by]
-    slices = [F.array(*lead, _div(last, rows))]
+    numbers = []
+    for column in order_by:
+        number = as_long(df, column)
+        if number is None:
+            break
+        numbers.append(number)
+    if not numbers:
+        return []
+    *lead, last = numbers
+    slices = [F.array(*lead, _div(last, rows) if len(numbers) == len(order_by) else last)]
     if len(order_by) > 1 and df.schema[order_by[0]].dataType.typeName().startswith("timestamp"):
-        slices += [F.array(_div(lead[0], 1_000_000)), F.array(_div(lead[0], 3_600_000_000))]
+        slices += [F.array(_div(numbers[0], 1_000_000)), F.array(_div(numbers[0], 3_600_000_000))]
     return slices
 
 

@@ -1,4 +1,4 @@
-"""Per-sensor aggregates, totals, run statistics and the summary document."""
+"""Per-sensor aggregates, totals, run statistics and the sections of the summary."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywire.functions.clock import iso_text
 from tallywire.functions.numbers import json_number, number_text, round_half_up
 from tallywire.functions.text import pad_left, pad_right
 from tallywire.operators.anomaly import ANOMALY_COLUMNS, DEFAULT_THRESHOLDS, Thresholds
@@ -17,9 +16,6 @@ from tallywire.session import stage
 
 WITH_NULLS = {"ignoreNullFields": "false"}
 
-# A nested document is one row, so it is only built for so many sensors and anomalies; beyond, use the sections.
-DOCUMENT_ITEMS = 100_000
-
 
 def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str = "sensor_id") -> DataFrame:
     """What is known of each sensor, in a form that merges: sums, extremes, counts and latest values.
@@ -166,6 +162,7 @@ def format_summary(summary: DataFrame, totals: DataFrame) -> DataFrame:
     # Fixed value: the column heads, spaced like the cells below them.
     head = "sensor      readings  avgT(C)  minT(C)  maxT(C)  maxVib  gaps  anomalies"
     lines = summary.select(F.lit(1).alias("part"), "sensor_id", F.concat_ws(" ", *cells).alias("line"))
+    # Fixed value: the words of the last line.
     closing = F.concat(
         F.lit("total: "), _number("readings"), F.lit(" readings, "), _number("anomalies"), F.lit(" anomalies, "),
         _number("duplicates"), F.lit(" duplicates, "), _number("out_of_order"), F.lit(" out-of-order, "),
@@ -193,14 +190,16 @@ def summary_sections(
     stats: DataFrame | None = None,
     order_by: Sequence[str] = LOG_ORDER,
     limits: Thresholds = DEFAULT_THRESHOLDS,
+    states: DataFrame | None = None,
 ) -> DataFrame:
     """The summary document cut into rows `(section, sensor_id, arrival, body)`, whole at any size.
 
     Sections are totals, thresholds, consumer (when `stats` is given), one `sensors` row per sensor and one
-    `anomalies` row per anomaly. `body` is the JSON of that part. `labelled` is read twice: pass a stored table.
+    `anomalies` row per anomaly. `body` is the JSON of that part. `labelled` is read twice: pass a stored table. `states` are the sensors' states when
+    they are known already.
     """
     # One row per sensor, read by two sections: written once rather than worked out twice.
-    states = stage(sensor_state(labelled, order_by), "states")
+    states = stage(sensor_state(labelled, order_by) if states is None else states, "states")
     nobody = F.lit(None).cast("string").alias("sensor_id")
     nowhen = F.lit(None).cast("array<bigint>").alias("arrival")
 
@@ -215,51 +214,16 @@ def summary_sections(
     if stats is not None:
         document = document.unionByName(stats.select(F.inline(F.array(section("consumer", stats_struct())))))
     sensors = summarize(states).select(F.lit("sensors").alias("section"), "sensor_id", nowhen, body(sensor_struct()))
-    arrival = F.array(*[as_long(labelled, c) for c in order_by]).alias("arrival")
+    places = [as_long(labelled, c) for c in order_by]
+    if any(p is None for p in places):
+        raise ValueError("anomalies are listed by whole numbers or times; order_by has other columns")
+    arrival = F.array(*places).alias("arrival")
     anomalies = _with_arrival(labelled, order_by).select(
         F.lit("anomalies").alias("section"), "sensor_id", arrival, body(anomaly_struct())
     )
     return document.unionByName(sensors).unionByName(anomalies)
 
 
-def summary_document(
-    labelled: DataFrame,
-    stats: DataFrame | None = None,
-    order_by: Sequence[str] = LOG_ORDER,
-    limits: Thresholds = DEFAULT_THRESHOLDS,
-    max_items: int = DOCUMENT_ITEMS,
-) -> DataFrame:
-    """The summary as one nested row. Refuses a log with more than `max_items` sensors or anomalies rather than
-    cutting them; `summary_sections` holds the same at any size."""
-    states = stage(sensor_state(labelled, order_by), "states")
-    size = state_totals(states).first()
-    if max(size["sensors"], size["anomalies"]) > max_items:
-        raise ValueError(
-            f"{size['sensors']} sensors and {size['anomalies']} anomalies do not fit one document of {max_items}; "
-            "use summary_sections"
-        )
-    sensors = summarize(states).agg(
-        _sorted_list(F.collate(F.col("sensor_id"), "UNICODE"), sensor_struct()).alias("sensors")
-    )
-    anomalies = _with_arrival(labelled, order_by).agg(
-        _sorted_list(F.struct(*order_by), anomaly_struct()).alias("anomalies")
-    )
-    head = state_totals(states).select(
-        iso_text(F.current_timestamp()).alias("generatedAt"),
-        totals_struct().alias("totals"),
-        thresholds_struct(limits).alias("thresholds"),
-        F.lit(1).alias("_one"),
-    )
-    # Each side is a single row, so this join by a constant pairs one row with one row.
-    document = head
-    sides = [sensors, anomalies]
-    if stats is not None:
-        sides.append(stats.select(stats_struct().alias("consumer")))
-    for side in sides:
-        document = document.join(side.withColumn("_one", F.lit(1)), "_one")
-    return document.drop("_one")
-
-
 def _with_arrival(labelled: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Anomalies of a labelled log together with their arrival."""
     extra = [c for c in order_by if c not in ANOMALY_COLUMNS]
@@ -361,11 +325,3 @@ def _number(column: str) -> Column:
 
 def _cell(column: str, width: int) -> Column:
     return pad_left(_number(column), width)
-
-
-def _sorted_list(order: Column, item: Column) -> Column:
-    def before(a: Column, b: Column) -> Column:
-        return F.when(a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0)
-
-    pairs = F.array_sort(F.collect_list(F.struct(order.alias("order"), item.alias("item"))), before)
-    return F.transform(pairs, lambda pair: pair["item"])

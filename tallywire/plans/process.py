@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywire.functions.text import utf16_prefix
 from tallywire.operators.anomaly import DEFAULT_THRESHOLDS, Thresholds, flag_anomalies
 from tallywire.operators.continuity import classify_continuity
 from tallywire.operators.dedup import mark_duplicates
-from tallywire.operators.records import RAW_LIMIT
-from tallywire.operators.skew import HotKey, hot_keys
 from tallywire.operators.validation import validate
 from tallywire.schema import FIELD_COLUMNS, LOG_ORDER
 from tallywire.session import stage
@@ -24,38 +21,33 @@ def label_log(
     readings: DataFrame,
     order_by: Sequence[str] = LOG_ORDER,
     limits: Thresholds = DEFAULT_THRESHOLDS,
-    tracked_limit: int | None = None,
-    hot: dict[str, Sequence[HotKey]] | None = None,
     slices: Sequence[Column] | None = None,
     seen: DataFrame | None = None,
     last: DataFrame | None = None,
-    stage_marks: bool = True,
+    key: str | Sequence[str] = "sensor_id",
+    store: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
     """Valid readings with `is_duplicate`, `previous_sequence`, `status`, `missing`, `is_anomaly`
     and `anomaly`.
 
-    Two shuffles: by event id for the duplicates, by sensor for continuity. The summary of the result groups by the
-    same sensor and needs no third one. With hot sensors the marked readings are written in between,
-    unless `stage_marks` is off. `seen` and `last` carry what earlier batches left behind.
+    Two shuffles of the whole log: by event id for the duplicates, by sensor and slice of arrival for continuity. The
+    marked readings are stored in between, since each slice's start and its rows both read them. `seen` and `last`
+    carry what earlier batches left behind; `key` is what a sequence counts by.
     """
-    if hot is None:
-        hot = hot_keys(readings, "event_id", "sensor_id")
-    marked = mark_duplicates(readings, order_by, "event_id", tracked_limit, hot["event_id"], seen)
-    if hot["sensor_id"] and stage_marks:
-        # Slices of hot sensors are read twice, for where each begins and for its rows; the marks are made once.
-        marked = stage(marked, "marked")
-    placed = classify_continuity(marked, order_by, hot=hot["sensor_id"], slices=slices, last=last)
+    marked = store(mark_duplicates(readings, order_by, "event_id", seen, store), "marked")
+    placed = classify_continuity(marked, order_by, key, slices=slices, last=last)
     return flag_anomalies(placed, limits)
 
 
 def check_log(raw: DataFrame, keep_payload: bool = True) -> DataFrame:
-    """Raw records parsed and validated, without key and headers. `raw` is the cut payload of those that failed; the
-    whole payload is kept for the audit log of good ones, or dropped."""
+    """Raw records parsed and validated, without key and headers. Those that failed carry their whole payload as `raw`
+    and the time of the check; the payload of good ones is kept for the audit log, or dropped."""
     checked = validate(raw)
     kept = [c for c in raw.columns if c not in ("key", "value", "headers", "payload")]
-    raw_text = F.when(F.col("reason").isNotNull(), utf16_prefix(F.col("payload"), RAW_LIMIT))
+    failed = F.col("reason").isNotNull()
+    failure = [F.when(failed, F.col("payload")).alias("raw"), F.when(failed, F.current_timestamp()).alias("dead_lettered_at")]
     payload = [F.when(F.col("reason").isNull(), F.col("payload")).alias("payload")] if keep_payload else []
-    return checked.select(*kept, *READING_COLUMNS, "event_time", "reason", "errors", raw_text.alias("raw"), *payload)
+    return checked.select(*kept, *READING_COLUMNS, "event_time", "reason", "errors", *failure, *payload)
 
 
 def process_log(

@@ -27,7 +27,7 @@ def audit_log(audit: DataFrame) -> DataFrame:
         F.when(~failed, event).alias("event"),
         "reason",
         F.when(failed, F.col("errors")).alias("errors"),
-        F.when(failed, iso_text(F.current_timestamp())).alias("deadLetteredAt"),
+        F.when(failed, iso_text(F.col("dead_lettered_at"))).alias("deadLetteredAt"),
         F.when(failed, source_struct()).alias("source"),
         F.when(failed, F.col("raw")).alias("raw"),
     )
@@ -46,11 +46,6 @@ def write_summary(sections: DataFrame, path: str) -> None:
     ordered.select("section", F.try_parse_json("body").alias("body")).write.mode("overwrite").json(path)
 
 
-def write_document(document: DataFrame, path: str) -> None:
-    """The one-row summary document, replacing an earlier one."""
-    document.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
-
-
 def write_report(report: DataFrame, path: str) -> None:
     report_lines(report).write.mode("overwrite").text(path)
 

@@ -19,7 +19,7 @@ ENVELOPE = T.StructType(
     ]
 )
 
-# JSON name -> (column, JSON type). The order is the order in which problems are listed.
+# JSON name -> (column, JSON type), as the wire format has them. The order is the order in which problems are listed.
 REQUIRED_FIELDS = {
     "schemaVersion": ("schema_version", "number"),
     "eventId": ("event_id", "string"),
@@ -51,6 +51,7 @@ AUDIT = T.StructType(
         T.StructField("reason", T.StringType()),
         T.StructField("errors", T.ArrayType(T.StringType())),
         T.StructField("raw", T.StringType()),
+        T.StructField("dead_lettered_at", T.TimestampType()),
         T.StructField("payload", T.StringType()),
         T.StructField("is_duplicate", T.BooleanType()),
         T.StructField("previous_sequence", T.DoubleType()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,18 +44,22 @@ def build_session(master: str | None = None, app_name: str = "tallywire", **conf
     return prepare(builder.getOrCreate())
 
 
+_LOCAL: list[str] = []
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the one the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a folder of its own: on a cluster a machine-local folder would
-    vanish with its executor, so there the setting is required.
+    A machine-local folder would vanish with its executor, so on a cluster the setting is required. Only a local
+    session without it, as in a trial, gets a folder of its own; the session's settings stay as they are.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="tallywire-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        if not _LOCAL:
+            _LOCAL.append(tempfile.mkdtemp(prefix="tallywire-"))
+        root = _LOCAL[0]
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -62,8 +67,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as a table in the shared folder and read it back.
 
     Cuts the lineage, so lost executors never force the work above it to run again, and later passes read only the
-    columns they need.
+    columns they need. The table stays until the owner of the folder clears it, as results are read from it lazily.
     """
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    return _stored(df, work_dir(df.sparkSession, label))
+
+
+def stage_below(path: str) -> Callable[[DataFrame, str], DataFrame]:
+    """Like `stage`, but in a folder of the caller's, one table for each label, replaced whenever it is written again."""
+    return lambda df, label: _stored(df, f"{path}/{label}")
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

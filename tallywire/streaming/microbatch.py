@@ -6,21 +6,25 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywire.operators.anomaly import ANOMALY_COLUMNS, DEFAULT_THRESHOLDS, Thresholds
 from tallywire.operators.records import anomaly_records, dead_letter_records, dead_letters
-from tallywire.operators.summary import sensor_state, state_totals, summarize
+from tallywire.operators.summary import run_stats, sensor_state, state_totals, summarize, summary_sections
 from tallywire.plans.process import check_log, label_checked
-from tallywire.plans.sinks import write_audit
+from tallywire.plans.sinks import write_audit, write_summary
 from tallywire.schema import AUDIT, DUPLICATE, ENVELOPE, LOG_ORDER
-from tallywire.session import prepare
+from tallywire.session import prepare, stage_below
 from tallywire.streaming.state import LogState, read_batches
 
 # A publisher gets `(key, value, headers)` records and the kind of record: "anomalies" or "dead_letters".
 Publisher = Callable[[DataFrame, str], None]
 
 
+FINISHED = T.StructType([T.StructField("finished_at", T.TimestampType())])
+
+
 class LogStream:
     """A record log worked off in micro-batches below one folder.
 
@@ -28,12 +32,15 @@ class LogStream:
     anomalies/     records ready to publish
     dead_letters/  records ready to publish
     state/         seen ids and sensor states
-    summary/       the running summary, when asked for
+    finished/      a row for each batch all of whose tables are written
+    summary/       the sections of the summary as JSON lines, at the end of each run
     audit_json/    the audit log as JSON lines, when asked for
+    work/          tables of the batch at hand
 
     Everything but the summary is written to a folder per batch, replacing what a failed attempt left there, before
     Spark records the batch as done. A batch that fails anywhere is therefore repeated as a whole: tables hold each
-    record once, and a publisher may see one again.
+    record once, and a publisher may see one again. `audit`, `summary`, `totals`, `states` and `sections` answer at any
+    time, from the batches that are finished.
     """
 
     def __init__(
@@ -45,9 +52,7 @@ class LogStream:
         publish: Publisher | None = None,
         keep_payload: bool = False,
         audit_json: bool = False,
-        summary_every: int | None = None,
         compact_every: int = 100,
-        remember_batches: int | None = None,
     ):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
@@ -56,24 +61,25 @@ class LogStream:
         self.publish = publish
         self.keep_payload = keep_payload or audit_json
         self.audit_json = audit_json
-        self.summary_every = summary_every
         good = spark.createDataFrame([], AUDIT).withColumn("batch_id", F.lit(0).cast("long"))
         state_schema = sensor_state(good, ("batch_id", *self.order_by)).schema
-        self.state = LogState(spark, f"{self.root}/state", state_schema, compact_every, remember_batches)
+        self.state = LogState(spark, f"{self.root}/state", state_schema, compact_every)
 
     def start(self, log: DataFrame, **trigger) -> StreamingQuery:
         """Run over a streaming log; `trigger` is Spark's, by default everything there is and then stop."""
         writer = log.writeStream.foreachBatch(self.process).option("checkpointLocation", f"{self.root}/checkpoint")
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
+    def run(self, log: DataFrame, **trigger) -> None:
+        """Work off what there is, and leave the summary of everything so far behind."""
+        self.start(log, **trigger).awaitTermination()
+        write_summary(self.sections(), f"{self.root}/summary")
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """One micro-batch, complete and repeatable."""
-        checked = check_log(batch.select(*ENVELOPE.fieldNames()), self.keep_payload).persist()
+        checked = self._store(check_log(batch.select(*ENVELOPE.fieldNames()), self.keep_payload), "checked")
         path = f"{self.root}/audit/batch_id={batch_id}"
-        try:
-            self._labelled(checked, batch_id).write.mode("overwrite").parquet(path)
-        finally:
-            checked.unpersist()
+        self._labelled(checked, batch_id).write.mode("overwrite").parquet(path)
 
         # From here on everything reads its columns of what was just written.
         stored = self.spark.read.schema(AUDIT).parquet(path).withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -85,12 +91,17 @@ class LogStream:
         if self.audit_json:
             write_audit(stored, f"{self.root}/audit_json/batch_id={batch_id}", "overwrite")
         self.state.write(batch_id, stored, self.order_by)
-        if self.summary_every and batch_id % self.summary_every == 0:
-            self.summary(batch_id).write.mode("overwrite").parquet(f"{self.root}/summary")
+        done = self.spark.range(1).select(F.current_timestamp().alias("finished_at"))
+        done.write.mode("overwrite").parquet(f"{self.root}/finished/batch_id={batch_id}")
+
+    def last_batch(self) -> int:
+        """The last finished batch, -1 when there is none."""
+        done = read_batches(self.spark, f"{self.root}/finished", FINISHED).agg(F.max("batch_id")).first()[0]
+        return -1 if done is None else done
 
     def audit(self) -> DataFrame:
-        """The audit table so far, with `batch_id`."""
-        return read_batches(self.spark, f"{self.root}/audit", AUDIT)
+        """The audit table of the finished batches, with `batch_id`."""
+        return read_batches(self.spark, f"{self.root}/audit", AUDIT).where(F.col("batch_id") <= self.last_batch())
 
     def summary(self, through: int | None = None) -> DataFrame:
         """Per-sensor summary of all batches, or of those through the given one."""
@@ -100,15 +111,24 @@ class LogStream:
         return state_totals(self.states(through))
 
     def states(self, through: int | None = None) -> DataFrame:
-        if through is None:
-            through = self.audit().agg(F.max("batch_id")).first()[0]
-        return self.state.sensors_before(-1 if through is None else through + 1)
+        return self.state.sensors_before((self.last_batch() if through is None else through) + 1)
+
+    def sections(self) -> DataFrame:
+        """Totals, thresholds, sensors, anomalies and the counters of the run, of the finished batches."""
+        audit = self.audit()
+        good = audit.where(F.col("reason").isNull())
+        order = ("batch_id", *self.order_by)
+        sections = summary_sections(good, run_stats(audit), order, self.limits, self.states())
+        # Arrival as the log has it, without the batch.
+        return sections.withColumn("arrival", F.slice("arrival", 2, len(self.order_by)))
+
+    def _store(self, df: DataFrame, label: str) -> DataFrame:
+        return stage_below(f"{self.root}/work")(df, label)
 
     def _labelled(self, checked: DataFrame, batch_id: int) -> DataFrame:
         seen = self.state.ids_before(batch_id)
         last = self.state.sensors_before(batch_id).select("sensor_id", "last_sequence")
-        # A stream never ends, so it leaves no staged tables behind; its batches are small enough to mark twice.
-        return label_checked(checked, self.order_by, self.limits, seen=seen, last=last, stage_marks=False)
+        return label_checked(checked, self.order_by, self.limits, seen=seen, last=last, store=self._store)
 
     def _emit(self, kind: str, records: DataFrame, batch_id: int) -> None:
         path = f"{self.root}/{kind}/batch_id={batch_id}"

@@ -30,22 +30,17 @@ class LogState:
         path: str,
         state_schema: T.StructType,
         compact_every: int = 100,
-        remember_batches: int | None = None,
     ):
         self.spark = spark
         self.path = path
         self.state_schema = state_schema
         self.compact_every = compact_every
-        self.remember_batches = remember_batches
 
     def ids_before(self, batch_id: int) -> DataFrame:
-        """Every id seen before the batch, or in the last `remember_batches` before it."""
-        oldest = 0 if self.remember_batches is None else batch_id - self.remember_batches
+        """Every id seen before the batch, each once."""
         merged = self._last_merge(batch_id)
-        # A merged folder is named after its last batch, so it is kept as long as any of its batches counts.
-        folders = [i for i in range(self.compact_every, merged + 1, self.compact_every) if i >= oldest]
-        recent = [i for i in range(merged + 1, batch_id) if i >= oldest]
-        return self._read("ids_merged", folders).unionByName(self._read("ids", recent))
+        folders = range(self.compact_every, merged + 1, self.compact_every)
+        return self._read("ids_merged", folders).unionByName(self._read("ids", range(merged + 1, batch_id)))
 
     def sensors_before(self, batch_id: int) -> DataFrame:
         """One state per sensor, of everything before the batch."""

@@ -1,4 +1,4 @@
-"""De-duplication and continuity, against a plain loop over the log, with and without hot keys."""
+"""De-duplication and continuity, against their definitions, on logs with hot keys and any choice of slices."""
 
 import random
 
@@ -9,27 +9,28 @@ from pyspark.sql import functions as F
 from tallywire.operators.continuity import classify_continuity, ordering_report, partition_spread
 from tallywire.operators.dedup import mark_duplicates
 from tallywire.operators.running import running
-from tallywire.operators.skew import HotKey, default_slices, hot_keys
-
-
-def replay(readings, tracked=None, seen=(), last=None):
-    """The log one record after the other."""
-    seen, last, out = set(seen), dict(last or {}), []
-    for r in readings:
-        previous = last.get(r["sensorId"], 0)
-        if r["eventId"] in seen:
-            out.append(("duplicate", 0.0))
-            continue
-        if tracked is None or len(seen) < tracked:
-            seen.add(r["eventId"])
-        status, missing = "accepted", 0.0
-        if previous and r["sequence"] < previous:
-            status = "out_of_order"
-        elif previous and r["sequence"] > previous + 1:
-            status, missing = "gap", float(r["sequence"] - previous - 1)
-        last[r["sensorId"]] = max(previous, r["sequence"])
-        out.append((status, missing))
-    return out
+from tallywire.operators.skew import default_slices
+
+
+def defined(readings, seen=(), last=None):
+    """Status and missing of every record, each worked out by itself from the records before it."""
+    first = {}
+    for at, r in enumerate(readings):
+        first.setdefault(r["eventId"], at)
+    counts = [first[r["eventId"]] == at and r["eventId"] not in seen for at, r in enumerate(readings)]
+
+    def judged(at):
+        own = readings[at]
+        if not counts[at]:
+            return "duplicate", 0.0
+        earlier = [r["sequence"] for r, c in zip(readings[:at], counts) if c and r["sensorId"] == own["sensorId"]]
+        highest = max([0, (last or {}).get(own["sensorId"], 0), *earlier])
+        step = own["sequence"] - highest
+        if highest == 0 or step in (0, 1):
+            return "accepted", 0.0
+        return ("gap", float(step - 1)) if step > 1 else ("out_of_order", 0.0)
+
+    return [judged(at) for at in range(len(readings))]
 
 
 def random_log(seed, size=400):
@@ -52,49 +53,46 @@ def small_slices(log):
     return [*default_slices(log, ("partition", "offset"), rows=16), *hour]
 
 
-@pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("hot", [False, True])
-def test_against_replay(spark, seed, hot, monkeypatch):
-    monkeypatch.setattr("tallywire.operators.dedup.SLICE_ROWS", 20)
+@pytest.mark.parametrize("seed, cut", [(0, True), (1, True), (2, False), (3, None)])
+def test_against_definition(spark, seed, cut):
     readings = random_log(seed)
     log = typed_log(spark, readings)
-    found = hot_keys(log, "event_id", "sensor_id", share=0.1, min_rows=10) if hot else {"event_id": [], "sensor_id": []}
-    if hot:
-        assert [k.value for k in found["event_id"]] == ["again"] and "s0" in [k.value for k in found["sensor_id"]]
-    marked = mark_duplicates(log, hot=found["event_id"])
-    placed = classify_continuity(marked, hot=found["sensor_id"], slices=small_slices(log) if hot else None)
-    assert statuses(placed) == replay(readings)
+    slices = small_slices(log) if cut else [] if cut is None else None
+    placed = classify_continuity(mark_duplicates(log), slices=slices)
+    assert statuses(placed) == defined(readings)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_continues_from_earlier_batches(spark, hot):
+@pytest.mark.parametrize("cut", [False, True])
+def test_continues_from_earlier_batches(spark, cut):
     readings = random_log(9)
     seen, last = ["again", "e7", "e11", "e250"], {"s0": 30, "s3": 10, "unknown": 4}
     log = typed_log(spark, readings)
     ids = spark.createDataFrame([(i,) for i in seen], "event_id string")
     states = spark.createDataFrame([(k, float(v)) for k, v in last.items()] + [("s1", None)], "sensor_id string, last_sequence double")
-    found = {"event_id": [HotKey("again", 130), HotKey("e11", 1)], "sensor_id": [HotKey("s0", 130), HotKey("s1", 40)]}
-    found = found if hot else {"event_id": [], "sensor_id": []}
-    marked = mark_duplicates(log, hot=found["event_id"], seen=ids)
-    placed = classify_continuity(
-        marked, hot=found["sensor_id"], slices=small_slices(log) if hot else None, last=states
-    )
-    assert statuses(placed) == replay(readings, seen=seen, last=last)
+    marked = mark_duplicates(log, seen=ids)
+    placed = classify_continuity(marked, slices=small_slices(log) if cut else None, last=states)
+    assert statuses(placed) == defined(readings, seen=seen, last=last)
 
 
-@pytest.mark.parametrize("limit", [1, 25, 5000])
-def test_tracked_ids(spark, limit):
-    readings = random_log(3)
-    placed = classify_continuity(mark_duplicates(typed_log(spark, readings), tracked_limit=limit))
-    assert statuses(placed) == replay(readings, tracked=limit)
+def test_null_ids_and_null_sensors(spark):
+    rows = [(None, None, 0, 1.0), (None, None, 1, 5.0), ("a", None, 2, 4.0), ("a", "s", 3, 9.0), (None, "s", 4, 3.0)]
+    log = spark.createDataFrame(rows, "event_id string, sensor_id string, offset bigint, sequence double")
+    placed = classify_continuity(mark_duplicates(log, ("offset",)), ("offset",))
+    # Rows without an id are no duplicates of each other; rows without a sensor are a sensor of their own.
+    assert [r.status for r in placed.orderBy("offset").collect()] == ["accepted", "gap", "out_of_order", "duplicate", "accepted"]
 
 
-def test_tracked_ids_and_seen_ids_exclude_each_other(spark):
-    log = typed_log(spark, [reading()])
-    with pytest.raises(ValueError):
-        mark_duplicates(log, tracked_limit=1, seen=log)
-    with pytest.raises(ValueError):
-        mark_duplicates(log, tracked_limit=2_000_000)
+def test_plan_before_labelling_has_no_single_partition(spark):
+    log = typed_log(spark, random_log(1))
+    plan = classify_continuity(mark_duplicates(log))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_key_of_two_columns(spark):
+    rows = [("s", "r1", 0, 1.0), ("s", "r2", 1, 7.0), ("s", "r1", 2, 2.0), ("s", None, 3, 1.0), ("s", "r2", 4, 6.0), ("s", None, 5, 4.0)]
+    log = spark.createDataFrame(rows, "sensor_id string, run string, offset bigint, sequence double")
+    placed = classify_continuity(log, ("offset",), key=("sensor_id", "run")).orderBy("offset").collect()
+    assert [r.status for r in placed] == ["accepted", "accepted", "accepted", "accepted", "out_of_order", "gap"]
 
 
 @pytest.mark.parametrize("how", ["max", "sum"])
@@ -110,20 +108,19 @@ def test_running_by_time(spark, how):
     order = ("ts", "offset")
     levels = default_slices(df, order, rows=10)
     assert len(levels) == 3
-    got = running(df, "before", how, F.col("value"), "key", order, hot=[HotKey("k", 150), HotKey("k2", 20)], slices=levels)
+    got = running(df, "before", how, F.col("value"), "key", order, slices=levels)
     want, totals = {}, {}
     for key, _, offset, value in sorted(rows, key=lambda r: (r[1], r[2])):
         want[offset] = totals.get(key)
         totals[key] = value if key not in totals else (max(totals[key], value) if how == "max" else totals[key] + value)
-    # A sum that starts from nothing may come as 0 for a hot key.
-    clean = lambda v: (v or 0.0) if how == "sum" else v
-    assert {r.offset: clean(r.before) for r in got.collect()} == {o: clean(v) for o, v in want.items()}
+    assert {r.offset: r.before for r in got.collect()} == want
 
 
-def test_slices_of_unsliceable_order(spark):
-    df = spark.createDataFrame([("a", "b")], "key string, place string")
-    with pytest.raises(ValueError):
-        default_slices(df, ("place",))
+def test_order_by_text(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "b", 5.0), ("a", "c", 2.0)], "key string, place string, value double")
+    got = running(df, "before", "max", F.col("value"), "key", ("place",))
+    assert {r.place: r.before for r in got.collect()} == {"b": None, "c": 5.0, "x": 5.0}
+    assert default_slices(df, ("place",)) == []
 
 
 def test_gap_then_late(spark):
@@ -139,10 +136,3 @@ def test_ordering_report_and_spread(spark):
     got = {r.arrival_order: (r.readings, r.out_of_order, r.gaps, r.missing) for r in report.collect()}
     assert got == {"published": (5, 0, 0, 0.0), "read": (5, 1, 1, 1.0)}
     assert [tuple(r) for r in partition_spread(log).collect()] == [("s", 2)]
-
-
-def test_hot_keys_bounds(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id")).alias("k"))
-    assert [tuple(h) for h in hot_keys(df, "k", share=0.1, min_rows=1)["k"]] == [(1, 400)]
-    assert hot_keys(df, "k")["k"] == []
-    assert hot_keys(df.where("false"), "k", share=0.1, min_rows=1)["k"] == []

@@ -28,11 +28,10 @@ from tallywire.operators.summary import (
     sensor_summary,
     sorted_by_sensor,
     summarize,
-    summary_document,
     summary_sections,
 )
 from tallywire.plans.process import label_log, process_log
-from tallywire.plans.sinks import write_audit, write_document, write_records, write_report, write_summary
+from tallywire.plans.sinks import write_audit, write_records, write_report, write_summary
 
 
 def headers(row):
@@ -185,31 +184,24 @@ def test_audit_file(spark, tmp_path):
         assert bad["source"] == {"topic": "t", "partition": 0, "offset": "1"} and bad["raw"] == "{"
 
 
-def test_summary_document(spark, tmp_path):
+def test_summary_sections(spark, tmp_path):
     readings = [reading("b"), reading("a", temperatureC=99), reading("b", 5, temperatureC=-11.5, rackId=...)]
     audit = process_log(raw_log(spark, readings))
     labelled, stats = audit.where("reason IS NULL"), run_stats(audit)
-    write_document(summary_document(labelled, stats), str(tmp_path / "document"))
-    (line,) = spark.read.text(str(tmp_path / "document")).collect()
-    document = json.loads(line.value)
-    assert list(document) == ["generatedAt", "totals", "thresholds", "sensors", "anomalies", "consumer"]
-    assert document["thresholds"] == {"anomalyHighC": 80, "anomalyLowC": -10, "vibrationThresholdMmS": 5}
-    assert document["totals"]["missingReadings"] == 3 and document["consumer"]["consumed"] == 3
-    assert [s["sensorId"] for s in document["sensors"]] == ["a", "b"]
-    assert document["anomalies"][1] == {
-        "eventId": "b-5", "sensorId": "b", "rackId": None, "ts": "2026-09-30T10:00:05.000Z", "sequence": 5,
-        "temperatureC": -11.5, "vibrationMmS": 0.1, "reason": "temperatureC -11.5 < -10",
-    }
-
     write_summary(summary_sections(labelled, stats), str(tmp_path / "sections"))
     parts = {}
     for row in spark.read.text(str(tmp_path / "sections")).collect():
         part = json.loads(row.value)
         parts.setdefault(part["section"], []).append(part["body"])
-    assert parts["sensors"] == document["sensors"] and parts["anomalies"] == document["anomalies"]
-    assert parts["totals"] == [document["totals"]] and parts["consumer"] == [document["consumer"]]
-    with pytest.raises(ValueError):
-        summary_document(labelled, max_items=1)
+    # Sensors by their ids, anomalies by arrival.
+    assert [p["sensorId"] for p in parts["sensors"]] == ["a", "b"]
+    assert [p["eventId"] for p in parts["anomalies"]] == ["a-1", "b-5"]
+    assert parts["thresholds"] == [{"anomalyHighC": 80, "anomalyLowC": -10, "vibrationThresholdMmS": 5}]
+    assert parts["totals"][0]["missingReadings"] == 3 and parts["consumer"][0]["consumed"] == 3
+    assert parts["anomalies"][1] == {
+        "eventId": "b-5", "sensorId": "b", "rackId": None, "ts": "2026-09-30T10:00:05.000Z", "sequence": 5,
+        "temperatureC": -11.5, "vibrationMmS": 0.1, "reason": "temperatureC -11.5 < -10",
+    }
 
 
 def test_ids(spark):
@@ -242,7 +234,7 @@ def test_message_keys(spark):
     assert [r.key for r in with_message_key(log, "roundrobin").collect()] == [None, None]
     keys = [r.key for r in with_message_key(log, "random", 7).orderBy("offset").collect()]
     assert keys == [r.key for r in with_message_key(log, "random", 7).orderBy("offset").collect()]
-    assert len(set(keys)) == 2 and all(0 < len(k) <= 8 and k.isalnum() for k in keys)
+    assert len(set(keys)) == 2 and all(len(k) == 12 and k.isalnum() for k in keys)
     with pytest.raises(ValueError, match="unknown key mode: other"):
         with_message_key(log, "other")
 
