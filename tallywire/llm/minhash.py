@@ -9,19 +9,22 @@ and text are read, whatever else the table holds.
 
 Candidates are classes that agree on one of 32 bands of 4 minima, which a pair at the limit misses once in 200,000
 times. In a bucket all members are compared with one hub instead of with each other, so a large group of copies costs
-one comparison a member. Buckets whose members are then still in different components are finished by comparing across
-components; buckets of more than `SMALL` members first narrow down to members that agree on a second band.
+one comparison a member; the hub is the member that shares most buckets with most others, which is the copy that is
+changed least. Buckets whose members are then still in different components are finished by comparing across
+components. A pair is made only in the first bucket it shares, and only if longer signatures of `FINE` minima, four
+bits of each, agree as often as those of a linked pair do but for four standard deviations; all such pairs are then
+held against the full sets. Nothing is capped: this last step grows with the pairs that are almost alike, not with the
+square of a group of copies, whose members the hubs have joined.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywire.llm.common import NO_ID, id_column, sequence_hashes, slices, stage, word_hashes, words
 from tallywire.llm.graph import components
@@ -32,11 +35,14 @@ ROWS, BANDS = 4, 32
 HASHES = ROWS * BANDS
 # Signatures of a pair at the limit agree less often than this once in 50,000 times (four standard deviations).
 AGREE = 75
-SMALL = 32
+FINE = 512
+FINE_AGREE = 352
 
 _DRAW = np.random.default_rng(20240229)
 _FACTORS = (_DRAW.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
 _ADDENDS = _DRAW.integers(0, 2**64, HASHES, dtype=np.uint64)[:, None]
+_FINE_FACTORS = (_DRAW.integers(0, 2**63, FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1))[:, None]
+_FINE_ADDENDS = _DRAW.integers(0, 2**64, FINE, dtype=np.uint64)[:, None]
 
 
 def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -47,15 +53,27 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     return np.unique(sequence_hashes(hashes, min(width, len(hashes))))
 
 
-def signature(found: np.ndarray) -> np.ndarray:
-    """The upper halves of the minima of `HASHES` universal hash functions (multiply and add modulo 2**64)."""
-    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
+def _minima(found: np.ndarray, factors: np.ndarray, addends: np.ndarray) -> np.ndarray:
+    """The minima of universal hash functions (multiply and add modulo 2**64) over a set."""
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
         for at in range(0, len(found), 1024):
-            hashed = _FACTORS * found[None, at : at + 1024]
-            hashed += _ADDENDS
+            hashed = factors * found[None, at : at + 1024]
+            hashed += addends
             np.minimum(least, hashed.min(axis=1), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+    return least
+
+
+def signature(found: np.ndarray) -> np.ndarray:
+    """The upper halves of the `HASHES` minima of a set."""
+    return (_minima(found, _FACTORS, _ADDENDS) >> np.uint64(32)).astype("<u4")
+
+
+def fine_signature(found: np.ndarray) -> np.ndarray:
+    """Four bits of each of `FINE` minima, sixteen to a long."""
+    bits = (_minima(found, _FINE_FACTORS, _FINE_ADDENDS) >> np.uint64(36)) & np.uint64(15)
+    shifts = np.arange(0, 64, 4, dtype=np.uint64)
+    return np.bitwise_or.reduce(bits.reshape(-1, 16) << shifts, axis=1).view(np.int64)
 
 
 def _node(found: np.ndarray) -> int:
@@ -119,63 +137,87 @@ def _mixed(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(32))
 
 
-def _members(classes: DataFrame, bands: int) -> DataFrame:
-    """node, size, key of every bucket that a class is in: those of single bands, or of each two bands."""
-    left, right = np.array(list(combinations(range(BANDS), 2))).T
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            keys = _band_keys(np.frombuffer(b"".join(part["signature"].to_pylist()), "<u4").reshape(-1, HASHES))
+            own = [np.repeat(part[c].to_numpy(), BANDS) for c in ("node", "size")]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, own), pa.array(keys.ravel().view(np.int64))], ["node", "size", "key"])
 
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                keys = _band_keys(np.frombuffer(b"".join(part["signature"].to_pylist()), "<u4").reshape(-1, HASHES))
-                if bands == 2:
-                    keys = _mixed(keys[:, left], keys[:, right])
-                own = [np.repeat(part[c].to_numpy(), keys.shape[1]) for c in ("node", "size")]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, own), pa.array(keys.ravel().view(np.int64))], ["node", "size", "key"])
 
-    return classes.select("node", "size", "signature").mapInArrow(step, "node long, size long, key long")
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch["shingles"]]
+        fine = [fine_signature(s).tolist() for s in sets]
+        keys = [_band_keys(signature(s)).ravel().view(np.int64).tolist() for s in sets]
+        longs = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays([batch["node"], pa.array(fine, longs), pa.array(keys, longs)], ["node", "fine", "keys"])
 
 
-def _hub_pairs(members: DataFrame) -> DataFrame:
-    """a, b: the hub of each bucket (column key) with every other member; a hub has the smallest node.
+def _shared_buckets(classes: DataFrame) -> DataFrame:
+    """node, size, key, pop of every class in each bucket that has others; pop counts the others in all its buckets."""
+    members = classes.select("node", "size", "signature").mapInArrow(_members, "node long, size long, key long")
+    counts = stage(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+    shared = stage(members.join(counts, "key"), "members")
+    popular = stage(shared.groupBy("node").agg(F.sum(F.col("n") - 1).alias("pop")), "popular")
+    return stage(shared.drop("n").join(popular, "node"), "ranked")
 
-    Hubs are stored first: a join can split a hot bucket only if both its sides come from a shuffle of their own.
-    """
-    hubs = members.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    hubs = stage(hubs, "hubs")
-    return members.join(hubs, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
 
+def _hub_pairs(ranked: DataFrame) -> DataFrame:
+    """a, b: the hub of each bucket, its most popular member, with every other member.
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """a, b: members of the same bucket in different components that are of a similar size."""
-    left = members.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"))
-    right = members.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"))
-    near = f"ra < rb AND 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
-    return left.join(right, "key").where(near).select("a", "b").distinct()
+    Hubs are stored first: a join can split a hot bucket only if both its sides come from a shuffle of their own.
+    """
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("pop", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub"))
+    near = ranked.join(stage(hubs, "hubs"), "key").where("node <> hub")
+    return near.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree often enough and whose full sets then prove the link."""
-    outline = classes.select("node", "size", "signature")
-    a = outline.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("signature").alias("sa"))
-    b = outline.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("signature").alias("sb"))
+def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs of similar size whose signatures agree often enough."""
+    a = classes.select(F.col("node").alias("a"), F.col("size").alias("na"), F.col("signature").alias("sa"))
+    b = classes.select(F.col("node").alias("b"), F.col("size").alias("nb"), F.col("signature").alias("sb"))
     near = f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
     alike = pairs.join(a, "a").join(b, "b").where(near).select("a", "b", "sa", "sb")
-    alike = stage(alike.mapInArrow(_agreeing, "a long, b long"), "alike")
-    nodes = alike.select(F.col("a").alias("node")).unionByName(alike.select(F.col("b").alias("node"))).distinct()
-    wanted = classes.join(nodes, "node", "left_semi").select("id")
-    sets = texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
-    sets = stage(sets.join(nodes, "node", "left_semi"), "sets")
+    return stage(alike.mapInArrow(_agreeing, "a long, b long"), "alike")
+
+
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets prove the link."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("la"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("lb"))
-    return stage(alike.join(left, "a").join(right, "b").mapInArrow(_linked, "a long, b long"), "links")
+    return stage(pairs.join(left, "a").join(right, "b").mapInArrow(_linked, "a long, b long"), "links")
+
+
+def _open(ranked: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, size, key, root of the members of buckets that hold several components."""
+    rooted = ranked.drop("pop").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = stage(rooted, "rooted")
+    kept = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return stage(rooted.join(stage(kept.where("lo < hi").select("key"), "mixed-buckets"), "key", "left_semi"), "open-buckets")
 
 
-def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, with their root and the size of the bucket as `n`."""
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    return rooted.join(stage(kept.where("lo < hi").select("key", "n"), "mixed-buckets"), "key")
+def _nibbles_apart(a: Column, b: Column) -> Column:
+    """In how many of its sixteen groups of four bits a long differs from another."""
+    x = a.bitwiseXOR(b)
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+    x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+    return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+
+
+def _cross_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: members of different components in a bucket, the first they share, that can be linked by size and signature."""
+    fine = stage(sets.join(members.select("node").distinct(), "node", "left_semi").mapInArrow(_fine, "node long, fine array<long>, keys array<long>"), "fine")
+    told = stage(members.join(fine, "node"), "told")
+    a = told.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("size").alias("na"), F.col("fine").alias("fa"), F.col("keys").alias("ka"))
+    b = told.select(F.col("key").alias("other"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("size").alias("nb"), F.col("fine").alias("fb"), F.col("keys").alias("kb"))
+    apart = sum((_nibbles_apart(F.get("fa", F.lit(i)), F.get("fb", F.lit(i))) for i in range(FINE // 16)), F.lit(0))
+    common = F.zip_with("ka", "kb", lambda x, y: F.when(x == y, x))
+    first = F.get(F.filter(common, lambda k: k.isNotNull()), F.lit(0))
+    near = F.expr(f"ra < rb AND 100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
+    able = (F.col("key") == F.col("other")) & near & (apart <= FINE - FINE_AGREE) & (first == F.col("key"))
+    return stage(a.join(b, able).select("a", "b"), "cross-pairs")
 
 
 def _tied(roots: DataFrame) -> DataFrame:
@@ -192,21 +234,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     classes = stage(classes, "classes")
 
-    members = _members(classes, 1)
-    links = _verified(_hub_pairs(members), classes, texts)
-    roots = stage(components(links), "roots")
-
-    left = stage(_open(members, roots), "open-buckets")
-    if not left.isEmpty():
-        more = _verified(_cross_pairs(left.where(f"n <= {SMALL}")), classes, texts)
-        wide = stage(left.where(f"n > {SMALL}").select("node").distinct(), "wide-nodes")
-        if not wide.isEmpty():
-            members = stage(_members(classes.join(wide, "node", "left_semi"), 2), "pair-buckets")
-            more = more.unionByName(_verified(_hub_pairs(members), classes, texts))
-            roots = components(_tied(roots).unionByName(more))
-            more = _verified(_cross_pairs(_open(members, roots)), classes, texts)
-        roots = components(_tied(roots).unionByName(more))
-        roots = stage(roots, "roots")
+    ranked = _shared_buckets(classes)
+    alike = _alike(_hub_pairs(ranked), classes)
+    # The sets of all that share a bucket with another, made in one pass over the texts.
+    nodes = stage(ranked.select("node").distinct(), "nodes")
+    wanted = classes.join(nodes, "node", "left_semi").select("id")
+    sets = texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
+    sets = stage(sets.join(nodes, "node", "left_semi"), "sets")
+    roots = stage(components(_links(alike, sets)), "roots")
+
+    members = _open(ranked, roots)
+    if not members.isEmpty():
+        more = _links(_cross_pairs(members, sets), sets)
+        roots = stage(components(_tied(roots).unionByName(more)), "roots")
 
     linked = classes.select("node", "id").join(roots, "node")
     first = stage(linked.groupBy("root").agg(F.min("id").alias("component_id")), "component-ids")
