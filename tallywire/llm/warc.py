@@ -21,7 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallywire.llm.common import NO_ID, id_column, stage
 from tallywire.session import work_dir
@@ -34,7 +34,7 @@ CLOSING = "\r\n\r"
 _NUMBER = re.compile(rb"[0-9]{1,18}")
 
 
-def _header(name: str, value) -> F.Column:
+def _header(name: str, value) -> Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
 
 

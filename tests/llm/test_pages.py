@@ -17,7 +17,7 @@ def page(i, extra="", body=None):
     said = body or f"<h1>Title {i}</h1><p>First &amp; <b>bold</b> text\n of {i}.<p>Second&nbsp;para &lt;{i}&gt;<ul><li>one {i}<li>two {i}</ul>"
     return (
         f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><header>Site</header><nav><a>menu {i}</a></nav>"
-        f"<div class='cookie-notice'>We use cookies {i}</div><article>{said}<p class=promo-line>Join our list now.</p>{extra}"
+        f"<div class='cookie-notice'>We use cookies {i}</div><article>{said}<p class=closing>Join our list now.</p>{extra}"
         f"<div id='comments'><article><p>reader {i}</p></article></div><form><p>your mail {i}</p></form></article><aside>side {i}</aside>"
         f"<script>if (a < b) document.write('<p>no</p>')</script><footer>foot {i}</footer></body></html>"
     )
