@@ -36,7 +36,26 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", digest)
 
 
-@query()
+@query(r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM words WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS s FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM words
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+found AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM found LEFT JOIN sizes USING (doc_id)
+""")
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its shingle set and the smallest document of its component."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
