@@ -76,10 +76,11 @@ def test_licences(spark, documents):
         "Released under the MIT License.": "MIT",
         "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
         "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        "All rights reserved.": "Proprietary",
     }
     for r in found:
         text = dict(documents)[r.doc_id] or ""
-        places = sorted((text.find(line, at), name) for line, name in lines.items() for at in [0] if line in text)
+        places = sorted((m.start(), name) for line, name in lines.items() for m in re.finditer(re.escape(line), text))
         assert [x.split(":")[0] for x in r.licences.split(",") if x] == [name for _, name in places]
 
 
