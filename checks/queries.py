@@ -285,8 +285,8 @@ def audit_table(spark, sf_dir):
         "partition",
         "offset",
         "status",
-        F.variant_get("event", "$.eventId", "string").alias("event_id"),
-        F.variant_get("event", "$.temperatureC", "double").alias("temperature_c"),
+        F.get_json_object("event", "$.eventId").alias("event_id"),
+        F.get_json_object("event", "$.temperatureC").cast("double").alias("temperature_c"),
         "reason",
         F.array_join("errors", "; ").alias("errors"),
         F.col("source.partition").alias("source_partition"),

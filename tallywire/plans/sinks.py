@@ -13,11 +13,12 @@ from tallywire.operators.summary import report_lines
 def audit_log(audit: DataFrame) -> DataFrame:
     """The audit table in the layout of the audit file: readings of every status, and dead letters.
 
-    One set of columns serves both kinds of record; `write_audit` leaves out those that are null.
+    One set of columns serves both kinds of record; `write_audit` leaves out those that are null. `event` is JSON text:
+    the payload whole, with fields nobody knows, when it was kept; else what was read from it.
     """
     failed = F.col("reason").isNotNull()
-    # The payload whole, with fields nobody knows, when it was kept; else what was read from it.
-    event = F.try_parse_json("payload") if "payload" in audit.columns else F.try_parse_json(reading_json())
+    # A payload is known to be one JSON value, so line ends in it can only stand between its parts.
+    event = F.translate("payload", "\n\r", "  ") if "payload" in audit.columns else reading_json()
     return audit.select(
         F.when(failed, "dead-letter").otherwise("reading").alias("type"),
         F.when(~failed, F.col("topic")).alias("topic"),
@@ -34,8 +35,13 @@ def audit_log(audit: DataFrame) -> DataFrame:
 
 
 def write_audit(audit: DataFrame, path: str, mode: str = "append") -> None:
-    """One JSON line per record. A folder per batch with mode `overwrite` makes a retried batch harmless."""
-    audit_log(audit).write.mode(mode).json(path)
+    """One JSON line per record, the event as it came. A folder per batch with mode `overwrite` makes a retried batch
+    harmless."""
+    log = audit_log(audit)
+    line = F.to_json(F.struct(*[c for c in log.columns if c != "event"]))
+    with_event = F.concat(F.expr("substring(line, 1, length(line) - 1)"), F.lit(',"event":'), F.col("event"), F.lit("}"))
+    lines = log.select(line.alias("line"), "event").select(F.coalesce(with_event, F.col("line")).alias("value"))
+    lines.write.mode(mode).text(path)
 
 
 def write_summary(sections: DataFrame, path: str) -> None:
