@@ -69,7 +69,7 @@ def sequence_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 24) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """The batches again, cut so that none holds much more than `most_bytes` of text in `column`.
 
     Nothing is left out: a single text beyond the bound comes in a batch of its own.

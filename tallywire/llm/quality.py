@@ -170,7 +170,7 @@ def score_column(model: Model, text: Column) -> Column:
 
     def step(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
-            sizes = np.cumsum(part.str.len().fillna(0).to_numpy()) // (1 << 23)
+            sizes = np.cumsum(part.str.len().fillna(0).to_numpy()) // (1 << 21)
             pieces = np.split(part.to_numpy(), np.flatnonzero(np.diff(sizes)) + 1) if len(part) else []
             yield pd.Series(np.concatenate([model.scores(list(p)) for p in pieces]) if pieces else [], dtype=float)
 

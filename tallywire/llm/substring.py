@@ -127,7 +127,7 @@ def _packed(ids: np.ndarray, hashes: np.ndarray, into: int, width: int, smallest
     yield from _pack_rows((hashes >> np.uint64(40)) % np.uint64(2 * into), ids, hashes, width, False)
 
 
-def _pack(hashes_of: Callable, into: int, width: int, smallest_stays: bool, most: int = 2_000_000) -> Callable:
+def _pack(hashes_of: Callable, into: int, width: int, smallest_stays: bool, most: int = 1_000_000) -> Callable:
     """A step for mapInArrow: batches with id and text to packed rows, `most` hashes at a time."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from tallywire.llm.common import slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Bounds of what a worker keeps: parts in each of two halves, and pairs of pieces.
-MOST_PARTS = 300_000
+MOST_PARTS = 150_000
 MOST_PAIRS = 800_000
 
 # Fixed values of the model format: field numbers, and kinds of models and pieces.
@@ -312,7 +312,7 @@ def encode(docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", tex
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _compiled(model, key)
-        for batch in slices(batches, "text", 1 << 23):
+        for batch in slices(batches, "text"):
             texts = batch["text"].to_pylist()
             found = [machine.encode(t) for t in texts]
             same = [machine.decode(ids) == (t or "") for ids, t in zip(found, texts)]
