@@ -10,31 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywire.llm import decontaminate, exact, minhash, quality, subwords
-from tallywire.llm.common import stage, table
+from tallywire.llm.common import ship, stage, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least the threshold of the classifier, trained on the labels."""
+    ship(spark)
     return quality.drop_low_quality(docs, table(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts the one with the smallest id."""
+    ship(spark)
     return exact.drop_exact_duplicates(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id."""
+    ship(spark)
     return minhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaks."""
+    ship(spark)
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids of the pieces, their number, and whether they decode to the text."""
+    ship(spark)
     found = subwords.encode(docs)
     return found.select(F.col("id").alias("doc_id"), "ids", F.size("ids").cast("long").alias("n_tokens"), "round_trip")
 
@@ -53,6 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of all stages; what each stage keeps is stored in the shared folder and read again by the next."""
+    ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name.lower().replace(" ", "-"))

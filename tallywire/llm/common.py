@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -12,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallywire.session import stage
 
-__all__ = ["NO_ID", "buckets", "id_column", "sequence_hashes", "slices", "stage", "table", "word_hashes", "words"]
+__all__ = ["NO_ID", "buckets", "id_column", "sequence_hashes", "ship", "slices", "stage", "table", "word_hashes", "words"]
 
 # Stands for a null id inside the operators, so that a null sorts behind every other id.
 NO_ID = 2**63 - 1
@@ -23,6 +26,24 @@ _HALF = np.uint64(32)
 _TAIL = np.uint64(29)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers import it; once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    path = Path(tempfile.mkdtemp(prefix="package-"), f"{root.name}.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, file.relative_to(root.parent))
+    # Spark serves the file from the driver, so executors need not see the driver's folders.
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywire.llm import decontaminate, exact, licences, minhash, quality, secrets, substring, subwords, warc, wrappers
-from tallywire.llm.common import table
+from tallywire.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -15,7 +16,12 @@ ORACLE: dict[str, str] = {}
 
 def query(sql: str | None = None):
     def register(function):
-        QUERIES[function.__name__] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[function.__name__] = run
         if sql:
             ORACLE[function.__name__] = sql
         return function
