@@ -2,9 +2,10 @@
 
 A window is `WINDOW` consecutive words of one text (words end at space and U+0009 to U+000D and are compared as they
 are). A word goes when some window that covers it also starts in a text with a smaller id. Windows are judged on the
-input. A null or empty text has no words and loses none; a null id is larger than all others; rows that repeat an id
-are the same document, so what they share with each other does not go; an empty table gives an empty result. Only id
-and text are read.
+input. A null or empty text has no words and loses none; rows that repeat an id are the same document, so what they
+share with each other does not go, but each is judged by its own text; rows without an id are documents of their own
+behind all ids, in the order of the digests of their words, and those with the same words are one document; an empty
+table gives an empty result. Only id and text are read.
 
 Method: positions are taken modulo 7, and {0, 1, 3} is a difference cover: whatever two positions are, at most six
 steps on both stand on cover positions at once. So of two equal windows of 13 words at any two positions, both hold the
@@ -24,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallywire.llm.common import NO_ID, buckets, id_column, sequence_hashes, slices, stage, word_hashes, words
 
@@ -190,19 +191,49 @@ def _shared(texts: DataFrame, hashes_of: Callable, width: int, smallest_stays: b
     return met.repartition(into, "bucket").groupBy("bucket").applyInArrow(_gather(width), "id long, hashes binary")
 
 
-def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         found = [hashlib.sha256(b" ".join(words(t))).digest() for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(found, pa.binary())], ["id", "digest"])
+        yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], pa.array(found, pa.binary())], ["id", "text", "digest"])
 
 
-def _later_copies(texts: DataFrame) -> DataFrame:
-    """id of the documents whose words are, all and in order, those of a document with a smaller id."""
-    digests = stage(texts.mapInArrow(_copies, "id long, digest binary"), "word-digests")
+def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _digested(batches):
+        yield batch.select(["id", "digest"])
+
+
+def _with_digests(texts: DataFrame) -> DataFrame:
+    return texts.mapInArrow(_digested, "id long, text string, digest binary")
+
+
+def _numbered(texts: DataFrame, digests: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Both tables with numbers behind all ids in place of null ids, one for each digest; and the largest id."""
+    nameless = F.col("id") == NO_ID
+    last = digests.agg(F.max(F.when(~nameless, F.col("id"))).alias("last"), F.max(nameless).alias("some")).first()
+    largest = last["last"] if last["last"] is not None else 0
+    if not last["some"]:
+        return texts, digests, NO_ID - 1
+    found = digests.where(nameless).select("digest").distinct().orderBy("digest")
+    # Stored, so that the order is one and the same wherever the numbers are used.
+    found = stage(found.select("digest", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "without-id")
+    parts = found.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("begin"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", "begin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    numbers = found.join(F.broadcast(parts), "part").select("digest", (F.col("at") - F.col("begin") + F.col("before") + 1).alias("number"))
+    if numbers.count() >= NO_ID - largest:
+        raise ValueError("no numbers are left behind the largest id for rows without one")
+    number = (F.col("number") + F.lit(largest)).alias("id")
+    rows = _with_digests(texts.where(nameless)).join(numbers, "digest").select(number, "text")
+    told = digests.where(nameless).join(numbers, "digest").select(number, "digest")
+    return texts.where(~nameless).unionByName(rows), digests.where(~nameless).unionByName(told), largest
+
+
+def _later_copies(digests: DataFrame) -> DataFrame:
+    """id, digest of the texts whose words are, all and in order, those of a document with a smaller id."""
     first = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     # Stored, so that both sides of the join are shuffled and a digest that very many documents have can be split.
     first = stage(first, "first-copies")
-    return digests.join(first, "digest").where("id > first").select("id").distinct()
+    return digests.join(first, "digest").where("id > first").select("id", "digest").distinct()
 
 
 def _anchor_hashes(row: dict) -> np.ndarray:
@@ -267,12 +298,15 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _finish(docs: DataFrame, id_col: str, text_col: str, step: Callable, schema: str) -> DataFrame:
     texts = docs.select(id_column(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    digests = stage(texts.mapInArrow(_copies, "id long, digest binary"), "word-digests")
+    texts, digests, largest = _numbered(texts, digests)
     told = stage(_shared(texts, _anchor_hashes, ANCHOR_BYTES, smallest_stays=False), "anchors")
-    told = told.join(_later_copies(texts).withColumn("copy", F.lit(True)), "id", "full")
+    # An id that repeats may stand for a copy and for other texts, so a verdict goes by id and digest.
+    told = told.join(digests.distinct(), "id").join(_later_copies(digests).withColumn("copy", F.lit(True)), ["id", "digest"], "full")
     # A later copy is judged by its being one, so its anchors need not come along.
-    told = told.select("id", F.expr("CASE WHEN copy IS NULL THEN hashes END").alias("hashes"), "copy")
+    told = told.select("id", "digest", F.expr("CASE WHEN copy IS NULL THEN hashes END").alias("hashes"), "copy")
     # The one join that moves every text; what shares nothing, or all, is finished at once and its text left behind.
-    placed = texts.join(told, "id", "left")
+    placed = _with_digests(texts).join(told, ["id", "digest"], "left").drop("digest")
     columns = [c.split() for c in schema.split(", ")]
     names = [name for name, _ in columns]
     kinds = {"long": pa.int64(), "string": pa.string()}
@@ -293,4 +327,4 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, step: Callable, schema:
     rest = parts.where("hashes IS NOT NULL").select("id", F.col("open_text").alias("text"), "hashes")
     repeated = _shared(rest, _window_hashes, WINDOW_BYTES, smallest_stays=True)
     judged = rest.drop("hashes").join(repeated, "id", "left").withColumn("copy", F.lit(False)).mapInArrow(step, schema)
-    return done.unionByName(judged).withColumn("id", F.nullif("id", F.lit(NO_ID)))
+    return done.unionByName(judged).withColumn("id", F.when(F.col("id") <= largest, F.col("id")))

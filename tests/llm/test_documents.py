@@ -124,6 +124,17 @@ def test_repeated_words(spark, awkward):
     assert substring.repeated_words(awkward.limit(0)).count() == 0
 
 
+def test_repeated_words_of_rows_without_id_or_with_the_same(spark):
+    one, two, three, four = (" ".join(f"{name}{i}" for i in range(30)) for name in "abcd")
+    texts = [(1, one), (None, one), (None, two), (None, f"{three} x {two}"), (7, one), (7, four), (8, four), (None, three + " x " + two)]
+    found = substring.remove_repeated(plain.awkward(spark, texts)).collect()
+    got = sorted((str(r.id), r.text) for r in found)
+    # Rows without an id stand behind all ids, so of what they share only the first by digest keeps it.
+    first = min([two, f"{three} x {two}"], key=lambda t: hashlib.sha256(t.encode()).digest())
+    rest = [two, f"{three} x", f"{three} x"] if first == two else ["", f"{three} x {two}", f"{three} x {two}"]
+    assert got == sorted([("1", one), ("7", ""), ("7", four), ("8", ""), ("None", ""), *(("None", t) for t in rest)])
+
+
 def test_myers():
     draw = random.Random(1)
     for _ in range(200):
