@@ -215,6 +215,81 @@ def test_licences(spark, awkward):
     assert licences.licence_scan(awkward.limit(0)).count() == 0
 
 
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+MIT = """MIT License
+
+Copyright (c) 2024 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+BSD = """Copyright (c) 2024, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+GPL = """This program is free software{} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{} either version {} of the License, or
+(at your option) any later version.
+"""
+
+
+def test_real_licence_headers(spark):
+    def comment(text, sign):
+        return "".join(f"{sign}{line}\n" for line in text.split("\n"))
+
+    bsd_2 = BSD[: BSD.index("3. Neither")] + BSD[BSD.index("THIS SOFTWARE") :]
+    headers = [
+        (APACHE, "Apache-2.0"), (MIT, "MIT"), (BSD, "BSD-3-Clause"), (bsd_2, "BSD-2-Clause"),
+        (GPL.format(":", ",", 3), "GPL-3.0-or-later"), (GPL.format(";", ";", 2), "GPL-2.0-or-later"),
+        (GPL.format(";", ";", "2.1").replace("GNU", "GNU Lesser"), "LGPL-2.1-or-later"),
+        (GPL.format(":", ",", 3).replace("GNU", "GNU Affero"), "AGPL-3.0-or-later"),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"), ("SPDX-License-Identifier: MIT", "MIT"),
+        ("Licensed under the GNU General Public License, version 2 or later.", "GPL-2.0-or-later"),
+    ]
+    texts = [(i * 10 + k, comment(t, sign)) for i, (t, _) in enumerate(headers) for k, sign in enumerate(["", " * ", "# ", "// ", "dnl "])]
+    found = {r.id: [x.licence for x in r.licences] for r in licences.licence_scan(plain.awkward(spark, texts)).collect()}
+    assert found == {i: [headers[i // 10][1]] for i, _ in texts}
+
+
 def test_quality_features():
     words = ["naïve", "ab", "ab", "x", "ab"]
     at, used = quality.features(" ".join(words))
