@@ -10,7 +10,9 @@ forms, reader comments, scripts, styles, hidden parts) are never content, and if
 
 Blocks are runs of text between block elements, character references decoded, white space as one space, trimmed, and
 joined in page order by line feeds. Broken markup is read as browsers do in the main: missing ends of paragraphs, items
-and cells are implied, unknown ends are skipped, elements nested deeper than `MOST_DEPTH` are read at that depth. A null
+and cells are implied, unknown ends are skipped, elements nested deeper than `MOST_DEPTH` have
+the slot of the one at that depth, buttons, lists of choices, drawings and formulas without an end of their own end with
+their line. A null
 or empty page has an empty text; a null or odd url stands for one host of its own; rows that repeat a page are read
 each on its own, but equal pages count once for the template; an empty table gives an empty result. Only page_id, url
 and html are read.
@@ -24,6 +26,7 @@ from __future__ import annotations
 import html as markup
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -44,7 +47,11 @@ INLINE = frozenset(
     "strong sub sup time tt u var wbr br".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript template iframe svg math object select button".split())
+RAW = frozenset("script style title textarea noscript template iframe".split())
+# Not content, and inside a line of text that goes on behind them.
+ASIDE = frozenset("svg math object select button".split())
+FOREIGN = frozenset(["svg", "math"])
+HTML_IN_FOREIGN = frozenset("foreignobject desc annotation-xml".split())
 ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr main menu nav ol p pre search section table ul".split()
@@ -76,13 +83,17 @@ _DIGITS = re.compile(r"\d+")
 class Node:
     """A block element: its label, its children, and whether its text can be content."""
 
-    __slots__ = ("article", "children", "label", "off", "parent", "slot", "tag", "depth")
+    __slots__ = ("article", "children", "depth", "label", "off", "parent", "parked", "tag", "top", "slot")
 
     def __init__(self, tag: str, label: str, parent: Node | None, off: bool, article: bool):
         self.tag, self.label, self.parent, self.off, self.article = tag, label, parent, off, article
         self.children: list[Node] = []
         self.slot: str | None = None
         self.depth = parent.depth + 1 if parent else 0
+        # Text of the line around an element that is not content, with its open hidden elements.
+        self.parked: tuple[list[str], list[str]] | None = None
+        # The nearest node of the tree: this one, or above one that is too deep to belong to it.
+        self.top = self
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -108,6 +119,8 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
     root = Node("", "", None, False, False)
     here, blocks, held, at = root, [], [], 0
     hidden: list[str] = []  # inline elements that are not content and still open
+    opened: Counter[str] = Counter()  # elements open at this place
+    last_end: dict[str, int] = {}
 
     def flush() -> None:
         nonlocal held
@@ -117,6 +130,38 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
                 blocks.append((here, text))
             held = []
 
+    def close(to: Node) -> None:
+        """End all elements below `to`."""
+        nonlocal here, held, hidden
+        while here is not to:
+            flush()
+            hidden = []
+            opened[here.tag] -= 1
+            if here.parked is not None:
+                held, hidden = here.parked
+            here = here.parent
+
+    def ends(tag: str) -> bool:
+        """Whether an element that starts here has an end tag, before the next one of its kind starts."""
+        if tag not in last_end:
+            last_end[tag] = max((e.start() for e in re.finditer(rf"</{tag}(?=[\s/>])", page, re.IGNORECASE)), default=-1)
+        if last_end[tag] < at:
+            return False
+        if tag == "object":
+            return True
+        return re.compile(rf"<(/?){tag}(?=[\s/>])", re.IGNORECASE).search(page, at)[1] == "/"
+
+    def foreign() -> Node | None:
+        """The drawing or formula that this place is directly in."""
+        if not (opened["svg"] or opened["math"]):
+            return None
+        up = here
+        while up is not root and up.tag not in HTML_IN_FOREIGN:
+            if up.tag in FOREIGN:
+                return up
+            up = up.parent
+        return None
+
     while m := _TOKEN.match(page, at):
         at = m.end()
         closing, tag, rest, text = m.groups()
@@ -134,20 +179,41 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
                 if tag in hidden:
                     del hidden[hidden.index(tag) :]
                 continue
-            up = here
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                flush()
-                hidden.clear()
-                here = up.parent
+            if opened[tag]:
+                up = here
+                while up.tag != tag:
+                    up = up.parent
+                close(up.parent)
+            elif tag in ASIDE and tag in hidden:
+                del hidden[hidden.index(tag) :]
             elif tag == "p":
                 flush()
             continue
+        drawing = foreign()
+        if drawing is not None:
+            if tag in ENDS_PARAGRAPH or tag in IMPLIED or tag in ("body", "img", "br"):
+                close(drawing.parent)
+            elif rest.rstrip().endswith("/"):
+                continue
+        if tag in ASIDE:
+            if tag not in FOREIGN:
+                held.append(" ")
+            elif rest.rstrip().endswith("/"):
+                continue
+            if ends(tag):
+                # Kept out of the tree, so that a wrapper is not made of drawings.
+                node = Node(tag, tag, here, True, here.article)
+                node.top, node.parked = here.top, (held, hidden)
+                here, held, hidden = node, [], []
+                opened[tag] += 1
+            else:
+                # Without an end of its own it ends with the line.
+                hidden.append(tag)
+            continue
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.IGNORECASE).search(page, at)
             at = end.end()
-            if not rest.rstrip().endswith("/") and tag not in ("svg", "math"):
+            if not rest.rstrip().endswith("/"):
                 held.append(" ")
             continue
         if tag in INLINE:
@@ -157,33 +223,35 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
                 hidden.append(tag)
             continue
         flush()
-        hidden.clear()
+        hidden = []
         if tag in ENDS_PARAGRAPH:
-            up = here
-            while up is not root and up.tag != "p" and up.tag not in SCOPES:
-                up = up.parent
-            if up.tag == "p":
-                here = up.parent
-        elif tag in IMPLIED:
+            if opened["p"]:
+                up = here
+                while up is not root and up.tag != "p" and up.tag not in SCOPES and up.tag not in ASIDE:
+                    up = up.parent
+                if up.tag == "p":
+                    close(up.parent)
+        elif tag in IMPLIED and any(opened[x] for x in IMPLIED[tag]):
             up, last = here, None
-            while up is not root and (up.tag in IMPLIED[tag] or up.tag not in SCOPES):
+            while up is not root and (up.tag in IMPLIED[tag] or up.tag not in SCOPES) and up.tag not in ASIDE:
                 if up.tag in IMPLIED[tag]:
                     last = up
                 up = up.parent
             if last is not None:
-                here = last.parent
+                close(last.parent)
         if tag in VOID:
             continue
         said = _attributes(rest) if rest else {}
         names = " ".join(sorted(_DIGITS.sub("", said.get("class", "")).split()))
         marked = here.article or tag in ("article", "main") or said.get("role", "").lower() == "main"
         node = Node(tag, f"{tag}.{names}" if names else tag, here, _is_off(tag, said, here), marked)
-        here.children.append(node)
-        if here.depth < MOST_DEPTH:
-            here = node
+        if here.top is here and here.depth <= MOST_DEPTH:
+            here.children.append(node)
         else:
-            node.parent = here.parent
-            here.off |= node.off
+            node.top = here.top
+        here = node
+        opened[tag] += 1
+    close(root)
     flush()
     return root, blocks
 
@@ -323,7 +391,7 @@ def _candidates(page: str | None, wrapper: tuple) -> list[tuple[str | None, str]
     place(root, wrapper)
     able = [(n, t) for n, t in blocks if not n.off]
     marked = [(n, t) for n, t in able if n.article]
-    return [(n.slot, t) for n, t in marked or able]
+    return [(n.top.slot, t) for n, t in marked or able]
 
 
 def _hash(text: str) -> int:

@@ -47,6 +47,23 @@ def test_extraction(spark):
     assert wrappers.extract(pages(spark, [])).count() == 0
 
 
+def blocks_of(page):
+    return [t for n, t in wrappers.parse(page)[1] if not n.off]
+
+
+def test_rest_of_page_behind_drawings_buttons_and_deep_blocks():
+    assert blocks_of("<p>a <svg/> b</p><p>c</p>") == ["a b", "c"]
+    assert blocks_of("<p>a <svg><path/><text>no</text></svg> b <button>no</button> c</p><math><mi>x</math><p>d") == ["a b c", "d"]
+    assert blocks_of("<p>a <svg><path><p>b<p>c") == ["a", "b", "c"]
+    for tag in ("button", "select", "object", "svg", "math"):
+        assert blocks_of(f"<div><{tag} class=x>no</div><p>text</p><div>more</div>") == ["text", "more"]
+        assert blocks_of(f"<div><{tag}>no</div><p>text</p><{tag}><div>no</div></{tag}><p>more</p>")[-1] == "more"
+    assert blocks_of("<div><button>no<p>text</p><button>no</button><p>more</p></div>") == ["text", "more"]
+    deep = "<div>" * 150
+    assert blocks_of(deep + "<p>one</p><nav>no</nav><div class=ad>no</div><p>two</p>") == ["one", "two"]
+    assert blocks_of(deep + "<div class=ad><div>no</div>no</div>" + "</div>" * 150 + "after") == ["after"]
+
+
 def test_simple_tree_matching():
     leaf = lambda x: (x, ())
     a = ("body", (leaf("nav"), ("div", (leaf("h1"), leaf("p"))), leaf("footer")))
