@@ -7,6 +7,8 @@ host come to is its wrapper. Every text of a page then has a slot, the node of t
 with. A text found in the same slot of nearly all different pages of the host is constant and belongs to the template;
 what varies is content. Regions that say what they are (menus, page headers and footers, sidebars, adverts, notices,
 forms, reader comments, scripts, styles, hidden parts) are never content, and if a page marks its article, only that is.
+Inside an article a region says so only by a class or id that is such a name, alone or among plain words; a comment
+marked as an article is none.
 
 Blocks are runs of text between block elements, character references decoded, white space as one space, trimmed, and
 joined in page order by line feeds. Broken markup is read as browsers do in the main: missing ends of paragraphs, items
@@ -70,6 +72,15 @@ NAMES = re.compile(
     r"social|sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar|related|"
     r"recommend(?:ed|ations)?|popup|modal|overlay|pagination|pager|skip-link|skiplink|paywall)(?:$|[^a-z])"
 )
+# Names of readers' comments, and words that stand beside a name without saying what a region tells of.
+COMMENT_NAMES = frozenset("comment comments commentlist disqus replies reply respond".split())
+PLAIN_NAMES = frozenset(
+    "area bar block body box button buttons container content entry form group holder icon icons inner item items left link links list "
+    "article articles cookie outer panel post posts reader right section slot story stories top bottom unit user wrap wrapper".split()
+)
+# Elements whose id can name a region; on others it is an anchor.
+REGIONS = frozenset("div ul ol table".split())
+ANCHORED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dt dd".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -78,6 +89,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _DIGITS = re.compile(r"\d+")
+_NO_LETTERS = re.compile(r"[^a-z]+")
 
 
 class Node:
@@ -109,8 +121,22 @@ def _is_off(tag: str, said: dict[str, str], parent: Node) -> bool:
         return True
     if re.search(r"display\s*:\s*none", said.get("style", "").lower()):
         return True
-    named = f"{said.get('class', '')} {said.get('id', '')}".lower()
-    return tag not in ("body", "html", "main", "article") and bool(NAMES.search(named.replace("_", "-")))
+    if tag in ("body", "html", "main"):
+        return False
+    classes, anchor = said.get("class", "").lower(), said.get("id", "").lower()
+    if tag == "article":
+        return any(_is_name(x, COMMENT_NAMES) for x in [*classes.split(), anchor])
+    if parent.article:
+        # In an article, words like these may be what it is about; a longer name is left to the induction.
+        return any(_is_name(x) for x in [*classes.split(), anchor if tag in REGIONS else ""])
+    return bool(NAMES.search(f"{classes} {anchor if tag not in ANCHORED else ''}".replace("_", "-")))
+
+
+def _is_name(said: str, names: frozenset[str] | None = None) -> bool:
+    """Whether a class or id is a known name, alone or among plain words."""
+    parts = [x for x in _NO_LETTERS.split(said) if x]
+    known = [x in names if names is not None else bool(NAMES.search(x)) for x in parts]
+    return any(known) and all(k or x in PLAIN_NAMES for k, x in zip(known, parts))
 
 
 def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:

@@ -64,6 +64,14 @@ def test_rest_of_page_behind_drawings_buttons_and_deep_blocks():
     assert blocks_of(deep + "<div class=ad><div>no</div>no</div>" + "</div>" * 150 + "after") == ["after"]
 
 
+def test_names_inside_an_article():
+    kept = "<section id='related-work'><p>a</p></section><h2 id='login-flow'>b</h2><div id='social-history'>c</div>"
+    kept += "<p id='share-prices'>d <span id='alert-levels'>e</span></p>"
+    dropped = "<div class='share-buttons'>no</div><div class='x related'>no</div><div id='comments'>no</div><ul class='related-posts'><li>no</ul>"
+    assert blocks_of(f"<article>{kept}{dropped}</article>") == ["a", "b", "c", "d e"]
+    assert blocks_of("<div><p>main</p></div><article class='comment'>no</article><article id='comment-12'>no</article>") == ["main"]
+
+
 def test_simple_tree_matching():
     leaf = lambda x: (x, ())
     a = ("body", (leaf("nav"), ("div", (leaf("h1"), leaf("p"))), leaf("footer")))
