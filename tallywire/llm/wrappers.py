@@ -1,7 +1,7 @@
 """HTML extraction by wrapper induction.
 
-Pages of one host are aligned as trees of their block elements. Siblings with the same label (tag and classes) in a row
-count as one repeatable node; two trees are aligned by simple tree matching (of their children, the sequence of pairs
+Pages of one host are aligned as trees of their block elements. Siblings with the same label (tag and classes) count as
+one repeatable node, so that places do not hang on the length of a page; two trees are aligned by simple tree matching (of their children, the sequence of pairs
 with the greatest number of matching nodes below), and nodes without a partner are taken over. What all pages of a
 host come to is its wrapper. Every text of a page then has a slot, the node of the wrapper its element is aligned
 with. A text found in the same slot of nearly all different pages of the host is constant and belongs to the template;
@@ -38,7 +38,6 @@ from pyspark.sql import DataFrame, functions as F
 from tallywire.llm.common import slices, stage
 
 MOST_DEPTH = 100
-MOST_RUNS = 24
 # A constant stands on this share of the different pages of a host that has at least so many.
 SHARE, LEAST_PAGES = 0.8, 5
 FOLDS = 64
@@ -333,20 +332,12 @@ def merge(a: tuple, b: tuple) -> tuple:
 
 
 def collapse(children: list[tuple]) -> tuple:
-    """Siblings with the same label in a row as one; all of a label as one where there are very many rows of them."""
-    out: list[tuple] = []
+    """Siblings with the same label as one, however many and in whatever order they come."""
+    by_label: dict[str, tuple] = {}
     for child in children:
-        if out and out[-1][0] == child[0]:
-            out[-1] = merge(out[-1], child)
-        else:
-            out.append(child)
-    if len(out) > MOST_RUNS:
-        by_label: dict[str, tuple] = {}
-        for child in out:
-            known = by_label.get(child[0])
-            by_label[child[0]] = merge(known, child) if known else child
-        out = list(by_label.values())
-    return tuple(out)
+        known = by_label.get(child[0])
+        by_label[child[0]] = merge(known, child) if known else child
+    return tuple(by_label.values())
 
 
 def structure(node: Node) -> tuple:
@@ -354,25 +345,12 @@ def structure(node: Node) -> tuple:
 
 
 def place(node: Node, wrapper: tuple, slot: str = "") -> None:
-    """Give every node its slot: the place of its partner in the wrapper, or none."""
+    """Give every node its slot: the place of its partner in the wrapper, or the labels that lead to it."""
     node.slot = slot
-    if not node.children:
-        return
-    runs: list[list[Node]] = []
+    partners = {child[0]: (f"{slot}.{j}", child) for j, child in enumerate(wrapper[1])}
     for child in node.children:
-        if runs and runs[-1][0].label == child.label:
-            runs[-1].append(child)
-        else:
-            runs.append([child])
-    if len(runs) > MOST_RUNS:
-        by_label: dict[str, list[Node]] = {}
-        for run in runs:
-            by_label.setdefault(run[0].label, []).extend(run)
-        runs = list(by_label.values())
-    shapes = tuple(collapse([structure(c) for c in run])[0] for run in runs)
-    for i, j in matching(shapes, wrapper[1]):
-        for child in runs[i]:
-            place(child, wrapper[1][j], f"{slot}.{j}")
+        at, partner = partners.get(child.label) or (f"{slot}/{child.label}", (child.label, ()))
+        place(child, partner, at)
 
 
 def _dump(shape: tuple) -> str:
@@ -411,7 +389,7 @@ def induce(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host").applyInArrow(_fold, schema)
 
 
-def _candidates(page: str | None, wrapper: tuple) -> list[tuple[str | None, str]]:
+def _candidates(page: str | None, wrapper: tuple) -> list[tuple[str, str]]:
     """Slot and text of the blocks that can be content, in page order."""
     root, blocks = parse(page)
     place(root, wrapper)
@@ -440,7 +418,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "html", 1 << 22):
         hosts, pages, slots, texts = [], [], [], []
         for host, page, shape in zip(*(batch[c].to_pylist() for c in ("host", "html", "shape"))):
-            found = {(s, _hash(t)) for s, t in _candidates(page, known[shape]) if s is not None} | {("page", 0)}
+            found = {(s, _hash(t)) for s, t in _candidates(page, known[shape]) } | {("page", 0)}
             number = _hash(page or "")
             for slot, text in sorted(found):
                 hosts.append(host)

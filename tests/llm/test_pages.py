@@ -72,6 +72,15 @@ def test_names_inside_an_article():
     assert blocks_of("<div><p>main</p></div><article class='comment'>no</article><article id='comment-12'>no</article>") == ["main"]
 
 
+def test_places_on_pages_of_any_length(spark):
+    def body(i, sections):
+        return "".join(f"<h2>Part {i} {k}</h2><p>Text {i} {k}.</p>" for k in range(sections))
+
+    made = [(i, f"https://long.example/{i}", f"<article>{body(i, 2 + 3 * i)}<p>Fixed line.</p></article>") for i in range(12)]
+    for r in wrappers.extract(pages(spark, made)).collect():
+        assert r.text.split("\n") == [t for k in range(2 + 3 * r.page_id) for t in (f"Part {r.page_id} {k}", f"Text {r.page_id} {k}.")]
+
+
 def test_simple_tree_matching():
     leaf = lambda x: (x, ())
     a = ("body", (leaf("nav"), ("div", (leaf("h1"), leaf("p"))), leaf("footer")))
