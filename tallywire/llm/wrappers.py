@@ -4,8 +4,10 @@ Pages of one host are aligned as trees of their block elements. Siblings with th
 one repeatable node, so that places do not hang on the length of a page; two trees are aligned by simple tree matching (of their children, the sequence of pairs
 with the greatest number of matching nodes below), and nodes without a partner are taken over. What all pages of a
 host come to is its wrapper. Every text of a page then has a slot, the node of the wrapper its element is aligned
-with. A text found in the same slot of nearly all different pages of the host is constant and belongs to the template;
-what varies is content. Regions that say what they are (menus, page headers and footers, sidebars, adverts, notices,
+with. A text found in the same slot of nearly all different pages of the host that have the slot, or of those of them in
+one language, is constant and belongs to the template; what varies is content. Layouts whose elements or classes differ
+have slots of their own. A host or language with two to four different pages is judged by all of them, but a page more
+than half of which would go by that is taken for a copy and keeps its text. Regions that say what they are (menus, page headers and footers, sidebars, adverts, notices,
 forms, reader comments, scripts, styles, hidden parts) are never content, and if a page marks its article, only that is.
 Inside an article a region says so only by a class or id that is such a name, alone or among plain words; a comment
 marked as an article is none.
@@ -38,7 +40,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallywire.llm.common import slices, stage
 
 MOST_DEPTH = 100
-# A constant stands on this share of the different pages of a host that has at least so many.
+# A constant stands on this share of the different pages that have its place, if they are at least so many, or on this
+# share of all pages of a host or language that has fewer.
 SHARE, LEAST_PAGES = 0.8, 5
 FOLDS = 64
 
@@ -94,12 +97,13 @@ _NO_LETTERS = re.compile(r"[^a-z]+")
 class Node:
     """A block element: its label, its children, and whether its text can be content."""
 
-    __slots__ = ("article", "children", "depth", "label", "off", "parent", "parked", "tag", "top", "slot")
+    __slots__ = ("article", "children", "depth", "label", "language", "off", "parent", "parked", "tag", "top", "slot")
 
     def __init__(self, tag: str, label: str, parent: Node | None, off: bool, article: bool):
         self.tag, self.label, self.parent, self.off, self.article = tag, label, parent, off, article
         self.children: list[Node] = []
         self.slot: str | None = None
+        self.language = ""  # what the page says, kept at its root
         self.depth = parent.depth + 1 if parent else 0
         # Text of the line around an element that is not content, with its open hidden elements.
         self.parked: tuple[list[str], list[str]] | None = None
@@ -267,6 +271,8 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
         if tag in VOID:
             continue
         said = _attributes(rest) if rest else {}
+        if tag == "html" and not root.language:
+            root.language = _NO_LETTERS.split(said.get("lang", "").lower())[0]
         names = " ".join(sorted(_DIGITS.sub("", said.get("class", "")).split()))
         marked = here.article or tag in ("article", "main") or said.get("role", "").lower() == "main"
         node = Node(tag, f"{tag}.{names}" if names else tag, here, _is_off(tag, said, here), marked)
@@ -389,13 +395,13 @@ def induce(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host").applyInArrow(_fold, schema)
 
 
-def _candidates(page: str | None, wrapper: tuple) -> list[tuple[str, str]]:
-    """Slot and text of the blocks that can be content, in page order."""
+def _candidates(page: str | None, wrapper: tuple) -> tuple[list[tuple[str, str]], str]:
+    """Slot and text of the blocks that can be content, in page order, and the language of the page."""
     root, blocks = parse(page)
     place(root, wrapper)
     able = [(n, t) for n, t in blocks if not n.off]
     marked = [(n, t) for n, t in able if n.article]
-    return [(n.top.slot, t) for n, t in marked or able]
+    return [(f"{root.language}|{n.top.slot}", t) for n, t in marked or able], root.language
 
 
 def _hash(text: str) -> int:
@@ -413,14 +419,16 @@ class _Wrappers(dict):
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each slot and text of a page once, with a hash of the page; and the page itself, under the slot 'page'."""
+    """Each slot and text of a page once, with a hash of the page; and each slot, that of the page itself too, without."""
     known = _Wrappers()
     for batch in slices(batches, "html", 1 << 22):
         hosts, pages, slots, texts = [], [], [], []
         for host, page, shape in zip(*(batch[c].to_pylist() for c in ("host", "html", "shape"))):
-            found = {(s, _hash(t)) for s, t in _candidates(page, known[shape]) } | {("page", 0)}
+            able, language = _candidates(page, known[shape])
+            found = {(s, _hash(t)) for s, t in able}
+            found = sorted(found) + [(s, None) for s in sorted({s for s, _ in found} | {language + "|"})]
             number = _hash(page or "")
-            for slot, text in sorted(found):
+            for slot, text in found:
                 hosts.append(host)
                 pages.append(number)
                 slots.append(slot)
@@ -433,11 +441,32 @@ def template_texts(pages: DataFrame) -> DataFrame:
     """host, constants: the (slot, text hash) pairs that belong to the template of each host; pages: host, html, shape."""
     found = pages.mapInArrow(_texts, "host string, page long, slot string, text long").distinct()
     counts = stage(found.groupBy("host", "slot", "text").agg(F.count("*").alias("n")), "slot-texts")
-    totals = counts.where("slot = 'page'").select("host", F.col("n").alias("pages"))
-    often = counts.where(f"slot <> 'page' AND n >= {SHARE * LEAST_PAGES}").join(totals, "host")
-    often = often.where(f"pages >= {LEAST_PAGES} AND n >= {SHARE} * pages")
-    # On at least that share of the pages: no more of them than a few times the blocks of one page.
-    return often.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("slot", "text"))).alias("constants"))
+    # Slots begin with the language of the page; without it they stand for all pages of the host.
+    anywhere = counts.groupBy("host", F.regexp_replace("slot", r"^[^|]*\|", "").alias("slot"), "text").agg(F.sum("n").alias("n"))
+    counts = counts.unionByName(anywhere).withColumn("scope", F.regexp_extract("slot", r"^([a-z]*\|)?", 0))
+    totals = counts.where("text IS NULL")
+    slots = totals.select("host", "slot", F.col("n").alias("pages"))
+    scopes = totals.where("slot = scope").select("host", "scope", F.col("n").alias("scope_pages"))
+    often = counts.where("text IS NOT NULL AND n >= 2").join(slots, ["host", "slot"]).join(scopes, ["host", "scope"])
+    few = F.expr(f"scope_pages < {LEAST_PAGES}")
+    often = often.where((few & F.expr(f"n >= {SHARE} * scope_pages")) | F.expr(f"pages >= {LEAST_PAGES} AND n >= {SHARE} * pages"))
+    # On at least that share of the pages of a slot: no more of them than a few times the blocks of one page of each layout.
+    return often.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("slot", "text", few.alias("few")))).alias("constants"))
+
+
+def _without(found: list[tuple[str, str]], sure: set, few: set) -> list[str]:
+    """The texts that are not constant, of blocks with their slots."""
+
+    def varying(blocks: list[tuple[str, str]], fixed: set) -> list[tuple[str, str]]:
+        if not fixed:
+            return blocks
+        return [(s, t) for s, t in blocks if not {(s, h := _hash(t)), (s.split("|", 1)[1], h)} & fixed]
+
+    rest = varying(found, sure)
+    less = varying(rest, few)
+    if 2 * sum(len(t) for _, t in less) >= sum(len(t) for _, t in rest):
+        rest = less
+    return [t for _, t in rest]
 
 
 def _extracted(keep: list[str]) -> Callable:
@@ -446,9 +475,9 @@ def _extracted(keep: list[str]) -> Callable:
         for batch in slices(batches, "html", 1 << 22):
             texts = []
             for page, shape, constants in zip(*(batch[c].to_pylist() for c in ("html", "shape", "constants"))):
-                fixed = {(c["slot"], c["text"]) for c in constants or ()}
-                found = _candidates(page, known[shape])
-                texts.append("\n".join(t for s, t in found if not fixed or (s, _hash(t)) not in fixed))
+                sure, few = ({(c["slot"], c["text"]) for c in constants or () if c["few"] == kind} for kind in (False, True))
+                found, _ = _candidates(page, known[shape])
+                texts.append("\n".join(_without(found, sure, few)))
             yield pa.RecordBatch.from_arrays([*(batch[k] for k in keep), pa.array(texts, pa.string())], [*keep, "text"])
 
     return step

@@ -81,6 +81,23 @@ def test_places_on_pages_of_any_length(spark):
         assert r.text.split("\n") == [t for k in range(2 + 3 * r.page_id) for t in (f"Part {r.page_id} {k}", f"Text {r.page_id} {k}.")]
 
 
+def test_templates_of_layouts_languages_and_small_hosts(spark):
+    fixed = {"en": "Read on.", "de": "Weiter lesen.", "fr": "Lire la suite."}
+
+    def said(i, lang, kind="a"):
+        return f"<html lang={lang}><body><div class={kind}><p>Text number {i} of this host.</p><p>{fixed[lang]}</p><p>Always here.</p></div></body></html>"
+
+    made = [(i, f"https://mixed.example/{i}", said(i, ["en", "en", "en", "de", "fr"][i % 5])) for i in range(40)]
+    # A line of one layout of three, and hosts of two pages: different ones, and copies but for a word.
+    made += [(100 + i, f"https://three.example/{i}", said(i, "en", "xyz"[i % 3]).replace("Always here.", f"Part {i % 3}.")) for i in range(30)]
+    made += [(200 + i, f"https://two.example/{i}", said(i, "en")) for i in range(2)]
+    made += [(300 + i, f"https://copy.example/{i}", f"<p>A long text of many words that stands twice.</p><p>Word {i}.</p>") for i in range(2)]
+    found = {r.page_id: r.text for r in wrappers.extract(pages(spark, made)).collect()}
+    for i, text in found.items():
+        assert text == (f"A long text of many words that stands twice.\nWord {i - 300}." if i >= 300 else f"Text number {i % 100} of this host.")
+    assert len(found) == len(made)
+
+
 def test_simple_tree_matching():
     leaf = lambda x: (x, ())
     a = ("body", (leaf("nav"), ("div", (leaf("h1"), leaf("p"))), leaf("footer")))
