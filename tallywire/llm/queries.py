@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import decontaminate, exact, licences, minhash, quality, secrets, substring, subwords, warc, wrappers
+from tallywire.llm import (
+    decontaminate, exact, licences, minhash, negatives, quality, ranked, secrets, substring, subwords, toxicity, warc, wrappers,
+)
 from tallywire.llm.common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +209,64 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page with its main text."""
     found = wrappers.extract(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query()
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score, and whether it was kept out of training."""
+    out = toxicity.held_out(F.col("doc_id"))
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), allowed=~out)
+    scored = found.withColumnRenamed("id", "doc_id").select("doc_id", out.alias("held_out"), "score")
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@query("""
+WITH usable AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (SELECT * FROM usable WHERE id % 50 = 0),
+pairs AS (
+  SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM anchors a JOIN usable b ON a.id <> b.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 3
+""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every anchor and each of its positives the hardest rows of other labels."""
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+_SAID = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@query(f"""
+WITH docs AS (SELECT doc_id, {_SAID} AS t FROM documents),
+sizes AS (SELECT doc_id, len(t) AS n FROM docs WHERE len(t) > 0),
+totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS said FROM sizes),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_SAID}) AS term FROM benchmark) GROUP BY ALL),
+postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM docs)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM postings, totals GROUP BY term, docs),
+found AS (
+  SELECT item_id, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // said))))::BIGINT AS score
+  FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), totals GROUP BY ALL)
+SELECT item_id, row_number() OVER w AS rank, doc_id, score FROM found WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY row_number() OVER w <= 10
+""")
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every benchmark item the documents that score highest."""
+    found = ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
