@@ -14,7 +14,7 @@ ARRIVAL = ("arrival",)
 def numbered_events(events: DataFrame) -> DataFrame:
     """Events with `sequence`, their number within the user by time."""
     columns = ["event_id", "ts", "user_id", "event_type", "value"]
-    numbered = running(events.select(*columns), "_before", "sum", F.lit(1), "user_id", ("ts", "event_id"))
+    numbered = running(events.select(*columns), "_before", "sum", F.lit(1), "user_id", ("ts", "event_id"), stored=True)
     return numbered.select(*columns, (F.coalesce("_before", F.lit(0)) + 1).cast("double").alias("sequence"))
 
 

@@ -345,6 +345,14 @@ FROM {_placed(key='sensor_id, rack_id')}""",
     CAST(event_id + (event_id * 7) % 11 AS DOUBLE) AS sequence FROM events),
 {MARKED}
 SELECT arrival, sensor_id, is_duplicate, previous_sequence, status, CAST(missing AS DOUBLE) AS missing FROM {_placed()}""",
+    "continuity_text_order": f"""WITH marked AS (
+  SELECT CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS sensor_id, event_id AS arrival,
+    CAST(event_id + (event_id * 7) % 11 AS DOUBLE) AS sequence, concat('line-', event_id * 7919 % 1000003) AS place,
+    date_trunc('hour', ts) AS hour FROM events)
+SELECT 'place' AS led_by, arrival, previous_sequence, status, CAST(missing AS DOUBLE) AS missing
+FROM {_placed(order='place, arrival', duplicates=False)}
+UNION ALL SELECT 'hour', arrival, previous_sequence, status, CAST(missing AS DOUBLE)
+FROM {_placed(order='hour, place, arrival', duplicates=False)}""",
     "ordering_report": f"""WITH {LOG}, {MARKED},
 spread AS (SELECT *, CAST(substr(event_id, 5) AS BIGINT) % 3 AS "partition" FROM marked)
 {_ordering('arrival', 'arrival')} UNION ALL {_ordering('partition', '"partition", arrival')}
@@ -446,6 +454,37 @@ UNION ALL SELECT "partition", "offset", event_id, reason, NULL, NULL FROM checke
     "stream_dedup": f"WITH {LOG} SELECT DISTINCT event_id FROM log",
 }
 # The same counters, from as many batches as the stream is cut into.
+ORACLE["stream_drop"] = ORACLE["stream_dedup"]
+
+# Batches of a stream are thirds of the offsets.
+ORACLE["stream_outcomes"] = f"""WITH {AUDIT},
+ends AS (SELECT min("offset") AS low, max("offset") AS high FROM raw)
+SELECT CAST(least(2, floor(("offset" - low) * 3 / (high - low + 1))) AS BIGINT) AS batch_id,
+  count(*) FILTER (WHERE NOT {FAILED}) AS processed, count(*) FILTER (WHERE {FAILED}) AS dead_lettered,
+  count(*) FILTER (WHERE anomalous) AS anomalies, count(*) FILTER (WHERE status = 'duplicate') AS duplicates
+FROM audit, ends GROUP BY 1"""
+
+
+def _any_size_average(x: str) -> str:
+    """Sums by band as whole numbers, then one double of them, from the greatest band down."""
+    far = f"(SELECT sensor_id, CAST(floor((floor(log2(abs({x}))) - 53) / 32) AS INTEGER) AS band, {x} AS x FROM log WHERE abs({x}) >= 1e12)"
+    bands = f"SELECT sensor_id, band, CAST(sum(CAST(x / pow(2.0, band * 32) AS HUGEINT)) AS DOUBLE) * pow(2.0, band * 32) AS part FROM {far} GROUP BY sensor_id, band"
+    return f"""(SELECT sensor_id, list_reduce(list_prepend(0::DOUBLE, list(part ORDER BY band DESC)), lambda a, b: a + b) AS far
+    FROM ({bands}) GROUP BY sensor_id)"""
+
+
+ORACLE["average_any_size"] = f"""WITH parts AS (
+  SELECT concat('s', (event_id // 2) % 50) AS sensor_id,
+    CASE WHEN event_id % 3 = 1 THEN value / pow(2.0::DOUBLE, CAST((event_id * 37) % 1981 - 990 AS DOUBLE)) ELSE value END AS small,
+    CASE WHEN event_id % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END * pow(2.0::DOUBLE, CAST((event_id // 2) * 7 % 960 AS DOUBLE)) AS far FROM events),
+log AS (SELECT sensor_id, small AS t, small * 3 AS h FROM parts UNION ALL SELECT sensor_id, far, far * 3 FROM parts),
+near AS (SELECT sensor_id, count(*) AS readings,
+  sum(CASE WHEN abs(t) < 1e12 THEN CAST(t AS DECIMAL(30,9)) END) AS t, sum(CASE WHEN abs(h) < 1e12 THEN CAST(h AS DECIMAL(30,9)) END) AS h
+  FROM log GROUP BY sensor_id)
+SELECT sensor_id, readings, {_round("(coalesce(a.far, 0) + CAST(t AS DOUBLE)) / readings", 2)} AS avg_temperature_c,
+  {_round("(coalesce(b.far, 0) + CAST(h AS DOUBLE)) / readings", 2)} AS avg_humidity_pct
+FROM near LEFT JOIN {_any_size_average('t')} a USING (sensor_id) LEFT JOIN {_any_size_average('h')} b USING (sensor_id)"""
+
 ORACLE["stream_stats"] = ORACLE["run_stats"].replace("CAST(1 AS BIGINT) AS batches", "CAST(3 AS BIGINT) AS batches")
 
 _COUNTERS = _object(

@@ -41,6 +41,7 @@ from tallywire.plans.sinks import audit_log
 from tallywire.schema import DUPLICATE
 from tallywire.session import prepare, stage, work_dir
 from tallywire.sources.log import log_from_table, read_log_files
+from tallywire.streaming.drop import drop_duplicates_stream
 from tallywire.streaming.microbatch import LogStream
 
 BATCH_OFFSETS = 10_000
@@ -105,30 +106,46 @@ def continuity_by_rack(spark, sf_dir):
 
 def continuity_by_sensor_and_type(spark, sf_dir):
     """Continuity with a key of two columns: each sensor counts by itself on each rack."""
-    marked = stage(mark_duplicates(log(spark, sf_dir), ARRIVAL), "marked")
+    marked = mark_duplicates(log(spark, sf_dir), ARRIVAL)
     placed = classify_continuity(marked, ARRIVAL, key=("sensor_id", "rack_id"))
     return placed.select("event_id", "sensor_id", "rack_id", "arrival", "previous_sequence", "status", "missing")
 
 
-def continuity_skewed(spark, sf_dir):
-    """A log in which one sensor holds a third of all rows and one id a ninth, cut into short slices."""
+def _skewed(spark, sf_dir):
+    """A log in which one sensor holds a third of all rows and one id a ninth."""
     number = F.col("event_id")
-    readings = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.when(number % 3 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string")).alias("sensor_id"),
         F.when(number % 9 == 0, F.lit("again")).otherwise(F.concat(F.lit("e"), (number - number % 5).cast("string"))).alias("id"),
         (number + (number * 7) % 11).cast("double").alias("sequence"),
         number.alias("arrival"),
+        F.concat(F.lit("line-"), (number * 7919 % 1_000_003).cast("string")).alias("place"),
+        F.date_trunc("hour", "ts").alias("hour"),
     )
-    marked = stage(mark_duplicates(readings, ARRIVAL, "id"), "marked")
-    placed = classify_continuity(marked, ARRIVAL, slices=[F.array(F.expr("arrival div 500")), F.array(F.expr("arrival div 5000"))])
+
+
+def continuity_skewed(spark, sf_dir):
+    """A hot sensor and a hot id; sensors of more than 500 records are cut."""
+    marked = mark_duplicates(_skewed(spark, sf_dir), ARRIVAL, "id", stored=True)
+    placed = classify_continuity(marked, ARRIVAL, slice_rows=500)
     return placed.select("arrival", "sensor_id", "is_duplicate", "previous_sequence", "status", "missing")
 
 
+def continuity_text_order(spark, sf_dir):
+    """The same under orders that numbers do not lead: by text, and by hours in which many records fall."""
+    log = _skewed(spark, sf_dir)
+    both = None
+    for name, order in (("place", ("place", "arrival")), ("hour", ("hour", "place", "arrival"))):
+        placed = classify_continuity(log, order, slice_rows=300, stored=True)
+        one = placed.select(F.lit(name).alias("led_by"), "arrival", "previous_sequence", "status", "missing")
+        both = one if both is None else both.unionByName(one)
+    return both
+
+
 def ordering(spark, sf_dir):
     # Ordered by partition, a sensor whose records are spread over partitions is read one partition after the other.
     spread = log(spark, sf_dir).withColumn("partition", F.substring("event_id", 5, 20).cast("long") % 3)
-    kept = stage(mark_duplicates(spread, ARRIVAL), "marked")
-    return ordering_report(kept, {"arrival": ARRIVAL, "partition": ("partition", "arrival"), "time": ("ts", "arrival")})
+    return ordering_report(mark_duplicates(spread, ARRIVAL), {"arrival": ARRIVAL, "partition": ("partition", "arrival"), "time": ("ts", "arrival")})
 
 
 def sensor_spread(spark, sf_dir):
@@ -357,6 +374,11 @@ def sections(spark, sf_dir):
     )
 
 
+def _slice_of(low: int, high: int, slices: int):
+    """Which of so many slices of a log a record is in, by its offset."""
+    return F.least(F.lit(slices - 1), F.floor((F.col("offset") - low) * slices / (high - low + 1)))
+
+
 def _streamed(spark: SparkSession, sf_dir: str, slices: int = 3) -> LogStream:
     """The raw log worked off as a stream: written slice by slice in the shared folder, each slice a micro-batch.
 
@@ -366,10 +388,9 @@ def _streamed(spark: SparkSession, sf_dir: str, slices: int = 3) -> LogStream:
     low, high = log.agg(F.min("offset"), F.max("offset")).first()
     root = work_dir(spark, "stream")
     stream = LogStream(spark, f"{root}/out")
-    number = F.least(F.lit(slices - 1), F.floor((F.col("offset") - low) * slices / (high - low + 1)))
     for i in range(slices):
         # Headers are part of a log; these records have none.
-        log_from_table(log.where(number == i)).write.mode("append").parquet(f"{root}/log")
+        log_from_table(log.where(_slice_of(low, high, slices) == i)).write.mode("append").parquet(f"{root}/log")
         stream.start(read_log_files(spark, f"{root}/log")).awaitTermination()
     return stream
 
@@ -383,7 +404,50 @@ def stream_audit(spark, sf_dir):
 
 
 def stream_stats(spark, sf_dir):
-    return run_stats(_streamed(spark, sf_dir).audit())
+    return _streamed(spark, sf_dir).stats()
+
+
+def stream_outcomes(spark, sf_dir):
+    """The outcome of every micro-batch, from the counters taken while its audit table was written."""
+    return _streamed(spark, sf_dir).outcomes()
+
+
+def stream_drop(spark, sf_dir):
+    """Ids of good readings that a stream lets through, each once, over three runs of the stream."""
+    log = stage(raw(spark, sf_dir), "log")
+    low, high = log.agg(F.min("offset"), F.max("offset")).first()
+    root = work_dir(spark, "drop")
+    for i in range(3):
+        log_from_table(log.where(_slice_of(low, high, 3) == i)).write.mode("append").parquet(f"{root}/log")
+        good, _ = split_valid(validate(read_log_files(spark, f"{root}/log")))
+        kept = drop_duplicates_stream(good).select("event_id")
+        writer = kept.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start(f"{root}/out").awaitTermination()
+    return spark.read.schema("event_id string").parquet(f"{root}/out")
+
+
+def average_any_size(spark, sf_dir):
+    """Averages of temperatures between 1e-300 and 1e300 in size, the greatest of which cancel out."""
+    number = F.col("event_id")
+    size = F.pow(F.lit(2.0), ((number * 37) % 1981 - 990).cast("double"))
+    # Every value beyond comparison has its opposite under the next number of the sensor.
+    far = F.when(number % 2 == 0, 1.0).otherwise(-1.0) * F.pow(F.lit(2.0), (F.call_function("div", number, F.lit(2)) * 7 % 960).cast("double"))
+    readings = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("s"), (F.call_function("div", number, F.lit(2)) % 50).cast("string")).alias("sensor_id"),
+        F.when(number % 3 == 0, F.col("value")).when(number % 3 == 1, F.col("value") / size).otherwise(F.col("value")).alias("small"),
+        far.alias("far"),
+        number.alias("arrival"),
+    )
+    both = readings.select("sensor_id", "arrival", F.col("small").alias("temperature_c"), F.lit(0).alias("part")).unionByName(
+        readings.select("sensor_id", "arrival", F.col("far").alias("temperature_c"), F.lit(1).alias("part"))
+    )
+    log = both.select(
+        F.lit("accepted").alias("status"), "sensor_id", "arrival", "part", "temperature_c", F.lit(0.0).alias("missing"), F.lit(False).alias("is_anomaly"),
+        F.lit(None).cast("string").alias("rack_id"), F.lit(1.0).alias("sequence"), F.lit("").alias("ts"),
+        (F.col("temperature_c") * 3).alias("humidity_pct"), F.lit(0.0).alias("vibration_mm_s"),
+    )
+    found = sensor_summary(log.repartition(7), ("arrival", "part"))
+    return found.select("sensor_id", "readings", "avg_temperature_c", "avg_humidity_pct")
 
 
 def stream_dedup(spark, sf_dir):
@@ -411,6 +475,7 @@ QUERIES: dict[str, Query] = {
     "continuity_by_rack": continuity_by_rack,
     "continuity_by_sensor_and_type": continuity_by_sensor_and_type,
     "continuity_skewed": continuity_skewed,
+    "continuity_text_order": continuity_text_order,
     "ordering_report": ordering,
     "partition_spread": sensor_spread,
     "anomalies": anomalies,
@@ -440,6 +505,9 @@ QUERIES: dict[str, Query] = {
     "stream_summary": stream_summary,
     "stream_audit": stream_audit,
     "stream_stats": stream_stats,
+    "stream_outcomes": stream_outcomes,
     "stream_dedup": stream_dedup,
+    "stream_drop": stream_drop,
+    "average_any_size": average_any_size,
     "stream_sections": stream_sections,
 }

@@ -20,17 +20,21 @@ def mark_duplicates(
     df: DataFrame,
     order_by: Sequence[str] = LOG_ORDER,
     id_col: str = "event_id",
-    seen: DataFrame | None = None,
+    seen: Callable[[DataFrame], DataFrame] | None = None,
     store: Callable[[DataFrame, str], DataFrame] = stage,
+    stored: bool = False,
 ) -> DataFrame:
     """Add `is_duplicate`: true for every record whose id arrived before. A record without an id is never one.
 
-    `seen` is an optional table of ids from before this log; all their records are duplicates.
+    `seen` tells which of the ids of a table (of the column `id_col`) were there before this log; all their records are
+    duplicates.
 
     Ids that arrived more than once are found by partial minima of arrival, however many records one of them has, and
-    are stored; few as they are, the records then meet them in a join whose hot keys Spark splits. `df` is read twice:
-    hand in a stored table if it is expensive. `store` writes a table and reads it back.
+    are stored; few as they are, the records then meet them in a join whose hot keys Spark splits. `df` is read twice
+    and therefore stored first by `store`, unless it is `stored` already.
     """
+    if not stored:
+        df = store(df, "unmarked")
     columns = df.columns
     first = F.min(arrival(order_by)).alias("_first")
     again = df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(first, F.count(F.lit(1)).alias("_count"))
@@ -39,9 +43,8 @@ def mark_duplicates(
         later = arrival(order_by) > F.col("_first")
     else:
         # Only ids of this log are looked for: what is moved of the ids seen before is what matches.
-        again = store(again, "ids")
-        known = seen.select(id_col).join(again.select(id_col), id_col, "left_semi").distinct()
-        again = again.join(known.withColumn("_seen", F.lit(True)), id_col, "left").where("_count > 1 OR _seen").select(id_col, "_first", "_seen")
+        known = seen(again.select(id_col)).select(id_col, F.lit(True).alias("_seen"))
+        again = again.join(known, id_col, "left").where("_count > 1 OR _seen").select(id_col, "_first", "_seen")
         later = F.col("_seen") | (arrival(order_by) > F.col("_first"))
     marked = df.join(store(again, "repeated-ids"), id_col, "left")
     return marked.withColumn("is_duplicate", F.coalesce(later, F.lit(False))).select(*columns, "is_duplicate")

@@ -7,7 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywire.operators.skew import default_slices
+from tallywire.operators.skew import SLICE_ROWS, hot_keys, with_slices
+from tallywire.session import stage
 
 _COMBINE: dict[str, tuple[Callable[[str], Column], Callable[[Column, Column], Column]]] = {
     "max": (F.max, lambda a, b: F.greatest(a, b)),
@@ -29,51 +30,51 @@ def running(
     value: Column,
     key: str | Sequence[str],
     order_by: Sequence[str],
-    slices: Sequence[Column] | None = None,
     start: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
+    store: Callable[[DataFrame, str], DataFrame] = stage,
+    stored: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Add `out`: the `how` ("max" or "sum") of `value` over the rows of `key` that come earlier in `order_by`.
 
-    The rows of every key are cut into slices along the order: each slice runs by itself, in one window partition, and
-    starts from what the slices before it add up to, which a partial aggregate of one row per slice tells. Both
-    aggregates are associative, so the answer is the same for any choice of `slices`, arrays of whole numbers that
-    never decrease along the order, finest first. `start` is an optional table (key columns, `_start`) of values from
-    before this table. `df` is read twice: hand in a stored table if it is expensive.
+    A key of up to `slice_rows` rows is one window partition. The rows of a larger one are cut along the order, whatever
+    its columns are, into slices of about that many rows: each runs by itself, and starts from what the slices before it
+    add up to, of which there is one row for each slice. Both aggregates are associative, so the answer does not depend
+    on where the cuts are. `start` is an optional table (key columns, `_start`) of values from before this table; it takes
+    part as rows that come first. `df` is read several times and therefore stored first by `store`, unless it is
+    `stored` already. Who knows the large keys hands them in as `hot` (see `large_keys`); without any, `df` is read once.
     """
     keys = key_columns(key)
     columns = df.columns
-    levels = list(default_slices(df, order_by) if slices is None else slices)
-    names = [f"_slice{i}" for i in range(len(levels))] or ["_slice0"]
+    plain = hot is not None and hot.isEmpty()
+    if not stored and not plain:
+        df = store(df, "running")
     df = df.withColumn("_value", value).withColumn(_KEY, F.struct(*keys))
-    # Coarsest first, each prefixed to the next finer: a slice then lies within one coarser slice, whatever was passed.
-    within = F.array().cast("array<bigint>")
-    if not levels:
-        df = df.withColumn(names[0], within)
-    for name, level in reversed(list(zip(names, levels))):
-        within = F.concat(within, level)
-        df = df.withColumn(name, within)
-
-    finest, *coarser = names
-    whole, combine = _COMBINE[how]
-    tops = df.groupBy(_KEY, *names).agg(whole("_value").alias("_value"))
-    begins = _begins(tops, how, finest, coarser).select(_KEY, finest, "_begin")
     if start is not None:
-        before = start.select(F.struct(*keys).alias(_KEY), "_start")
-        begins = begins.join(before, _KEY, "left").select(_KEY, finest, combine(F.col("_begin"), F.col("_start")).alias("_begin"))
-    placed = _within(df, out, how, [_KEY, finest], order_by).join(begins, [_KEY, finest], "left")
-    return placed.withColumn(out, combine(F.col(out), F.col("_begin"))).select(*columns, out)
+        # Nulls sort before all places in the order.
+        before = start.select(*keys, F.struct(*keys).alias(_KEY), F.col("_start").alias("_value"))
+        df = df.withColumn("_own", F.lit(True)).unionByName(before, allowMissingColumns=True)
+    if hot is None:
+        hot = hot_keys(df, _KEY, slice_rows)
+        plain = hot.isEmpty()
+    if plain:
+        # By the key's own columns, so that an aggregate by key that follows finds the rows dealt out and sorted already.
+        placed = _within(df, out, how, keys, order_by)
+    else:
+        df = with_slices(df, store(hot, "hot-keys"), _KEY, order_by, slice_rows, store)
+        tops = df.where(F.col("_slice").isNotNull()).groupBy(_KEY, "_slice").agg(_COMBINE[how][0]("_value").alias("_value"))
+        begins = store(_within(tops, "_begin", how, [_KEY], ["_slice"]).drop("_value"), "begins")
+        placed = _within(df, out, how, [_KEY, "_slice"], order_by).join(begins, [_KEY, "_slice"], "left")
+        placed = placed.withColumn(out, _COMBINE[how][1](F.col(out), F.col("_begin")))
+    if start is not None:
+        placed = placed.where("_own")
+    return placed.select(*columns, out)
 
 
-def _begins(tops: DataFrame, how: str, finest: str, coarser: Sequence[str]) -> DataFrame:
-    """Add `_begin` to one row per slice: the aggregate of all slices of the key before it."""
-    if not coarser:
-        return _within(tops, "_begin", how, [_KEY], [finest])
-    whole, combine = _COMBINE[how]
-    above, *further = coarser
-    higher = _begins(tops.groupBy(_KEY, *coarser).agg(whole("_value").alias("_value")), how, above, further)
-    higher = higher.select(_KEY, above, F.col("_begin").alias("_higher"))
-    placed = _within(tops, "_begin", how, [_KEY, above], [finest]).join(higher, [_KEY, above], "left")
-    return placed.withColumn("_begin", combine(F.col("_begin"), F.col("_higher")))
+def large_keys(df: DataFrame, key: str | Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The keys of a log, or of one with more rows, that `running` has to cut."""
+    return hot_keys(df.withColumn(_KEY, F.struct(*key_columns(key))), _KEY, slice_rows)
 
 
 def _within(df: DataFrame, out: str, how: str, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.functions.numbers import json_number, number_text, round_half_up
+from tallywire.functions.sums import band, combined, ordinary, whole
 from tallywire.functions.text import pad_left, pad_right
 from tallywire.operators.anomaly import ANOMALY_COLUMNS, DEFAULT_THRESHOLDS, Thresholds
 from tallywire.operators.skew import as_long
@@ -16,11 +17,14 @@ from tallywire.session import stage
 
 WITH_NULLS = {"ignoreNullFields": "false"}
 
+BANDS = ("temperature_band", "humidity_band")
+
 
 def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str = "sensor_id") -> DataFrame:
     """What is known of each sensor, in a form that merges: sums, extremes, counts and latest values.
 
-    `labelled` carries `status`, `missing` and `is_anomaly` (see `label_log`).
+    `labelled` carries `status`, `missing` and `is_anomaly` (see `label_log`). A sensor has one row, and one more for each
+    pair of bands (see `functions/sums.py`) its measures beyond the ordinary fall in.
     """
     applied = F.col("status") != DUPLICATE
     humidity = F.coalesce("humidity_pct", F.lit(0.0))
@@ -30,10 +34,11 @@ def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key:
     def when_applied(value: Column) -> Column:
         return F.when(applied, value)
 
-    return labelled.groupBy(key).agg(
+    measures = {"temperature": when_applied(F.col("temperature_c")), "humidity": when_applied(humidity)}
+    banded = labelled.withColumns({f"{name}_band": band(value) for name, value in measures.items()})
+    return banded.groupBy(key, *BANDS).agg(
         F.count_if(applied).alias("readings"),
-        *_sums(when_applied(F.col("temperature_c")), "temperature"),
-        *_sums(when_applied(humidity), "humidity"),
+        *[part for name, value in measures.items() for part in _sums(value, name)],
         F.min(when_applied(F.col("temperature_c"))).alias("min_temperature_c"),
         F.max(when_applied(F.col("temperature_c"))).alias("max_temperature_c"),
         F.max(when_applied(vibration)).alias("max_vibration_mm_s"),
@@ -49,21 +54,34 @@ def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key:
 
 
 def merge_states(states: DataFrame, key: str = "sensor_id") -> DataFrame:
-    """One state per sensor from any number of partial ones."""
+    """One state per sensor (and bands) from any number of partial ones."""
+    return states.groupBy(key, *BANDS).agg(*_merged(states, [key, *BANDS]))
+
+
+def one_state_each(states: DataFrame, key: str = "sensor_id") -> DataFrame:
+    """One row per sensor, the sums of its bands as arrays `temperature_far` and `humidity_far`."""
+    # A sensor has at most some sixty bands of each measure, whatever it measured.
+    far = []
+    for name in ("temperature", "humidity"):
+        sums = F.collect_list(F.when(F.col(f"{name}_band").isNotNull(), F.struct(F.col(f"{name}_band").alias("band"), F.col(f"{name}_whole").alias("whole"))))
+        far.append(_by_band(sums).alias(f"{name}_far"))
+    return states.groupBy(key).agg(*_merged(states, [key, *BANDS, "temperature_whole", "humidity_whole"]), *far)
+
+
+def _merged(states: DataFrame, keys: Sequence[str]) -> list[Column]:
     greatest = ("max_temperature_c", "max_vibration_mm_s", "last_sequence", "last", "last_rack")
     least = ("min_temperature_c",)
-    merged = [
+    return [
         (F.max(c) if c in greatest else F.min(c) if c in least else F.sum(c).cast(states.schema[c].dataType)).alias(c)
         for c in states.columns
-        if c != key
+        if c not in keys
     ]
-    return states.groupBy(key).agg(*merged)
 
 
 def summarize(states: DataFrame, key: str = "sensor_id") -> DataFrame:
-    """The summary of every sensor with at least one reading, from its state."""
+    """The summary of every sensor with at least one reading, from its state, which may come in parts."""
     readings = F.col("readings")
-    return states.where(readings > 0).select(
+    return one_state_each(states, key).where(readings > 0).select(
         key,
         F.col("last_rack.rack_id").alias("rack_id"),
         "readings",
@@ -81,14 +99,14 @@ def summarize(states: DataFrame, key: str = "sensor_id") -> DataFrame:
     )
 
 
-def state_totals(states: DataFrame) -> DataFrame:
-    """Totals over all sensors, one row, from their states. Gaps here do not include late arrivals."""
+def state_totals(states: DataFrame, key: str = "sensor_id") -> DataFrame:
+    """Totals over all sensors, one row, from their states, which may come in parts. Gaps here do not include late arrivals."""
 
     def total(column: str) -> Column:
         return F.coalesce(F.sum(column), F.lit(0))
 
     return states.agg(
-        F.count_if(F.col("readings") > 0).alias("sensors"),
+        F.count_distinct(F.when(F.col("readings") > 0, F.struct(key))).alias("sensors"),
         total("readings").alias("readings"),
         total("duplicates").alias("duplicates"),
         total("out_of_order").alias("out_of_order"),
@@ -105,13 +123,18 @@ def sensor_summary(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key
 
 def log_totals(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str = "sensor_id") -> DataFrame:
     """One row of totals over all sensors."""
-    return state_totals(sensor_state(labelled, order_by, key))
+    return state_totals(sensor_state(labelled, order_by, key), key)
 
 
 def run_stats(audit: DataFrame) -> DataFrame:
     """Counters of a whole run from its audit table; `batches` counts distinct `batch_id`s (one for a batch job)."""
     batches = F.count_distinct("batch_id") if "batch_id" in audit.columns else F.lit(1).cast("long")
-    return audit.agg(
+    return audit.agg(*run_counters(), batches.alias("batches"))
+
+
+def run_counters() -> list[Column]:
+    """The counters of a run as aggregates, for an audit table or for metrics taken while one is written."""
+    return [
         F.count(F.lit(1)).alias("consumed"),
         F.count_if(_processed()).alias("processed"),
         F.count_if(F.col("status") == DUPLICATE).alias("duplicates"),
@@ -119,18 +142,23 @@ def run_stats(audit: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == GAP).alias("gaps"),
         F.count_if(~_processed()).alias("dead_lettered"),
         F.count_if(_anomalous()).alias("anomalies_published"),
-        batches.alias("batches"),
-    )
+    ]
+
+
+def added_counters(counters: DataFrame) -> DataFrame:
+    """The counters of a run from those of its batches, a row for each `batch_id`."""
+    names = [c for c in counters.columns if c != "batch_id"]
+    return counters.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.count(F.lit(1)).alias("batches"))
 
 
 def batch_outcomes(audit: DataFrame, batch: str = "batch_id") -> DataFrame:
     """What became of the records of each batch."""
-    return audit.groupBy(batch).agg(
-        F.count_if(_processed()).alias("processed"),
-        F.count_if(~_processed()).alias("dead_lettered"),
-        F.count_if(_anomalous()).alias("anomalies"),
-        F.count_if(F.col("status") == DUPLICATE).alias("duplicates"),
-    )
+    return outcomes(audit.groupBy(batch).agg(*run_counters()), batch)
+
+
+def outcomes(counters: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """What became of the records of each batch, from its counters."""
+    return counters.select(batch, "processed", "dead_lettered", F.col("anomalies_published").alias("anomalies"), "duplicates")
 
 
 def offset_ranges(log: DataFrame) -> DataFrame:
@@ -296,19 +324,27 @@ def stats_struct() -> Column:
 
 
 def _sums(value: Column, name: str) -> list[Column]:
-    """A sum that does not depend on the order of its terms, and the plain one for values beyond its range."""
-    exact = value.try_cast("decimal(30,9)")
+    """Sums that do not depend on the order of their terms: of ordinary values, of a band's, and of infinite ones."""
     return [
-        F.sum(exact).alias(f"{name}_sum"),
-        F.sum(value).alias(f"{name}_sum_double"),
-        F.count_if(value.isNotNull() & exact.isNull()).alias(f"{name}_inexact"),
+        F.sum(ordinary(value)).alias(f"{name}_sum"),
+        F.sum(whole(value, F.col(f"{name}_band"))).alias(f"{name}_whole"),
+        F.sum(F.when(~(F.abs(value) < float("inf")), value)).alias(f"{name}_infinite"),
     ]
 
 
+def _by_band(sums: Column) -> Column:
+    """The sum of each band from an array of (band, whole)."""
+
+    def total(number: Column) -> Column:
+        own = F.filter(sums, lambda s: s["band"] == number)
+        return F.aggregate(own, F.lit(0).cast("decimal(38,0)"), lambda a, s: (a + s["whole"]).cast("decimal(38,0)"))
+
+    numbers = F.array_distinct(F.transform(sums, lambda s: s["band"]))
+    return F.transform(numbers, lambda n: F.struct(n.alias("band"), total(n).alias("whole")))
+
+
 def _sum(name: str) -> Column:
-    return F.when(F.col(f"{name}_inexact") == 0, F.col(f"{name}_sum").cast("double")).otherwise(
-        F.col(f"{name}_sum_double")
-    )
+    return combined(F.col(f"{name}_sum"), F.col(f"{name}_far")) + F.coalesce(f"{name}_infinite", F.lit(0.0))
 
 
 def _processed() -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tallywire.operators.continuity import classify_continuity, ordering_report, partition_spread
 from tallywire.operators.dedup import mark_duplicates
 from tallywire.operators.running import running
-from tallywire.operators.skew import default_slices
+from tallywire.operators.skew import hot_keys, slice_number, splitters, with_slices
+from tallywire.session import stage
 
 
 def defined(readings, seen=(), last=None):
@@ -48,29 +49,22 @@ def statuses(df):
     return [(r.status, r.missing) for r in df.orderBy("partition", "offset").collect()]
 
 
-def small_slices(log):
-    hour = [F.array(F.expr("offset div 60")), F.array(F.expr("offset div 150"))]
-    return [*default_slices(log, ("partition", "offset"), rows=16), *hour]
-
-
-@pytest.mark.parametrize("seed, cut", [(0, True), (1, True), (2, False), (3, None)])
-def test_against_definition(spark, seed, cut):
+@pytest.mark.parametrize("seed, rows", [(0, 16), (1, 50), (2, 10**6), (3, 1)])
+def test_against_definition(spark, seed, rows):
     readings = random_log(seed)
-    log = typed_log(spark, readings)
-    slices = small_slices(log) if cut else [] if cut is None else None
-    placed = classify_continuity(mark_duplicates(log), slices=slices)
+    placed = classify_continuity(mark_duplicates(typed_log(spark, readings)), slice_rows=rows)
     assert statuses(placed) == defined(readings)
 
 
-@pytest.mark.parametrize("cut", [False, True])
-def test_continues_from_earlier_batches(spark, cut):
+@pytest.mark.parametrize("rows", [16, 10**6])
+def test_continues_from_earlier_batches(spark, rows):
     readings = random_log(9)
     seen, last = ["again", "e7", "e11", "e250"], {"s0": 30, "s3": 10, "unknown": 4}
     log = typed_log(spark, readings)
     ids = spark.createDataFrame([(i,) for i in seen], "event_id string")
     states = spark.createDataFrame([(k, float(v)) for k, v in last.items()] + [("s1", None)], "sensor_id string, last_sequence double")
-    marked = mark_duplicates(log, seen=ids)
-    placed = classify_continuity(marked, slices=small_slices(log) if cut else None, last=states)
+    marked = mark_duplicates(log, seen=lambda asked: asked.join(ids, "event_id", "left_semi"))
+    placed = classify_continuity(marked, last=states, slice_rows=rows)
     assert statuses(placed) == defined(readings, seen=seen, last=last)
 
 
@@ -95,32 +89,68 @@ def test_key_of_two_columns(spark):
     assert [r.status for r in placed] == ["accepted", "accepted", "accepted", "accepted", "out_of_order", "gap"]
 
 
-@pytest.mark.parametrize("how", ["max", "sum"])
-def test_running_by_time(spark, how):
-    """Time may repeat, for a third of all rows even; slices go from time and offset up to the hour."""
-    rng = random.Random(5)
+ORDERS = [("ts", "offset"), ("place", "offset"), ("place", "ts", "offset"), ("offset",), ("nothing", "offset")]
+
+
+def hot_log(spark, seed=5, size=300):
+    """A third of the rows at one time, a third under one text, half of them of one key."""
+    rng = random.Random(seed)
     rows = []
-    for offset in range(300):
+    for offset in range(size):
         second = 100 if rng.random() < 1 / 3 else rng.randrange(20_000)
-        rows.append(("k" if offset % 2 else f"k{offset % 7}", second, offset, float(rng.randrange(50))))
-    df = spark.createDataFrame(rows, "key string, second bigint, offset bigint, value double")
-    df = df.withColumn("ts", F.timestamp_seconds("second"))
-    order = ("ts", "offset")
-    levels = default_slices(df, order, rows=10)
-    assert len(levels) == 3
-    got = running(df, "before", how, F.col("value"), "key", order, slices=levels)
+        place = "same" if rng.random() < 1 / 3 else rng.choice(["é", "a", "Z", None]) and f"{rng.choice('aZé')}{rng.randrange(90)}"
+        rows.append(("k" if offset % 2 else f"k{offset % 7}", second, place, offset, float(rng.randrange(50))))
+    df = spark.createDataFrame(rows, "key string, second bigint, place string, offset bigint, value double")
+    return rows, df.withColumns({"ts": F.timestamp_seconds("second"), "nothing": F.lit(None).cast("string")}).repartition(3)
+
+
+def sort_key(order):
+    def key(row):
+        held = {"ts": row[1], "place": (row[2] is not None, (row[2] or "").encode()), "offset": row[3], "nothing": 0}
+        return tuple(held[c] for c in order)
+
+    return key
+
+
+@pytest.mark.parametrize("how", ["max", "sum"])
+@pytest.mark.parametrize("order", ORDERS)
+def test_running_under_any_order(spark, how, order):
+    """Hot keys are cut by time, by text, by what comes after a hot value, and also where the first column is all null."""
+    rows, df = hot_log(spark)
+    got = running(df, "before", how, F.col("value"), "key", order, slice_rows=10)
     want, totals = {}, {}
-    for key, _, offset, value in sorted(rows, key=lambda r: (r[1], r[2])):
+    for key, _, _, offset, value in sorted(rows, key=sort_key(order)):
         want[offset] = totals.get(key)
         totals[key] = value if key not in totals else (max(totals[key], value) if how == "max" else totals[key] + value)
     assert {r.offset: r.before for r in got.collect()} == want
 
 
-def test_order_by_text(spark):
-    df = spark.createDataFrame([("a", "x", 1.0), ("a", "b", 5.0), ("a", "c", 2.0)], "key string, place string, value double")
-    got = running(df, "before", "max", F.col("value"), "key", ("place",))
-    assert {r.place: r.before for r in got.collect()} == {"b": None, "c": 5.0, "x": 5.0}
-    assert default_slices(df, ("place",)) == []
+@pytest.mark.parametrize("order", ORDERS)
+def test_slices_are_bounded(spark, order):
+    """No slice of a hot key is much longer than asked for, and the table of slices is short."""
+    rows, df = hot_log(spark, size=2000)
+    hot = hot_keys(df, "key", 200)
+    assert [tuple(r) for r in hot.collect()] == [("k", 1000), ("k0", 286), ("k2", 286), ("k4", 286), ("k6", 286)][: hot.count()]
+    sliced = with_slices(df, hot, "key", order, 200, stage)
+    cut = sliced.where("_slice IS NOT NULL")
+    sizes = cut.groupBy("key", "_slice").count().collect()
+    assert max(r["count"] for r in sizes) <= 400 and len(sizes) < 30
+    assert {r.key for r in sliced.where("_slice IS NULL").select("key").distinct().collect()}.isdisjoint({r.key for r in sizes})
+    # Numbers never decrease along the order.
+    places = sorted((sort_key(order)((r.key, r.second, r.place, r.offset)), r._slice) for r in cut.where("key = 'k'").collect())
+    assert [n for _, n in places] == sorted(n for _, n in places)
+
+
+def test_slice_number(spark):
+    df = spark.createDataFrame([(b, v) for b in ([], [3], [3, 5, 9], list(range(0, 100, 3)), None) for v in (-1, 0, 3, 4, 9, 98, 200)], "b array<int>, v int")
+    for r in df.withColumn("n", slice_number(F.col("b"), F.col("v"))).collect():
+        assert r.n == sum(x <= r.v for x in r.b or [])
+
+
+def test_bounds_come_from_a_sample(spark):
+    rows, df = hot_log(spark, size=2000)
+    bounds = splitters(df, hot_keys(df, "key", 500), "key", ("place", "offset"), 500).collect()
+    assert [r.key for r in bounds] == ["k"] and 1 <= len(bounds[0]._bounds) <= 4
 
 
 def test_gap_then_late(spark):

@@ -5,10 +5,14 @@ from conftest import raw_log, reading
 from pyspark.sql import functions as F
 
 from checks.event_log import raw_records
-from tallywire.operators.summary import log_totals, run_stats, sensor_summary
+from tallywire.operators.summary import batch_outcomes, log_totals, run_stats, sensor_summary
+from tallywire.operators.validation import split_valid, validate
 from tallywire.plans.process import process_log
 from tallywire.sources.log import log_from_table, read_log_files
+from tallywire.session import stage
+from tallywire.streaming.drop import drop_duplicates_stream
 from tallywire.streaming.microbatch import LogStream
+from tallywire.streaming.state import HASHES, LogState, runs_before
 
 LABELS = ("partition", "offset", "event_id", "status", "missing", "anomaly", "raw")
 
@@ -39,7 +43,7 @@ def test_batches_equal_one_batch(spark, log, batch, tmp_path):
     """Batches are handed over directly; one is repeated, states are merged every second batch."""
     published = []
     stream = LogStream(
-        spark, str(tmp_path), publish=lambda df, kind: published.append((kind, df.count())), compact_every=2
+        spark, str(tmp_path), publish=lambda df, kind, batch: published.append((kind, batch, df.count())), factor=2
     )
     for batch_id, part in enumerate(slices(log, 5)):
         stream.process(part, batch_id)
@@ -51,9 +55,14 @@ def test_batches_equal_one_batch(spark, log, batch, tmp_path):
     assert stream.totals().first() == log_totals(good).first()
     stats = run_stats(stream.audit()).first()
     assert stats.asDict() == {**run_stats(batch).first().asDict(), "batches": 5}
+    # The counters taken while the audit table was written are those of the table, whatever was repeated.
+    assert stream.stats().first().asDict() == stats.asDict()
+    assert sorted(stream.outcomes().collect()) == sorted(batch_outcomes(stream.audit()).collect())
     assert spark.read.parquet(f"{tmp_path}/anomalies").count() == stats.anomalies_published
     assert spark.read.parquet(f"{tmp_path}/dead_letters").count() == stats.dead_lettered
-    assert len([1 for kind, _ in published if kind == "anomalies"]) == 7
+    # A batch that is repeated is not published again.
+    assert sorted((kind, n) for kind, n, _ in published) == [(kind, n) for kind in ("anomalies", "dead_letters") for n in range(5)]
+    assert sum(n for kind, _, n in published if kind == "anomalies") == stats.anomalies_published
     # Earlier points in time can be asked for as well.
     first = process_log(slices(log, 5)[0])
     assert sorted(stream.summary(0).collect()) == sorted(sensor_summary(first.where("reason IS NULL")).collect())
@@ -97,7 +106,7 @@ def test_restart_after_a_crash(spark, log, batch, tmp_path):
 
 
 def test_empty_batches_and_ids_for_ever(spark, tmp_path):
-    stream = LogStream(spark, str(tmp_path), audit_json=True, compact_every=2)
+    stream = LogStream(spark, str(tmp_path), audit_json=True, factor=2)
     assert (stream.audit().count(), stream.summary().count(), stream.sections().count()) == (0, 0, 3)
     one = log_from_table(raw_log(spark, [reading(), "{"]))
     stream.process(one, 0)
@@ -125,3 +134,91 @@ def test_summary_at_the_end_of_a_run(spark, log, batch, tmp_path):
     stream.run(read_log_files(spark, f"{tmp_path}/log"))
     kinds = {r.section: r["count"] for r in spark.read.json(f"{tmp_path}/out/summary").groupBy("section").count().collect()}
     assert kinds == {"totals": 1, "thresholds": 1, "consumer": 1, "sensors": 15, "anomalies": 317}
+
+
+def test_a_crash_between_publishing_and_commit(spark, log, tmp_path):
+    """A publisher that remembers kind and batch is sent the same records again, and nothing twice that was noted."""
+    source, out = f"{tmp_path}/log", f"{tmp_path}/out"
+    sent, taken = [], {}
+
+    def publish(records, kind, batch):
+        rows = sorted((r.key or "", r.value) for r in records.collect())
+        sent.append((kind, batch))
+        assert taken.setdefault((kind, batch), rows) == rows
+
+    class Crashing(LogStream):
+        def _mark(self, kind, batch_id, schema, row):
+            if kind == self.at:
+                raise RuntimeError("lost")
+            super()._mark(kind, batch_id, schema, row)
+
+    log.write.parquet(source)
+    for at in ("published/kind=anomalies", "finished"):
+        stream = Crashing(spark, out, publish=publish)
+        stream.at = at
+        with pytest.raises(Exception, match="lost"):
+            stream.start(read_log_files(spark, source)).awaitTermination()
+    LogStream(spark, out, publish=publish).start(read_log_files(spark, source)).awaitTermination()
+    # Dead letters were noted at once; the note on anomalies was lost, so they were sent again.
+    assert sorted(sent) == [("anomalies", 0), ("anomalies", 0), ("dead_letters", 0)]
+    stats = LogStream(spark, out).stats().first()
+    assert (len(taken["anomalies", 0]), len(taken["dead_letters", 0])) == (stats.anomalies_published, stats.dead_lettered)
+
+
+def test_levels_follow_the_number_of_the_batch():
+    for factor in (2, 3, 8):
+        for batch in range(200):
+            covered = [b for level, n in runs_before(batch, factor) for b in range(n * factor**level, (n + 1) * factor**level)]
+            assert covered == list(range(batch))
+    assert len(runs_before(10**9, 8)) <= 7 * 11
+    assert runs_before(200, 8) == [(2, 0), (2, 1), (2, 2), (1, 24)]
+
+
+def test_a_batch_opens_only_files_its_ids_may_be_in(spark, tmp_path):
+    """New ids open next to no file, however long the stream has run; ids seen before open the files that hold them."""
+    state = LogState(spark, str(tmp_path), None, factor=8, buckets=4)
+
+    def ids(first, count):
+        return spark.range(first, first + count).select(F.concat(F.lit("run-"), F.col("id").cast("string")).alias("event_id"))
+
+    # What 200 batches of 50 ids leave behind.
+    for level, number in runs_before(200, 8):
+        state.write_ids(level, number, ids(number * 8**level * 50, 8**level * 50))
+    state.write_ids(0, 0, ids(0, 50))
+    opened = {}
+    for batch in (1, 200):
+        fresh = ids(1_000_000, 50)
+        maybe, paths = state.files_for(batch, fresh, stage)
+        opened[batch] = len(paths)
+        assert state.seen_among(batch, fresh, stage).count() == 0
+    assert opened[1] == opened[200] == 0
+    mixed = ids(9_990, 30)
+    maybe, paths = state.files_for(200, mixed, stage)
+    assert paths and all("level=1/number=24" in p for p in paths)
+    found = sorted(r.event_id for r in state.seen_among(200, mixed, stage).collect())
+    assert found == sorted(f"run-{n}" for n in range(9_990, 10_000))
+    # All of what was seen passes its filter, and few others do.
+    every = ids(0, 10_000)
+    assert state.seen_among(200, every, stage).count() == 10_000
+    passed = state.files_for(200, ids(10**7, 20_000), stage)[0].select("event_id").distinct().count()
+    assert HASHES == 8 and passed < 100
+
+
+def test_drop_keeps_each_id_once_for_ever(spark, log, batch, tmp_path):
+    """Over restarts, with ids that come again much later, a late new reading and records without an id."""
+    parts = [*slices(log, 3), log.where("offset % 5 = 0")]
+    late = log_from_table(raw_log(spark, [reading("s", 1, eventId="late", ts="2001-01-01"), reading("s", 2, eventId="late", ts="2001-01-01")]))
+    parts.append(late)
+    for part in parts:
+        part.write.mode("append").parquet(f"{tmp_path}/log")
+        good, _ = split_valid(validate(read_log_files(spark, f"{tmp_path}/log")))
+        nameless = good.withColumn("event_id", F.when(F.col("event_id") != "evt-2", F.col("event_id")))
+        kept = drop_duplicates_stream(nameless).select("event_id", "partition", "offset")
+        query = kept.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True)
+        query.start(f"{tmp_path}/out").awaitTermination()
+    found = [r.event_id for r in spark.read.parquet(f"{tmp_path}/out").collect()]
+    wanted = {r.event_id for r in batch.where("reason IS NULL").select("event_id").collect()} - {"evt-2"} | {"late"}
+    named = [f for f in found if f is not None]
+    assert len(named) == len(set(named)) and set(named) == wanted
+    # A record without an id stays, one for each place in the log.
+    assert found.count(None) == batch.where("event_id = 'evt-2'").count()
