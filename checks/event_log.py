@@ -24,9 +24,9 @@ def record_log(events: DataFrame, lossless: bool = False) -> DataFrame:
 
 
 def raw_records(events: DataFrame, spread: str = "user_id") -> DataFrame:
-    """The same log as raw records with JSON payloads, plus broken, incomplete and non-object payloads."""
+    """The log of all events as raw records with JSON payloads, plus broken, incomplete and non-object payloads."""
     numbered = numbered_events(events)
-    good = _deliveries(numbered).withColumn("_kind", F.lit("good"))
+    good = _deliveries(numbered, lossless=True).withColumn("_kind", F.lit("good"))
     kinds = F.array(
         *[
             F.when(F.col("event_id") % step == 0, F.struct(F.lit(kind).alias("_kind"), F.lit(at).alias("_at")))

@@ -33,7 +33,8 @@ marked AS (
   SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY arrival) > 1 AS is_duplicate FROM log)"""
 
 # All events, none lost.
-WHOLE = LOG.replace("FROM numbered WHERE event_id % 29 <> 0\n", "FROM numbered\n").replace("event_id % 29 <> 0 AND ", "")
+NUMBERED_WHOLE = NUMBERED.replace("FROM numbered WHERE event_id % 29 <> 0\n", "FROM numbered\n").replace("event_id % 29 <> 0 AND ", "")
+WHOLE = f"{NUMBERED_WHOLE}, log AS ({_readings('deliveries')})"
 
 
 def _number(x: str) -> str:
@@ -118,7 +119,7 @@ def _json(sequence: str, temperature: str) -> str:
 FULL = _json("CAST(sequence AS VARCHAR)", """',"temperatureC":' || CAST(temperature_c AS VARCHAR)""")
 INCOMPLETE = _json("""concat('"', CAST(sequence AS VARCHAR), '"')""", "''")
 
-RAW = f"""{NUMBERED},
+RAW = f"""{NUMBERED_WHOLE},
 kinds AS (
   SELECT *, 'good' AS kind FROM deliveries
   UNION ALL SELECT *, event_id * 10 + 7, 'cut' FROM numbered WHERE event_id % 41 = 0
@@ -451,9 +452,27 @@ UNION ALL SELECT 'anomalies', sensor_id, arrival, concat('{{', {_anomaly_body(IS
 SELECT "partition", "offset", event_id, status, CAST(missing AS DOUBLE) AS missing, nullif({_reason()}, '') AS anomaly
 FROM {_placed()}
 UNION ALL SELECT "partition", "offset", event_id, reason, NULL, NULL FROM checked WHERE reason IS NOT NULL""",
-    "stream_dedup": f"WITH {LOG} SELECT DISTINCT event_id FROM log",
+    "stream_dedup": f"WITH {WHOLE} SELECT DISTINCT event_id FROM log",
 }
 # The same counters, from as many batches as the stream is cut into.
+# Sequences, summaries and totals of each sensor and run.
+RUNS = "CAST(substr(event_id, 5) AS BIGINT) // 2500 AS run"
+ORACLE["sensor_summary_by_run"] = f"""WITH {LOG.replace(', log AS (', ', unnumbered AS (')}, log AS (SELECT *, {RUNS} FROM unnumbered), {MARKED},
+{LABELLED.replace(_placed(), _placed(key='sensor_id, run'))}, {SENSORS.replace('SELECT sensor_id,', 'SELECT sensor_id, run,').replace('GROUP BY sensor_id', 'GROUP BY sensor_id, run')}
+SELECT * REPLACE ({ISO.replace('ts,', 'last_event_ts,')} AS last_event_ts) FROM sensors"""
+
+ORACLE["sensor_summary_bucketed"] = ORACLE["sensor_summary"]
+
+ORACLE["summary_positions"] = f"""WITH {LOG}, {MARKED}, {LABELLED}, {SENSORS},
+parts AS (SELECT 1 AS part, 'totals' AS section, NULL AS sensor_id, NULL AS arrival UNION ALL SELECT 2, 'thresholds', NULL, NULL
+  UNION ALL SELECT 4, 'sensors', sensor_id, NULL FROM sensors
+  UNION ALL SELECT 5, 'anomalies', sensor_id, arrival FROM labelled WHERE applied AND reason <> '')
+SELECT section, sensor_id, arrival, row_number() OVER (ORDER BY part, CASE WHEN part = 4 THEN sensor_id END, arrival) AS position FROM parts"""
+
+ORACLE["offset_range_scan"] = f"""WITH {RAW}, ends AS (SELECT min("offset") AS low, max("offset") AS high FROM raw)
+SELECT "partition", "offset", md5(payload) AS digest FROM raw, ends
+WHERE "offset" BETWEEN low + (high - low) // 4 AND low + (high - low) // 2"""
+
 ORACLE["stream_drop"] = ORACLE["stream_dedup"]
 
 # Batches of a stream are thirds of the offsets.

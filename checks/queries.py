@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks.event_log import ARRIVAL, raw_records, record_log
 from tallywire.functions.clock import iso_text, run_id
-from tallywire.operators.anomaly import Thresholds, detect_anomalies
+from tallywire.operators.anomaly import Thresholds, detect_anomalies, flag_anomalies
 from tallywire.operators.continuity import classify_continuity, ordering_report, partition_spread, with_previous_sequence
 from tallywire.operators.dedup import mark_duplicates
 from tallywire.operators.records import (
@@ -23,6 +23,7 @@ from tallywire.operators.records import (
     to_log_records,
     with_message_key,
 )
+from tallywire.operators.running import large_keys
 from tallywire.operators.summary import (
     batch_outcomes,
     format_summary,
@@ -33,14 +34,16 @@ from tallywire.operators.summary import (
     sensor_summary,
     state_totals,
     summarize,
+    summary_positions,
     summary_sections,
 )
 from tallywire.operators.validation import decode_payload, parse_payload, split_valid, validate
 from tallywire.plans.process import label_log, process_log
 from tallywire.plans.sinks import audit_log
 from tallywire.schema import DUPLICATE
-from tallywire.session import prepare, stage, work_dir
+from tallywire.session import prepare, stage, stage_by_key, work_dir
 from tallywire.sources.log import log_from_table, read_log_files
+from tallywire.sources.offsets import LogIndex
 from tallywire.streaming.drop import drop_duplicates_stream
 from tallywire.streaming.microbatch import LogStream
 
@@ -181,6 +184,23 @@ def sensors(spark, sf_dir):
     return sensor_summary(labelled(spark, sf_dir), ARRIVAL)
 
 
+def sensors_by_run(spark, sf_dir):
+    """Every sensor counts anew in each run: sequences, last values and sums by sensor and run."""
+    runs = log(spark, sf_dir).withColumns(
+        {"ts": iso_text(F.col("ts")), "run": F.call_function("div", F.substring("event_id", 5, 20).cast("long"), F.lit(2500))}
+    )
+    key = ("sensor_id", "run")
+    return sensor_summary(label_log(runs, ARRIVAL, key=key), ARRIVAL, key)
+
+
+def sensors_bucketed(spark, sf_dir):
+    """Two passes by sensor over a log that is stored by sensor: neither moves it."""
+    readings = log(spark, sf_dir).withColumn("ts", iso_text(F.col("ts")))
+    marked = stage_by_key(mark_duplicates(readings, ARRIVAL), "by-sensor", ("sensor_id",), ARRIVAL)
+    hot = large_keys(marked, "sensor_id")
+    return sensor_summary(flag_anomalies(classify_continuity(marked, ARRIVAL, stored=True, hot=hot)), ARRIVAL)
+
+
 def totals(spark, sf_dir):
     return log_totals(labelled(spark, sf_dir), ARRIVAL)
 
@@ -374,6 +394,24 @@ def sections(spark, sf_dir):
     )
 
 
+def positions(spark, sf_dir):
+    """Every row of the summary document with its place in it."""
+    marked = stage(labelled(spark, sf_dir), "labelled")
+    placed = summary_positions(summary_sections(marked, order_by=ARRIVAL))
+    return placed.select("section", "sensor_id", F.element_at("arrival", 1).alias("arrival"), "position")
+
+
+def offset_range_scan(spark, sf_dir):
+    """The second quarter of the offsets of a log kept as files, of which the index names those to open."""
+    root = work_dir(spark, "indexed")
+    log_from_table(raw(spark, sf_dir)).repartitionByRange(16, "offset").write.parquet(f"{root}/log")
+    index = LogIndex(spark, f"{root}/log", f"{root}/index")
+    index.refresh()
+    low, high = index.entries().agg(F.min("first_offset"), F.max("last_offset")).first()
+    found = index.read(low + (high - low) // 4, low + (high - low) // 2)
+    return found.select("partition", "offset", F.md5("value").alias("digest"))
+
+
 def _slice_of(low: int, high: int, slices: int):
     """Which of so many slices of a log a record is in, by its offset."""
     return F.least(F.lit(slices - 1), F.floor((F.col("offset") - low) * slices / (high - low + 1)))
@@ -482,10 +520,13 @@ QUERIES: dict[str, Query] = {
     "anomalies_standalone": anomalies_standalone,
     "anomaly_records": anomaly_messages,
     "sensor_summary": sensors,
+    "sensor_summary_by_run": sensors_by_run,
+    "sensor_summary_bucketed": sensors_bucketed,
     "log_totals": totals,
     "run_stats": stats,
     "batch_outcomes": outcomes,
     "offset_ranges": ranges,
+    "offset_range_scan": offset_range_scan,
     "decode_payload": decoded,
     "json_parse_split": json_parse_split,
     "validation_errors": validation_errors,
@@ -502,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "readings_rounded": readings_rounded,
     "summary_report": report,
     "summary_document": sections,
+    "summary_positions": positions,
     "stream_summary": stream_summary,
     "stream_audit": stream_audit,
     "stream_stats": stream_stats,

@@ -11,6 +11,8 @@ from tallywire.functions.numbers import json_number, number_text, round_half_up
 from tallywire.functions.sums import band, combined, ordinary, whole
 from tallywire.functions.text import pad_left, pad_right
 from tallywire.operators.anomaly import ANOMALY_COLUMNS, DEFAULT_THRESHOLDS, Thresholds
+from tallywire.operators.positions import with_positions
+from tallywire.operators.running import key_columns
 from tallywire.operators.skew import as_long
 from tallywire.schema import ACCEPTED, DUPLICATE, GAP, LOG_ORDER, OUT_OF_ORDER
 from tallywire.session import stage
@@ -20,10 +22,11 @@ WITH_NULLS = {"ignoreNullFields": "false"}
 BANDS = ("temperature_band", "humidity_band")
 
 
-def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str = "sensor_id") -> DataFrame:
+def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """What is known of each sensor, in a form that merges: sums, extremes, counts and latest values.
 
-    `labelled` carries `status`, `missing` and `is_anomaly` (see `label_log`). A sensor has one row, and one more for each
+    `labelled` carries `status`, `missing` and `is_anomaly` (see `label_log`). `key` may be several columns, such as sensor
+    and run, here and in all that follows. A sensor has one row, and one more for each
     pair of bands (see `functions/sums.py`) its measures beyond the ordinary fall in.
     """
     applied = F.col("status") != DUPLICATE
@@ -36,7 +39,7 @@ def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key:
 
     measures = {"temperature": when_applied(F.col("temperature_c")), "humidity": when_applied(humidity)}
     banded = labelled.withColumns({f"{name}_band": band(value) for name, value in measures.items()})
-    return banded.groupBy(key, *BANDS).agg(
+    return banded.groupBy(*key_columns(key), *BANDS).agg(
         F.count_if(applied).alias("readings"),
         *[part for name, value in measures.items() for part in _sums(value, name)],
         F.min(when_applied(F.col("temperature_c"))).alias("min_temperature_c"),
@@ -53,19 +56,20 @@ def sensor_state(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key:
     )
 
 
-def merge_states(states: DataFrame, key: str = "sensor_id") -> DataFrame:
+def merge_states(states: DataFrame, key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """One state per sensor (and bands) from any number of partial ones."""
-    return states.groupBy(key, *BANDS).agg(*_merged(states, [key, *BANDS]))
+    return states.groupBy(*key_columns(key), *BANDS).agg(*_merged(states, [*key_columns(key), *BANDS]))
 
 
-def one_state_each(states: DataFrame, key: str = "sensor_id") -> DataFrame:
+def one_state_each(states: DataFrame, key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """One row per sensor, the sums of its bands as arrays `temperature_far` and `humidity_far`."""
     # A sensor has at most some sixty bands of each measure, whatever it measured.
     far = []
     for name in ("temperature", "humidity"):
         sums = F.collect_list(F.when(F.col(f"{name}_band").isNotNull(), F.struct(F.col(f"{name}_band").alias("band"), F.col(f"{name}_whole").alias("whole"))))
         far.append(_by_band(sums).alias(f"{name}_far"))
-    return states.groupBy(key).agg(*_merged(states, [key, *BANDS, "temperature_whole", "humidity_whole"]), *far)
+    keys = key_columns(key)
+    return states.groupBy(*keys).agg(*_merged(states, [*keys, *BANDS, "temperature_whole", "humidity_whole"]), *far)
 
 
 def _merged(states: DataFrame, keys: Sequence[str]) -> list[Column]:
@@ -78,11 +82,11 @@ def _merged(states: DataFrame, keys: Sequence[str]) -> list[Column]:
     ]
 
 
-def summarize(states: DataFrame, key: str = "sensor_id") -> DataFrame:
+def summarize(states: DataFrame, key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """The summary of every sensor with at least one reading, from its state, which may come in parts."""
     readings = F.col("readings")
     return one_state_each(states, key).where(readings > 0).select(
-        key,
+        *key_columns(key),
         F.col("last_rack.rack_id").alias("rack_id"),
         "readings",
         round_half_up(_sum("temperature") / readings, 2).alias("avg_temperature_c"),
@@ -99,14 +103,14 @@ def summarize(states: DataFrame, key: str = "sensor_id") -> DataFrame:
     )
 
 
-def state_totals(states: DataFrame, key: str = "sensor_id") -> DataFrame:
+def state_totals(states: DataFrame, key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """Totals over all sensors, one row, from their states, which may come in parts. Gaps here do not include late arrivals."""
 
     def total(column: str) -> Column:
         return F.coalesce(F.sum(column), F.lit(0))
 
     return states.agg(
-        F.count_distinct(F.when(F.col("readings") > 0, F.struct(key))).alias("sensors"),
+        F.count_distinct(F.when(F.col("readings") > 0, F.struct(*key_columns(key)))).alias("sensors"),
         total("readings").alias("readings"),
         total("duplicates").alias("duplicates"),
         total("out_of_order").alias("out_of_order"),
@@ -116,12 +120,12 @@ def state_totals(states: DataFrame, key: str = "sensor_id") -> DataFrame:
     )
 
 
-def sensor_summary(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str = "sensor_id") -> DataFrame:
+def sensor_summary(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """One row per sensor with at least one reading."""
     return summarize(sensor_state(labelled, order_by, key), key)
 
 
-def log_totals(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str = "sensor_id") -> DataFrame:
+def log_totals(labelled: DataFrame, order_by: Sequence[str] = LOG_ORDER, key: str | Sequence[str] = "sensor_id") -> DataFrame:
     """One row of totals over all sensors."""
     return state_totals(sensor_state(labelled, order_by, key), key)
 
@@ -252,6 +256,19 @@ def summary_sections(
     return document.unionByName(sensors).unionByName(anomalies)
 
 
+def document_order(sections: DataFrame) -> DataFrame:
+    """The rows of a summary with the columns `part`, `sensor` and `arrival`, by which the document is sorted: its
+    sections one after the other, sensors in the order people read ids in, anomalies by arrival."""
+    names = F.array(*map(F.lit, ("totals", "thresholds", "consumer", "sensors", "anomalies")))
+    sensor = F.when(F.col("section") == "sensors", F.col("sensor_id"))
+    return sections.withColumns({"part": F.array_position(names, F.col("section")), "sensor": F.collate(F.coalesce(sensor, F.lit("")), "UNICODE")})
+
+
+def summary_positions(sections: DataFrame) -> DataFrame:
+    """The rows of a summary with their place in the document, counted from 1."""
+    return with_positions(document_order(sections), ("part", "sensor", "arrival")).drop("part", "sensor")
+
+
 def _with_arrival(labelled: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """Anomalies of a labelled log together with their arrival."""
     extra = [c for c in order_by if c not in ANOMALY_COLUMNS]

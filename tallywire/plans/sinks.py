@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallywire.functions.clock import iso_text
 from tallywire.operators.records import reading_json, source_struct
-from tallywire.operators.summary import report_lines
+from tallywire.operators.summary import document_order, report_lines
 
 
 def audit_log(audit: DataFrame) -> DataFrame:
@@ -46,9 +46,7 @@ def write_audit(audit: DataFrame, path: str, mode: str = "append") -> None:
 
 def write_summary(sections: DataFrame, path: str) -> None:
     """The summary sections as JSON lines, replacing an earlier summary; sensors by id, anomalies by arrival."""
-    rank = F.array_position(F.array(*map(F.lit, ("totals", "thresholds", "consumer", "sensors", "anomalies"))), F.col("section"))
-    sensor = F.when(F.col("section") == "sensors", F.col("sensor_id"))
-    ordered = sections.orderBy(rank, F.collate(F.coalesce(sensor, F.lit("")), "UNICODE"), "arrival")
+    ordered = document_order(sections).orderBy("part", "sensor", "arrival")
     ordered.select("section", F.try_parse_json("body").alias("body")).write.mode("overwrite").json(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,3 +80,18 @@ def stage_below(path: str) -> Callable[[DataFrame, str], DataFrame]:
 def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_by_key(df: DataFrame, label: str, key: Sequence[str], order_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """Like `stage`, with the rows dealt into files by `key`, by default as many as shuffle partitions, and sorted in each.
+
+    Windows, aggregates and joins by that key then move no rows. A key is whole in its file: hand in logs whose keys are
+    of a size for one task (`running.large_keys` tells which are not).
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = work_dir(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    writer = df.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key, *order_by)
+    writer.mode("overwrite").option("path", path).saveAsTable(name)
+    return spark.table(name)

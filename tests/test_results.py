@@ -1,12 +1,19 @@
 """Anomalies, summaries, reports and records."""
 
 import json
+import math
+import random
+from fractions import Fraction
 
 import pytest
 from conftest import raw_log, reading, typed_log
 from pyspark.sql import functions as F
 
-from tallywire.operators.anomaly import Thresholds, detect_anomalies
+from tallywire.functions.sums import band, combined, ordinary, whole
+from tallywire.operators.anomaly import Thresholds, detect_anomalies, flag_anomalies
+from tallywire.operators.continuity import classify_continuity
+from tallywire.operators.dedup import mark_duplicates
+from tallywire.operators.positions import with_positions
 from tallywire.operators.records import (
     anomaly_records,
     event_id,
@@ -16,6 +23,7 @@ from tallywire.operators.records import (
     to_log_records,
     with_message_key,
 )
+from tallywire.operators.running import large_keys
 from tallywire.operators.summary import (
     batch_outcomes,
     format_summary,
@@ -28,10 +36,12 @@ from tallywire.operators.summary import (
     sensor_summary,
     sorted_by_sensor,
     summarize,
+    summary_positions,
     summary_sections,
 )
 from tallywire.plans.process import label_log, process_log
 from tallywire.plans.sinks import write_audit, write_records, write_report, write_summary
+from tallywire.session import stage_by_key
 
 
 def headers(row):
@@ -42,16 +52,18 @@ def test_aggregates_of_one_sensor(spark):
     log = typed_log(
         spark,
         [
-            reading(sequence=1, temperatureC=20, humidityPct=40, vibrationMmS=0.1),
-            reading(sequence=2, temperatureC=24, humidityPct=60, vibrationMmS=0.9),
-            reading(sequence=3, temperatureC=16, humidityPct=50, vibrationMmS=0.4),
+            reading(sequence=11, temperatureC=-3.25, humidityPct=71.5, vibrationMmS=2.0625),
+            reading(sequence=12, temperatureC=8.5, humidityPct=..., vibrationMmS=..., rackId="rack-Q"),
+            reading(sequence=13, temperatureC=1.125, humidityPct=12, vibrationMmS=4.1875, rackId=""),
+            reading(sequence=14, temperatureC=0.625, humidityPct=33.25, vibrationMmS=0),
         ],
     )
+    # By the rules: 7 / 4 and 116.75 / 4, halves upwards; the vibration with three places; the last rack that is named.
     row = sensor_summary(label_log(log)).first().asDict()
     assert row == {
-        "sensor_id": "sensor-01", "rack_id": "rack-A", "readings": 3, "avg_temperature_c": 20.0,
-        "min_temperature_c": 16.0, "max_temperature_c": 24.0, "avg_humidity_pct": 50.0, "max_vibration_mm_s": 0.9,
-        "last_sequence": 3.0, "last_event_ts": "2026-09-30T10:00:03.000Z", "last_temperature_c": 16.0,
+        "sensor_id": "sensor-01", "rack_id": "rack-A", "readings": 4, "avg_temperature_c": 1.75,
+        "min_temperature_c": -3.25, "max_temperature_c": 8.5, "avg_humidity_pct": 29.19, "max_vibration_mm_s": 4.188,
+        "last_sequence": 14.0, "last_event_ts": "2026-09-30T10:00:14.000Z", "last_temperature_c": 0.625,
         "sequence_gaps": 0, "duplicates": 0, "anomalies": 0,
     }
 
@@ -63,10 +75,10 @@ def test_missing_values_count_as_zero(spark):
 
 
 def test_sensors_stay_apart_and_sort(spark):
-    names = {"sensor-03": 30, "sensor-01": 10, "sensor-02": 20, "b": 1, "B": 2, "a": 3, "A": 4}
+    names = {"pump-7": 4.5, "Valve": -1, "pump-12": 61, "valve": 17.25, "élan": 3, "zeta": 2, "_9": 0}
     log = typed_log(spark, [reading(s, temperatureC=t) for s, t in names.items()])
     rows = sorted_by_sensor(sensor_summary(label_log(log))).collect()
-    assert [r.sensor_id for r in rows] == ["a", "A", "b", "B", "sensor-01", "sensor-02", "sensor-03"]
+    assert [r.sensor_id for r in rows] == ["_9", "élan", "pump-12", "pump-7", "valve", "Valve", "zeta"]
     assert {r.sensor_id: r.avg_temperature_c for r in rows} == names
 
 
@@ -88,40 +100,44 @@ def test_anomalies(spark):
     log = typed_log(
         spark,
         [
-            reading(sequence=1, temperatureC=79.9),
-            reading(sequence=2, temperatureC=91.2, vibrationMmS=6.4),
-            reading(sequence=3, temperatureC=-30, rackId=..., vibrationMmS=...),
-            reading(sequence=4, temperatureC=80, vibrationMmS=5),
+            reading(sequence=1, temperatureC=-10, vibrationMmS=5.0),
+            reading(sequence=2, temperatureC=-10.5, vibrationMmS=5.25),
+            reading(sequence=3, temperatureC=200, rackId=..., vibrationMmS=...),
+            reading(sequence=4, temperatureC=78.125, vibrationMmS=5),
+            reading(sequence=5, temperatureC=80, vibrationMmS=12),
         ],
     )
     found = {r.sequence: r for r in detect_anomalies(log).collect()}
     assert {s: r.reason for s, r in found.items()} == {
-        2.0: "temperatureC 91.2 > 80; vibrationMmS 6.4 > 5",
-        3.0: "temperatureC -30 < -10",
+        2.0: "temperatureC -10.5 < -10; vibrationMmS 5.25 > 5",
+        3.0: "temperatureC 200 > 80",
+        5.0: "vibrationMmS 12 > 5",
     }
     assert (found[3.0].rack_id, found[3.0].vibration_mm_s) == (None, None)
     stricter = detect_anomalies(log, Thresholds(high_c=70.5, low_c=-40, vibration_mm_s=100))
     assert sorted(r.reason for r in stricter.collect()) == [
-        "temperatureC 79.9 > 70.5", "temperatureC 80 > 70.5", "temperatureC 91.2 > 70.5",
+        "temperatureC 200 > 70.5", "temperatureC 78.125 > 70.5", "temperatureC 80 > 70.5",
     ]
 
 
 def test_anomaly_record(spark):
-    log = typed_log(spark, [reading(eventId="hot-1", temperatureC=120, vibrationMmS=9.9)])
+    log = typed_log(spark, [reading(eventId="cold-8", temperatureC=-41.5, vibrationMmS=5.75)])
     (record,) = anomaly_records(detect_anomalies(label_log(log))).collect()
     assert (record.key, headers(record)) == ("sensor-01", {"event-type": "sensor.anomaly"})
     assert record.value == (
-        '{"type":"anomaly","eventId":"hot-1","sensorId":"sensor-01","rackId":"rack-A",'
-        '"ts":"2026-09-30T10:00:01.000Z","sequence":1,"temperatureC":120,"vibrationMmS":9.9,'
-        '"reason":"temperatureC 120 > 80; vibrationMmS 9.9 > 5","runId":"hot-1"}'
+        '{"type":"anomaly","eventId":"cold-8","sensorId":"sensor-01","rackId":"rack-A",'
+        '"ts":"2026-09-30T10:00:01.000Z","sequence":1,"temperatureC":-41.5,"vibrationMmS":5.75,'
+        '"reason":"temperatureC -41.5 < -10; vibrationMmS 5.75 > 5","runId":"cold-8"}'
     )
 
 
 def test_gap_and_late_totals(spark):
-    labelled = label_log(typed_log(spark, [reading(sequence=1), reading(sequence=4), reading(sequence=2)]))
+    # 30 comes after nothing; 37 skips six, 38 none, 45 six again; 31 and 44 come late, another 45 is no step at all.
+    steps = [30, 37, 31, 38, 45, 44, 45]
+    labelled = label_log(typed_log(spark, [reading(sequence=n, eventId=f"e{k}") for k, n in enumerate(steps)]))
     totals, row = log_totals(labelled).first(), sensor_summary(labelled).first()
-    assert (totals.sequence_gaps, totals.missing_readings, totals.out_of_order) == (1, 2.0, 1)
-    assert (row.sequence_gaps, row.last_sequence, row.readings) == (2, 4.0, 3)
+    assert (totals.sequence_gaps, totals.missing_readings, totals.out_of_order) == (2, 12.0, 2)
+    assert (row.sequence_gaps, row.last_sequence, row.readings) == (4, 45.0, 7)
 
 
 def test_report(spark, tmp_path):
@@ -147,6 +163,84 @@ def test_states_merge(spark):
     assert merge_states(parts).schema.simpleString() == parts.schema.simpleString()
 
 
+def test_averages_do_not_depend_on_the_partitioning(spark):
+    """Values from 1e-300 to 1e300 that mostly cancel out, in any order and number of partitions, merged or not."""
+    draw = random.Random(12)
+    values = []
+    for _ in range(150):
+        x = draw.choice([-1, 1]) * draw.random() * 10.0 ** draw.randrange(13, 300)
+        values += [x, -x]
+    small = [draw.uniform(-500, 500) for _ in range(60)] + [1e-300, -1e-300, 1e12, -1e12, 2.5e11]
+    values += small
+    exact = sum(Fraction(round(x * 10**9), 10**9) if abs(x) < 1e12 else Fraction(x) for x in values)
+    wanted = math.floor(float(exact) / len(values) * 100 + 0.5) / 100
+    order = ("partition", "offset")
+    seen = set()
+    for turn in (1, 3, 8):
+        draw.shuffle(values)
+        log = typed_log(spark, [reading(sequence=k + 1, eventId=f"e{k}", temperatureC=x, humidityPct=-x) for k, x in enumerate(values)])
+        labelled = label_log(log).repartition(turn)
+        whole = sensor_summary(labelled).first()
+        parts = sensor_state(labelled.where("offset % 3 = 0"), order).unionByName(sensor_state(labelled.where("offset % 3 > 0"), order))
+        merged = summarize(merge_states(parts)).first()
+        assert whole == merged
+        seen.add((whole.avg_temperature_c, whole.avg_humidity_pct))
+    assert len(seen) == 1 and seen.pop()[0] == wanted
+
+
+def test_sums_of_one_size(spark):
+    """A great value that stays is rounded once, infinite ones win, and a band holds more than its digits at once."""
+    rows = [("a", 1e300), ("a", 3.0), ("b", 5e-324), ("b", 2.0**960), ("b", -(2.0**960)), ("b", 4.0), ("c", float("inf")), ("c", 1.0), ("d", 1e25), ("d", 1e25 + 2**33)]
+    df = spark.createDataFrame(rows, "k string, x double").withColumn("band", band(F.col("x")))
+    parts = df.groupBy("k", "band").agg(F.sum(ordinary(F.col("x"))).alias("near"), F.sum(whole(F.col("x"), F.col("band"))).alias("whole"))
+    far = F.collect_list(F.when(F.col("band").isNotNull(), F.struct("band", "whole")))
+    sums = parts.groupBy("k").agg(combined(F.sum("near"), far).alias("sum"))
+    assert {r.k: r.sum for r in sums.collect()} == {"a": 1e300, "b": 4.0, "c": 1.0, "d": 2e25 + 2**33}
+
+
+def test_states_by_sensor_and_run(spark):
+    readings = [reading("s1", n, eventId=f"{run}-{n}", temperatureC=t) for run, n, t in (("x", 1, 4), ("x", 2, 6), ("y", 1, 9), ("y", 5, 11))]
+    log = typed_log(spark, readings).withColumn("run", F.substring_index("event_id", "-", 1))
+    key = ("sensor_id", "run")
+    labelled = label_log(log, key=key)
+    rows = {r.run: (r.readings, r.avg_temperature_c, r.last_sequence, r.sequence_gaps) for r in sensor_summary(labelled, key=key).collect()}
+    assert rows == {"x": (2, 5.0, 2.0, 0), "y": (2, 10.0, 5.0, 1)}
+    totals = log_totals(labelled, key=key).first()
+    assert (totals.sensors, totals.readings, totals.missing_readings) == (2, 4, 3.0)
+
+
+def test_positions(spark):
+    """Places in an order with repeated values, over many ranges, and of nothing."""
+    draw = random.Random(6)
+    rows = [(draw.choice("abc"), draw.randrange(40), k) for k in range(3000)]
+    df = spark.createDataFrame(rows, "name string, number int, k int").repartition(5)
+    placed = with_positions(df, ("name", "number", "k"), "at")
+    assert {r.k: r.at for r in placed.collect()} == {k: at for at, (_, _, k) in enumerate(sorted(rows), 1)}
+    assert with_positions(df.where("false"), ("name",)).count() == 0
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [name" not in plan
+
+
+def test_positions_of_a_summary(spark):
+    audit = process_log(raw_log(spark, [reading("b"), reading("A", temperatureC=99), reading("a"), reading("b", 5, temperatureC=-11.5)]))
+    found = summary_positions(summary_sections(audit.where("reason IS NULL"), run_stats(audit))).orderBy("position").collect()
+    assert [(r.position, r.section, r.sensor_id) for r in found] == [
+        (1, "totals", None), (2, "thresholds", None), (3, "consumer", None), (4, "sensors", "a"), (5, "sensors", "A"), (6, "sensors", "b"),
+        (7, "anomalies", "A"), (8, "anomalies", "b"),
+    ]
+
+
+def test_tables_by_key_are_not_moved_again(spark):
+    readings = [reading(f"s{k % 5}", k // 5 + 1, eventId=f"e{k}", temperatureC=k) for k in range(60)]
+    marked = mark_duplicates(typed_log(spark, readings))
+    stored = stage_by_key(marked, "by-sensor", ("sensor_id",), ("partition", "offset"))
+    none = large_keys(stored, "sensor_id")
+    summary = sensor_summary(flag_anomalies(classify_continuity(stored, stored=True, hot=none)))
+    rows = sorted(summary.collect())
+    assert "Exchange" not in summary._jdf.queryExecution().executedPlan().toString()
+    assert rows == sorted(sensor_summary(label_log(typed_log(spark, readings))).collect())
+
+
 def test_empty_log(spark):
     labelled = label_log(typed_log(spark, [reading()]).where("false"))
     assert sensor_summary(labelled).count() == 0
