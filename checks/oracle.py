@@ -473,6 +473,9 @@ ORACLE["offset_range_scan"] = f"""WITH {RAW}, ends AS (SELECT min("offset") AS l
 SELECT "partition", "offset", md5(payload) AS digest FROM raw, ends
 WHERE "offset" BETWEEN low + (high - low) // 4 AND low + (high - low) // 2"""
 
+ORACLE["stream_revised"] = f"""WITH {CHECKED.replace('user_id % 3', 'number % 3')}, log AS (SELECT *, "offset" AS arrival FROM checked WHERE reason IS NULL), {MARKED}
+SELECT "partition", "offset", event_id, previous_sequence, status, CAST(missing AS DOUBLE) AS missing FROM {_placed()}"""
+
 ORACLE["stream_drop"] = ORACLE["stream_dedup"]
 
 # Batches of a stream are thirds of the offsets.

@@ -38,7 +38,7 @@ from tallywire.operators.summary import (
     summary_sections,
 )
 from tallywire.operators.validation import decode_payload, parse_payload, split_valid, validate
-from tallywire.plans.process import label_log, process_log
+from tallywire.plans.process import check_log, label_log, process_log
 from tallywire.plans.sinks import audit_log
 from tallywire.schema import DUPLICATE
 from tallywire.session import prepare, stage, stage_by_key, work_dir
@@ -46,6 +46,7 @@ from tallywire.sources.log import log_from_table, read_log_files
 from tallywire.sources.offsets import LogIndex
 from tallywire.streaming.drop import drop_duplicates_stream
 from tallywire.streaming.microbatch import LogStream
+from tallywire.streaming.revised import RevisedLog
 
 BATCH_OFFSETS = 10_000
 SEED = 20260930
@@ -464,6 +465,15 @@ def stream_drop(spark, sf_dir):
     return spark.read.schema("event_id string").parquet(f"{root}/out")
 
 
+def stream_revised(spark, sf_dir):
+    """Labels of a stream whose batches are dealt by number, so that sensors and ids are spread over all of them."""
+    good, _ = split_valid(stage(check_log(raw(spark, sf_dir, spread="event_id"), keep_payload=False), "checked"))
+    revised = RevisedLog(spark, work_dir(spark, "revised"), good.schema, ("offset", "partition"))
+    for i in range(3):
+        revised.process(good.where(F.col("offset") % 3 == i), i)
+    return revised.labels().select("partition", "offset", "event_id", "previous_sequence", "status", "missing")
+
+
 def average_any_size(spark, sf_dir):
     """Averages of temperatures between 1e-300 and 1e300 in size, the greatest of which cancel out."""
     number = F.col("event_id")
@@ -550,6 +560,7 @@ QUERIES: dict[str, Query] = {
     "stream_outcomes": stream_outcomes,
     "stream_dedup": stream_dedup,
     "stream_drop": stream_drop,
+    "stream_revised": stream_revised,
     "average_any_size": average_any_size,
     "stream_sections": stream_sections,
 }

@@ -158,13 +158,23 @@ class LogState:
 
     def merge(self, batch_id: int) -> None:
         """Merge the tables that the batch completed into those of the next level."""
-        level, number = 0, batch_id
+        self.merge_ids(batch_id)
+        for level, number, parts in self._completed(batch_id):
+            states = self._read("sensors", [self._place("sensors", level - 1, p) for p in parts])
+            self._write("sensors", level, number, merge_states(states))
+
+    def merge_ids(self, batch_id: int) -> None:
+        for level, number, parts in self._completed(batch_id):
+            self.write_ids(level, number, self._read("ids", [self._place("ids", level - 1, p) for p in parts]))
+
+    def _completed(self, batch_id: int) -> list[tuple[int, int, range]]:
+        """Level and number of the tables that are whole with this batch, lowest first, and the numbers of their parts."""
+        found, level, number = [], 0, batch_id
         while number % self.factor == self.factor - 1:
             parts = range(number - self.factor + 1, number + 1)
-            below, level, number = level, level + 1, number // self.factor
-            self.write_ids(level, number, self._read("ids", [self._place("ids", below, p) for p in parts]))
-            states = self._read("sensors", [self._place("sensors", below, p) for p in parts])
-            self._write("sensors", level, number, merge_states(states))
+            level, number = level + 1, number // self.factor
+            found.append((level, number, parts))
+        return found
 
     def write_ids(self, level: int, number: int, ids: DataFrame) -> None:
         """Ids in their buckets, and the filters over them."""

@@ -1,10 +1,15 @@
 """The stream gives the answers of the batch job, whatever is repeated, restarted or merged on the way."""
 
+import random
+
 import pytest
-from conftest import raw_log, reading
+from conftest import raw_log, reading, typed_log
 from pyspark.sql import functions as F
+from test_order import random_log
 
 from checks.event_log import raw_records
+from tallywire.operators.continuity import classify_continuity
+from tallywire.operators.dedup import mark_duplicates
 from tallywire.operators.summary import batch_outcomes, log_totals, run_stats, sensor_summary
 from tallywire.operators.validation import split_valid, validate
 from tallywire.plans.process import process_log
@@ -12,6 +17,7 @@ from tallywire.sources.log import log_from_table, read_log_files
 from tallywire.session import stage
 from tallywire.streaming.drop import drop_duplicates_stream
 from tallywire.streaming.microbatch import LogStream
+from tallywire.streaming.revised import RevisedLog
 from tallywire.streaming.state import HASHES, LogState, runs_before
 
 LABELS = ("partition", "offset", "event_id", "status", "missing", "anomaly", "raw")
@@ -223,3 +229,36 @@ def test_drop_keeps_each_id_once_for_ever(spark, log, batch, tmp_path):
     assert len(named) == len(set(named)) and set(named) == wanted
     # A record without an id stays, one for each place in the log.
     assert found.count(None) == batch.where("event_id = 'evt-2'").count()
+
+
+def test_revised_labels_are_those_of_one_batch(spark, tmp_path):
+    """Records in any order over batches, a third of them of one sensor and a third of one id; a batch is repeated."""
+    draw = random.Random(2)
+    readings = random_log(2, 160)
+    log = typed_log(spark, readings).withColumn("event_id", F.when(F.col("event_id") != "e5", F.col("event_id"))).cache()
+    batch_of = {n: draw.randrange(3) for n in range(len(readings))}
+    dealt = log.withColumn("batch", F.element_at(F.create_map(*[F.lit(x) for p in batch_of.items() for x in p]), F.col("offset").cast("int")))
+    revised = RevisedLog(spark, str(tmp_path), log.schema, ("offset", "partition"), factor=2, buckets=2)
+    for batch in range(3):
+        for _ in range(2 if batch == 1 else 1):
+            revised.process(dealt.where(F.col("batch") == batch).drop("batch"), batch)
+        if not batch:
+            continue
+        sofar = dealt.where(F.col("batch") <= batch)
+        wanted = classify_continuity(mark_duplicates(sofar, ("offset",)), ("offset",))
+        columns = ("offset", "event_id", "sensor_id", "is_duplicate", "previous_sequence", "status", "missing")
+        assert sorted(map(str, revised.labels().select(*columns).collect())) == sorted(map(str, wanted.select(*columns).collect()))
+    assert revised.revisions(2).count() > 0
+
+
+def test_records_in_order_revise_nothing(spark, tmp_path):
+    log = typed_log(spark, [reading(f"s{k % 3}", k // 3 + 1, eventId=f"e{k}") for k in range(60)])
+    revised = RevisedLog(spark, str(tmp_path), log.schema, ("offset", "partition"))
+    for batch in range(2):
+        revised.process(log.where(F.floor(F.col("offset") / 30) == batch), batch)
+    assert revised.revisions(1).count() == 0 and revised.labels().where("status = 'accepted'").count() == 60
+    # One late record that jumps ahead makes the next of its sensor late, until a higher one comes.
+    jump = typed_log(spark, [reading("s0", 8, eventId="jump")]).withColumn("offset", F.lit(7).cast("long")).withColumn("partition", F.lit(9))
+    revised.process(jump, 2)
+    changed = {r.sequence: (r.previous_sequence, r.status) for r in revised.revisions(2).collect()}
+    assert changed == {n: (8.0, "accepted" if n == 8 else "out_of_order") for n in range(4, 9)}
