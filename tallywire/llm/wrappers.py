@@ -6,11 +6,12 @@ with the greatest number of matching nodes below), and nodes without a partner a
 host come to is its wrapper. Every text of a page then has a slot, the node of the wrapper its element is aligned
 with. A text found in the same slot of nearly all different pages of the host that have the slot, or of those of them in
 one language, is constant and belongs to the template; what varies is content. Layouts whose elements or classes differ
-have slots of their own. A host or language with two to four different pages is judged by all of them, but a page more
-than half of which would go by that is taken for a copy and keeps its text. Regions that say what they are (menus, page headers and footers, sidebars, adverts, notices,
+have slots of their own. A page more than half of which would go as constant is taken for a copy and keeps its text.
+Regions that say what they are (menus, page headers and footers, sidebars, adverts, notices,
 forms, reader comments, scripts, styles, hidden parts) are never content, and if a page marks its article, only that is.
-Inside an article a region says so only by a class or id that is such a name, alone or among plain words; a comment
-marked as an article is none.
+A region says so by a class or id that is such a name, alone or among plain words (inside an article, fewer of them); a comment
+marked as an article is none. A form or a named region, comments aside, that holds more than half of the page's text is the frame the
+page is built into, and content. Bylines that are named so stay in an article, also where they are equal on all pages.
 
 Blocks are runs of text between block elements, character references decoded, white space as one space, trimmed, and
 joined in page order by line feeds. Broken markup is read as browsers do in the main: missing ends of paragraphs, items
@@ -40,10 +41,12 @@ from pyspark.sql import DataFrame, functions as F
 from tallywire.llm.common import slices, stage
 
 MOST_DEPTH = 100
-# A constant stands on this share of the different pages that have its place, if they are at least so many, or on this
-# share of all pages of a host or language that has fewer.
+# A constant stands on this share of the different pages that have its place, which must be so many, or all of a host or
+# language that has fewer.
 SHARE, LEAST_PAGES = 0.8, 5
 FOLDS = 64
+# Wrappers up to so many characters go to all tasks.
+MOST_BYTES = 1 << 24
 
 # What HTML says of its elements.
 INLINE = frozenset(
@@ -80,9 +83,16 @@ PLAIN_NAMES = frozenset(
     "area bar block body box button buttons container content entry form group holder icon icons inner item items left link links list "
     "article articles cookie outer panel post posts reader right section slot story stories top bottom unit user wrap wrapper".split()
 )
+# The same around the article, where a page is put together; "no", "with", "open" and the like are none of them.
+AROUND = frozenset(
+    "aside col column columns desktop dropdown fixed float floating foot global head header home horizontal img inline large level "
+    "lower main mobile module navs over page primary region row secondary side site sticky sub text title toggle upper vertical web wp".split()
+)
+# Names of who wrote an article and when: part of it, also where they are equal on all pages.
+AUTHORED = re.compile(r"(?:^|[^a-z])(?:author|authors|byline|dateline|writer)(?:$|[^a-z])")
 # Elements whose id can name a region; on others it is an anchor.
 REGIONS = frozenset("div ul ol table".split())
-ANCHORED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dt dd".split())
+_NAMED = REGIONS | frozenset("section form nav aside header footer dl table tbody tr td center figure details".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -97,10 +107,11 @@ _NO_LETTERS = re.compile(r"[^a-z]+")
 class Node:
     """A block element: its label, its children, and whether its text can be content."""
 
-    __slots__ = ("article", "children", "depth", "label", "language", "off", "parent", "parked", "tag", "top", "slot")
+    __slots__ = ("article", "children", "depth", "label", "language", "off", "parent", "parked", "said", "tag", "top", "slot")
 
-    def __init__(self, tag: str, label: str, parent: Node | None, off: bool, article: bool):
-        self.tag, self.label, self.parent, self.off, self.article = tag, label, parent, off, article
+    def __init__(self, tag: str, label: str, parent: Node | None, said: str, article: bool):
+        self.tag, self.label, self.parent, self.said, self.article = tag, label, parent, said, article
+        self.off = bool(said) or (parent is not None and parent.off)
         self.children: list[Node] = []
         self.slot: str | None = None
         self.language = ""  # what the page says, kept at its root
@@ -115,37 +126,68 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
 
 
-def _is_off(tag: str, said: dict[str, str], parent: Node) -> bool:
-    if parent.off or tag in NEVER or (tag == "header" and not parent.article):
-        return True
+def _says_off(tag: str, said: dict[str, str], in_article: bool) -> str:
+    """Whether an element is not content by what it says of itself: "hard", "soft" where a page may be built into it, or ""."""
+    if (tag in NEVER and tag != "form") or (tag == "header" and not in_article):
+        return "hard"
+    soft = "soft" if tag == "form" else ""
     if not said:
-        return False
-    if said.get("role", "").lower() in ROLES or "hidden" in said or said.get("aria-hidden", "").lower() == "true":
-        return True
+        return soft
+    role = said.get("role", "").lower()
+    if (role in ROLES and role != "form") or "hidden" in said or said.get("aria-hidden", "").lower() == "true":
+        return "hard"
     if re.search(r"display\s*:\s*none", said.get("style", "").lower()):
-        return True
+        return "hard"
+    if role == "form":
+        soft = "soft"
     if tag in ("body", "html", "main"):
-        return False
-    classes, anchor = said.get("class", "").lower(), said.get("id", "").lower()
-    if tag == "article":
-        return any(_is_name(x, COMMENT_NAMES) for x in [*classes.split(), anchor])
-    if parent.article:
-        # In an article, words like these may be what it is about; a longer name is left to the induction.
-        return any(_is_name(x) for x in [*classes.split(), anchor if tag in REGIONS else ""])
-    return bool(NAMES.search(f"{classes} {anchor if tag not in ANCHORED else ''}".replace("_", "-")))
-
-
-def _is_name(said: str, names: frozenset[str] | None = None) -> bool:
+        return soft
+    classes, anchor = said.get("class", "").lower().split(), said.get("id", "").lower()
+    # The id of many an element is an anchor, in an article even that of a section.
+    named = REGIONS if in_article else _NAMED
+    names = [*classes, anchor if tag in named or tag == "article" else ""]
+    if any(_is_name(x, COMMENT_NAMES) for x in names):
+        return "hard"
+    if tag != "article" and any(_is_name(x, None, frozenset() if in_article else AROUND) for x in names):
+        return "soft"
+    return soft
+
+
+def _is_name(said: str, names: frozenset[str] | None = None, plain: frozenset[str] = frozenset()) -> bool:
     """Whether a class or id is a known name, alone or among plain words."""
     parts = [x for x in _NO_LETTERS.split(said) if x]
     known = [x in names if names is not None else bool(NAMES.search(x)) for x in parts]
-    return any(known) and all(k or x in PLAIN_NAMES for k, x in zip(known, parts))
+    if names is None and NAMES.fullmatch(said.replace("_", "-")):
+        return True
+    return any(known) and all(k or x in PLAIN_NAMES or x in plain for k, x in zip(known, parts))
+
+
+def _relieve(nodes: list[Node], blocks: list[tuple[Node, str]]) -> None:
+    """Regions that hold most of the text of a page are its frame, however they are named, and forms around it no forms."""
+    if not any(n.said == "soft" for n in nodes):
+        return
+    size = dict.fromkeys(map(id, nodes), 0)
+    total = 0
+    hard: dict[int, bool] = {}
+    for n in nodes:
+        hard[id(n)] = n.said == "hard" or (n.parent is not None and hard[id(n.parent)])
+    for n, text in blocks:
+        if not hard[id(n)]:
+            size[id(n)] += len(text)
+            total += len(text)
+    for n in reversed(nodes):
+        if n.parent is not None:
+            size[id(n.parent)] += size[id(n)]
+    for n in nodes:
+        frame = n.said == "soft" and 2 * size[id(n)] > total
+        n.off = (n.parent is not None and n.parent.off) or (bool(n.said) and not frame)
 
 
 def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
     """The tree of block elements and the blocks of text in page order, each with its element."""
     page = page or ""
-    root = Node("", "", None, False, False)
+    root = Node("", "", None, "", False)
+    nodes = [root]
     here, blocks, held, at = root, [], [], 0
     hidden: list[str] = []  # inline elements that are not content and still open
     opened: Counter[str] = Counter()  # elements open at this place
@@ -231,7 +273,8 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
                 continue
             if ends(tag):
                 # Kept out of the tree, so that a wrapper is not made of drawings.
-                node = Node(tag, tag, here, True, here.article)
+                node = Node(tag, tag, here, "hard", here.article)
+                nodes.append(node)
                 node.top, node.parked = here.top, (held, hidden)
                 here, held, hidden = node, [], []
                 opened[tag] += 1
@@ -248,7 +291,7 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
         if tag in INLINE:
             if tag in ("br", "wbr", "img"):
                 held.append(" " if tag == "br" else "")
-            elif hidden or (rest and _is_off(tag, _attributes(rest), here) and not here.off):
+            elif hidden or (rest and _says_off(tag, _attributes(rest), here.article)):
                 hidden.append(tag)
             continue
         flush()
@@ -275,7 +318,8 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
             root.language = _NO_LETTERS.split(said.get("lang", "").lower())[0]
         names = " ".join(sorted(_DIGITS.sub("", said.get("class", "")).split()))
         marked = here.article or tag in ("article", "main") or said.get("role", "").lower() == "main"
-        node = Node(tag, f"{tag}.{names}" if names else tag, here, _is_off(tag, said, here), marked)
+        node = Node(tag, f"{tag}.{names}" if names else tag, here, _says_off(tag, said, here.article), marked)
+        nodes.append(node)
         if here.top is here and here.depth <= MOST_DEPTH:
             here.children.append(node)
         else:
@@ -284,6 +328,7 @@ def parse(page: str | None) -> tuple[Node, list[tuple[Node, str]]]:
         opened[tag] += 1
     close(root)
     flush()
+    _relieve(nodes, blocks)
     return root, blocks
 
 
@@ -352,10 +397,11 @@ def structure(node: Node) -> tuple:
 
 def place(node: Node, wrapper: tuple, slot: str = "") -> None:
     """Give every node its slot: the place of its partner in the wrapper, or the labels that lead to it."""
-    node.slot = slot
-    partners = {child[0]: (f"{slot}.{j}", child) for j, child in enumerate(wrapper[1])}
+    # A byline is told by its labels, at any place.
+    node.slot = f"{slot}@" if "@" not in slot and node.article and AUTHORED.search(node.label) else slot
+    partners = {child[0]: (f"{node.slot}.{j}", child) for j, child in enumerate(wrapper[1])}
     for child in node.children:
-        at, partner = partners.get(child.label) or (f"{slot}/{child.label}", (child.label, ()))
+        at, partner = partners.get(child.label) or (f"{node.slot}/{child.label.replace('@', '')}", (child.label, ()))
         place(child, partner, at)
 
 
@@ -448,25 +494,22 @@ def template_texts(pages: DataFrame) -> DataFrame:
     slots = totals.select("host", "slot", F.col("n").alias("pages"))
     scopes = totals.where("slot = scope").select("host", "scope", F.col("n").alias("scope_pages"))
     often = counts.where("text IS NOT NULL AND n >= 2").join(slots, ["host", "slot"]).join(scopes, ["host", "scope"])
-    few = F.expr(f"scope_pages < {LEAST_PAGES}")
-    often = often.where((few & F.expr(f"n >= {SHARE} * scope_pages")) | F.expr(f"pages >= {LEAST_PAGES} AND n >= {SHARE} * pages"))
+    often = often.where(F.expr(f"pages >= least({LEAST_PAGES}, scope_pages) AND n >= {SHARE} * pages"))
     # On at least that share of the pages of a slot: no more of them than a few times the blocks of one page of each layout.
-    return often.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("slot", "text", few.alias("few")))).alias("constants"))
+    return often.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("slot", "text"))).alias("constants"))
 
 
-def _without(found: list[tuple[str, str]], sure: set, few: set) -> list[str]:
-    """The texts that are not constant, of blocks with their slots."""
+def _without(found: list[tuple[str, str]], constants: set) -> list[str]:
+    """The texts that are not constant, of blocks with their slots; all, if that would take more than half of the page."""
 
-    def varying(blocks: list[tuple[str, str]], fixed: set) -> list[tuple[str, str]]:
-        if not fixed:
-            return blocks
-        return [(s, t) for s, t in blocks if not {(s, h := _hash(t)), (s.split("|", 1)[1], h)} & fixed]
+    def constant(slot: str, text: str) -> bool:
+        # The labels of the element and what is around it are not in a slot's number, those of bylines are marked in it.
+        return "@" not in slot and bool({(slot, h := _hash(text)), (slot.split("|", 1)[1], h)} & constants)
 
-    rest = varying(found, sure)
-    less = varying(rest, few)
-    if 2 * sum(len(t) for _, t in less) >= sum(len(t) for _, t in rest):
-        rest = less
-    return [t for _, t in rest]
+    rest = [t for s, t in found if not constant(s, t)] if constants else [t for _, t in found]
+    if 2 * sum(map(len, rest)) < sum(len(t) for _, t in found):
+        return [t for _, t in found]
+    return rest
 
 
 def _extracted(keep: list[str]) -> Callable:
@@ -475,20 +518,29 @@ def _extracted(keep: list[str]) -> Callable:
         for batch in slices(batches, "html", 1 << 22):
             texts = []
             for page, shape, constants in zip(*(batch[c].to_pylist() for c in ("html", "shape", "constants"))):
-                sure, few = ({(c["slot"], c["text"]) for c in constants or () if c["few"] == kind} for kind in (False, True))
                 found, _ = _candidates(page, known[shape])
-                texts.append("\n".join(_without(found, sure, few)))
+                texts.append("\n".join(_without(found, {(c["slot"], c["text"]) for c in constants or ()})))
             yield pa.RecordBatch.from_arrays([*(batch[k] for k in keep), pa.array(texts, pa.string())], [*keep, "text"])
 
     return step
 
 
+def _small(told: DataFrame) -> DataFrame:
+    """A stored table of hosts, to be sent to the tasks if it is small, so that pages are not moved to meet it.
+
+    Else both sides are shuffled, and Spark splits the pages of a hot host.
+    """
+    sizes = [F.length("shape"), *([40 * F.coalesce(F.size("constants"), F.lit(0))] if "constants" in told.columns else [])]
+    size = told.agg(F.coalesce(F.sum(sum(sizes[1:], sizes[0]) + F.length("host") + 64), F.lit(0))).first()[0]
+    return F.broadcast(told) if size <= MOST_BYTES else told
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every row of `pages` (page_id, url, html)."""
     url = F.col("url").cast("string")
     host = F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host.alias("host"), F.col("html").cast("string").alias("html"))
     wrappers = stage(induce(rows), "wrappers")
-    constants = stage(template_texts(rows.select("host", "html").join(wrappers, "host")), "template")
-    told = wrappers.join(constants, "host", "left")
-    return rows.join(told, "host").mapInArrow(_extracted(["page_id", "url"]), "page_id long, url string, text string")
+    constants = stage(template_texts(rows.select("host", "html").join(_small(wrappers), "host")), "template")
+    told = stage(wrappers.join(constants, "host", "left"), "told")
+    return rows.join(_small(told), "host").mapInArrow(_extracted(["page_id", "url"]), "page_id long, url string, text string")

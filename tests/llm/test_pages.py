@@ -72,6 +72,45 @@ def test_names_inside_an_article():
     assert blocks_of("<div><p>main</p></div><article class='comment'>no</article><article id='comment-12'>no</article>") == ["main"]
 
 
+LONG_TEXT = "A long text of many words that is what the page is about."
+
+
+@pytest.mark.parametrize(
+    "frame",
+    ["<div class='content-area no-sidebar'>", "<div class='layout-sidebar-right'>", "<div id=wrapper class='nav-open'>", "<form id='aspnetForm'>",
+     "<div class='page-with-sidebar'><form role=form>", "<div class=sidebar>", "<div id='has-banner'>"],
+)
+@pytest.mark.parametrize("inner", ["<article><p>{}</p></article>", "<p>{}</p>"])
+def test_frames_of_a_page_are_content(frame, inner):
+    side = "<div class=sidebar>Side.</div><div class='main-nav'>Go</div><form>Ask</form><div class='site_footer'>End</div><div id=comments>Me too.</div>"
+    assert blocks_of(f"<body>{frame}{inner.format(LONG_TEXT)}{side}") == [LONG_TEXT]
+
+
+def test_comments_are_never_content_however_long():
+    assert blocks_of(f"<p>Short.</p><div class='comment-list'><p>{LONG_TEXT * 5}</p></div>") == ["Short."]
+    assert blocks_of(f"<article><p>Short.</p><section class='comments'><p>{LONG_TEXT * 5}</p></section></article>") == ["Short."]
+
+
+def test_equal_articles_and_bylines_stay(spark):
+    """Pages of a host that differ in their menus alone, and bylines that are equal on all pages."""
+    made = [(i, f"https://same.example/{i}", f"<div><ul class=x><li>Go {i}</li></ul></div><div><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div>") for i in range(6)]
+    line = "<article><p class='byline'>By Jo Doe</p><p>Text {0} of the host, which is its own.</p><p>Subscribe now.</p></article>"
+    made += [(100 + i, f"https://by.example/{i}", line.format(i)) for i in range(7)]
+    for r in wrappers.extract(pages(spark, made)).collect():
+        if r.page_id < 100:
+            assert r.text == f"Go {r.page_id}\n{LONG_TEXT}\n{LONG_TEXT}"
+        else:
+            assert r.text == f"By Jo Doe\nText {r.page_id - 100} of the host, which is its own."
+
+
+def test_pages_meet_wrappers_without_being_sent_them(spark, monkeypatch):
+    made = [(i, f"https://h{i % 3}.example/{i}", f"<div><p>Text {i} of this host.</p><p>Fixed.</p></div>") for i in range(24)]
+    sent = sorted(map(tuple, wrappers.extract(pages(spark, made)).collect()))
+    monkeypatch.setattr(wrappers, "MOST_BYTES", 0)
+    assert sorted(map(tuple, wrappers.extract(pages(spark, made)).collect())) == sent
+    assert all(r[2] == f"Text {r[0]} of this host." for r in sent)
+
+
 def test_places_on_pages_of_any_length(spark):
     def body(i, sections):
         return "".join(f"<h2>Part {i} {k}</h2><p>Text {i} {k}.</p>" for k in range(sections))
