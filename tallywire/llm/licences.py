@@ -99,6 +99,19 @@ SENTENCES = {
     "gnu affero general public license version 3 19 november 2007": "agpl-3.0-grant",
     "mozilla public license version 2 0 1 definitions": "mpl-2.0-grant",
     "licensed under the gnu lesser general public license version 2 1": "lgpl-2.1-grant",
+    "apache 2 0 license": "apache-2.0-grant",
+    "apache license 2 0": "apache-2.0-grant",
+    "under the agpl v3 0": "agpl-3.0-grant",
+    "under agpl v3 0": "agpl-3.0-grant",
+    "gnu agpl v3 0": "agpl-3.0-grant",
+    "boost software license version 1 0": "bsl-1.0-grant",
+    "this is free and unencumbered software released into the public domain": "unlicense-grant",
+    "eclipse public license version 2 0": "epl-2.0-grant",
+    "eclipse public license v 2 0": "epl-2.0-grant",
+    "eclipse public license version 1 0": "epl-1.0-grant",
+    "eclipse public license v 1 0": "epl-1.0-grant",
+    "eclipse public license v2 0": "epl-2.0-grant",
+    "eclipse public license v1 0": "epl-1.0-grant",
     **{
         f"licensed under the gnu {_kind} public license version {_version.replace('.', ' ').removesuffix(' 0')} {_later}": f"{_name}-{_version}-or-later"
         for _name, _kind, _versions in (("gpl", "general", ("2.0", "3.0")), ("lgpl", "lesser general", ("2.1", "3.0")), ("agpl", "affero general", ("3.0",)))
@@ -164,6 +177,10 @@ RULES = (
     ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-4.0-grant",)),
     ("CC0-1.0", ("cc0-1.0-grant",)),
     ("LGPL-2.1-only", ("lgpl-2.1-grant",)),
+    ("BSL-1.0", ("bsl-1.0-grant",)),
+    ("Unlicense", ("unlicense-grant",)),
+    ("EPL-2.0", ("epl-2.0-grant",)),
+    ("EPL-1.0", ("epl-1.0-grant",)),
     *((known.split("-")[0].upper() + known[known.index("-") :], (known,)) for known in dict.fromkeys(SENTENCES.values()) if known.endswith("-or-later") and not known.startswith("spdx-")),
     *((known.removeprefix("spdx-"), (known,)) for known in dict.fromkeys(SENTENCES.values()) if known.startswith("spdx-")),
     ("Proprietary", ("all-rights-reserved",)),
@@ -173,14 +190,26 @@ RULES = tuple(
     r for licence, rule in RULES for r in ([(licence, ("all-rights-reserved", *rule))] * (len(rule) > 1) + [(licence, rule)])
 )
 GAP = 3
+_BY_FIRST: dict[str, list[tuple[int, str, tuple[str, ...]]]] = {}
+for _rank, (_licence, _rule) in enumerate(RULES):
+    _BY_FIRST.setdefault(_rule[0], []).append((_rank, _licence, _rule))
+# Expressions behind an SPDX tag: names of licences, a plus for later versions, and words and brackets between them.
+_SPDX_ID = "spdx-"
+_SPDX = re.compile(r"SPDX-License-Identifier\s*:[ \t]*([^\n]*)", re.IGNORECASE)
+_SPDX_NAME = re.compile(r"(?:(?<=\s)|(?<=[(:]))(?:(WITH)[ \t]+)?([A-Za-z][A-Za-z0-9.-]*[A-Za-z0-9])(\+?)(?=[\s);,]|\.(?:\s|\Z)|\Z)")
+_SPDX_NAMES = {re.sub(r"[\W_]+", " ", v.removeprefix(_SPDX_ID).lower()): v for v in SENTENCES.values() if v.startswith(_SPDX_ID)} | {
+    k.removeprefix("spdx license identifier "): v for k, v in SENTENCES.items() if v.startswith(_SPDX_ID)
+}
+# Words before a grant that take it back.
+_NEGATIONS = frozenset("not never neither nor without".split())
 # Grants of one version of a GNU licence.
 _ONLY = frozenset(x for x in SENTENCES.values() if x.endswith("-grant") and x.split("-")[0] in ("gpl", "lgpl", "agpl"))
 
-_SENTENCE = re.compile(r"(?s:.)+?(?:[.!?;]+(?=\s|\Z)|(?=\n[^\w\n]*(?:\n|\Z))|\Z)")
+_SENTENCE = re.compile(r"(?s:.)+?(?:(?<!\bv)(?<!\bV)[.!?;]+(?=\s|\Z)|(?=\n[^\w\n]*(?:\n|\Z))|\Z)")
 _WORD = re.compile(r"[^\W_]+")
 _COMMENT = re.compile(r"(?<=\n)([ \t@]*)(dnl|rem)\b", re.IGNORECASE)
 # Words that every known sentence holds at least one of; other sentences need no look-up.
-_MARK = re.compile(r"licen|permission|copy|rights\W+reserved|redistribut|free\W+software|warranty|version|endorse|as\W+is\b|general\W+public", re.IGNORECASE)
+_MARK = re.compile(r"licen|permission|copy|rights\W+reserved|redistribut|free\W+software|warranty|version|endorse|as\W+is\b|general\W+public|unencumbered|\bagpl\b", re.IGNORECASE)
 
 # Known sentences as words, by their first two, longest first.
 _KNOWN: dict[tuple[str, str], list[tuple[list[str], str]]] = {}
@@ -194,18 +223,44 @@ def known_sentences(sentence: str) -> list[tuple[int, int, str]]:
         return []
     # Comment words become signs of the same length, so that places stay.
     bare = _COMMENT.sub(lambda m: m[1] + " " * len(m[2]), sentence)
+    out, at = [], 0
+    for tag in _SPDX.finditer(bare):
+        out += _expression(bare, tag.start(), tag.start(1), tag.end(1))
+        bare = bare[: tag.start()] + " " * (tag.end() - tag.start()) + bare[tag.end() :]
     places = [(m.start(), m.end(), m.group().lower()) for m in _WORD.finditer(bare)]
     found = [p[2] for p in places]
-    out, at = [], 0
     while at < len(found) - 1:
         for wanted, name in _KNOWN.get((found[at], found[at + 1]), ()):
             after = at + len(wanted)
             if found[at:after] == wanted and not (name in _ONLY and found[after : after + 1] == ["or"]):
-                out.append((places[at][0], places[after - 1][1], name))
+                if not (name.endswith("-grant") and _taken_back(found[max(at - 4, 0) : at])):
+                    out.append((places[at][0], places[after - 1][1], name))
                 at = after
                 break
         else:
             at += 1
+    return sorted(out)
+
+
+def _taken_back(before: list[str]) -> bool:
+    """Whether the words before a grant say that it is none: "is not", "no longer", "isn't"."""
+    shortened = any(a.endswith("n") and b == "t" for a, b in zip(before, before[1:]))
+    return shortened or bool(_NEGATIONS & set(before)) or before[-2:] == ["no", "longer"]
+
+
+def _expression(sentence: str, start: int, at: int, end: int) -> list[tuple[int, int, str]]:
+    """Every licence of an SPDX expression, the first from its tag on; exceptions after WITH are none."""
+    out = []
+    for m in _SPDX_NAME.finditer(sentence, at, end):
+        name = m[2]
+        if name.upper() in ("OR", "AND", "WITH") or m[1]:
+            continue
+        if out and not re.search(r"\b(?:OR|AND)\b|[(]", sentence[out[-1][1] : m.start(2)], re.IGNORECASE):
+            break  # Words behind the expression.
+        words = re.sub(r"[\W_]+", " ", name.lower())
+        if m[3]:
+            words = words.removesuffix(" only") + " or later"
+        out.append((start if not out else m.start(2), m.end(), _SPDX_NAMES.get(words, _SPDX_ID + name + m[3])))
     return out
 
 
@@ -229,22 +284,24 @@ def identifiers(text: str | None) -> list[tuple[int, int, int, str]]:
 
 
 def match_rules(found: list[tuple[int, int, int, str]], gap: int = GAP) -> list[tuple[str, int, int]]:
-    """Licence with start and end, in order of place."""
-    out, open_parts = [], [found]
-    while open_parts:
-        part = open_parts.pop()
-        for licence, rule in RULES:
-            n = len(rule)
-            for i in range(len(part) - n + 1):
-                run = part[i : i + n]
-                near = all(b[0] - a[0] <= gap + 1 for a, b in zip(run, run[1:]))
-                if near and tuple(x[3] for x in run) == rule:
-                    out.append((licence, run[0][1], run[-1][2]))
-                    open_parts += [part[:i], part[i + n :]]
-                    break
-            else:
-                continue
-            break
+    """Licence with start and end, in order of place.
+
+    The first rule that fits anywhere takes its identifiers, at the first place it does, and so on with what is left. All
+    places are found in one pass, by the identifiers that rules begin with, and taken in the order of rule and place.
+    """
+    fits = []
+    for i, (*_, known) in enumerate(found):
+        for rank, licence, rule in _BY_FIRST.get(known, ()):
+            run = found[i : i + len(rule)]
+            if tuple(x[3] for x in run) == rule and all(b[0] - a[0] <= gap + 1 for a, b in zip(run, run[1:])):
+                fits.append((rank, i, licence, len(rule)))
+        if known.startswith(_SPDX_ID) and known not in _BY_FIRST:
+            fits.append((len(RULES), i, known.removeprefix(_SPDX_ID), 1))
+    out, taken = [], bytearray(len(found))
+    for _, i, licence, n in sorted(fits):
+        if not any(taken[i : i + n]):
+            taken[i : i + n] = b"\1" * n
+            out.append((licence, found[i][1], found[i + n - 1][2]))
     return sorted(out, key=lambda x: (x[1], x[2]))
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import plain
@@ -347,3 +348,59 @@ def test_tokens_of_unigram_model():
         weight = sum(-machine.scores.get(p, machine.unknown) for p in path)
         assert weight == pytest.approx(least(machine.normalise(text)))
         assert machine.decode(machine.encode(text)) == text
+
+
+def rules_by_definition(found, gap=licences.GAP):
+    """The first rule that fits anywhere, at its first place; then the same with what stands before and behind."""
+    for licence, rule in licences.RULES:
+        n = len(rule)
+        for i in range(len(found) - n + 1):
+            run = found[i : i + n]
+            if tuple(x[3] for x in run) == rule and all(b[0] - a[0] <= gap + 1 for a, b in zip(run, run[1:])):
+                whole = (licence, run[0][1], run[-1][2])
+                return sorted([*rules_by_definition(found[:i], gap), whole, *rules_by_definition(found[i + n :], gap)], key=lambda x: x[1:])
+    return []
+
+
+def test_rules_against_their_definition():
+    draw = random.Random(9)
+    known = sorted({x for _, rule in licences.RULES for x in rule})
+    some = [k for k in known if k.split("-")[0] in ("gpl", "lgpl", "mit", "as", "bsd", "all", "apache")]
+    for _ in range(300):
+        number, found = 0, []
+        for k in range(draw.randrange(14)):
+            number += draw.choice([0, 1, 1, 2, 4, 6])
+            found.append((number, 10 * k, 10 * k + 9, draw.choice(some)))
+        assert licences.match_rules(found) == rules_by_definition(found)
+
+
+def test_a_hundred_thousand_licence_lines():
+    began = time.perf_counter()
+    text = "All rights reserved.\n" * 100_000
+    assert len(licences.match_rules(licences.identifiers(text))) == 100_000
+    assert time.perf_counter() - began < 30
+
+
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        ("SPDX-License-Identifier: MIT", ["MIT"]),
+        ("# SPDX-License-Identifier: MIT-0\n", ["MIT-0"]),
+        ("// SPDX-License-Identifier: GPL-2.0+ */", ["GPL-2.0-or-later"]),
+        ("SPDX-License-Identifier: GPL-2.0", ["GPL-2.0-only"]),
+        ("SPDX-License-Identifier: MIT OR Apache-2.0\ncode", ["MIT", "Apache-2.0"]),
+        ("SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0) AND BSD-3-Clause", ["GPL-2.0-only", "BSD-3-Clause"]),
+        ("SPDX-License-Identifier: Zlib. Released under the MIT License.", ["Zlib", "MIT"]),
+        ("This is not licensed under the MIT License.", []),
+        ("It is no longer licensed under the MIT License; released under the MIT License.", ["MIT"]),
+        ("It isn't released under the MIT License.", []),
+        ("Under the Apache-2.0 license.", ["Apache-2.0"]),
+        ("Licensed under AGPL v3.0.", ["AGPL-3.0-only"]),
+        ("Distributed under the Boost Software License, Version 1.0.", ["BSL-1.0"]),
+        ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+        ("made available under the terms of the Eclipse Public License v2.0", ["EPL-2.0"]),
+        ("made available under the terms of the Eclipse Public License v. 2.0", ["EPL-2.0"]),
+    ],
+)
+def test_expressions_negations_and_more_licences(text, wanted):
+    assert [m[0] for m in licences.match_rules(licences.identifiers(text))] == wanted
