@@ -86,11 +86,12 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch["id"],
+                batch["digest"],
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
             ],
-            ["id", "size", "node", "signature"],
+            ["id", "digest", "size", "node", "signature"],
         )
 
 
@@ -226,9 +227,9 @@ def _tied(roots: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, size, component_id for every row of `docs`."""
-    texts = docs.select(id_column(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = stage(texts.mapInArrow(_signatures, "id long, size long, node long, signature binary"), "signatures")
+    """id, digest of the text, size, component_id for every row of `docs`."""
+    texts = docs.select(id_column(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), _digest(text_col).alias("digest"))
+    rows = stage(texts.mapInArrow(_signatures, "id long, digest long, size long, node long, signature binary"), "signatures")
     classes = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("id").alias("id"), F.min("size").alias("size"), F.any_value("signature").alias("signature")
     )
@@ -253,13 +254,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = linked.join(first, "root").select("node", "component_id")
     # A class without links still unites the rows that share its set.
     alone = classes.join(roots, "node", "left_anti").select("node", F.col("id").alias("component_id"))
-    found = rows.select("id", "size", "node").join(found.unionByName(alone), "node", "left")
+    found = rows.select("id", "digest", "size", "node").join(found.unionByName(alone), "node", "left")
     component = F.nullif(F.coalesce("component_id", "id"), F.lit(NO_ID))
-    return found.select(F.nullif("id", F.lit(NO_ID)).alias("id"), "size", component.alias("component_id"))
+    return found.select(F.nullif("id", F.lit(NO_ID)).alias("id"), "digest", "size", component.alias("component_id"))
+
+
+def _digest(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that are the smallest of their component, with all their columns; rows without an id stay."""
+    """The rows of `docs` that are the smallest of their component, with all their columns.
+
+    A verdict is on an id together with its text, so where an id repeats, each of its texts is judged by itself. Rows
+    without an id go if their component has one; among themselves none is the smallest, and all stay.
+    """
     found = near_duplicates(docs, id_col, text_col)
-    gone = found.where("id <> component_id").select(F.col("id").alias("__near_id")).distinct()
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__near_id"), "left_anti")
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id")))
+    gone = gone.select(F.col("id").alias("__near_id"), F.col("digest").alias("__near_digest")).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__near_id")) & (_digest(text_col) == F.col("__near_digest"))
+    return docs.join(gone, same, "left_anti")

@@ -92,6 +92,15 @@ def test_near_duplicates_of_awkward_rows(spark, awkward):
     assert minhash.near_duplicates(awkward.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_repeated_and_null_ids(spark):
+    """Where an id repeats, the copy goes and the other text stays; copies without an id go, other texts without one stay."""
+    passage = " ".join(f"p{k}" for k in range(60))
+    other = " ".join(f"q{k}" for k in range(60))
+    texts = [(1, passage), (2, passage + " end"), (2, other), (None, "start " + passage), (None, "one of its own"), (None, "one of its own"), (3, None), (3, "")]
+    kept = minhash.drop_near_duplicates(plain.awkward(spark, texts)).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [texts[0], texts[2], *texts[4:]]))
+
+
 def test_difference_cover():
     for i in range(substring.PERIOD):
         for j in range(substring.PERIOD):
