@@ -14,13 +14,13 @@ letters, digits, `_` and `-` with capitals, small letters and digits among them
 
 An owner is by default the document's source and a repository the document; a null counts as one more owner or
 repository. Rows that repeat an id are scanned each on its own; an empty table gives an empty result. Values meet
-their counts in a join that Spark splits when one value is hot, and counts are partial aggregates. Only hashes of
-values are stored.
+their counts in a join that Spark splits when one value is hot, and counts are partial aggregates. The work on a text
+grows with its length and the sort of its spans, however many there are. Only hashes of values are stored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywire.llm.common import stage
 
@@ -31,40 +31,34 @@ HEX = r"[0-9a-f]{16,}"
 TOKEN = r"[A-Za-z0-9_-]{20,}"
 
 KINDS = ("assign", "access", "hex", "token")
+TOKEN_KIND = 3
 EXAMPLE_OWNERS = 3
 
-_SPANS = "array<struct<start:int,kind:int,end:int,hash:binary>>"
+_PIECES = "array<struct<kind:int,at:int,gap:int,size:int,hash:binary>>"
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
-    """The spans of one pattern: what stands between the matches tells where they are."""
+def _pieces(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
+    """What one pattern cuts a text into: the gap before each match, its size, and the hash of its value if it counts."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), values.alias("value"))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
+    cut = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), values.alias("value"))
 
-    def add(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["gap"])
-        end = start + F.coalesce(F.length(pair["match"]), F.lit(0))
-        span = F.struct(
-            start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), F.unhex(F.sha2(pair["value"], 256)).alias("hash")
-        )
-        ok = F.length(pair["value"]) >= least
-        if kind == 3:
-            ok = ok & pair["value"].rlike("[A-Z]") & pair["value"].rlike("[a-z]") & pair["value"].rlike("[0-9]")
-        longer = F.when(F.coalesce(ok, F.lit(False)), F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), longer.cast(_SPANS).alias("found"))
+    def piece(part: Column, at: Column) -> Column:
+        value = part["value"]
+        ok = F.length(value) >= least
+        if kind == TOKEN_KIND:
+            ok = ok & value.rlike("[A-Z]") & value.rlike("[a-z]") & value.rlike("[0-9]")
+        return F.struct(
+            F.lit(kind).alias("kind"), at.alias("at"), F.length(part["gap"]).alias("gap"),
+            F.coalesce(F.length(part["match"]), F.lit(0)).alias("size"), F.when(ok, F.unhex(F.sha2(value, 256))).alias("hash"),
+        )
 
-    return F.aggregate(pairs, begin, add)["found"]
-
-
-def _overlapping(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+    return F.transform(cut, piece)
 
 
 def scan(docs: DataFrame, owner: Column, repository: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, id, owner, repository and the base and token spans of every row of `docs`, stored."""
-    none = F.array().cast(_SPANS)
+    """row, id, owner, repository and the pieces of every row of `docs`, stored."""
+    none = F.array().cast(_PIECES)
     rows = docs.select(
         F.col(id_col).alias("id"), owner.alias("owner"), repository.alias("repository"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -74,19 +68,33 @@ def scan(docs: DataFrame, owner: Column, repository: Column, id_col: str = "doc_
     for part in ("passw", "secret", "token", "apikey", "api_key"):
         named = named | F.contains(small, F.lit(part))
     plain = [
-        ("assign", named, _spans(F.col("text"), ASSIGN, 0, 2, 12)),
-        ("access", F.contains("text", F.lit("AKIA")), _spans(F.col("text"), ACCESS, 1, 0, 18)),
-        ("hex", F.col("text").rlike(HEX), _spans(F.col("text"), HEX, 2, 0, 16)),
-        ("token", F.col("text").rlike(TOKEN), _spans(F.col("text"), TOKEN, 3, 0, 20)),
+        (named, _pieces(F.col("text"), ASSIGN, 0, 2, 12)),
+        (F.contains("text", F.lit("AKIA")), _pieces(F.col("text"), ACCESS, 1, 0, 18)),
+        (F.col("text").rlike(HEX), _pieces(F.col("text"), HEX, 2, 0, 16)),
+        (F.col("text").rlike(TOKEN), _pieces(F.col("text"), TOKEN, TOKEN_KIND, 0, 20)),
     ]
-    found = rows.select("id", "owner", "repository", *[F.when(test, spans).otherwise(none).alias(n) for n, test, spans in plain])
-    return stage(
-        found.select(
-            F.monotonically_increasing_id().alias("row"), "id", "owner", "repository",
-            F.concat("assign", "access", "hex").alias("base"), "token",
-        ),
-        "spans",
-    )
+    pieces = F.concat(*[F.when(test, found).otherwise(none) for test, found in plain]).alias("pieces")
+    found = rows.select("id", "owner", "repository", pieces)
+    return stage(found.select(F.monotonically_increasing_id().alias("row"), "id", "owner", "repository", "pieces"), "pieces")
+
+
+def located(rows: DataFrame) -> DataFrame:
+    """row, owner, repository, kind, start, end, hash of the base spans and of the tokens that overlap none of them.
+
+    Places are running sums over the pieces of a text. A token is asked about at its end: of the base spans that start
+    before it, the one that reaches farthest tells whether any overlaps. Both take a sort of the spans of a text.
+    """
+    cut = rows.select("row", "owner", "repository", F.explode("pieces").alias("p")).select("row", "owner", "repository", "p.*")
+    cut = cut.repartition("row")
+    along = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("gap") + F.col("size")).over(along).cast("int")
+    spans = cut.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")).where("hash IS NOT NULL")
+    token = F.col("kind") == TOKEN_KIND
+    place = F.when(token, F.col("end")).otherwise(F.col("start"))
+    before = Window.partitionBy("row").orderBy(place, F.desc("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.coalesce(F.max(F.when(~token, F.col("end"))).over(before), F.lit(0))
+    free = spans.withColumn("reach", reach).where(~token | (F.col("reach") <= F.col("start")))
+    return free.select("row", "owner", "repository", "kind", "start", "end", "hash")
 
 
 def ownership(values: DataFrame) -> DataFrame:
@@ -108,12 +116,10 @@ def secret_spans(
     owner = F.col("source") if owner is None else owner
     repository = F.col(id_col) if repository is None else repository
     rows = scan(docs, owner, repository, id_col, text_col)
-    free = F.filter("token", lambda t: ~F.exists("base", lambda b: _overlapping(t, b)))
-    spans = rows.select("row", "owner", "repository", F.explode(F.concat("base", free)).alias("s"))
-    spans = spans.select("row", "owner", "repository", "s.*")
+    spans = stage(located(rows), "spans")
     counts = stage(ownership(spans), "ownership")
     live = F.col("n_owners") < example_owners
-    judged = spans.join(counts, "hash").withColumn("live", live).where(live | (F.col("kind") < 3))
+    judged = spans.join(counts, "hash").withColumn("live", live).where(live | (F.col("kind") < TOKEN_KIND))
     listed = judged.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end", "n_repositories", "n_owners", "live"))).alias("spans")
     )

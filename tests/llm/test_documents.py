@@ -205,6 +205,34 @@ def test_secrets(spark, awkward):
     assert secrets.secret_spans(awkward.limit(0)).count() == 0
 
 
+def spans_by_definition(text):
+    """Base spans and free tokens of one text, by Python's own patterns."""
+    base = [(m.start(), 0, m.end()) for m in re.finditer(secrets.ASSIGN, text) if len(m.group(2)) >= 12]
+    base += [(m.start(), 1, m.end()) for m in re.finditer(secrets.ACCESS, text) if m.end() - m.start() >= 18]
+    base += [(m.start(), 2, m.end()) for m in re.finditer(secrets.HEX, text)]
+    tokens = [(m.start(), 3, m.end()) for m in re.finditer(secrets.TOKEN, text) if all(re.search(c, m.group()) for c in ("[A-Z]", "[a-z]", "[0-9]"))]
+    return sorted(base + [t for t in tokens if not any(a < t[2] and t[0] < b for a, _, b in base)])
+
+
+def test_secrets_that_touch_and_overlap(spark):
+    draw = random.Random(5)
+    parts = ["token=", "secret: ", "AKIA", "0123456789abcdef", "Ab1", "Zz_9-", " ", "é", "𝒳", "=", "Q7", "deadbeef", "ABCDEFGH12345678", "/"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 60))) for _ in range(400)]
+    # Each token stands in one document only, or in few, so that none counts as an example.
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("one"))
+    found = {r.id: [(s.start, s.kind, s.end) for s in r.spans] for r in secrets.secret_spans(docs).collect()}
+    assert found == {i: spans_by_definition(t) for i, t in enumerate(texts)}
+
+
+def test_secrets_of_one_very_long_text(spark):
+    text = " ".join(f"{hashlib.md5(str(i).encode()).hexdigest()} Tok{i:08d}abcdefghijklm" for i in range(64_000))
+    docs = spark.createDataFrame([(1, text, "one")], "doc_id long, text string, source string")
+    started = time.perf_counter()
+    (found,) = secrets.secret_spans(docs).select(F.size("spans").alias("n"), F.element_at("spans", -1)["end"].alias("end")).collect()
+    assert (found.n, found.end) == (128_000, len(text))
+    assert time.perf_counter() - started < 60
+
+
 def test_licences(spark, awkward):
     gpl = "This work is licensed under the GNU General Public License, version 3"
     texts = [
