@@ -64,13 +64,13 @@ def words(text: str | None, lower: bool = False) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
-def word_hashes(found: list[bytes]) -> np.ndarray:
-    """A 64-bit SipHash of every word, the same in every process."""
+def word_hashes(found: list[bytes], key: str | None = None) -> np.ndarray:
+    """A 64-bit SipHash of every word, the same in every process; `key` (16 characters) stands for another such hash."""
     if not found:
         return np.zeros(0, np.uint64)
     held = np.empty(len(found), dtype=object)
     held[:] = found
-    return pd.util.hash_array(held, categorize=False)
+    return pd.util.hash_array(held, categorize=False, **({"hash_key": key} if key else {}))
 
 
 def sequence_hashes(hashes: np.ndarray, width: int) -> np.ndarray:

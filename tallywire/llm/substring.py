@@ -10,8 +10,8 @@ table gives an empty result. Only id and text are read.
 Method: positions are taken modulo 7, and {0, 1, 3} is a difference cover: whatever two positions are, at most six
 steps on both stand on cover positions at once. So of two equal windows of 13 words at any two positions, both hold the
 same 7 words at a cover position, and hashing 7 words at three of seven positions finds every shared window. Anchors
-that two documents have are extended: the whole windows around them are hashed, and the smallest document of each
-window is found. Both searches pack (hash, document) into arrays, one for each bucket of hashes and batch of documents;
+that two documents have are extended: the whole windows around them are hashed to 128 bits, and the smallest document of
+each window is found; windows with equal hashes count as equal. Both searches pack (hash, document) into arrays, one for each bucket of hashes and batch of documents;
 what a batch already knows of its own documents goes to them directly, so a hash adds at most one entry a batch to its
 bucket, however common it is. Texts move once, and again only where an anchor was found in another document. A document
 whose whole word sequence is that of an earlier one is known by its digest and takes no part in the second search.
@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallywire.llm.common import NO_ID, buckets, id_column, sequence_hashes, slices, stage, word_hashes, words
 
@@ -35,22 +35,54 @@ COVER = (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 
 # Bytes of a hash that are kept beside its bucket. For anchors five do: a chance hit only costs a look at more windows,
-# and a bucket holds about the same number of them at any size of the corpus. Windows keep all that 64 bits tell.
-ANCHOR_BYTES, WINDOW_BYTES = 5, 7
+# and a bucket holds about the same number of them at any size of the corpus. What is deleted is decided by the windows,
+# so those keep all of two hashes with keys of their own, 128 bits.
+ANCHOR_BYTES, WINDOW_BYTES = 5, 16
+
+# At most about so many words of the corpus go into one group of packed hashes.
+GROUP_WORDS = 8_000_000
+
+_SECOND_KEY = "substring-second"
 
 _PACKED = "bucket int, hashes binary, ids binary, known boolean"
 
 
 def squeeze(values: np.ndarray, width: int = 8) -> bytes:
-    """The low `width` bytes of each value, all lowest bytes first, so that bytes alike stand together."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    """The low `width` bytes of each value or pair of values, all lowest bytes first, so that bytes alike stand together."""
+    columns = values.shape[1] if values.ndim == 2 else 1
+    return np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(len(values), 8 * columns)[:, :width].T.tobytes()
 
 
 def expand(data: bytes, width: int = 8) -> np.ndarray:
+    """The values, or pairs of values if `width` is beyond one."""
     planes = np.frombuffer(data, np.uint8).reshape(width, -1)
-    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out = np.zeros((planes.shape[1], 8 * -(-width // 8)), np.uint8)
     out[:, :width] = planes.T
-    return out.view("<u8").ravel()
+    found = out.view("<u8")
+    return found if width > 8 else found.ravel()
+
+
+def _keys(hashes: np.ndarray) -> list[np.ndarray]:
+    """What to sort hashes by, least important first."""
+    return [hashes] if hashes.ndim == 1 else [*hashes.T[::-1]]
+
+
+def _changes(hashes: np.ndarray) -> np.ndarray:
+    """Whether each value, or pair of them, differs from the one before it; the first does."""
+    apart = hashes[1:] != hashes[:-1]
+    return np.r_[True, apart if hashes.ndim == 1 else apart.any(axis=1)][: len(hashes)]
+
+
+def among(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Whether each pair of hashes is one of those wanted."""
+    both = np.concatenate([wanted, hashes])
+    order = np.lexsort(_keys(both))
+    group = np.cumsum(_changes(both[order])) - 1
+    has = np.zeros(len(both) + 1, bool)
+    has[group[order < len(wanted)]] = True
+    found = np.empty(len(both), bool)
+    found[order] = has[group]
+    return found[len(wanted) :]
 
 
 def _pack_rows(bucket: np.ndarray, ids: np.ndarray, hashes: np.ndarray, width: int, known: bool) -> Iterator[tuple]:
@@ -66,7 +98,7 @@ def _unpack(rows: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
     ids = [np.cumsum(expand(x)) for x in rows["ids"].to_pylist()]
     hashes = [expand(x, width) for x in rows["hashes"].to_pylist()]
     if not ids:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), expand(b"", width)
     return np.concatenate(ids).view(np.int64), np.concatenate(hashes)
 
 
@@ -107,25 +139,31 @@ def open_windows(hashes: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return starts[(starts >= 0) & (starts < n)]
 
 
+def window_hashes(found: list[bytes], hashes: np.ndarray) -> np.ndarray:
+    """Two hashes of every window of the words, in a row for each window, given the first hash of each word."""
+    return np.stack([sequence_hashes(hashes, WINDOW), sequence_hashes(word_hashes(found, _SECOND_KEY), WINDOW)], axis=1)
+
+
 def _packed(ids: np.ndarray, hashes: np.ndarray, into: int, width: int, smallest_stays: bool) -> Iterator[tuple]:
     """A batch's distinct (document, hash) pairs: those already known as found, and one entry for each hash.
 
     What is known is dealt by document, so that a common hash does not gather its documents in one bucket.
     """
-    order = np.lexsort((ids, hashes))
-    ids, hashes = ids[order], hashes[order]
     if not len(ids):
         return
-    new = np.r_[True, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])]
-    ids, hashes = ids[new], hashes[new]
-    first = np.r_[True, hashes[1:] != hashes[:-1]]
+    order = np.lexsort((ids, *_keys(hashes)))
+    ids, hashes = ids[order], hashes[order]
+    first = _changes(hashes)
+    new = first | np.r_[True, ids[1:] != ids[:-1]]
+    ids, hashes, first = ids[new], hashes[new], first[new]
     known = ~first
     if not smallest_stays:
         known[:-1] |= known[1:] & first[:-1]
     yield from _pack_rows(_by_document(ids[known], into), ids[known], hashes[known], width, True)
     # Other batches have to see the smallest document of each hash, whatever is known of it here.
     ids, hashes = ids[first], hashes[first]
-    yield from _pack_rows((hashes >> np.uint64(40)) % np.uint64(2 * into), ids, hashes, width, False)
+    lead = hashes if hashes.ndim == 1 else hashes[:, 0]
+    yield from _pack_rows((lead >> np.uint64(40)) % np.uint64(2 * into), ids, hashes, width, False)
 
 
 def _pack(hashes_of: Callable, into: int, width: int, smallest_stays: bool, most: int = 1_000_000) -> Callable:
@@ -155,10 +193,10 @@ def _meet(into: int, width: int, smallest_stays: bool) -> Callable:
         known = rows["known"]
         told = rows.filter(known)
         i, h = _unpack(rows.filter(pa.compute.invert(known)), width)
-        order = np.lexsort((i, h))
+        order = np.lexsort((i, *_keys(h)))
         i, h = i[order], h[order]
         if len(h):
-            new = np.r_[True, h[1:] != h[:-1]]
+            new = _changes(h)
             begins, group = np.flatnonzero(new), np.cumsum(new) - 1
             least, most = i[begins][group], i[np.r_[begins[1:], len(i)] - 1][group]
             found = i > least if smallest_stays else most > least
@@ -174,7 +212,7 @@ def _gather(width: int) -> Callable:
 
     def step(rows: pa.Table) -> pa.Table:
         i, h = _unpack(rows, width)
-        order = np.lexsort((h, i))
+        order = np.lexsort((*_keys(h), i))
         i, h = i[order], h[order]
         begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, int)
         packed = [squeeze(h[a:b], width) for a, b in zip(begins, np.r_[begins[1:], len(i)])]
@@ -183,9 +221,13 @@ def _gather(width: int) -> Callable:
     return step
 
 
-def _shared(texts: DataFrame, hashes_of: Callable, width: int, smallest_stays: bool) -> DataFrame:
+def _groups(spark: SparkSession, n_words: int) -> int:
+    """Into how many groups hashes are packed: as many as shuffle partitions, or more if that makes them too large."""
+    return max(buckets(spark), -(-n_words // GROUP_WORDS))
+
+
+def _shared(texts: DataFrame, hashes_of: Callable, width: int, smallest_stays: bool, into: int) -> DataFrame:
     """id, hashes: for each document the packed hashes it shares with another, or with one that has a smaller id."""
-    into = buckets(texts.sparkSession)
     packed = texts.mapInArrow(_pack(hashes_of, into, width, smallest_stays), _PACKED)
     met = packed.repartition(2 * into, "bucket").groupBy("bucket").applyInArrow(_meet(into, width, smallest_stays), _PACKED)
     return met.repartition(into, "bucket").groupBy("bucket").applyInArrow(_gather(width), "id long, hashes binary")
@@ -193,17 +235,19 @@ def _shared(texts: DataFrame, hashes_of: Callable, width: int, smallest_stays: b
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        found = [hashlib.sha256(b" ".join(words(t))).digest() for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], pa.array(found, pa.binary())], ["id", "text", "digest"])
+        split = [words(t) for t in batch["text"].to_pylist()]
+        found = pa.array([hashlib.sha256(b" ".join(w)).digest() for w in split], pa.binary())
+        sizes = pa.array([len(w) for w in split], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], found, sizes], ["id", "text", "digest", "n"])
 
 
 def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _digested(batches):
-        yield batch.select(["id", "digest"])
+        yield batch.select(["id", "digest", "n"])
 
 
 def _with_digests(texts: DataFrame) -> DataFrame:
-    return texts.mapInArrow(_digested, "id long, text string, digest binary")
+    return texts.mapInArrow(_digested, "id long, text string, digest binary, n long").drop("n")
 
 
 def _numbered(texts: DataFrame, digests: DataFrame) -> tuple[DataFrame, DataFrame, int]:
@@ -231,9 +275,10 @@ def _numbered(texts: DataFrame, digests: DataFrame) -> tuple[DataFrame, DataFram
 def _later_copies(digests: DataFrame) -> DataFrame:
     """id, digest of the texts whose words are, all and in order, those of a document with a smaller id."""
     first = digests.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    # Stored, so that both sides of the join are shuffled and a digest that very many documents have can be split.
-    first = stage(first, "first-copies")
-    return digests.join(first, "digest").where("id > first").select("id", "digest").distinct()
+    # Both sides of the join come from a shuffle of their own and neither is broadcast after it, so Spark can split a
+    # digest that very many documents have.
+    first = stage(first, "first-copies").hint("merge")
+    return digests.distinct().join(first, "digest").where("id > first").select("id", "digest")
 
 
 def _anchor_hashes(row: dict) -> np.ndarray:
@@ -241,8 +286,9 @@ def _anchor_hashes(row: dict) -> np.ndarray:
 
 
 def _window_hashes(row: dict) -> np.ndarray:
-    hashes = word_hashes(words(row["text"]))
-    return sequence_hashes(hashes, WINDOW)[open_windows(hashes, expand(row["hashes"], ANCHOR_BYTES))]
+    found = words(row["text"])
+    hashes = word_hashes(found)
+    return window_hashes(found, hashes)[open_windows(hashes, expand(row["hashes"], ANCHOR_BYTES))]
 
 
 def removed_words(text: str | None, repeated: bytes | None, copy: bool | None = None) -> tuple[list[bytes], np.ndarray]:
@@ -255,8 +301,7 @@ def removed_words(text: str | None, repeated: bytes | None, copy: bool | None =
         return found, np.full(len(found), len(found) >= WINDOW)
     gone = np.zeros(len(found) + 1, np.int64)
     if repeated:
-        own = low(sequence_hashes(word_hashes(found), WINDOW), WINDOW_BYTES)
-        starts = np.flatnonzero(np.isin(own, expand(repeated, WINDOW_BYTES)))
+        starts = np.flatnonzero(among(window_hashes(found, word_hashes(found)), expand(repeated, WINDOW_BYTES)))
         np.add.at(gone, starts, 1)
         np.add.at(gone, starts + WINDOW, -1)
     return found, np.cumsum(gone)[:-1] > 0
@@ -298,9 +343,10 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _finish(docs: DataFrame, id_col: str, text_col: str, step: Callable, schema: str) -> DataFrame:
     texts = docs.select(id_column(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    digests = stage(texts.mapInArrow(_copies, "id long, digest binary"), "word-digests")
-    texts, digests, largest = _numbered(texts, digests)
-    told = stage(_shared(texts, _anchor_hashes, ANCHOR_BYTES, smallest_stays=False), "anchors")
+    digests = stage(texts.mapInArrow(_copies, "id long, digest binary, n long"), "word-digests")
+    into = _groups(docs.sparkSession, digests.agg(F.sum("n")).first()[0] or 0)
+    texts, digests, largest = _numbered(texts, digests.drop("n"))
+    told = stage(_shared(texts, _anchor_hashes, ANCHOR_BYTES, False, into), "anchors")
     # An id that repeats may stand for a copy and for other texts, so a verdict goes by id and digest.
     told = told.join(digests.distinct(), "id").join(_later_copies(digests).withColumn("copy", F.lit(True)), ["id", "digest"], "full")
     # A later copy is judged by its being one, so its anchors need not come along.
@@ -325,6 +371,6 @@ def _finish(docs: DataFrame, id_col: str, text_col: str, step: Callable, schema:
     parts = stage(placed.mapInArrow(split, f"{schema}, open_text string, hashes binary"), "parts")
     done = parts.where("hashes IS NULL").select(*names)
     rest = parts.where("hashes IS NOT NULL").select("id", F.col("open_text").alias("text"), "hashes")
-    repeated = _shared(rest, _window_hashes, WINDOW_BYTES, smallest_stays=True)
+    repeated = _shared(rest, _window_hashes, WINDOW_BYTES, True, into)
     judged = rest.drop("hashes").join(repeated, "id", "left").withColumn("copy", F.lit(False)).mapInArrow(step, schema)
     return done.unionByName(judged).withColumn("id", F.when(F.col("id") <= largest, F.col("id")))

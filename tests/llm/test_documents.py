@@ -7,6 +7,8 @@ import time
 
 import numpy as np
 import plain
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -111,6 +113,45 @@ def test_difference_cover():
     assert (substring.expand(substring.squeeze(values, 7), 7) == values).all()
 
 
+def test_windows_are_told_apart_by_both_hashes():
+    # Half of the hash is worth two bits here, so nearly all windows that differ agree on it.
+    draw = np.random.default_rng(3)
+    into, width = 3, substring.WINDOW_BYTES
+    batches, expected = [], {}
+    for k in range(4):
+        ids = np.sort(draw.integers(-5, 40, 300)).astype(np.int64)
+        hashes = np.stack([draw.integers(0, 4, 300) << 40, draw.integers(0, 200, 300)], axis=1).astype(np.uint64)
+        batches.append((ids, hashes))
+    held = {}
+    for ids, hashes in batches:
+        for i, (a, b) in zip(ids.tolist(), hashes.tolist()):
+            held.setdefault((a, b), set()).add(i)
+    for pair, docs in held.items():
+        for i in docs - {min(docs)}:
+            expected.setdefault(i, set()).add(pair)
+
+    def grouped(table, step):
+        numbers = sorted(set(table["bucket"].to_pylist()))
+        return [step(table.filter(pa.compute.equal(table["bucket"], n))) for n in numbers]
+
+    packed = pa.Table.from_batches([substring._table(substring._packed(i, h, into, width, True)) for i, h in batches])
+    met = pa.concat_tables(grouped(packed, substring._meet(into, width, True)))
+    found = {}
+    for table in grouped(met, substring._gather(width)):
+        for row in table.to_pylist():
+            found[row["id"]] = set(map(tuple, substring.expand(row["hashes"], width).tolist()))
+    assert found == expected
+    wanted, asked = batches[0][1][:50], batches[1][1]
+    assert substring.among(asked, wanted).tolist() == [tuple(x) in set(map(tuple, wanted.tolist())) for x in asked.tolist()]
+    assert substring.among(asked, wanted[:0]).sum() == 0 and len(substring.among(asked[:0], wanted)) == 0
+
+
+def test_groups_of_hashes_follow_the_data(spark):
+    least = substring.buckets(spark)
+    assert substring._groups(spark, 0) == substring._groups(spark, least) == least
+    assert substring._groups(spark, 1000 * least * substring.GROUP_WORDS) == 1000 * least
+
+
 def test_repeated_words(spark, awkward):
     draw = random.Random(5)
     passages = [[f"p{k}w{draw.randrange(50)}" for _ in range(n)] for k, n in enumerate((12, 13, 14, 40, 90))]
