@@ -36,8 +36,9 @@ ANCHOR = WINDOW - PERIOD + 1
 
 # Bytes of a hash that are kept beside its bucket. For anchors five do: a chance hit only costs a look at more windows,
 # and a bucket holds about the same number of them at any size of the corpus. What is deleted is decided by the windows,
-# so those keep all of two hashes with keys of their own, 128 bits.
-ANCHOR_BYTES, WINDOW_BYTES = 5, 16
+# so those keep all of two hashes with keys of their own, 128 bits. Which windows of one document were found is then told
+# by the first hash alone.
+ANCHOR_BYTES, WINDOW_BYTES, TOLD_BYTES = 5, 16, 8
 
 # At most about so many words of the corpus go into one group of packed hashes.
 GROUP_WORDS = 8_000_000
@@ -73,18 +74,6 @@ def _changes(hashes: np.ndarray) -> np.ndarray:
     return np.r_[True, apart if hashes.ndim == 1 else apart.any(axis=1)][: len(hashes)]
 
 
-def among(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Whether each pair of hashes is one of those wanted."""
-    both = np.concatenate([wanted, hashes])
-    order = np.lexsort(_keys(both))
-    group = np.cumsum(_changes(both[order])) - 1
-    has = np.zeros(len(both) + 1, bool)
-    has[group[order < len(wanted)]] = True
-    found = np.empty(len(both), bool)
-    found[order] = has[group]
-    return found[len(wanted) :]
-
-
 def _pack_rows(bucket: np.ndarray, ids: np.ndarray, hashes: np.ndarray, width: int, known: bool) -> Iterator[tuple]:
     """One packed row for each bucket; ids ascend and are kept as differences."""
     order = np.lexsort((ids, bucket))
@@ -159,7 +148,7 @@ def _packed(ids: np.ndarray, hashes: np.ndarray, into: int, width: int, smallest
     known = ~first
     if not smallest_stays:
         known[:-1] |= known[1:] & first[:-1]
-    yield from _pack_rows(_by_document(ids[known], into), ids[known], hashes[known], width, True)
+    yield from _pack_rows(_by_document(ids[known], into), ids[known], hashes[known], min(width, TOLD_BYTES), True)
     # Other batches have to see the smallest document of each hash, whatever is known of it here.
     ids, hashes = ids[first], hashes[first]
     lead = hashes if hashes.ndim == 1 else hashes[:, 0]
@@ -201,7 +190,7 @@ def _meet(into: int, width: int, smallest_stays: bool) -> Callable:
             least, most = i[begins][group], i[np.r_[begins[1:], len(i)] - 1][group]
             found = i > least if smallest_stays else most > least
             i, h = i[found], h[found]
-        met = _table(_pack_rows(_by_document(i, into), i, h, width, True))
+        met = _table(_pack_rows(_by_document(i, into), i, h, min(width, TOLD_BYTES), True))
         return pa.concat_tables([told.select(met.schema.names).cast(met.schema), pa.Table.from_batches([met])])
 
     return step
@@ -212,7 +201,7 @@ def _gather(width: int) -> Callable:
 
     def step(rows: pa.Table) -> pa.Table:
         i, h = _unpack(rows, width)
-        order = np.lexsort((*_keys(h), i))
+        order = np.lexsort((h, i))
         i, h = i[order], h[order]
         begins = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, int)
         packed = [squeeze(h[a:b], width) for a, b in zip(begins, np.r_[begins[1:], len(i)])]
@@ -230,7 +219,7 @@ def _shared(texts: DataFrame, hashes_of: Callable, width: int, smallest_stays: b
     """id, hashes: for each document the packed hashes it shares with another, or with one that has a smaller id."""
     packed = texts.mapInArrow(_pack(hashes_of, into, width, smallest_stays), _PACKED)
     met = packed.repartition(2 * into, "bucket").groupBy("bucket").applyInArrow(_meet(into, width, smallest_stays), _PACKED)
-    return met.repartition(into, "bucket").groupBy("bucket").applyInArrow(_gather(width), "id long, hashes binary")
+    return met.repartition(into, "bucket").groupBy("bucket").applyInArrow(_gather(min(width, TOLD_BYTES)), "id long, hashes binary")
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,7 +290,7 @@ def removed_words(text: str | None, repeated: bytes | None, copy: bool | None =
         return found, np.full(len(found), len(found) >= WINDOW)
     gone = np.zeros(len(found) + 1, np.int64)
     if repeated:
-        starts = np.flatnonzero(among(window_hashes(found, word_hashes(found)), expand(repeated, WINDOW_BYTES)))
+        starts = np.flatnonzero(np.isin(sequence_hashes(word_hashes(found), WINDOW), expand(repeated, TOLD_BYTES)))
         np.add.at(gone, starts, 1)
         np.add.at(gone, starts + WINDOW, -1)
     return found, np.cumsum(gone)[:-1] > 0
