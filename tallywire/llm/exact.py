@@ -82,7 +82,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, digest, keep_id, group_size, kept for every row of `docs`."""
     groups = duplicate_groups(docs, id_col, text_col)
-    rows = text_digests(docs, id_col, text_col).join(groups, "digest", "left")
+    rows = text_digests(docs, id_col, text_col).join(groups.hint("merge"), "digest", "left")
     keep = F.coalesce(F.col("keep_id"), F.col("id"))
     return rows.select(
         F.nullif("id", F.lit(NO_ID)).alias("id"),
@@ -96,8 +96,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     groups = duplicate_groups(docs, id_col, text_col)
-    rows = text_digests(docs, id_col, text_col).join(groups, "digest").where("id <> keep_id")
-    gone = rows.select("id", "digest").distinct()
+    # Repeated rows are united before the join; after it they would keep Spark from splitting a digest that many rows have.
+    rows = text_digests(docs, id_col, text_col).distinct().join(groups.hint("merge"), "digest").where("id <> keep_id")
+    gone = rows.select("id", "digest")
     row_id, row_digest = "__exact_id", "__exact_digest"
     digest = F.pandas_udf(lambda texts: texts.map(lambda t: hashlib.sha256(normalised(t)).digest()), "binary")
     marked = docs.withColumns({row_id: id_column(id_col), row_digest: digest(F.col(text_col).cast("string"))})
