@@ -1,8 +1,8 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts are compared normalised: small letters, runs of anything but letters and digits as one space. An item leaks into
-a document when some part of the document is within `budget` edits of the whole item, the budget being 5 % of the item's
-characters. An item cut into budget + 1 pieces leaves at least one piece whole under that many edits, so all exact
+Texts are compared normalised: small letters, runs of anything but letters and digits as one space, and a space at both
+ends, so that an item counts as words and not inside of others. An item leaks into a document when some part of the
+document is within `budget` edits of the whole item, the budget being 5 % of the item's characters. An item cut into budget + 1 pieces leaves at least one piece whole under that many edits, so all exact
 hits of pieces, found together by an Aho-Corasick automaton, are all places worth a look. Around each, Myers'
 bit-parallel algorithm gives the least edit distance of the item to any part of the document.
 
@@ -65,37 +65,49 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _regions(places: list[int], size: int, budget: int) -> Iterator[tuple[int, int]]:
+    """Where a match that starts near one of the ascending places can lie; regions that overlap are one."""
+    begin = upto = None
+    for place in places:
+        a, b = max(0, place - budget), place + size + budget
+        if upto is not None and a <= upto:
+            upto = b
+            continue
+        if upto is not None:
+            yield begin, upto
+        begin, upto = a, b
+    if upto is not None:
+        yield begin, upto
+
+
 def _finder(items: list[tuple[int | None, str]], rate: float) -> Callable[[str], dict]:
     automaton = ahocorasick.Automaton()
     held: dict[str, list[tuple[int, int]]] = {}
-    for number, (_, item) in enumerate(items):
-        for offset, piece in pieces(item, int(rate * len(item))):
+    asked = [(f" {item} ", int(rate * len(item))) for _, item in items]
+    for number, (item, budget) in enumerate(asked):
+        for offset, piece in pieces(item, budget):
             held.setdefault(piece, []).append((number, offset))
     for piece, uses in held.items():
         automaton.add_word(piece, (len(piece), uses))
     automaton.make_automaton()
 
     def find(text: str) -> dict[int, tuple[int, int]]:
-        """Least distance and end of the match by number of the item."""
-        regions: dict[int, list[tuple[int, int]]] = {}
+        """Least distance and end of the match, which is the first with that distance, by number of the item."""
+        text = f" {text} "
+        starts: dict[int, set[int]] = {}
         for end, (size, uses) in automaton.iter(text):
             for number, offset in uses:
-                regions.setdefault(number, []).append(end + 1 - size - offset)
+                starts.setdefault(number, set()).add(end + 1 - size - offset)
         found = {}
-        for number, starts in regions.items():
-            item = items[number][1]
-            budget = int(rate * len(item))
-            best, upto = None, -1
-            for start in sorted(set(starts)):
-                # Starts that are close share a region; it is looked at once.
-                a, b = max(0, start - budget), start + len(item) + budget
-                if b <= upto:
-                    continue
-                # A leap of less than the margin on either side adds only its own end to what was seen.
+        for number, places in starts.items():
+            item, budget = asked[number]
+            best = None
+            for a, b in _regions(sorted(places), len(item), budget):
                 distance, at = myers(item, text[a:b])
-                upto = b
                 if distance <= budget and (best is None or distance < best[0]):
-                    best = (distance, a + at)
+                    # Neither the space in front nor the one that ends the match counts.
+                    end = a + at - 1
+                    best = (distance, end - (text[end] == " "))
                     if distance == 0:
                         break
             if best is not None:

@@ -156,7 +156,9 @@ def train(
             yield pa.RecordBatch.from_arrays(columns, ["id", "label", "rows", "counts"])
 
     samples, seen = [], set()
-    for row in sorted(rows.mapInArrow(step, "id long, label int, rows binary, counts binary").collect(), key=lambda r: r.id):
+    found = rows.mapInArrow(step, "id long, label int, rows binary, counts binary").collect()
+    # Where an id repeats with other texts, which of them is taken does not depend on the order they come in.
+    for row in sorted(found, key=lambda r: (r.id, bytes(r.rows), bytes(r.counts))):
         if row.id not in seen:
             seen.add(row.id)
             samples.append((np.frombuffer(row.rows, np.int32), np.frombuffer(row.counts, np.float32), int(row.label > 0)))

@@ -2,7 +2,8 @@
 
 A model file is compiled into three machines. The normaliser rewrites white space as U+2581 and puts one in front of a
 text that is not empty. The pieces map text to ids; a character without a piece falls back to the ids of its UTF-8
-bytes. The third accepts sequences of pieces: for a unigram model all of them, with the pieces' negated scores as
+bytes, or, in a model that has none, one run of such characters to the unknown piece, which decodes to U+2047 between
+spaces. Pieces that a user defined are cut out of a text first in a BPE model, leftmost and longest. The third accepts sequences of pieces: for a unigram model all of them, with the pieces' negated scores as
 weights; for a BPE model those in which each two neighbours are what the merges make of the two together, since a
 sequence is the merges' result exactly if that holds everywhere. Composed with an input this gives a lattice whose
 states are a position and the piece that ended there, and the shortest path in the tropical semiring (weights add up,
@@ -39,7 +40,8 @@ MOST_PAIRS = 800_000
 # Fixed values of the model format: field numbers, and kinds of models and pieces.
 PIECES, TRAINER, NORMALISER = 1, 2, 3
 UNIGRAM, BPE = 1, 2
-NORMAL, BYTE = 1, 6
+NORMAL, UNKNOWN, USER, BYTE = 1, 2, 4, 6
+UNKNOWN_TEXT = " ⁇ "
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -161,6 +163,13 @@ class Transducer:
         self.scores = {p: m.scores[i] for p, i in self.ids.items()}
         self.bytes = {int(p[3:-1], 16): i for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == BYTE}
         self.unknown = min(self.scores.values()) - 10
+        fixed = {p: i for i, (p, k) in enumerate(zip(m.pieces, m.kinds)) if k == USER}
+        if not m.bpe:
+            # In a unigram model pieces of the user are pieces like others, but for what they weigh.
+            best = max(self.scores.values())
+            self.ids |= fixed
+            self.scores |= {p: len(p.encode()) * best - 0.1 for p in fixed}
+            fixed = {}
         # What a text in the lattice can be: 2 and 3 a piece, 1 and 3 the start of a longer one.
         self.known: dict[str, int] = {}
         for piece in self.ids:
@@ -169,11 +178,20 @@ class Transducer:
                 for n in range(1, len(piece)):
                     self.known[piece[:n]] = self.known.get(piece[:n], 0) | 1
         self.cut = re.compile(_parts_pattern(self.known))
-        self.codes = {p: np.int32(i).astype("<i4").tobytes() for p, i in self.ids.items()}
+        # In a BPE model they stand for themselves wherever they come, the longest first, and no merge crosses them.
+        longest = sorted(fixed, key=len, reverse=True)
+        self.fixed = re.compile("|".join(map(re.escape, longest))) if longest else None
+        nameless = [i for i, k in enumerate(m.kinds) if k == UNKNOWN]
+        if not self.bytes and not nameless:
+            raise ValueError("a model without pieces for bytes needs an unknown piece")
+        self.nameless = nameless[0] if not self.bytes else None
+        self.codes = {p: np.int32(i).astype("<i4").tobytes() for p, i in (self.ids | fixed).items()}
         self.pairs: dict[str, dict[str, bool]] = {}
         self.held = 0
         self.parts = _Parts(self._ids)
-        texts = [p.replace(SPACE, " ").encode() if k == NORMAL else b"" for p, k in zip(m.pieces, m.kinds)]
+        texts = [p.replace(SPACE, " ").encode() if k in (NORMAL, USER) else b"" for p, k in zip(m.pieces, m.kinds)]
+        for i in nameless:
+            texts[i] = UNKNOWN_TEXT.encode()
         for byte, i in self.bytes.items():
             texts[i] = bytes([byte])
         self.texts = texts
@@ -274,15 +292,31 @@ class Transducer:
         found = []
         for piece in self.path(part):
             known = self.codes.get(piece)
-            if known is None:
+            if known is None and self.nameless is not None:
+                known = np.int32(self.nameless).astype("<i4").tobytes()
+            elif known is None:
                 raw = piece.encode("utf-8", "surrogatepass")
                 known = np.array([self.bytes[b] for b in raw], "<i4").tobytes()
             found.append(known)
         return b"".join(found)
 
     def encode(self, text: str | None) -> np.ndarray:
-        parts = self.parts
-        return np.frombuffer(b"".join([parts[p] for p in self.cut.findall(self.normalise(text or ""))]), "<i4")
+        text, parts = self.normalise(text or ""), self.parts
+        if self.fixed is None:
+            found = b"".join([parts[p] for p in self.cut.findall(text)])
+        else:
+            joined, at = [], 0
+            for match in self.fixed.finditer(text):
+                joined += [parts[p] for p in self.cut.findall(text[at : match.start()])]
+                joined.append(self.codes[match.group()])
+                at = match.end()
+            found = b"".join([*joined, *[parts[p] for p in self.cut.findall(text[at:])]])
+        ids = np.frombuffer(found, "<i4")
+        if self.nameless is not None:
+            # Unknown characters in a row are one unknown piece.
+            again = (ids[1:] == self.nameless) & (ids[:-1] == self.nameless)
+            ids = ids[np.r_[True, ~again][: len(ids)]]
+        return ids
 
     def decode(self, ids: np.ndarray) -> str:
         texts = self.texts

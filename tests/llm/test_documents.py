@@ -213,7 +213,7 @@ def test_leaks(spark, awkward):
     for i, text in texts:
         for k, item in items:
             short = decontaminate.normalised(item)
-            if short and (d := plain.part_distance(short, decontaminate.normalised(text))) <= int(0.05 * len(short)):
+            if short and (d := plain.part_distance(f" {short} ", f" {decontaminate.normalised(text)} ")) <= int(0.05 * len(short)):
                 expected[i, k] = d
     found = decontaminate.leaks(docs, benchmark, block_chars=900)
     assert {(r.doc_id, r.item_id): r.distance for r in found.collect()} == expected
@@ -222,10 +222,24 @@ def test_leaks(spark, awkward):
     assert kept == {i for i, _ in texts} - {i for i, _ in expected}
     odd = decontaminate.leaks(awkward, spark.createDataFrame([(1, "THREE, four five")], "item_id long, text string"))
     assert sorted(str(r.doc_id) for r in odd.collect()) == ["10", "None"]
+    # Words count whole, and a match ends before the space behind it.
+    short = plain.awkward(spark, [(1, "my eyes hurt"), (2, "Oh, YES!"), (3, "yes"), (4, "so yes it is"), (5, "")])
+    told = decontaminate.leaks(short, spark.createDataFrame([(1, "yes")], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.distance, r.match_end) for r in told) == [(2, 0, 6), (3, 0, 3), (4, 0, 6)]
     assert decontaminate.leaks(docs, benchmark.limit(0)).count() == 0
     assert decontaminate.drop_leaks(docs.limit(0), benchmark).count() == 0
 
 
+def test_regions_of_a_text_full_of_hits():
+    assert list(decontaminate._regions([0, 3, 50, 52, 200], 10, 2)) == [(0, 15), (48, 64), (198, 212)]
+    item = "ab " * 40 + "end of it all"
+    find = decontaminate._finder([(1, item)], 0.05)
+    started = time.perf_counter()
+    assert find("ab " * 30_000 + "nothing") == {}
+    assert find("ab " * 30_000 + "end of it al")[0][0] == 1
+    assert time.perf_counter() - started < 30
+
+
 def test_secrets(spark, awkward):
     live = "Zx81mnop45QrStuv99Ab"
     texts = [
@@ -394,6 +408,13 @@ def test_quality_on_awkward_rows(spark, awkward):
     assert quality.drop_low_quality(awkward.limit(0), labels).columns == awkward.columns
 
 
+def test_training_does_not_depend_on_the_order_of_rows(spark):
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    texts = [(1, "one text here"), (1, "quite another one"), (2, "good words")]
+    models = [quality.train(spark.createDataFrame(t, "doc_id long, text string").coalesce(1), labels) for t in (texts, texts[::-1])]
+    assert (models[0].weights == models[1].weights).all()
+
+
 def test_tokens_of_bpe_model(spark, awkward):
     library = sentencepiece.SentencePieceProcessor(model_file=subwords.MODEL)
     found = {(r.id, r.ids is not None): r for r in subwords.encode(awkward).collect()}
@@ -428,6 +449,40 @@ def test_tokens_of_unigram_model():
         assert machine.decode(machine.encode(text)) == text
 
 
+def message(*fields):
+    """A protocol buffer message of small numbers, floats and bytes."""
+    out = b""
+    for number, value in fields:
+        if isinstance(value, int):
+            out += bytes([number << 3, value])
+        elif isinstance(value, float):
+            out += bytes([number << 3 | 5]) + np.float32(value).tobytes()
+        else:
+            out += bytes([number << 3 | 2]) + (bytes([len(value)]) if len(value) < 128 else bytes([len(value) & 127 | 128, len(value) >> 7])) + value
+    return out
+
+
+@pytest.mark.parametrize("kind", [subwords.UNIGRAM, subwords.BPE])
+def test_tokens_of_models_without_bytes_and_with_pieces_of_a_user(tmp_path, kind):
+    draw = random.Random(9)
+    letters = sorted("abcd▁")
+    longer = sorted({"".join(draw.choice("abcd") for _ in range(2)) for _ in range(9)} | {"▁a", "▁b"})
+    longer += sorted({x + y for x in longer for y in "ab"})[:8]
+    pieces = [("<unk>", 0.0, subwords.UNKNOWN), ("<sep>", 0.0, subwords.USER), ("cab", 0.0, subwords.USER), ("<sep>x", 0.0, subwords.USER)]
+    # A merge comes before those that need it; no two ways through a text weigh the same.
+    pieces += [(p, -1.0 - i * 0.37 - 0.011 * i * i, subwords.NORMAL) for i, p in enumerate(longer + letters)]
+    body = b"".join(message((1, message((1, p.encode()), (2, s), (3, k)))) for p, s, k in pieces)
+    body += message((2, message((3, kind))), (3, message((1, b"identity"), (3, 1), (4, 1), (5, 1))))
+    path = tmp_path / "tiny.model"
+    path.write_bytes(body)
+    library = sentencepiece.SentencePieceProcessor(model_file=str(path))
+    machine = subwords.Transducer(subwords.Model.load(str(path)))
+    for _ in range(400):
+        text = "".join(draw.choice(["a", "b", "c", "d", " ", "é", "zz", "<sep>", "cab", "<sep>x", "x"]) for _ in range(draw.randrange(0, 14)))
+        assert machine.encode(text).tolist() == library.encode(text), text
+        assert machine.decode(machine.encode(text)) == library.decode(library.encode(text)), text
+
+
 def rules_by_definition(found, gap=licences.GAP):
     """The first rule that fits anywhere, at its first place; then the same with what stands before and behind."""
     for licence, rule in licences.RULES:
