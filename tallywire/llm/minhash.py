@@ -7,6 +7,8 @@ full sets. Documents with equal sets form a class, which takes part once. A null
 that repeat an id or a text are rows of their own with the same answer; an empty table gives an empty result. Only id
 and text are read, whatever else the table holds.
 
+A class is told by 128 bits of its set and has a number of its own, its node, in all that follows.
+
 Candidates are classes that agree on one of 32 bands of 4 minima, which a pair at the limit misses once in 200,000
 times. In a bucket all members are compared with one hub instead of with each other, so a large group of copies costs
 one comparison a member; the hub is the member that shares most buckets with most others, which is the copy that is
@@ -76,8 +78,9 @@ def fine_signature(found: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(bits.reshape(-1, 16) << shifts, axis=1).view(np.int64)
 
 
-def _node(found: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(found)) - 2**63
+def _mark(found: np.ndarray) -> bytes:
+    """128 bits that tell a set from others."""
+    return xxhash.xxh3_128_digest(found.tobytes(), seed=len(found))
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,10 +91,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 batch["id"],
                 batch["digest"],
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([_mark(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
             ],
-            ["id", "digest", "size", "node", "signature"],
+            ["id", "digest", "size", "mark", "signature"],
         )
 
 
@@ -99,8 +102,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         sets = [shingles(t) for t in batch["text"].to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-            ["node", "shingles"],
+            [pa.array([_mark(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+            ["mark", "shingles"],
         )
 
 
@@ -229,19 +232,20 @@ def _tied(roots: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, digest of the text, size, component_id for every row of `docs`."""
     texts = docs.select(id_column(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), _digest(text_col).alias("digest"))
-    rows = stage(texts.mapInArrow(_signatures, "id long, digest long, size long, node long, signature binary"), "signatures")
-    classes = rows.where("node IS NOT NULL").groupBy("node").agg(
+    rows = stage(texts.mapInArrow(_signatures, "id long, digest long, size long, mark binary, signature binary"), "signatures")
+    classes = rows.where("mark IS NOT NULL").groupBy("mark").agg(
         F.min("id").alias("id"), F.min("size").alias("size"), F.any_value("signature").alias("signature")
     )
-    classes = stage(classes, "classes")
+    # Numbered in the job that stores them: the numbers are those of the stored rows, whatever is repeated later.
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     ranked = _shared_buckets(classes)
     alike = _alike(_hub_pairs(ranked), classes)
     # The sets of all that share a bucket with another, made in one pass over the texts.
     nodes = stage(ranked.select("node").distinct(), "nodes")
-    wanted = classes.join(nodes, "node", "left_semi").select("id")
-    sets = texts.join(wanted, "id", "left_semi").mapInArrow(_sets, "node long, shingles binary")
-    sets = stage(sets.join(nodes, "node", "left_semi"), "sets")
+    wanted = stage(classes.join(nodes, "node", "left_semi").select("id", "mark", "node"), "wanted")
+    sets = texts.join(wanted.select("id"), "id", "left_semi").mapInArrow(_sets, "mark binary, shingles binary")
+    sets = stage(sets.join(wanted.select("mark", "node"), "mark").select("node", "shingles"), "sets")
     roots = stage(components(_links(alike, sets)), "roots")
 
     members = _open(ranked, roots)
@@ -249,12 +253,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = _links(_cross_pairs(members, sets), sets)
         roots = stage(components(_tied(roots).unionByName(more)), "roots")
 
-    linked = classes.select("node", "id").join(roots, "node")
+    linked = classes.select("node", "mark", "id").join(roots, "node")
     first = stage(linked.groupBy("root").agg(F.min("id").alias("component_id")), "component-ids")
-    found = linked.join(first, "root").select("node", "component_id")
+    found = linked.join(first, "root").select("mark", "component_id")
     # A class without links still unites the rows that share its set.
-    alone = classes.join(roots, "node", "left_anti").select("node", F.col("id").alias("component_id"))
-    found = rows.select("id", "digest", "size", "node").join(found.unionByName(alone), "node", "left")
+    alone = classes.join(roots, "node", "left_anti").select("mark", F.col("id").alias("component_id"))
+    found = rows.select("id", "digest", "size", "mark").join(found.unionByName(alone), "mark", "left")
     component = F.nullif(F.coalesce("component_id", "id"), F.lit(NO_ID))
     return found.select(F.nullif("id", F.lit(NO_ID)).alias("id"), "digest", "size", component.alias("component_id"))
 
