@@ -2,12 +2,15 @@
 
 Texts are compared normalised: small letters, runs of anything but letters and digits as one space, and a space at both
 ends, so that an item counts as words and not inside of others. An item leaks into a document when some part of the
-document is within `budget` edits of the whole item, the budget being 5 % of the item's characters. An item cut into budget + 1 pieces leaves at least one piece whole under that many edits, so all exact
-hits of pieces, found together by an Aho-Corasick automaton, are all places worth a look. Around each, Myers'
-bit-parallel algorithm gives the least edit distance of the item to any part of the document.
-
-Items are a stated query set: they are taken in blocks of at most `BLOCK_CHARS` characters, each block's automaton goes
-to every task, and every block passes over all documents. An item without letters and digits, or a null one, is never
+document is within `budget` edits of the whole item, the budget being 5 % of the item's characters. An item cut into
+budget + 1 pieces leaves at least one piece whole under that many edits, so all exact hits of pieces, found together by
+an Aho-Corasick automaton, are all places worth a look. Around each, Myers' bit-parallel algorithm gives the least edit
+distance of the item to any part of the document.
+
+Items are a stated query set: they are taken in blocks of `BLOCK_CHARS` characters, or of one item beyond, each block's
+automaton goes to every task, and every block passes over all documents (in `drop_leaks` over those left). What a block
+gives is stored before the next one is read, so neither the plan nor what the driver holds at a time grows with the
+number of items. An item without letters and digits, or a null one, is never
 found; neither is anything in a null or empty text. Items that repeat a text are found each under its own id; rows that
 repeat a document's id are looked at together, the least distance counts; null ids stay null. Empty tables give an
 empty result. Only the ids and texts are read.
@@ -23,7 +26,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywire.llm.common import slices
+from tallywire.llm.common import slices, stage
+from tallywire.session import work_dir
 
 ERROR_RATE = 0.05
 BLOCK_CHARS = 4_000_000
@@ -161,9 +165,12 @@ def leaks(
     """doc_id, item_id, distance, match_end (in the normalised text) of every item found in a document."""
     schema = "doc_id long, item_id long, distance int, match_end long"
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = docs.sparkSession.createDataFrame([], schema)
+    spark = docs.sparkSession
+    path = work_dir(spark, "leaks")
+    spark.createDataFrame([], schema).write.parquet(path)
     for block in _blocks(items, item_id_col, item_text_col, block_chars):
-        found = found.unionByName(rows.mapInArrow(_search(block, error_rate), schema))
+        rows.mapInArrow(_search(block, error_rate), schema).write.mode("append").parquet(path)
+    found = spark.read.schema(schema).parquet(path)
     first = F.min(F.struct("distance", "match_end")).alias("m")
     return found.groupBy("doc_id", "item_id").agg(first).select("doc_id", "item_id", "m.distance", "m.match_end")
 
@@ -183,6 +190,7 @@ def drop_leaks(
     error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
     """The rows of `docs` into which no item leaks, with all their columns. Each row is judged where it is."""
-    for block in _blocks(items, item_id_col, item_text_col, block_chars):
+    for number, block in enumerate(_blocks(items, item_id_col, item_text_col, block_chars)):
+        docs = stage(docs, "clean") if number else docs
         docs = docs.where(~_is_leak(block, error_rate)(F.col(text_col).cast("string")))
     return docs
