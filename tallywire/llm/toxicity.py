@@ -42,6 +42,7 @@ THRESHOLD = 0.5
 MOST_LABELS = 4_000_000
 MOST_GRAMS = 8_000_000
 MOST_WORDS = 200_000
+MOST_CHARACTERS = 1 << 18
 BINS = 200
 FARTHEST = 20
 
@@ -97,18 +98,39 @@ def grams(found: list[str]) -> Grams:
     return Grams(flat, _keys(codes, ORDER)[starts], _keys(codes, ORDER - 1)[starts], owners[starts], starts)
 
 
+def _parts(found: list[str]) -> Iterator[list[str]]:
+    """The words in turn, cut so that no part holds much more than `MOST_CHARACTERS`, as arrays take many bytes a character.
+
+    Nothing is left out: a single word beyond the bound comes with those before it.
+    """
+    at = np.cumsum([len(w) + ORDER for w in found]) // MOST_CHARACTERS
+    edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(found)]
+    for a, b in zip(edges, edges[1:]):
+        yield found[a:b]
+
+
+def _summed(keys: np.ndarray, times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct keys, where each is first, and the sums of its times."""
+    kept, first, which = np.unique(keys, return_index=True, return_inverse=True)
+    return kept, first, [np.bincount(which, t, len(kept)) for t in times]
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many documents of either class hold each n-gram, counted once for each word that has it."""
     held = (Counter(), Counter())
 
     def emit() -> pa.RecordBatch:
-        found = list(held[0].keys() | held[1].keys())
-        cut = grams(found)
-        _, first, which = np.unique(cut.keys, return_index=True, return_inverse=True)
-        times = [np.array([c[w] for w in found], np.float64) for c in held]
-        sums = [np.bincount(which, t[cut.owners], len(first)).astype(np.int64) for t in times]
-        texts = [cut.flat[a : a + ORDER] for a in cut.starts[first].tolist()]
-        return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(sums[0]), pa.array(sums[1])], ["gram", "ordinary", "toxic"])
+        keys, texts, times = [], [], ([], [])
+        for part in _parts(list(held[0].keys() | held[1].keys())):
+            cut = grams(part)
+            kept, first, sums = _summed(cut.keys, [np.array([c[w] for w in part], float)[cut.owners] for c in held])
+            keys.append(kept)
+            texts.append(pa.array([cut.flat[a : a + ORDER] for a in cut.starts[first].tolist()], pa.string()))
+            for all_of, own in zip(times, sums):
+                all_of.append(own)
+        _, first, sums = _summed(np.concatenate(keys), [np.concatenate(t) for t in times])
+        columns = [pa.concat_arrays(texts).take(pa.array(first)), *(pa.array(t.astype(np.int64)) for t in sums)]
+        return pa.RecordBatch.from_arrays(columns, ["gram", "ordinary", "toxic"])
 
     for batch in slices(batches, "text"):
         for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
@@ -130,12 +152,13 @@ def _suffix() -> Column:
 
 def shared_backoff(counts: DataFrame) -> DataFrame:
     """The Kneser-Ney probability of the last character of every n-gram's suffix, from continuation counts: gram, shared."""
-    levels, above = [], counts
-    for size in range(ORDER - 1, 0, -1):
-        above = stage(above.groupBy(_suffix().alias("gram")).agg(F.count(F.lit(1)).alias("times")), f"continuations-{size}")
-        levels.append((size, above))
+    # A suffix counts the distinct grams of one character more that end in it; all sizes are stored at once.
+    shorter = F.explode(F.array(*(F.expr(f"substring(gram, {ORDER - size + 1})") for size in range(ORDER - 1, 1, -1))))
+    kinds = counts.select("gram").union(counts.select(shorter.alias("gram")).distinct())
+    every = stage(kinds.groupBy(_suffix().alias("gram")).agg(F.count(F.lit(1)).alias("times")), "continuations")
     lower: DataFrame | None = None
-    for size, level in reversed(levels):
+    for size in range(1, ORDER):
+        level = every.where(F.length("gram") == size)
         contexts = level.groupBy(_prefix(size)).agg(F.sum("times").alias("total"), F.count(F.lit(1)).alias("kinds"))
         joined = level.withColumn("context", _prefix(size)).join(contexts, "context")
         if lower is None:
@@ -154,7 +177,7 @@ def evidence_table(counts: DataFrame) -> DataFrame:
     """
     classes = ("ordinary", "toxic")
     totals = [F.sum(c).alias(f"{c}_total") for c in classes] + [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in classes]
-    contexts = stage(counts.groupBy(_prefix(ORDER)).agg(*totals), "contexts")
+    contexts = counts.groupBy(_prefix(ORDER)).agg(*totals)
 
     def back(name: str) -> Column:
         """The share that a context leaves to the shared model."""
@@ -194,6 +217,9 @@ class Model:
     context_worth: np.ndarray
 
     def of_words(self, found: list[str]) -> np.ndarray:
+        return np.concatenate([self._of_part(part) for part in _parts(found)])
+
+    def _of_part(self, found: list[str]) -> np.ndarray:
         cut = grams(found)
         value, known = _looked_up(self.keys, self.worth, cut.keys)
         rest = np.flatnonzero(~known)

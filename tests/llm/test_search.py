@@ -3,10 +3,12 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +108,50 @@ def test_evidence(spark, most):
         assert got[n] == pytest.approx(want[n], abs=1e-9), asked[n]
 
 
+def test_counting_many_words_takes_little_memory():
+    """Arrays over all words held at once took 100 bytes a character; two workers share what an executor has beside its heap."""
+    found = [f"{'abcdefgh'[i % 8]}{i:07d}{'tuvwxyz'[i % 7]}" for i in range(100_000)]
+    texts = [" ".join(found[a : a + 500]) for a in range(0, len(found), 500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([n % 2 for n in range(len(texts))])], ["text", "toxic"])
+    tracemalloc.start()
+    counted = list(toxicity._counted(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = Counter()
+    for n, text in enumerate(texts):
+        for word in text.split():
+            held = toxicity.spelled(word)
+            want.update((held[a : a + 5], n % 2) for a in range(len(held) - 4))
+    assert len(counted) == 1 and len(set(counted[0]["gram"].to_pylist())) == counted[0].num_rows
+    got = {(r["gram"], c): r[name] for r in counted[0].to_pylist() for c, name in enumerate(["ordinary", "toxic"]) if r[name]}
+    assert got == dict(want)
+    assert most < 80e6
+
+
+def test_words_judged_in_parts(monkeypatch):
+    """Also a word that is longer than a part."""
+    found = ["zog", "x" * 100, *(f"w{i}" for i in range(50)), "", "y" * 40]
+    cut = toxicity.grams(found)
+    keys = np.unique(cut.keys)[::2]
+    contexts = np.unique(cut.contexts)
+    model = toxicity.Model(keys, np.sin(np.arange(len(keys))), contexts, np.cos(np.arange(len(contexts))))
+    whole = model.of_words(found)
+    monkeypatch.setattr(toxicity, "MOST_CHARACTERS", 30)
+    parts = list(toxicity._parts(found))
+    assert len(parts) > 10 and [w for p in parts for w in p] == found
+    assert model.of_words(found).tolist() == whole.tolist()
+
+
+def test_tables_stored_for_a_model(spark, monkeypatch):
+    """Each stored file starts six processes, each of which looks as large as the executor for a moment."""
+    stored = []
+    kept = toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, label: stored.append(label) or kept(df, label))
+    docs, labels = tables(spark, toxic_corpus())
+    assert toxicity.score(docs, labels).count() == 400
+    assert len(stored) == 3
+
+
 def test_toxic_documents_are_told_apart(spark):
     rows = toxic_corpus()
     docs, labels = tables(spark, rows)
