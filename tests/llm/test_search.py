@@ -196,6 +196,11 @@ def test_threshold():
     # Errors are what counts, whichever class they are in.
     _, threshold = toxicity.calibrated([(0, 0, 50), (0, 1, 1), (50, 0, 2), (50, 1, 40)])
     assert 0 < threshold * toxicity.BINS < 51
+    # Toxic texts without a toxic word lie among the ordinary ones: one of them less is no reason to go lower.
+    ordinary = [(20, 0, 500), (30, 0, 60), (40, 0, 20), (45, 0, 5), (50, 0, 4), (55, 0, 2)]
+    toxic = [(20, 1, 3), (30, 1, 3), (40, 1, 3), (45, 1, 6), (50, 1, 4), (55, 1, 2), (80, 1, 20), (200, 1, 50)]
+    _, threshold = toxicity.calibrated(ordinary + toxic)
+    assert 45 < threshold * toxicity.BINS < 80
 
 
 # --- hard negatives ---------------------------------------------------------------------------------------------------
